@@ -82,9 +82,10 @@ OPTION_ROWS_SQL = f"""
 WITH {EV_CTE.strip()},
 runs AS (
   SELECT ev.*, 1 AS ingest_run, CAST(0.5 AS DOUBLE) AS bump FROM ev
+  WHERE user_id % 7 <> 0
   UNION ALL
   SELECT ev.*, 2 AS ingest_run, CAST(0.75 AS DOUBLE) AS bump FROM ev
-  WHERE day >= DATE '2024-01-28'),
+  WHERE day >= DATE '2024-01-28' AND user_id % 7 <> 0),
 p AS (
   SELECT *,
     row_number() OVER (PARTITION BY ingest_run, user_id, day, chunk ORDER BY ts, event_id) - 1 AS pos,
@@ -127,7 +128,7 @@ o AS (
     CASE WHEN pos < n - user_id % 3 THEN value END AS open,
     value + CAST(1 AS DOUBLE) AS high,
     value - CAST(1 AS DOUBLE) AS low,
-    value + bump AS close,
+    value + bump AS close, bucket_idx,
     k AS volume,
     CASE WHEN user_id % 5 = 0 THEN CAST(0 AS BIGINT) ELSE event_id END AS oi,
     CASE WHEN pos < n - 1 THEN value / CAST(100 AS DOUBLE) END AS iv,
@@ -396,3 +397,79 @@ def alias_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (m.select("c_custkey", sid.alias("security_id"),
                      X.first_non_empty("SYMBOL_NAME", "SymbolName").alias("symbol_name"))
             .where(F.col("security_id").isNotNull()))
+
+
+# --------------------------------------------------------------------------
+# Response explode
+# --------------------------------------------------------------------------
+
+from barsmith.operators.explode import explode_candles  # noqa: E402
+from barsmith.schemas import CANDLE  # noqa: E402
+
+CANDLE_ROWS_CTE = f"""
+WITH {EV_CTE.strip()},
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, day, chunk ORDER BY ts, event_id) - 1 AS pos,
+         count(*) OVER (PARTITION BY user_id, day, chunk) AS n
+  FROM ev)"""
+
+
+def _candles(resp: DataFrame, policy: str, open_c: str, close_c: str, vol_c: str) -> DataFrame:
+    shaped = resp.select("symbol", "timestamp", F.col(open_c).alias("open"), "high", "low",
+                         F.col(close_c).alias("close"), F.col(vol_c).alias("volume"))
+    rows = explode_candles(shaped, policy, carry=["symbol"], label=F.col("symbol"))
+    return cast_to_schema(rows.withColumn("datetime", X.epoch_to_ist_iso("ts")), CANDLE)
+
+
+@register("explode_strict", CANDLE_ROWS_CTE + f"""
+SELECT 'U' || user_id AS symbol, sec AS ts, {IST_ISO.format(x='sec')} AS datetime,
+  value AS open, value + CAST(1 AS DOUBLE) AS high, value - CAST(1 AS DOUBLE) AS low,
+  value + CAST(0.5 AS DOUBLE) AS close,
+  CASE WHEN pos < n - user_id % 3 THEN k ELSE 0 END AS volume
+FROM r
+""")
+def explode_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spot policy. Aligned price arrays (a misaligned one fails
+    the job); short volume arrays padded with 0."""
+    resp = V.intraday_responses(V.table(spark, sf_dir, "events"))
+    return _candles(resp, "strict", "open_full", "close_full", "volume_short")
+
+
+@register("explode_zero_fill", CANDLE_ROWS_CTE + f"""
+SELECT 'U' || user_id AS symbol, sec AS ts, {IST_ISO.format(x='sec')} AS datetime,
+  CASE WHEN pos < n - user_id % 3 THEN value ELSE CAST(0 AS DOUBLE) END AS open,
+  value + CAST(1 AS DOUBLE) AS high, value - CAST(1 AS DOUBLE) AS low,
+  CASE WHEN pos < n - user_id % 2 THEN value + CAST(0.5 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END
+    AS close,
+  CASE WHEN pos < n - user_id % 3 THEN k ELSE 0 END AS volume
+FROM r
+""")
+def explode_zero_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stock policy. Short open/close arrays give 0.0 past their end,
+    short volume gives 0."""
+    resp = V.intraday_responses(V.table(spark, sf_dir, "events"))
+    return _candles(resp, "zero_fill", "open_short", "close_short", "volume_short")
+
+
+@register("explode_null_fill", OPTION_ROWS_SQL + """
+SELECT underlying, option_type, expiry_type, expiry_code, bucket_idx, request_seq, pos, ts,
+       strike, spot, open, high, low, close, iv, volume, oi
+FROM o WHERE ingest_run = 1
+""")
+def explode_null_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Option policy on one run of option responses. The side is
+    picked from ``data.ce``/``data.pe`` by the request (missing side: no
+    rows); short prices/iv are null, missing oi is 0; strike and spot accept
+    ``""``; request attributes are carried onto every row."""
+    resp = V.option_responses(V.table(spark, sf_dir, "events"), ingest_run=1)
+    sided = resp.select("request_seq", "underlying", "side", "expiry_type", "expiry_code",
+                        "bucket", select_side(F.col("data"), F.col("side")).alias("s"))
+    rows = explode_option_side(sided, "s", carry=["request_seq", "underlying", "side",
+                                                  "expiry_type", "expiry_code", "bucket"])
+    idx = F.array_position(F.array(*[F.lit(b) for b in STRIKE_BUCKETS]), F.col("bucket")) - 1
+    return rows.select(
+        "underlying",
+        F.when(F.col("side") == "CALL", F.lit("CE")).otherwise(F.lit("PE")).alias("option_type"),
+        "expiry_type", "expiry_code", idx.cast("bigint").alias("bucket_idx"), "request_seq",
+        F.col("pos").cast("bigint").alias("pos"), "ts", "strike", "spot", "open", "high", "low",
+        "close", "iv", "volume", "oi")

@@ -116,7 +116,8 @@ def option_responses(events: DataFrame, ingest_run: int = 1,
     Side arrays: spot = base + 10 * value (base 20000 / 70000 by underlying),
     ``""`` for error events; strike = (floor(spot / step) + offset) * step,
     ``""`` for purchases with k < 30; open is short by ``user_id % 3`` values,
-    iv by one value, oi is absent for ``user_id % 5 = 0``.
+    iv by one value, oi is absent for ``user_id % 5 = 0``; for
+    ``user_id % 7 = 0`` the arrays sit under the wrong side key.
     """
     e = event_bars(events)
     u = F.col("user_id")
@@ -166,8 +167,12 @@ def option_responses(events: DataFrame, ingest_run: int = 1,
         a["underlying"].alias("underlying"), a["side"].alias("side"),
         a["expiry_type"].alias("expiry_type"), a["expiry_code"].alias("expiry_code"),
         a["bucket"].alias("bucket"),
-        F.struct(F.when(a["side"] == "CALL", side).otherwise(null_side).alias("ce"),
-                 F.when(a["side"] == "PUT", side).otherwise(null_side).alias("pe")).alias("data"),
+        # Users with user_id % 7 = 0 get their arrays under the other side's
+        # key: the requested side is missing and the response gives no rows.
+        F.struct(F.when((a["side"] == "CALL") != (u % 7 == 0), side).otherwise(null_side)
+                 .alias("ce"),
+                 F.when((a["side"] == "PUT") != (u % 7 == 0), side).otherwise(null_side)
+                 .alias("pe")).alias("data"),
     )
 
 
