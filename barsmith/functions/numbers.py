@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+_INT_TEXT = r"^\s*[+-]?[0-9]{1,19}\s*$"
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -40,7 +43,10 @@ def to_long(x, strict: bool = False, what: str = "value") -> Column:
     goes through double. NaN and overflow give null.
     """
     txt = F.nullif(_col(x).cast("string"), F.lit(""))
-    parsed = F.coalesce(txt.try_cast("bigint"), txt.try_cast("double").try_cast("bigint"))
+    # Only text that looks like an integer goes to the bigint cast: a failing
+    # try_cast from text is about ten times slower than a passing one.
+    as_int = F.when(txt.rlike(_INT_TEXT), txt.try_cast("bigint"))
+    parsed = F.coalesce(as_int, txt.try_cast("double").try_cast("bigint"))
     if not strict:
         return parsed
     return F.when(parsed.isNull(), F.raise_error(F.lit(f"bad or missing {what}"))

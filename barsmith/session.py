@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -22,6 +22,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -55,3 +56,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder for one run's table under the checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/barsmith-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash-repartition a small frame to ``spark.sql.shuffle.partitions``
+    before a generator multiplies its rows (date windows, request grids).
+
+    A small aggregate would otherwise be coalesced by AQE into one partition
+    and the whole expansion would run in one task. A numbered repartition is
+    kept as asked; on a cluster the number is the configured shuffle width.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *cols)
