@@ -190,3 +190,38 @@ def option_batches(events: DataFrame) -> DataFrame:
     run2 = option_responses(events.where(F.to_date("ts") >= F.lit(RERUN_FROM).cast("date")),
                             ingest_run=2, close_bump=0.75)
     return run1.unionByName(run2)
+
+
+def part_master(part: DataFrame) -> DataFrame:
+    """``part`` as an instrument master with the real master's header names.
+
+    INSTRUMENT_TYPE: INDEX for PROMO/STANDARD/LARGE, ``index`` (lower case)
+    for SMALL, else EQUITY; SYMBOL_NAME = brand ('' for size 1);
+    DISPLAY_NAME = name; EXCH_ID NSE / ``nse`` / BSE by size mod 3; INSTRUMENT
+    EQUITY up to size 45, else OPTSTK; SERIES EQ for ECONOMY, else BE;
+    UNDERLYING_SYMBOL = name; security id = part key; row_seq = part key.
+    """
+    size = F.col("p_size")
+    return part.select(
+        F.col("p_partkey").alias("row_seq"),
+        F.when(F.col("p_type").isin("PROMO", "STANDARD", "LARGE"), F.lit("INDEX"))
+        .when(F.col("p_type") == "SMALL", F.lit("index")).otherwise(F.lit("EQUITY"))
+        .alias("INSTRUMENT_TYPE"),
+        F.when(size == 1, F.lit("")).otherwise(F.col("p_brand")).alias("SYMBOL_NAME"),
+        F.col("p_name").alias("DISPLAY_NAME"),
+        F.when(size % 3 == 0, F.lit("NSE")).when(size % 3 == 1, F.lit("nse"))
+        .otherwise(F.lit("BSE")).alias("EXCH_ID"),
+        F.when(size > 45, F.lit("OPTSTK")).otherwise(F.lit("EQUITY")).alias("INSTRUMENT"),
+        F.when(F.col("p_type") == "ECONOMY", F.lit("EQ")).otherwise(F.lit("BE")).alias("SERIES"),
+        F.col("p_name").alias("UNDERLYING_SYMBOL"),
+        F.col("p_partkey").cast("string").alias("SEM_SMST_SECURITY_ID"),
+    )
+
+
+def requested_symbols(part: DataFrame) -> DataFrame:
+    """Symbols asked for: every part name and brand (found by the first and
+    the second lookup) and every upper-cased type (never found: matching is
+    case-sensitive). Repeats collapse."""
+    return (part.select(F.col("p_name").alias("symbol"))
+            .unionByName(part.select(F.col("p_brand").alias("symbol")))
+            .unionByName(part.select(F.upper("p_type").alias("symbol"))))
