@@ -712,3 +712,370 @@ def symbol_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested symbols neither lookup can resolve (reported, skipped)."""
     part = V.table(spark, sf_dir, "part")
     return missing_symbols(V.part_master(part), V.requested_symbols(part))
+
+
+# --------------------------------------------------------------------------
+# Upsert, store, resume, summary
+# --------------------------------------------------------------------------
+
+from barsmith.operators.dedupe import upsert  # noqa: E402
+from barsmith.session import scratch_path  # noqa: E402
+from barsmith.sources.store import read_store, trade_month, upsert_store  # noqa: E402
+
+LINE_KEYS = ["l_orderkey", "l_linenumber"]
+LINE_ORDER = ["ingest_run", "ts", "l_partkey", "l_suppkey"]
+LINE_OUT = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+            "l_extendedprice", "ts", "ingest_run"]
+
+LINE_BATCHES_CTE = """
+WITH b AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+         l_extendedprice, epoch_us(l_shipdate) // 1000000 AS ts, l_returnflag, l_shipdate,
+         CAST(1 AS BIGINT) AS ingest_run
+  FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-06-01'
+  UNION ALL
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+         l_extendedprice + CAST(1 AS DOUBLE), epoch_us(l_shipdate) // 1000000, l_returnflag,
+         l_shipdate, CAST(2 AS BIGINT)
+  FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-04-01')"""
+
+
+@register("upsert_keep_last", LINE_BATCHES_CTE + """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, ts, ingest_run
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY ingest_run DESC, ts DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM b)
+WHERE rn = 1
+""")
+def upsert_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored run + overlapping revised run; per key the newest
+    run wins, inside a run the later row (ship date, then part, supplier)."""
+    run1, run2 = V.lineitem_batches(V.table(spark, sf_dir, "lineitem"))
+    return upsert(run1.select(*LINE_OUT), run2.select(*LINE_OUT), LINE_KEYS, LINE_ORDER) \
+        .select(*LINE_OUT)
+
+
+@register("split_precedence", """
+WITH b AS (
+  SELECT *, epoch_us(l_shipdate) // 1000000 AS ts,
+         CAST(date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) // 90 + 1 AS INTEGER)
+           AS window_idx
+  FROM lineitem),
+c AS (
+  SELECT *, window_idx % 3 = 0 AS was_split,
+         DATE '1995-01-01' + CAST((window_idx - 1) * 90 AS INTEGER) AS w_from
+  FROM b),
+d AS (
+  SELECT *, CASE WHEN NOT was_split THEN w_from
+                 WHEN CAST(l_shipdate AS DATE) < w_from + 45 THEN w_from
+                 ELSE w_from + 45 END AS leaf_from
+  FROM c)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, ts,
+       window_idx, was_split, leaf_from
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+        ORDER BY was_split DESC, window_idx DESC, leaf_from DESC, ts DESC, l_partkey DESC,
+                 l_suppkey DESC) AS rn FROM d)
+WHERE rn = 1
+""")
+def split_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of 90-day windows from 1995-01-01; every third window
+    was answered as splittable and re-fetched as two halves. Split rows come
+    after all direct rows, then by window, then by the half's start day."""
+    c = V.lineitem_candles(V.table(spark, sf_dir, "lineitem"))
+    origin = F.lit("1995-01-01").cast("date")
+    day = F.to_date("l_shipdate")
+    widx = (F.floor(F.datediff(day, origin) / 90) + 1).cast("int")
+    c = c.select("*", widx.alias("window_idx"))
+    w_from = F.date_add(origin, (F.col("window_idx") - 1) * 90)
+    mid = F.date_add(w_from, 45)  # bisection of a 90-day window
+    c = c.select("*", (F.col("window_idx") % 3 == 0).alias("was_split"),
+                 w_from.alias("w_from"))
+    c = c.withColumn("leaf_from", F.when(~F.col("was_split"), F.col("w_from"))
+                     .when(day < mid, F.col("w_from")).otherwise(mid))
+    out = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+           "l_extendedprice", "ts", "window_idx", "was_split", "leaf_from"]
+    return upsert(None, c.select(*out), LINE_KEYS,
+                  ["was_split", "window_idx", "leaf_from", "ts", "l_partkey", "l_suppkey"]) \
+        .select(*out)
+
+
+_STORE_SCHEMA = T.StructType([
+    T.StructField("symbol", T.StringType()), T.StructField("ts", T.LongType()),
+    T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+    T.StructField("l_partkey", T.LongType()), T.StructField("l_suppkey", T.LongType()),
+    T.StructField("l_quantity", T.DoubleType()), T.StructField("l_extendedprice", T.DoubleType()),
+    T.StructField("l_returnflag", T.StringType()), T.StructField("ingest_run", T.LongType()),
+    T.StructField("trade_month", T.StringType()),
+])
+STORE_KEYS = ["l_orderkey", "l_linenumber", "ts"]
+STORE_ORDER = ["ingest_run", "l_partkey", "l_suppkey"]
+
+
+def _resume_batch(spark: SparkSession, path: str, lineitem: DataFrame) -> DataFrame:
+    """Run 2 of the store fixtures: per supplier, everything from the IST day
+    of its stored max(ts) on (that day again), revised prices; suppliers
+    with nothing stored start from the default day."""
+    stored = read_store(spark, path, _STORE_SCHEMA)
+    ents = lineitem.select("l_suppkey").distinct()
+    plan = resume_plan(ents, high_watermark(stored, "l_suppkey"), "l_suppkey",
+                       F.lit("1992-01-01").cast("date"), X.as_of_date("2100-01-01"))
+    c = V.lineitem_candles(lineitem)
+    return (c.join(plan.select("l_suppkey", "start_date"), "l_suppkey")
+            .where(F.to_date("l_shipdate") >= F.col("start_date"))
+            .withColumn("l_extendedprice", F.col("l_extendedprice") + 1.0)
+            .withColumn("ingest_run", F.lit(2).cast("bigint"))
+            .withColumn("trade_month", trade_month("ts")))
+
+
+def _store_two_runs(spark: SparkSession, sf_dir: str) -> str:
+    li = V.table(spark, sf_dir, "lineitem")
+    path = scratch_path(spark, "lineitem-store")
+    run1 = (V.lineitem_candles(li)
+            .where(F.col("l_shipdate") < F.lit(V.LINE_CUTOFF).cast("timestamp_ntz"))
+            .withColumn("ingest_run", F.lit(1).cast("bigint"))
+            .withColumn("trade_month", trade_month("ts")))
+    upsert_store(spark, path, run1, _STORE_SCHEMA, STORE_KEYS, STORE_ORDER, ["symbol", "ts"])
+    upsert_store(spark, path, _resume_batch(spark, path, li), _STORE_SCHEMA, STORE_KEYS,
+                 STORE_ORDER, ["symbol", "ts"])
+    return path
+
+
+STORE_ORACLE_CTE = """
+WITH r1 AS (SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-06-01'),
+wm AS (SELECT l_suppkey, CAST(max(l_shipdate) AS DATE) AS resume FROM r1 GROUP BY l_suppkey),
+b AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+         l_returnflag, epoch_us(l_shipdate) // 1000000 AS ts, CAST(1 AS BIGINT) AS ingest_run
+  FROM r1
+  UNION ALL
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_quantity,
+         l.l_extendedprice + CAST(1 AS DOUBLE), l.l_returnflag,
+         epoch_us(l.l_shipdate) // 1000000, CAST(2 AS BIGINT)
+  FROM lineitem l LEFT JOIN wm ON wm.l_suppkey = l.l_suppkey
+  WHERE CAST(l.l_shipdate AS DATE) >= coalesce(wm.resume, DATE '1992-01-01')),
+s AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, ts
+                   ORDER BY ingest_run DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM b)
+  WHERE rn = 1)"""
+
+
+@register("upsert_dataset", STORE_ORACLE_CTE + """
+SELECT 'S' || l_suppkey AS symbol, ts, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       l_quantity, l_extendedprice, l_returnflag, ingest_run,
+       strftime(make_timestamp(ts * 1000000) + INTERVAL 330 MINUTE, '%Y-%m') AS trade_month
+FROM s
+""")
+def upsert_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs through a partitioned Parquet
+    store -- run 1 into an empty store, run 2 resumed per supplier from the
+    stored watermark day -- read back whole."""
+    return read_store(spark, _store_two_runs(spark, sf_dir), _STORE_SCHEMA)
+
+
+@register("read_symbol", STORE_ORACLE_CTE + """
+SELECT 'S' || l_suppkey AS symbol, ts, l_orderkey, l_linenumber, l_extendedprice, ingest_run
+FROM s WHERE l_returnflag = 'R'
+""")
+def read_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A consumer read of the store -- one column value (return flag R)
+    with the filter pushed into the Parquet scan."""
+    ds = read_store(spark, _store_two_runs(spark, sf_dir), _STORE_SCHEMA)
+    return ds.where(F.col("l_returnflag") == "R").select(
+        "symbol", "ts", "l_orderkey", "l_linenumber", "l_extendedprice", "ingest_run")
+
+
+@register("run_summary", LINE_BATCHES_CTE + """
+, old AS (SELECT DISTINCT l_orderkey, l_linenumber FROM b WHERE ingest_run = 1),
+new AS (SELECT * FROM b WHERE ingest_run = 2),
+nk AS (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber FROM new),
+fin AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+          ORDER BY ingest_run DESC, ts DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM b)
+        WHERE rn = 1),
+sup AS (SELECT DISTINCT l_suppkey FROM b)
+SELECT sup.l_suppkey,
+  coalesce((SELECT count(*) FROM new WHERE new.l_suppkey = sup.l_suppkey), 0) AS rows_in,
+  coalesce((SELECT count(*) FROM nk WHERE nk.l_suppkey = sup.l_suppkey
+            AND NOT EXISTS (SELECT 1 FROM old WHERE old.l_orderkey = nk.l_orderkey
+                            AND old.l_linenumber = nk.l_linenumber)), 0) AS keys_new,
+  coalesce((SELECT count(*) FROM nk WHERE nk.l_suppkey = sup.l_suppkey
+            AND EXISTS (SELECT 1 FROM old WHERE old.l_orderkey = nk.l_orderkey
+                        AND old.l_linenumber = nk.l_linenumber)), 0) AS keys_replaced,
+  coalesce((SELECT count(*) FROM fin WHERE fin.l_suppkey = sup.l_suppkey), 0) AS rows_out
+FROM sup
+""")
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per supplier, for the second run: rows in, keys new to the
+    store, keys that replace stored ones, and rows owned after the upsert."""
+    run1, run2 = V.lineitem_batches(V.table(spark, sf_dir, "lineitem"))
+    return summarize_run(run1.select(*LINE_OUT), run2.select(*LINE_OUT), "l_suppkey",
+                         LINE_KEYS, LINE_ORDER)
+
+
+from barsmith.operators.summary import summarize_run  # noqa: E402
+
+
+# --------------------------------------------------------------------------
+# Coverage, triage, sources, stream
+# --------------------------------------------------------------------------
+
+from barsmith.operators.coverage import coverage_gaps as _gaps  # noqa: E402
+from barsmith.sources.instruments import land_master  # noqa: E402
+from barsmith.sources.responses import read_option_responses  # noqa: E402
+from barsmith.streaming.upsert_stream import run_upsert_stream  # noqa: E402
+
+
+@register("coverage_gaps", """
+WITH o AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
+s AS (SELECT user_id, min(day) AS s, max(day) AS e FROM o GROUP BY user_id),
+p AS (SELECT user_id, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS day FROM s),
+g AS (SELECT user_id, day FROM p EXCEPT SELECT user_id, day FROM o)
+SELECT user_id, day AS from_date, day + 1 AS to_date FROM g
+""")
+def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user, every day from first to last observed day is planned;
+    planned days with no observed candle are gaps, each emitted as a one-day
+    re-request."""
+    ev = V.event_bars(V.table(spark, sf_dir, "events"))
+    observed = ev.select("user_id", "day")
+    return _gaps(observed, "user_id", "day")
+
+
+@register("triage", f"""
+WITH {EV_CTE.strip()},
+r AS (
+  SELECT event_id,
+    CASE event_type WHEN 'error' THEN CASE WHEN k % 2 = 0 THEN 400 ELSE 500 END
+                    WHEN 'signup' THEN 404 ELSE 200 END AS status,
+    CASE event_type WHEN 'signup' THEN CASE k % 3 WHEN 0 THEN 'DH-905' WHEN 1 THEN 'DH-907'
+                                       ELSE 'DH-908' END
+                    WHEN 'error' THEN 'DH-901' END AS error_code,
+    CASE event_type WHEN 'signup' THEN CASE WHEN k < 50 THEN 'No Data present for the request'
+                                            ELSE 'Invalid Request' END
+                    WHEN 'error' THEN 'Bad request window' END AS msg,
+    k % 4 AS days,
+    CASE WHEN event_type = 'click' AND k < 10 THEN 0 ELSE 1 END AS n_rows
+  FROM ev)
+SELECT event_id, status, error_code,
+  CASE WHEN error_code IN ('DH-905', 'DH-907') AND contains(lower(coalesce(msg, '')), 'no data')
+         THEN 'no_data'
+       WHEN coalesce(status, 200) BETWEEN 200 AND 299 AND error_code IS NULL
+         THEN CASE WHEN n_rows = 0 THEN 'empty' ELSE 'ok' END
+       WHEN status = 400 AND days > 1 THEN 'split'
+       ELSE 'fail' END AS outcome
+FROM r
+""")
+def triage_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as a response envelope (status, error code,
+    message, window days, body size) classified into ok / empty / no_data /
+    split / fail."""
+    ev = V.event_bars(V.table(spark, sf_dir, "events"))
+    et, k = F.col("event_type"), F.col("k")
+    status = (F.when(et == "error", F.when(k % 2 == 0, 400).otherwise(500))
+              .when(et == "signup", 404).otherwise(200))
+    code = (F.when(et == "signup", F.when(k % 3 == 0, "DH-905").when(k % 3 == 1, "DH-907")
+                   .otherwise("DH-908"))
+            .when(et == "error", "DH-901"))
+    msg = (F.when(et == "signup", F.when(k < 50, "No Data present for the request")
+                  .otherwise("Invalid Request"))
+           .when(et == "error", "Bad request window"))
+    n_rows = F.when((et == "click") & (k < 10), 0).otherwise(1)
+    r = ev.select("event_id", status.alias("status"), code.alias("error_code"),
+                  msg.alias("msg"), (k % 4).alias("days"), n_rows.alias("n_rows"))
+    return r.select("event_id", "status", "error_code",
+                    X.classify_response("status", "error_code", "msg", "days",
+                                        n_rows="n_rows").alias("outcome"))
+
+
+@register("option_response_scan", OPTION_ROWS_SQL + """
+SELECT underlying, option_type, expiry_type, expiry_code, bucket_idx, request_seq, pos, ts,
+       strike, spot, open, high, low, close, iv, volume, oi
+FROM o WHERE ingest_run = 1
+""")
+def option_response_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Option responses landed as JSON lines (request id + body
+    only) and a manifest with the request attributes; the JSON is read with
+    text cells, joined to its request and exploded with the null-fill policy."""
+    resp = V.option_responses(V.table(spark, sf_dir, "events"), ingest_run=1)
+    rid = F.concat_ws("-", F.col("request_seq").cast("string"), F.col("user_id").cast("string"))
+    root = scratch_path(spark, "option-landing")
+    resp.select(rid.alias("request_id"), F.lit(200).alias("status"), "data") \
+        .write.mode("overwrite").json(f"{root}/responses")
+    resp.select(rid.alias("request_id"), "request_seq", "underlying", "side", "expiry_type",
+                "expiry_code", "bucket").write.mode("overwrite").parquet(f"{root}/manifest")
+    landed = read_option_responses(spark, f"{root}/responses")
+    manifest = spark.read.parquet(f"{root}/manifest")
+    sided = manifest.join(landed, "request_id").select(
+        "request_seq", "underlying", "side", "expiry_type", "expiry_code", "bucket",
+        select_side(F.col("data"), F.col("side")).alias("s"))
+    rows = explode_option_side(sided, "s", carry=["request_seq", "underlying", "side",
+                                                  "expiry_type", "expiry_code", "bucket"])
+    idx = F.array_position(F.array(*[F.lit(b) for b in STRIKE_BUCKETS]), F.col("bucket")) - 1
+    return rows.select(
+        "underlying",
+        F.when(F.col("side") == "CALL", F.lit("CE")).otherwise(F.lit("PE")).alias("option_type"),
+        "expiry_type", "expiry_code", idx.cast("bigint").alias("bucket_idx"), "request_seq",
+        F.col("pos").cast("bigint").alias("pos"), "ts", "strike", "spot", "open", "high", "low",
+        "close", "iv", "volume", "oi")
+
+
+@register("master_scan", """
+SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS row_seq,
+       CAST(p_partkey AS VARCHAR) AS SEM_SMST_SECURITY_ID,
+       CASE WHEN p_size = 1 THEN NULL ELSE p_brand END AS SYMBOL_NAME,
+       p_name AS DISPLAY_NAME, p_type AS INSTRUMENT_TYPE,
+       CAST(p_size AS VARCHAR) AS LOT_SIZE, p_retailprice AS price
+FROM part
+""")
+def master_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part table landed as a CSV master (padded header
+    names, cells padded with spaces and tabs, several files in key order),
+    read back as text, stripped, numbered in line order and landed as
+    Parquet."""
+    part = V.table(spark, sf_dir, "part")
+    pad = F.col("p_size") % 2 == 0
+    csv = part.select(
+        F.col("p_partkey").cast("string").alias(" SEM_SMST_SECURITY_ID "),
+        F.when(F.col("p_size") == 1, F.lit("")).otherwise(F.col("p_brand")).alias("SYMBOL_NAME"),
+        F.when(pad, F.concat(F.lit("\t"), "p_name", F.lit(" "))).otherwise(F.col("p_name"))
+        .alias("\tDISPLAY_NAME"),
+        F.when(~pad, F.concat(F.lit("  "), "p_type")).otherwise(F.col("p_type"))
+        .alias("INSTRUMENT_TYPE "),
+        F.col("p_size").cast("string").alias("LOT_SIZE"),
+        F.col("p_retailprice").cast("string").alias("PRICE"),
+        "p_partkey")
+    root = scratch_path(spark, "master")
+    (csv.orderBy("p_partkey").drop("p_partkey").write.mode("overwrite")
+     .option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(f"{root}/csv"))
+    landed = land_master(spark, f"{root}/csv", f"{root}/landed")
+    return landed.select("row_seq", "SEM_SMST_SECURITY_ID", "SYMBOL_NAME", "DISPLAY_NAME",
+                         "INSTRUMENT_TYPE", "LOT_SIZE", X.to_double("PRICE").alias("price"))
+
+
+_LANDING_SCHEMA = T.StructType([
+    T.StructField(f.name, f.dataType) for f in _STORE_SCHEMA.fields if f.name != "trade_month"])
+
+
+@register("stream_upsert", LINE_BATCHES_CTE + """
+SELECT 'S' || l_suppkey AS symbol, ts, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       l_quantity, l_extendedprice, l_returnflag, ingest_run,
+       strftime(make_timestamp(ts * 1000000) + INTERVAL 330 MINUTE, '%Y-%m') AS trade_month
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, ts
+        ORDER BY ingest_run DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM b)
+WHERE rn = 1
+""")
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both runs land as JSON files; an availableNow file stream merges
+    them into the Parquet store one file per micro-batch; the store is read
+    back. Equal to the batch upsert whatever the arrival order."""
+    run1, run2 = V.lineitem_batches(V.table(spark, sf_dir, "lineitem"))
+    root = scratch_path(spark, "stream")
+    cols = _LANDING_SCHEMA.names
+    # Land the later run first: arrival order must not decide the winner.
+    run2.select(*cols).write.mode("append").json(f"{root}/landing")
+    run1.select(*cols).write.mode("append").json(f"{root}/landing")
+    run_upsert_stream(
+        spark, f"{root}/landing", _LANDING_SCHEMA,
+        lambda b: b.withColumn("trade_month", trade_month("ts")),
+        f"{root}/store", _STORE_SCHEMA, STORE_KEYS, STORE_ORDER, ["symbol", "ts"],
+        checkpoint=f"{root}/checkpoint", max_files_per_trigger=4)
+    return read_store(spark, f"{root}/store", _STORE_SCHEMA)

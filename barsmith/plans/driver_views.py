@@ -225,3 +225,29 @@ def requested_symbols(part: DataFrame) -> DataFrame:
     return (part.select(F.col("p_name").alias("symbol"))
             .unionByName(part.select(F.col("p_brand").alias("symbol")))
             .unionByName(part.select(F.upper("p_type").alias("symbol"))))
+
+
+LINE_CUTOFF = "1998-06-01"
+
+
+def lineitem_candles(lineitem: DataFrame) -> DataFrame:
+    """Line items as versioned rows: ``ts`` = epoch second of the ship date,
+    symbol = ``S<suppkey>``, ``l_partkey``/``l_suppkey`` order rows that
+    share a key and a ship date (their position in a response)."""
+    return lineitem.select(
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"),
+        X.epoch_seconds("l_shipdate").alias("ts"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+        "l_extendedprice", "l_returnflag", "l_shipdate")
+
+
+def lineitem_batches(lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored run (ship date before the cutoff) and a second run from two
+    months before the cutoff on, with revised prices (+1)."""
+    c = lineitem_candles(lineitem)
+    run1 = (c.where(F.col("l_shipdate") < F.lit(LINE_CUTOFF).cast("timestamp_ntz"))
+            .withColumn("ingest_run", F.lit(1).cast("bigint")))
+    run2 = (c.where(F.col("l_shipdate") >= F.lit("1998-04-01").cast("timestamp_ntz"))
+            .withColumn("l_extendedprice", F.col("l_extendedprice") + 1.0)
+            .withColumn("ingest_run", F.lit(2).cast("bigint")))
+    return run1, run2
