@@ -8,7 +8,7 @@ in ``_corrupt_record`` instead of failing the read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barsmith.functions.triage import classify_response
 from barsmith.schemas import INTRADAY_RESPONSE, OPTION_RESPONSE
@@ -27,13 +27,17 @@ def read_option_responses(spark: SparkSession, path: str) -> DataFrame:
     return _reader(spark, OPTION_RESPONSE).json(path)
 
 
-def triage(responses: DataFrame, manifest: DataFrame, ts_field: str = "timestamp") -> DataFrame:
+def triage(responses: DataFrame, manifest: DataFrame, timestamps: Column | None = None
+           ) -> DataFrame:
     """Attach each response to its request (by ``request_id``) and classify
     it (R2, X17). ``outcome`` is one of ok / empty / no_data / split /
-    corrupt / fail; requests without any response are ``missing``."""
+    corrupt / fail; requests without any response are ``missing``.
+    ``timestamps`` is the response's timestamp array, evaluated after the
+    join (so it may depend on the request, e.g. the option side)."""
     days = F.datediff("to_date", "from_date")
     j = manifest.join(responses, "request_id", "left")
-    n_rows = F.size(F.coalesce(F.col(ts_field), F.array()))
+    ts = timestamps if timestamps is not None else F.col("timestamp")
+    n_rows = F.size(F.coalesce(ts, F.array().cast("array<string>")))
     outcome = F.when(F.col("_has_response").isNull(), F.lit("missing")).otherwise(
         classify_response("status", "errorCode", "errorMessage", days,
                           corrupt="_corrupt_record", n_rows=n_rows))
