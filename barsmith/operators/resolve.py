@@ -123,7 +123,8 @@ def resolve_symbols(master: DataFrame, requested: DataFrame) -> DataFrame:
 
 
 def missing_symbols(master: DataFrame, requested: DataFrame) -> DataFrame:
-    """Requested symbols found by neither lookup (J3, anti joins)."""
-    primary, fallback = equity_lookups(master)
-    req = requested.select("symbol").distinct()
-    return req.join(primary, "symbol", "left_anti").join(fallback, "symbol", "left_anti")
+    """Requested symbols found by neither lookup (J3). Taken from the same
+    left-join chain as ``resolve_symbols`` (a key-side anti join would be
+    pushed below the union of requested lists and repeat the lookups)."""
+    return resolve_symbols(master, requested).where(F.col("security_id").isNull()) \
+        .select("symbol")

@@ -17,8 +17,12 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "barsmith") -> SparkSession:
-    """Session for local runs and tests. On a cluster, use the cluster's session."""
+                  app_name: str = "barsmith", advisory_mb: int = 16) -> SparkSession:
+    """Session for local runs and tests. On a cluster, use the cluster's session.
+
+    ``advisory_mb`` is AQE's target shuffle-partition size: small enough that
+    a few hundred MB still spread over all local cores; a cluster keeps its
+    own (larger) setting."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
@@ -26,6 +30,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", f"{advisory_mb}m")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.session.timeZone", "UTC")
