@@ -580,10 +580,18 @@ def request_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The stored day is an IST day; order dates are midnight UTC, so the IST
     # day equals the order date.
     reqs = M.option_requests(plan.where("needs_fetch"), "start_date", "end_date", ["c_custkey"])
-    return (reqs.groupBy("c_custkey", "window_idx", "from_text", "to_text")
-            .agg(F.count(F.lit(1)).alias("n_requests"),
-                 F.count(F.when(F.col("side") == "CALL", 1)).alias("n_calls"),
-                 F.min("request_seq").alias("min_seq"), F.max("request_seq").alias("max_seq")))
+    # Group on the narrow window key; the text bounds are derived once per
+    # window afterwards (column pruning drops them from the 252x rows).
+    per_window = (reqs.groupBy("c_custkey", "window_idx")
+                  .agg(F.min("from_date").alias("from_date"), F.min("to_date").alias("to_date"),
+                       F.count(F.lit(1)).alias("n_requests"),
+                       F.count(F.when(F.col("side") == "CALL", 1)).alias("n_calls"),
+                       F.min("request_seq").alias("min_seq"),
+                       F.max("request_seq").alias("max_seq")))
+    f_txt, t_txt = X.option_window_text("from_date", "to_date")
+    return per_window.select("c_custkey", "window_idx", f_txt.alias("from_text"),
+                             t_txt.alias("to_text"), "n_requests", "n_calls", "min_seq",
+                             "max_seq")
 
 
 WATERMARK_AS_OF = "2024-01-20"
