@@ -13,6 +13,9 @@ arrival).
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
@@ -20,6 +23,7 @@ from pyspark.errors import AnalysisException
 from barsmith import functions as X
 from barsmith.operators.dedupe import keep_last
 from barsmith.schemas import PARTITION_COLUMN
+from barsmith.session import scratch_path
 
 
 def trade_month(ts: str | Column = "ts") -> Column:
@@ -44,6 +48,23 @@ def touched_partitions(batch: DataFrame) -> list[str]:
     return [r[0] for r in batch.select(PARTITION_COLUMN).distinct().collect()]
 
 
+_MONTH_DIR = re.compile(PARTITION_COLUMN + r"=([^/]+)/")
+
+
+def stage_batch(spark: SparkSession, batch: DataFrame, schema: StructType
+                ) -> tuple[DataFrame, list[str]]:
+    """Write the batch once, partitioned by month, under the checkpoint
+    folder, and read it back. The expensive batch plan (JSON parse, explode,
+    enrichment) then runs once, a lost executor re-reads the staged files
+    instead of recomputing the lineage, and the touched months come from the
+    staged file paths without another job."""
+    path = scratch_path(spark, "upsert-batch")
+    batch.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(path)
+    staged = spark.read.schema(schema).parquet(path)
+    months = sorted({unquote(m) for f in staged.inputFiles() for m in _MONTH_DIR.findall(f)})
+    return staged, months
+
+
 def write_partitions(df: DataFrame, path: str, sort_cols: list[str]) -> None:
     """Dynamic partition overwrite: only partitions present in ``df`` are
     replaced. A ``rebalance`` by month lets AQE size the write: small months
@@ -60,12 +81,16 @@ def write_partitions(df: DataFrame, path: str, sort_cols: list[str]) -> None:
 
 
 def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: StructType,
-                 keys: list[str], order: list[str], sort_cols: list[str]) -> list[str]:
+                 keys: list[str], order: list[str], sort_cols: list[str],
+                 stage: bool = True) -> list[str]:
     """Merge ``batch`` into the store at ``path`` (U3, R7). ``schema`` is the
     stored schema including ``trade_month`` and the ordering columns.
     Returns the months rewritten; an empty batch rewrites nothing (F7)."""
     batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-    months = touched_partitions(batch)
+    if stage:
+        batch, months = stage_batch(spark, batch, schema)
+    else:
+        months = touched_partitions(batch)
     if not months:
         return []
     existing = read_store(spark, path, schema).where(F.col(PARTITION_COLUMN).isin(months))
