@@ -119,7 +119,20 @@ def option_responses(events: DataFrame, ingest_run: int = 1,
     iv by one value, oi is absent for ``user_id % 5 = 0``; for
     ``user_id % 7 = 0`` the arrays sit under the wrong side key.
     """
-    e = event_bars(events)
+    tagged = events.select("*", F.lit(ingest_run).cast("bigint").alias("ingest_run"),
+                           F.lit(close_bump).alias("close_bump"))
+    return _option_responses(tagged)
+
+
+def _option_responses(events: DataFrame) -> DataFrame:
+    """``option_responses`` over events tagged with ``ingest_run`` and
+    ``close_bump``; one response per (run, user, day, id block)."""
+    e = events.select(
+        "event_id", "user_id", "event_type", "value", "ts", "ingest_run", "close_bump",
+        (F.expr("unix_timestamp(ts) div 60") * 60).alias("bar"),
+        F.to_date("ts").alias("day"),
+        _div("event_id", RESPONSE_BLOCK).alias("chunk"),
+        F.get_json_object("props", "$.k").cast("bigint").alias("k"))
     u = F.col("user_id")
     a = option_request_attrs(u)
     step = F.when(u % 2 == 0, F.lit(50)).otherwise(F.lit(100))
@@ -133,10 +146,12 @@ def option_responses(events: DataFrame, ingest_run: int = 1,
         .alias("spot_txt"),
         F.when((F.col("event_type") == "purchase") & (F.col("k") < 30), F.lit(""))
         .otherwise(strike.cast("string")).alias("strike_txt"),
+        (F.col("value") + F.col("close_bump")).cast("string").alias("close_txt"),
     )
-    g = (e.groupBy("user_id", "day", "chunk")
+    g = (e.groupBy("ingest_run", "user_id", "day", "chunk")
          .agg(_sorted_elems([F.col("ts"), F.col("event_id"), F.col("bar"), F.col("value"),
-                             F.col("k"), F.col("spot_txt"), F.col("strike_txt")]).alias("el")))
+                             F.col("k"), F.col("spot_txt"), F.col("strike_txt"),
+                             F.col("close_txt")]).alias("el")))
     n = F.size("el")
 
     def txt(expr):
@@ -147,7 +162,7 @@ def option_responses(events: DataFrame, ingest_run: int = 1,
         F.slice(txt(lambda x: x["value"]), 1, F.greatest(n - u % 3, F.lit(0))).alias("open"),
         txt(lambda x: x["value"] + 1.0).alias("high"),
         txt(lambda x: x["value"] - 1.0).alias("low"),
-        txt(lambda x: x["value"] + close_bump).alias("close"),
+        F.transform("el", lambda x: x["close_txt"]).alias("close"),
         txt(lambda x: x["k"]).alias("volume"),
         F.when(u % 5 == 0, F.lit(None).cast("array<string>"))
         .otherwise(txt(lambda x: x["event_id"])).alias("oi"),
@@ -161,7 +176,7 @@ def option_responses(events: DataFrame, ingest_run: int = 1,
            + a["code_idx"] * F.lit(10 ** 13) + a["bucket_idx"] * F.lit(10 ** 11)
            + a["side_idx"] * F.lit(10 ** 10) + u * F.lit(10 ** 4) + F.col("chunk"))
     return g.select(
-        F.lit(ingest_run).cast("bigint").alias("ingest_run"),
+        "ingest_run",
         seq.alias("request_seq"),
         "user_id", "day",
         a["underlying"].alias("underlying"), a["side"].alias("side"),
@@ -185,11 +200,17 @@ def side_type() -> str:
 
 def option_batches(events: DataFrame) -> DataFrame:
     """Stored run plus a second run that re-fetches the days from
-    ``RERUN_FROM`` on with revised closes: the re-fetched rows must win."""
-    run1 = option_responses(events, ingest_run=1, close_bump=0.5)
-    run2 = option_responses(events.where(F.to_date("ts") >= F.lit(RERUN_FROM).cast("date")),
-                            ingest_run=2, close_bump=0.75)
-    return run1.unionByName(run2)
+    ``RERUN_FROM`` on with revised closes: the re-fetched rows must win.
+    Both runs come from one scan: each event is tagged with the runs it
+    belongs to (a bounded generator of one or two rows) and responses are
+    grouped per run in one aggregation."""
+    one, two = F.lit(1).cast("bigint"), F.lit(2).cast("bigint")
+    runs = F.when(F.to_date("ts") >= F.lit(RERUN_FROM).cast("date"),
+                  F.array(one, two)).otherwise(F.array(one))
+    tagged = events.select("*", F.explode(runs).alias("ingest_run"))
+    tagged = tagged.withColumn("close_bump", F.when(F.col("ingest_run") == 2, F.lit(0.75))
+                               .otherwise(F.lit(0.5)))
+    return _option_responses(tagged)
 
 
 def part_master(part: DataFrame) -> DataFrame:
