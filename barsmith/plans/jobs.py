@@ -173,14 +173,20 @@ def _split_outcomes(j: DataFrame, entity: str, fail_run: bool):
     return j, summary, bad
 
 
-def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame, landing: str,
-                   store_path: str) -> IngestResult:
+def _responses(spark: SparkSession, landing: str | DataFrame, reader) -> DataFrame:
+    return mark_present(landing if isinstance(landing, DataFrame) else reader(spark, landing))
+
+
+def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
+                   landing: str | DataFrame, store_path: str,
+                   report_missing: bool = True) -> IngestResult:
     """Spot (strict arrays, failures abort) or stocks (zero fill, failures
-    skipped) responses -> CANDLE store."""
+    skipped) responses -> CANDLE store. ``landing`` is the landing folder or
+    an already-read response frame (a stream micro-batch)."""
     if kind not in ("spot", "stocks"):
         raise ValueError(kind)
-    responses = mark_present(read_intraday_responses(spark, landing))
-    j = triage(responses, manifest)
+    responses = _responses(spark, landing, read_intraday_responses)
+    j = triage(responses, manifest, report_missing=report_missing)
     j, summary, bad = _split_outcomes(j, "symbol", fail_run=(kind == "spot"))
     ok = j.where(F.col("outcome") == "ok")
     rows = explode_candles(ok, "strict" if kind == "spot" else "zero_fill",
@@ -201,13 +207,14 @@ def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame, landing:
     return IngestResult(months, summary, split, quarantine)
 
 
-def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str,
-                   store_path: str) -> IngestResult:
+def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | DataFrame,
+                   store_path: str, report_missing: bool = True) -> IngestResult:
     """Rolling-option responses -> enriched OPTION_CANDLE store. Failed
     combos are skipped (reported in the quarantine output)."""
-    responses = mark_present(read_option_responses(spark, landing))
+    responses = _responses(spark, landing, read_option_responses)
     j = triage(responses, manifest,
-               timestamps=select_side(F.col("data"), F.col("side")).getField("timestamp"))
+               timestamps=select_side(F.col("data"), F.col("side")).getField("timestamp"),
+               report_missing=report_missing)
     j, summary, bad = _split_outcomes(j, "underlying", fail_run=False)
     ok = j.where(F.col("outcome").isin("ok", "empty"))
     sided = ok.select("ingest_run", "request_seq", "underlying", "side", "expiry_type",

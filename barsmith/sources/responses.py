@@ -27,15 +27,17 @@ def read_option_responses(spark: SparkSession, path: str) -> DataFrame:
     return _reader(spark, OPTION_RESPONSE).json(path)
 
 
-def triage(responses: DataFrame, manifest: DataFrame, timestamps: Column | None = None
-           ) -> DataFrame:
+def triage(responses: DataFrame, manifest: DataFrame, timestamps: Column | None = None,
+           report_missing: bool = True) -> DataFrame:
     """Attach each response to its request (by ``request_id``) and classify
     it (R2, X17). ``outcome`` is one of ok / empty / no_data / split /
     corrupt / fail; requests without any response are ``missing``.
     ``timestamps`` is the response's timestamp array, evaluated after the
     join (so it may depend on the request, e.g. the option side)."""
     days = F.datediff("to_date", "from_date")
-    j = manifest.join(responses, "request_id", "left")
+    # Batch runs start from the manifest (unanswered requests are reported);
+    # a stream micro-batch starts from the responses it holds.
+    j = manifest.join(responses, "request_id", "left" if report_missing else "inner")
     ts = timestamps if timestamps is not None else F.col("timestamp")
     n_rows = F.size(F.coalesce(ts, F.array().cast("array<string>")))
     outcome = F.when(F.col("_has_response").isNull(), F.lit("missing")).otherwise(

@@ -154,3 +154,31 @@ def test_options_plan_and_ingest(spark, master):
     assert (s0.option_type, s0.atm_strike, s0.strike_offset, s0.moneyness) == \
         ("PE", 78000.0, -2, "OTM")
     assert s1.strike is None and s1.moneyness == ""
+
+
+def test_stream_ingest_equals_batch_ingest(spark, master):
+    from barsmith.streaming.ingest_stream import stream_ingest
+    root = tempfile.mkdtemp()
+    m, _ = J.plan_stock_requests(spark, master, root + "/b", dt.date(2023, 1, 3), 1,
+                                 symbols=["RELIANCE", "INFY"])
+    reqs = {r.symbol: r for r in m.collect()}
+    t0 = 1672717500
+    land(root + "/l", [{"request_id": reqs["RELIANCE"].request_id, "status": 200,
+                        **body([t0, t0 + 60, t0 + 120])}])
+    land(root + "/l", [{"request_id": reqs["INFY"].request_id, "status": 200,
+                        **body([t0, t0 + 60], 5.0)},
+                       {"request_id": reqs["RELIANCE"].request_id, "status": 200,
+                        **body([t0 + 120, t0 + 180], 7.0)}])
+    J.ingest_candles(spark, "stocks", m, root + "/l", root + "/b")
+    stream_ingest(spark, "stocks", m, root + "/l", root + "/s", root + "/ckpt", root + "/rep",
+                  max_files_per_trigger=1)
+
+    def snap(p):
+        return sorted((r.symbol, r.ts, r.close) for r in J.read_store(spark, p, J.CANDLE_STORE)
+                      .collect())
+    assert snap(root + "/s") == snap(root + "/b")
+    assert len(snap(root + "/s")) == 6
+    # Re-running the stream on the same checkpoint processes nothing new.
+    stream_ingest(spark, "stocks", m, root + "/l", root + "/s", root + "/ckpt", root + "/rep")
+    assert snap(root + "/s") == snap(root + "/b")
+    assert spark.read.parquet(root + "/rep/summary").select("batch_id").distinct().count() == 2
