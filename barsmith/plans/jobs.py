@@ -50,9 +50,11 @@ OPTION_STORE = T.StructType(list(OPTION_CANDLE.fields) + _ORDER_FIELDS + _MONTH)
 @dataclass
 class IngestResult:
     months: list[str]           # partitions rewritten
-    summary: DataFrame          # outcome counts per entity
+    summary: DataFrame          # outcome counts per entity, sorted by entity (O3)
     split_manifest: DataFrame   # half-range requests for the next run (R3)
     quarantine: DataFrame       # failed / corrupt responses
+    rerequest: DataFrame        # requests to send again: missing, failed, corrupt (R1)
+    metrics: dict               # rows_in / rows_written / months of the upsert (A5)
 
 
 def consumer_view(store: DataFrame) -> DataFrame:
@@ -160,9 +162,18 @@ def _orphans(responses: DataFrame, manifest: DataFrame, entity: str) -> DataFram
                     "errorCode", "errorMessage", "_corrupt_record")
 
 
+def _rerequest(j: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Coverage gaps of a run (R1): requests that got no response, failed or
+    came back unreadable, with their manifest columns, ready to be sent again.
+    ``no_data`` / ``empty`` answers are real gaps in the market, not ours."""
+    return j.where(F.col("outcome").isin("missing", "fail", "corrupt")) \
+        .select(*manifest.columns, "outcome")
+
+
 def _split_outcomes(j: DataFrame, entity: str, fail_run: bool):
-    summary = j.groupBy(entity).pivot("outcome", ["ok", "empty", "no_data", "split", "corrupt",
-                                                  "fail", "missing"]).count().fillna(0)
+    summary = (j.groupBy(entity).pivot("outcome", ["ok", "empty", "no_data", "split",
+                                                   "corrupt", "fail", "missing"])
+               .count().fillna(0).orderBy(entity))
     bad = j.where(F.col("outcome").isin("fail", "corrupt"))
     if fail_run:
         # Spot: any non-splittable failure aborts the run (nothing is saved).
@@ -195,8 +206,9 @@ def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
     rows = (rows.where(F.col("ts").isNotNull())
             .withColumn("datetime", X.epoch_to_ist_iso("ts"))
             .withColumn("trade_month", trade_month("ts")))
+    metrics: dict = {}
     months = upsert_store(spark, store_path, rows, CANDLE_STORE, CANDLE_KEYS, ORDER,
-                          ["symbol", "ts"])
+                          ["symbol", "ts"], metrics=metrics)
     split = M.split_requests(
         j.where(F.col("outcome") == "split").select(
             "symbol", "security_id", "segment", "instrument", "window_idx", "from_date",
@@ -204,7 +216,7 @@ def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
         ["symbol", "security_id", "segment", "instrument"])
     quarantine = bad.select("request_id", "symbol", "status", "errorCode", "errorMessage",
                             "_corrupt_record").unionByName(_orphans(responses, manifest, "symbol"))
-    return IngestResult(months, summary, split, quarantine)
+    return IngestResult(months, summary, split, quarantine, _rerequest(j, manifest), metrics)
 
 
 def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | DataFrame,
@@ -227,10 +239,12 @@ def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | Data
         "option_type", F.when(F.col("side") == "CALL", F.lit("CE")).otherwise(F.lit("PE")))
     typed = cast_option_candles(enrich_options(rows), extra=ORDER) \
         .withColumn("trade_month", trade_month("ts"))
+    metrics: dict = {}
     months = upsert_store(spark, store_path, typed, OPTION_STORE, OPTION_KEYS, ORDER,
-                          ["underlying", "ts"])
+                          ["underlying", "ts"], metrics=metrics)
     empty_split = spark.createDataFrame([], "request_id string")
     quarantine = bad.select("request_id", "underlying", "status", "errorCode", "errorMessage",
                             "_corrupt_record").unionByName(
         _orphans(responses, manifest, "underlying"))
-    return IngestResult(months, summary, empty_split, quarantine)
+    return IngestResult(months, summary, empty_split, quarantine, _rerequest(j, manifest),
+                        metrics)

@@ -16,7 +16,7 @@ from __future__ import annotations
 import re
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
@@ -82,10 +82,13 @@ def write_partitions(df: DataFrame, path: str, sort_cols: list[str]) -> None:
 
 def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: StructType,
                  keys: list[str], order: list[str], sort_cols: list[str],
-                 stage: bool = True) -> list[str]:
+                 stage: bool = True, metrics: dict | None = None) -> list[str]:
     """Merge ``batch`` into the store at ``path`` (U3, R7). ``schema`` is the
     stored schema including ``trade_month`` and the ordering columns.
-    Returns the months rewritten; an empty batch rewrites nothing (F7)."""
+    Returns the months rewritten; an empty batch rewrites nothing (F7).
+    When ``metrics`` is given it receives ``rows_in`` (batch rows) and
+    ``rows_written`` (rows of the rewritten months), observed during the
+    write itself (A5) -- no extra job."""
     batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     if stage:
         batch, months = stage_batch(spark, batch, schema)
@@ -94,6 +97,14 @@ def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: Struc
     if not months:
         return []
     existing = read_store(spark, path, schema).where(F.col(PARTITION_COLUMN).isin(months))
+    obs_in, obs_out = Observation("rows_in"), Observation("rows_written")
+    batch = batch.observe(obs_in, F.count(F.lit(1)).alias("rows_in"))
     merged = keep_last(existing.unionByName(batch), keys, order)
-    write_partitions(merged.select(*schema.names), path, sort_cols)
+    merged = merged.select(*schema.names).observe(obs_out,
+                                                  F.count(F.lit(1)).alias("rows_written"))
+    write_partitions(merged, path, sort_cols)
+    if metrics is not None:
+        metrics.update(obs_in.get)
+        metrics.update(obs_out.get)
+        metrics["months"] = len(months)
     return months

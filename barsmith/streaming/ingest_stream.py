@@ -27,7 +27,7 @@ def stream_ingest(spark: SparkSession, kind: str, manifest: DataFrame, landing:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(landing)
 
-    def each(batch: DataFrame, epoch: int) -> None:
+    def each(batch: DataFrame, epoch: int) -> None:  # noqa: C901
         s = batch.sparkSession
         if kind == "options":
             res = J.ingest_options(s, manifest, batch, store_path, report_missing=False)

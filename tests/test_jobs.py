@@ -120,6 +120,8 @@ def test_stocks_zero_fill_missing_and_skip(spark, master):
     res = J.ingest_candles(spark, "stocks", m, root + "/l", root + "/s")
     got = J.read_store(spark, root + "/s", J.CANDLE_STORE).orderBy("ts").collect()
     assert [r.open for r in got] == [1.0, 0.0]
+    assert res.metrics["rows_in"] == 2 and res.metrics["rows_written"] == 2
+    assert [r.symbol for r in res.rerequest.collect()] == ["INFY"]
     q = res.quarantine.collect()
     assert sorted(r.request_id or "" for r in q) == ["", reqs["INFY"].request_id]
     assert [r._corrupt_record for r in q if r.request_id is None] == ['"not json"']
@@ -142,7 +144,9 @@ def test_options_plan_and_ingest(spark, master):
         {"request_id": put.request_id, "status": 200,
          "data": {"pe": dict(side, strike=["77800", ""], spot=["78012.5", "78040"])}},
     ])
-    J.ingest_options(spark, m, root + "/l", root + "/o")
+    res = J.ingest_options(spark, m, root + "/l", root + "/o")
+    assert res.rerequest.count() == 2 * 252 - 2  # every unanswered combo
+    assert res.metrics["rows_in"] == 4
     out = J.consumer_view(J.read_store(spark, root + "/o", J.OPTION_STORE)) \
         .orderBy("underlying", "ts").collect()
     assert len(out) == 4
