@@ -31,9 +31,23 @@ def trade_month(ts: str | Column = "ts") -> Column:
     return F.date_format(X.ist_wall_time(ts), "yyyy-MM")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Whether ``path`` exists, via the Hadoop FileSystem of the path's
+    scheme; None when the JVM is not reachable from Python (Spark Connect)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+                    .exists(hpath))
+    except Exception:  # noqa: BLE001 - no classic JVM gateway
+        return None
+
+
 def read_store(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The stored dataset, or an empty frame of the same schema when the path
     does not exist yet (S5). The schema is given, never inferred."""
+    if path_exists(spark, path) is False:
+        return spark.createDataFrame([], schema)
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as exc:
