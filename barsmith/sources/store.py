@@ -120,5 +120,5 @@ def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: Struc
     if metrics is not None:
         metrics.update(obs_in.get)
         metrics.update(obs_out.get)
-        metrics["months"] = len(months)
+        metrics["n_months"] = len(months)
     return months

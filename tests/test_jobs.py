@@ -186,3 +186,25 @@ def test_stream_ingest_equals_batch_ingest(spark, master):
     stream_ingest(spark, "stocks", m, root + "/l", root + "/s", root + "/ckpt", root + "/rep")
     assert snap(root + "/s") == snap(root + "/b")
     assert spark.read.parquet(root + "/rep/summary").select("batch_id").distinct().count() == 2
+
+
+def test_command_line_plan_and_ingest(spark, master, capsys):
+    from barsmith.__main__ import main
+    root = tempfile.mkdtemp()
+    master.write.parquet(root + "/master")
+    assert main(["plan", "--kind", "spot", "--master", root + "/master", "--store",
+                 root + "/store", "--run", "1", "--as-of", "2021-01-03", "--out",
+                 root + "/manifest"], spark=spark) == 0
+    reqs = {r.symbol: r for r in spark.read.parquet(root + "/manifest").collect()}
+    land(root + "/landing", [
+        {"request_id": reqs["NIFTY"].request_id, "status": 200, **body([D0, D0 + 60])},
+        {"request_id": reqs["SENSEX"].request_id, "status": 400, "errorCode": "DH-905",
+         "errorMessage": "No data"}])
+    capsys.readouterr()
+    assert main(["ingest", "--kind", "spot", "--manifest", root + "/manifest", "--landing",
+                 root + "/landing", "--store", root + "/store", "--reports",
+                 root + "/reports"], spark=spark) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["rows_in"] == 2 and out["months"] == ["2021-01"]
+    summ = {r.symbol: r for r in spark.read.parquet(root + "/reports/summary").collect()}
+    assert summ["SENSEX"].no_data == 1 and summ["NIFTY"].ok == 1
