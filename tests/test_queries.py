@@ -52,3 +52,18 @@ def test_query_matches_oracle(spark, con, name):
     want = sorted((tuple(norm(r[i]) for i in idx) for r in cur.fetchall()), key=repr)
     assert len(got) == len(want)
     assert got == want
+
+
+TIME_QUERIES = ["epoch_to_iso", "option_enrich", "watermark", "upsert_dataset", "request_grid",
+                "split_precedence", "coverage_gaps", "cast_and_fill"]
+
+
+@pytest.mark.parametrize("name", TIME_QUERIES)
+def test_time_queries_ignore_session_time_zone(spark, con, name):
+    """The driver's session may use any time zone; results must not move."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        test_query_matches_oracle(spark, con, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
