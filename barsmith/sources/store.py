@@ -75,10 +75,27 @@ def stage_batch(spark: SparkSession, batch: DataFrame, schema: StructType
     path = scratch_path(spark, "upsert-batch")
     batch.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(path)
     staged = spark.read.schema(schema).parquet(path)
-    months = sorted({unquote(m) for f in staged.inputFiles() for m in _MONTH_DIR.findall(f)})
+    months = partition_values(spark, path)
+    if months is None:  # no JVM gateway: fall back to the file list
+        months = sorted({unquote(m) for f in staged.inputFiles() for m in _MONTH_DIR.findall(f)})
     return staged, months
 
 
+def partition_values(spark: SparkSession, path: str) -> list[str] | None:
+    """Month values of a partitioned folder from one directory glob (one
+    entry per month, not per file)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{PARTITION_COLUMN}=*")
+        fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        found = fs.globStatus(pattern) or []
+    except Exception:  # noqa: BLE001 - no classic JVM gateway
+        return None
+    prefix = PARTITION_COLUMN + "="
+    return sorted(unquote(st.getPath().getName()[len(prefix):]) for st in found
+                  if st.isDirectory())
+
+
 def write_partitions(df: DataFrame, path: str, sort_cols: list[str]) -> None:
     """Dynamic partition overwrite: only partitions present in ``df`` are
     replaced. A ``rebalance`` by month lets AQE size the write: small months
