@@ -22,7 +22,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from barsmith import config as C
@@ -162,6 +162,14 @@ def _orphans(responses: DataFrame, manifest: DataFrame, entity: str) -> DataFram
                     "errorCode", "errorMessage", "_corrupt_record")
 
 
+def _drop_bad_ts(rows: DataFrame):
+    """Candles whose timestamp cell is not a number cannot be keyed; they are
+    left out and counted (``bad_ts_rows``) while the batch is staged."""
+    obs = Observation("bad_ts_rows")
+    rows = rows.observe(obs, F.count(F.when(F.col("ts").isNull(), 1)).alias("bad_ts_rows"))
+    return rows.where(F.col("ts").isNotNull()), obs
+
+
 def _rerequest(j: DataFrame, manifest: DataFrame) -> DataFrame:
     """Coverage gaps of a run (R1): requests that got no response, failed or
     came back unreadable, with their manifest columns, ready to be sent again.
@@ -203,12 +211,13 @@ def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
     rows = explode_candles(ok, "strict" if kind == "spot" else "zero_fill",
                            carry=["symbol", "ingest_run", "request_seq"],
                            label=F.col("request_id"))
-    rows = (rows.where(F.col("ts").isNotNull())
-            .withColumn("datetime", X.epoch_to_ist_iso("ts"))
+    rows, bad_ts = _drop_bad_ts(rows)
+    rows = (rows.withColumn("datetime", X.epoch_to_ist_iso("ts"))
             .withColumn("trade_month", trade_month("ts")))
     metrics: dict = {}
     months = upsert_store(spark, store_path, rows, CANDLE_STORE, CANDLE_KEYS, ORDER,
                           ["symbol", "ts"], metrics=metrics)
+    metrics.update(bad_ts.get if months else {"bad_ts_rows": 0})
     split = M.split_requests(
         j.where(F.col("outcome") == "split").select(
             "symbol", "security_id", "segment", "instrument", "window_idx", "from_date",
@@ -235,13 +244,15 @@ def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | Data
     rows = explode_option_side(sided, "side_data",
                                carry=["ingest_run", "request_seq", "underlying", "side",
                                       "expiry_type", "expiry_code", "bucket", "strike_step"])
-    rows = rows.where(F.col("ts").isNotNull()).withColumn(
+    rows, bad_ts = _drop_bad_ts(rows)
+    rows = rows.withColumn(
         "option_type", F.when(F.col("side") == "CALL", F.lit("CE")).otherwise(F.lit("PE")))
     typed = cast_option_candles(enrich_options(rows), extra=ORDER) \
         .withColumn("trade_month", trade_month("ts"))
     metrics: dict = {}
     months = upsert_store(spark, store_path, typed, OPTION_STORE, OPTION_KEYS, ORDER,
                           ["underlying", "ts"], metrics=metrics)
+    metrics.update(bad_ts.get if months else {"bad_ts_rows": 0})
     empty_split = spark.createDataFrame([], "request_id string")
     quarantine = bad.select("request_id", "underlying", "status", "errorCode", "errorMessage",
                             "_corrupt_record").unionByName(

@@ -121,6 +121,7 @@ def test_stocks_zero_fill_missing_and_skip(spark, master):
     got = J.read_store(spark, root + "/s", J.CANDLE_STORE).orderBy("ts").collect()
     assert [r.open for r in got] == [1.0, 0.0]
     assert res.metrics["rows_in"] == 2 and res.metrics["rows_written"] == 2
+    assert res.metrics["bad_ts_rows"] == 0
     assert [r.symbol for r in res.rerequest.collect()] == ["INFY"]
     q = res.quarantine.collect()
     assert sorted(r.request_id or "" for r in q) == ["", reqs["INFY"].request_id]
