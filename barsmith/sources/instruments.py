@@ -10,8 +10,10 @@ explicit ``row_seq``:
 position comes from ``monotonically_increasing_id`` (consecutive inside one
 task, and one split's rows are contiguous in a task); splits are ordered by
 ``(file path, block start)``, which is line order for files written in order.
-The per-split table has one row per file split, so its window and broadcast
-are bounded by the number of splits, not by the number of rows.
+The per-split table has one row per file split, so its (single-partition)
+window is bounded by the number of splits, not by the number of rows; the
+join back is left to AQE, which broadcasts it only when its measured size
+is under the broadcast threshold.
 """
 
 from __future__ import annotations
@@ -40,8 +42,9 @@ def with_line_order(df: DataFrame) -> DataFrame:
               .agg(F.min("_mid").alias("_mid0"), F.count(F.lit(1)).alias("_n")))
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    j = tagged.join(F.broadcast(splits.select("_file", "_block", "_mid0", "_off")),
-                    ["_file", "_block"])
+    # No broadcast hint: the split table grows with the number of file
+    # splits, so AQE decides from its measured size at runtime.
+    j = tagged.join(splits.select("_file", "_block", "_mid0", "_off"), ["_file", "_block"])
     seq = (F.col("_off") + F.col("_mid") - F.col("_mid0")).alias("row_seq")
     keep = [c for c in df.columns if not c.startswith("_")]
     return j.select(seq, *keep)
