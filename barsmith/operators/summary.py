@@ -11,19 +11,21 @@ def summarize_run(existing: DataFrame, batch: DataFrame, entity: str, keys: list
                   order: list[str]) -> DataFrame:
     """Per entity: ``rows_in`` (batch rows), ``keys_new`` (batch keys absent
     from the store), ``keys_replaced`` (batch keys already stored) and
-    ``rows_out`` (rows the entity owns after the upsert). All counts are
-    aggregates with map-side partial combination."""
-    old_keys = existing.select(*keys).distinct().withColumn("_stored", F.lit(True))
-    new_keys = batch.select(entity, *keys).distinct()
-    flagged = new_keys.join(old_keys, keys, "left")
-    key_counts = flagged.groupBy(entity).agg(
+    ``rows_out`` (rows the entity owns after the upsert).
+
+    One partial aggregate per (entity, key) of the batch feeds both the row
+    and the key counts; the two per-entity aggregates meet in a full outer
+    join on the entity (entities with stored rows only appear through
+    ``rows_out``)."""
+    per_key = batch.groupBy(entity, *keys).agg(F.count(F.lit(1)).alias("_n"))
+    stored = existing.select(*keys).distinct().withColumn("_stored", F.lit(True))
+    flagged = per_key.join(stored, keys, "left")
+    incoming = flagged.groupBy(entity).agg(
+        F.sum("_n").alias("rows_in"),
         F.count(F.when(F.col("_stored").isNull(), 1)).alias("keys_new"),
         F.count(F.when(F.col("_stored"), 1)).alias("keys_replaced"))
-    rows_in = batch.groupBy(entity).agg(F.count(F.lit(1)).alias("rows_in"))
-    rows_out = upsert(existing, batch, keys, order).groupBy(entity) \
+    owned = upsert(existing, batch, keys, order).groupBy(entity) \
         .agg(F.count(F.lit(1)).alias("rows_out"))
-    ents = existing.select(entity).unionByName(batch.select(entity)).distinct()
-    j = ents.join(rows_in, entity, "left").join(key_counts, entity, "left") \
-        .join(rows_out, entity, "left")
+    j = incoming.join(owned, entity, "full")
     return j.select(entity, *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in
                               ["rows_in", "keys_new", "keys_replaced", "rows_out"]])
