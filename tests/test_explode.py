@@ -97,3 +97,16 @@ def test_put_picks_pe(spark):
     assert explode_option_side(s, "s", carry=[]).count() == 1
     s = df.select(select_side(F.col("data"), F.lit("CALL")).alias("s"))
     assert explode_option_side(s, "s", carry=[]).count() == 0
+
+
+def test_numeric_json_cells(spark, tmp_path):
+    """Providers send numbers, not text; text cells keep them exact."""
+    import json
+    from barsmith.sources.responses import read_intraday_responses
+    (tmp_path / "r.json").write_text(json.dumps(
+        {"request_id": "a", "timestamp": [1609472700.0, 1609472760], "open": [14000.5, 1e3],
+         "high": [1, 2], "low": [1, 2], "close": [1, 2], "volume": [12.0, 3e2]}) + "\n")
+    got = explode_candles(read_intraday_responses(spark, str(tmp_path)), "strict",
+                          carry=["request_id"]).orderBy("pos").collect()
+    assert [(r.ts, r.open, r.volume) for r in got] == [(1609472700, 14000.5, 12),
+                                                        (1609472760, 1000.0, 300)]
