@@ -13,8 +13,6 @@ arrival).
 
 from __future__ import annotations
 
-import re
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -62,38 +60,19 @@ def touched_partitions(batch: DataFrame) -> list[str]:
     return [r[0] for r in batch.select(PARTITION_COLUMN).distinct().collect()]
 
 
-_MONTH_DIR = re.compile(PARTITION_COLUMN + r"=([^/]+)/")
-
-
 def stage_batch(spark: SparkSession, batch: DataFrame, schema: StructType
                 ) -> tuple[DataFrame, list[str]]:
-    """Write the batch once, partitioned by month, under the checkpoint
-    folder, and read it back. The expensive batch plan (JSON parse, explode,
-    enrichment) then runs once, a lost executor re-reads the staged files
-    instead of recomputing the lineage, and the touched months come from the
-    staged file paths without another job."""
+    """Write the batch once under the checkpoint folder and read it back.
+
+    The expensive batch plan (JSON parse, explode, enrichment) then runs
+    once, and a lost executor re-reads staged files instead of recomputing
+    the lineage. The stage is not partitioned: one file per task, however
+    many months a backfill spans. The touched months come from a distinct
+    over that single column of the staged files (a bounded list)."""
     path = scratch_path(spark, "upsert-batch")
-    batch.write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(path)
+    batch.write.mode("overwrite").parquet(path)
     staged = spark.read.schema(schema).parquet(path)
-    months = partition_values(spark, path)
-    if months is None:  # no JVM gateway: fall back to the file list
-        months = sorted({unquote(m) for f in staged.inputFiles() for m in _MONTH_DIR.findall(f)})
-    return staged, months
-
-
-def partition_values(spark: SparkSession, path: str) -> list[str] | None:
-    """Month values of a partitioned folder from one directory glob (one
-    entry per month, not per file)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{PARTITION_COLUMN}=*")
-        fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        found = fs.globStatus(pattern) or []
-    except Exception:  # noqa: BLE001 - no classic JVM gateway
-        return None
-    prefix = PARTITION_COLUMN + "="
-    return sorted(unquote(st.getPath().getName()[len(prefix):]) for st in found
-                  if st.isDirectory())
+    return staged, touched_partitions(staged)
 
 
 def write_partitions(df: DataFrame, path: str, sort_cols: list[str]) -> None:
