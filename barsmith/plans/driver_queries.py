@@ -10,13 +10,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
-from barsmith.config import STRIKE_STEPS
-from barsmith.operators.dedupe import keep_last
+from barsmith import functions as X
+from barsmith.config import STRIKE_BUCKETS, STRIKE_STEPS
+from barsmith.operators.cast import cast_to_schema
+from barsmith.operators.coverage import coverage_gaps as _gaps
+from barsmith.operators.dedupe import keep_last, upsert
 from barsmith.operators.enrich import cast_option_candles, enrich_options
-from barsmith.operators.explode import explode_option_side, select_side
+from barsmith.operators.explode import explode_candles, explode_option_side, select_side
+from barsmith.operators.resolve import missing_symbols, resolve_indices, resolve_symbols
+from barsmith.operators.summary import summarize_run
+from barsmith.operators.watermark import high_watermark, resume_plan
 from barsmith.plans import driver_views as V
-from barsmith.schemas import OPTION_CANDLE, OPTION_KEYS
+from barsmith.plans import manifest as M
+from barsmith.schemas import CANDLE, OPTION_CANDLE, OPTION_KEYS
+from barsmith.session import scratch_path
+from barsmith.sources.instruments import land_master
+from barsmith.sources.responses import read_option_responses
+from barsmith.sources.store import read_store, trade_month, upsert_store
+from barsmith.streaming.upsert_stream import run_upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -157,11 +170,6 @@ def option_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Scalar expressions
 # --------------------------------------------------------------------------
 
-from barsmith import functions as X  # noqa: E402
-from barsmith.config import STRIKE_BUCKETS  # noqa: E402
-from barsmith.operators.cast import cast_to_schema  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
-
 
 @register("epoch_to_iso", f"""
 SELECT event_id, epoch_us(ts) // 1000000 AS ts,
@@ -403,8 +411,6 @@ def alias_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Response explode
 # --------------------------------------------------------------------------
 
-from barsmith.operators.explode import explode_candles  # noqa: E402
-from barsmith.schemas import CANDLE  # noqa: E402
 
 CANDLE_ROWS_CTE = f"""
 WITH {EV_CTE.strip()},
@@ -479,8 +485,6 @@ def explode_null_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Manifests and resume
 # --------------------------------------------------------------------------
 
-from barsmith.operators.watermark import high_watermark, resume_plan  # noqa: E402
-from barsmith.plans import manifest as M  # noqa: E402
 
 _SPANS_CTE = """
 WITH b AS (
@@ -626,7 +630,6 @@ def watermark_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Instrument resolution
 # --------------------------------------------------------------------------
 
-from barsmith.operators.resolve import missing_symbols, resolve_indices, resolve_symbols  # noqa
 
 # Match rules for the part-based master (fixture values, same shape as the
 # index rules of the collection job).
@@ -726,9 +729,6 @@ def symbol_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Upsert, store, resume, summary
 # --------------------------------------------------------------------------
 
-from barsmith.operators.dedupe import upsert  # noqa: E402
-from barsmith.session import scratch_path  # noqa: E402
-from barsmith.sources.store import read_store, trade_month, upsert_store  # noqa: E402
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["ingest_run", "ts", "l_partkey", "l_suppkey"]
@@ -918,18 +918,10 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                          LINE_KEYS, LINE_ORDER)
 
 
-from barsmith.operators.summary import summarize_run  # noqa: E402
-
-
 # --------------------------------------------------------------------------
 # Coverage, triage, sources, stream
 # --------------------------------------------------------------------------
 
-from barsmith.operators.coverage import coverage_gaps as _gaps  # noqa: E402
-from barsmith.sources.instruments import land_master  # noqa: E402
-from barsmith.sources.responses import read_option_responses  # noqa: E402
-from barsmith.streaming.upsert_stream import run_upsert_stream  # noqa: E402
-
 
 @register("coverage_gaps", """
 WITH o AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
