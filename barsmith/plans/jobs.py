@@ -259,3 +259,18 @@ def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | Data
         _orphans(responses, manifest, "underlying"))
     return IngestResult(months, summary, empty_split, quarantine, _rerequest(j, manifest),
                         metrics)
+
+
+def register_views(spark: SparkSession, spot: str | None = None, stocks: str | None = None,
+                   options: str | None = None) -> list[str]:
+    """Temp views over the stores for SQL users: ``spot_candles``,
+    ``stock_candles``, ``option_candles`` (consumer columns plus
+    ``trade_month`` for partition pruning). Returns the view names."""
+    made = []
+    for name, path, schema in (("spot_candles", spot, CANDLE_STORE),
+                               ("stock_candles", stocks, CANDLE_STORE),
+                               ("option_candles", options, OPTION_STORE)):
+        if path:
+            consumer_view(read_store(spark, path, schema)).createOrReplaceTempView(name)
+            made.append(name)
+    return made

@@ -209,3 +209,15 @@ def test_command_line_plan_and_ingest(spark, master, capsys):
     assert out["rows_in"] == 2 and out["months"] == ["2021-01"]
     summ = {r.symbol: r for r in spark.read.parquet(root + "/reports/summary").collect()}
     assert summ["SENSEX"].no_data == 1 and summ["NIFTY"].ok == 1
+
+
+def test_register_views_for_sql(spark, master):
+    root = tempfile.mkdtemp()
+    m = J.plan_spot_requests(spark, master, root + "/spot", dt.date(2021, 1, 2), 1)
+    nifty = [r for r in m.collect() if r.symbol == "NIFTY"][0]
+    land(root + "/l", [{"request_id": nifty.request_id, "status": 200, **body([D0, D0 + 60])}])
+    J.ingest_candles(spark, "spot", m.where("symbol = 'NIFTY'"), root + "/l", root + "/spot")
+    assert J.register_views(spark, spot=root + "/spot") == ["spot_candles"]
+    got = spark.sql("SELECT symbol, count(*) AS n, max(datetime) AS last FROM spot_candles "
+                    "WHERE trade_month = '2021-01' GROUP BY symbol").collect()
+    assert [(r.symbol, r.n, r.last) for r in got] == [("NIFTY", 2, "2021-01-01T09:16:00+05:30")]
