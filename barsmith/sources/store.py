@@ -61,7 +61,7 @@ def touched_partitions(batch: DataFrame) -> list[str]:
 
 
 def stage_batch(spark: SparkSession, batch: DataFrame, schema: StructType
-                ) -> tuple[DataFrame, list[str]]:
+                ) -> tuple[DataFrame, list[str], str]:
     """Write the batch once under the checkpoint folder and read it back.
 
     The expensive batch plan (JSON parse, explode, enrichment) then runs
@@ -72,7 +72,20 @@ def stage_batch(spark: SparkSession, batch: DataFrame, schema: StructType
     path = scratch_path(spark, "upsert-batch")
     batch.write.mode("overwrite").parquet(path)
     staged = spark.read.schema(schema).parquet(path)
-    return staged, touched_partitions(staged)
+    return staged, touched_partitions(staged), path
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete our own scratch folder through the Hadoop FileSystem API (no-op
+    without a JVM gateway). Used only after the data that read it is
+    committed."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+                    .delete(hpath, True))
+    except Exception:  # noqa: BLE001
+        return False
 
 
 def write_partitions(df: DataFrame, path: str, sort_cols: list[str]) -> None:
@@ -100,11 +113,14 @@ def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: Struc
     ``rows_written`` (rows of the rewritten months), observed during the
     write itself (A5) -- no extra job."""
     batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+    stage_path = None
     if stage:
-        batch, months = stage_batch(spark, batch, schema)
+        batch, months, stage_path = stage_batch(spark, batch, schema)
     else:
         months = touched_partitions(batch)
     if not months:
+        if stage_path:
+            remove_path(spark, stage_path)
         return []
     existing = read_store(spark, path, schema).where(F.col(PARTITION_COLUMN).isin(months))
     obs_in, obs_out = Observation("rows_in"), Observation("rows_written")
@@ -113,6 +129,9 @@ def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: Struc
     merged = merged.select(*schema.names).observe(obs_out,
                                                   F.count(F.lit(1)).alias("rows_written"))
     write_partitions(merged, path, sort_cols)
+    if stage_path:
+        # The store write has committed; nothing reads the staged copy now.
+        remove_path(spark, stage_path)
     if metrics is not None:
         metrics.update(obs_in.get)
         metrics.update(obs_out.get)

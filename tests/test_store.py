@@ -92,3 +92,15 @@ def test_stream_equals_batch(spark):
                  ["symbol", "ts"])
     assert snapshot(spark, root + "/stream_store") == snapshot(spark, root + "/batch_store")
     assert len(snapshot(spark, root + "/stream_store")) == 30
+
+
+def test_staged_batches_are_removed(spark):
+    from barsmith.session import checkpoint_root
+    root = checkpoint_root(spark).replace("file:", "")
+    before = {d for d in os.listdir(root) if d.startswith("barsmith-upsert-batch")}
+    path = tempfile.mkdtemp() + "/store"
+    upsert_store(spark, path, batch(spark, [("A", JAN, 1.0, 1, 1, 0)]), SCHEMA, KEYS, ORDER,
+                 ["symbol", "ts"])
+    after = {d for d in os.listdir(root) if d.startswith("barsmith-upsert-batch")}
+    assert after == before
+    assert snapshot(spark, path) == [("A", JAN, 1.0, 1)]
