@@ -31,3 +31,19 @@ def test_read_and_migrate_legacy_layout(spark):
     assert migrate(spark, root, "stocks", store, J.CANDLE_STORE, CANDLE_KEYS,
                    ["symbol", "ts"]) == ["2023-01"]
     assert J.read_store(spark, store, J.CANDLE_STORE).count() == 5
+
+
+def test_legacy_options_with_null_typed_columns(spark):
+    """Uncast all-null option columns are stored with Parquet's null type."""
+    root = tempfile.mkdtemp()
+    os.makedirs(f"{root}/options/nifty")
+    n = None
+    pd.DataFrame({"ts": [1735703100], "datetime": ["x"], "underlying": ["NIFTY"],
+                  "option_type": ["CE"], "expiry_type": ["WEEK"],
+                  "expiry_code": pd.Series([1], dtype="int8"), "atm_strike": [n],
+                  "strike_offset": pd.Series([0], dtype="int8"), "moneyness": [""],
+                  "strike": [n], "spot": [n], "open": [n], "high": [n], "low": [n],
+                  "close": [n], "volume": [0], "oi": [0], "iv": [n]}) \
+        .to_parquet(f"{root}/options/nifty/NIFTY_OPTIONS_1m.parquet", index=False)
+    row = read_legacy(spark, root, "options").collect()[0]
+    assert row.underlying == "NIFTY" and row.strike is None and row.expiry_code == 1
