@@ -47,3 +47,16 @@ def test_plan_pre_aggregates_before_shuffle(spark):
     plan = keep_last(df, KEYS, ORDER)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+
+
+def test_hot_key_holding_a_third_of_rows(spark):
+    n = 30000
+    df = spark.range(n).repartition(8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0.0)).otherwise(F.col("id").cast("double")).alias("k"),
+        (F.col("id") % 7).alias("run"), F.col("id").alias("seq"), F.lit(0).alias("pos"),
+        F.col("id").cast("string").alias("v"))
+    out = keep_last(df, KEYS, ORDER)
+    assert out.count() == n - n // 3 + 1
+    hot = out.where("k = 0").collect()[0]
+    # Highest run among multiples of 3 is 6; the highest such seq wins.
+    assert hot.run == 6 and hot.seq == max(i for i in range(0, n, 3) if i % 7 == 6)
