@@ -64,10 +64,13 @@ NOTES = {
                    "master landed once as Parquet.",
     "stream_upsert": "availableNow file stream; each micro-batch runs the staged upsert; "
                      "idempotent under replay.",
+    "ingest_stocks_job": "The ingest job itself: triage join on request_id, explode, staged "
+                         "upsert into a fresh store; the returned frame is a pruned store read.",
+    "ingest_options_job": "As ingest_stocks_job with side pick and option enrichment.",
 }
 
 WRITES = {"upsert_dataset", "read_symbol", "stream_upsert", "master_scan",
-          "option_response_scan"}
+          "option_response_scan", "ingest_stocks_job", "ingest_options_job"}
 
 
 def summarize(plan: str):
