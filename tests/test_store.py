@@ -104,3 +104,18 @@ def test_staged_batches_are_removed(spark):
     after = {d for d in os.listdir(root) if d.startswith("barsmith-upsert-batch")}
     assert after == before
     assert snapshot(spark, path) == [("A", JAN, 1.0, 1)]
+
+
+def test_store_reads_are_pruned_and_pushed(spark):
+    from pyspark.sql import functions as F
+    path = tempfile.mkdtemp() + "/store"
+    upsert_store(spark, path, batch(spark, [("A", JAN, 1.0, 1, 1, 0), ("B", FEB, 2.0, 1, 1, 0)]),
+                 SCHEMA, KEYS, ORDER, ["symbol", "ts"])
+    months = read_store(spark, path, SCHEMA).where(F.col("trade_month").isin("2024-01"))
+    plan = months._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(trade_month" in plan and "2024-01" in plan
+    one = read_store(spark, path, SCHEMA).where(F.col("symbol") == "A").select("ts", "close")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(symbol), EqualTo(symbol,A)]" in plan
+    assert "ReadSchema: struct<symbol:string,ts:bigint,close:double>" in plan
+    assert [tuple(r) for r in one.collect()] == [(JAN, 1.0)]
