@@ -51,6 +51,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     g.add_argument("--kind", choices=["spot", "stocks", "options"], required=True)
     g.add_argument("--legacy-root", required=True)
     g.add_argument("--store", required=True)
+    for sp in (p, i, g):
+        sp.add_argument("--granularity", choices=["day", "month"], default=J.DEFAULT_GRANULARITY,
+                        help="store partition: IST day (default) or IST month")
     a = ap.parse_args(argv)
     spark = _session(spark)
 
@@ -61,22 +64,26 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         master = spark.read.parquet(a.master)
         as_of = dt.date.fromisoformat(a.as_of) if a.as_of else None
         if a.kind == "spot":
-            man = J.plan_spot_requests(spark, master, a.store, as_of, a.run)
+            man = J.plan_spot_requests(spark, master, a.store, as_of, a.run, a.granularity)
         elif a.kind == "stocks":
-            man, missing = J.plan_stock_requests(spark, master, a.store, as_of, a.run)
+            man, missing = J.plan_stock_requests(spark, master, a.store, as_of, a.run,
+                                                 granularity=a.granularity)
             missing.write.mode("overwrite").parquet(a.out + "_missing_symbols")
         else:
-            man = J.plan_option_requests(spark, master, a.store, as_of, a.run)
+            man = J.plan_option_requests(spark, master, a.store, as_of, a.run, a.granularity)
         man.write.mode("overwrite").parquet(a.out)
     elif a.cmd == "ingest":
         manifest = spark.read.parquet(a.manifest)
         if a.stream:
             from barsmith.streaming.ingest_stream import stream_ingest
             stream_ingest(spark, a.kind, manifest, a.landing, a.store,
-                          a.checkpoint or a.reports + "/_checkpoint", a.reports)
+                          a.checkpoint or a.reports + "/_checkpoint", a.reports,
+                          granularity=a.granularity)
         else:
-            res = (J.ingest_options(spark, manifest, a.landing, a.store) if a.kind == "options"
-                   else J.ingest_candles(spark, a.kind, manifest, a.landing, a.store))
+            res = (J.ingest_options(spark, manifest, a.landing, a.store,
+                                    granularity=a.granularity) if a.kind == "options"
+                   else J.ingest_candles(spark, a.kind, manifest, a.landing, a.store,
+                                         granularity=a.granularity))
             res.summary.write.mode("overwrite").parquet(a.reports + "/summary")
             res.quarantine.write.mode("overwrite").parquet(a.reports + "/quarantine")
             res.rerequest.write.mode("overwrite").parquet(a.reports + "/rerequest")
@@ -85,7 +92,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             print(json.dumps({"months": res.months, **res.metrics}))
     elif a.cmd == "migrate":
         from barsmith.sources.legacy import migrate
-        schema = J.OPTION_STORE if a.kind == "options" else J.CANDLE_STORE
+        schema = (J.option_store(a.granularity) if a.kind == "options"
+                  else J.candle_store(a.granularity))
         keys = OPTION_KEYS if a.kind == "options" else CANDLE_KEYS
         sort = ["underlying", "ts"] if a.kind == "options" else ["symbol", "ts"]
         migrate(spark, a.legacy_root, a.kind, a.store, schema, keys, sort)

@@ -1120,7 +1120,7 @@ def ingest_stocks_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add("day", 1).alias("to_date"))
     J.ingest_candles(spark, "stocks", manifest, f"{root}/landing", f"{root}/store")
     return J.consumer_view(J.read_store(spark, f"{root}/store", J.CANDLE_STORE)) \
-        .drop("trade_month")
+        .drop("trade_date")
 
 
 @register("ingest_options_job", OPTION_ROWS_SQL + """
@@ -1148,4 +1148,4 @@ def ingest_options_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add("day", 1).alias("to_date"))
     J.ingest_options(spark, manifest, f"{root}/landing", f"{root}/store")
     return J.consumer_view(J.read_store(spark, f"{root}/store", J.OPTION_STORE)) \
-        .drop("trade_month")
+        .drop("trade_date")

@@ -35,21 +35,35 @@ from barsmith.plans import manifest as M
 from barsmith.schemas import CANDLE, CANDLE_KEYS, OPTION_CANDLE, OPTION_KEYS
 from barsmith.sources.responses import mark_present, read_intraday_responses, \
     read_option_responses, triage
-from barsmith.sources.store import read_store, trade_month, upsert_store
+from barsmith.sources.store import PARTITION_COLUMNS, partition_value, read_store, \
+    upsert_store
 
 ORDER = ["ingest_run", "request_seq", "pos"]
 _ORDER_FIELDS = [T.StructField("ingest_run", T.LongType()),
                  T.StructField("request_seq", T.LongType()),
                  T.StructField("pos", T.IntegerType())]
-_MONTH = [T.StructField("trade_month", T.StringType())]
+DEFAULT_GRANULARITY = "day"
 
-CANDLE_STORE = T.StructType(list(CANDLE.fields) + _ORDER_FIELDS + _MONTH)
-OPTION_STORE = T.StructType(list(OPTION_CANDLE.fields) + _ORDER_FIELDS + _MONTH)
+
+def candle_store(granularity: str = DEFAULT_GRANULARITY) -> T.StructType:
+    """Stored CANDLE schema: consumer columns, ordering columns and the
+    partition column (``trade_date`` for day, ``trade_month`` for month)."""
+    part = [T.StructField(PARTITION_COLUMNS[granularity], T.StringType())]
+    return T.StructType(list(CANDLE.fields) + _ORDER_FIELDS + part)
+
+
+def option_store(granularity: str = DEFAULT_GRANULARITY) -> T.StructType:
+    part = [T.StructField(PARTITION_COLUMNS[granularity], T.StringType())]
+    return T.StructType(list(OPTION_CANDLE.fields) + _ORDER_FIELDS + part)
+
+
+CANDLE_STORE = candle_store()
+OPTION_STORE = option_store()
 
 
 @dataclass
 class IngestResult:
-    months: list[str]           # partitions rewritten
+    months: list[str]           # partitions (days or months) rewritten
     summary: DataFrame          # outcome counts per entity, sorted by entity (O3)
     split_manifest: DataFrame   # half-range requests for the next run (R3)
     quarantine: DataFrame       # failed / corrupt responses
@@ -74,15 +88,16 @@ def _watermarks(spark: SparkSession, store_path: str, schema: T.StructType,
 # ---------------------------------------------------------------- planning
 
 def plan_spot_requests(spark: SparkSession, master: DataFrame, store_path: str,
-                       as_of: _dt.date | None, ingest_run: int) -> DataFrame:
+                       as_of: _dt.date | None, ingest_run: int,
+                       granularity: str = DEFAULT_GRANULARITY) -> DataFrame:
     """Spot manifest: NIFTY 50 and SENSEX resolved by the index rules,
     90-day windows from the stored resume day (default 2021-01-01)."""
     ids = resolve_indices(master, C.INDEX_MATCH_RULES)
     names = spark.createDataFrame([(n, s.upper()) for n, s in C.SPOT_INDICES],
                                   "name string, symbol string")
     ents = names.join(ids.select("name", "security_id"), "name")
-    plan = resume_plan(ents, _watermarks(spark, store_path, CANDLE_STORE, "symbol"), "symbol",
-                       C.SPOT_START_DATE, X.as_of_date(as_of))
+    plan = resume_plan(ents, _watermarks(spark, store_path, candle_store(granularity), "symbol"),
+                       "symbol", C.SPOT_START_DATE, X.as_of_date(as_of))
     reqs = M.candle_requests(plan.where("needs_fetch"), "start_date", "end_date",
                              ["symbol", "security_id"])
     return _candle_manifest(reqs, "spot", C.INDEX_EXCHANGE_SEGMENT, C.INDEX_INSTRUMENT_TYPE,
@@ -91,14 +106,15 @@ def plan_spot_requests(spark: SparkSession, master: DataFrame, store_path: str,
 
 def plan_stock_requests(spark: SparkSession, master: DataFrame, store_path: str,
                         as_of: _dt.date | None, ingest_run: int,
-                        symbols: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                        symbols: list[str] | None = None,
+                        granularity: str = DEFAULT_GRANULARITY) -> tuple[DataFrame, DataFrame]:
     """Stock manifest for the symbol list (90-day windows from the resume
     day, default 2023-01-01), plus the symbols that could not be resolved."""
     req = spark.createDataFrame([(s,) for s in (symbols or C.STOCK_SYMBOLS)], "symbol string")
     ids = resolve_symbols(master, req).where(F.col("security_id").isNotNull())
     plan = resume_plan(ids.select("symbol", "security_id"),
-                       _watermarks(spark, store_path, CANDLE_STORE, "symbol"), "symbol",
-                       C.STOCKS_START_DATE, X.as_of_date(as_of))
+                       _watermarks(spark, store_path, candle_store(granularity), "symbol"),
+                       "symbol", C.STOCKS_START_DATE, X.as_of_date(as_of))
     reqs = M.candle_requests(plan.where("needs_fetch"), "start_date", "end_date",
                              ["symbol", "security_id"])
     return (_candle_manifest(reqs, "stocks", C.NSE_EQ, C.EQUITY, ingest_run),
@@ -117,7 +133,8 @@ def _candle_manifest(reqs: DataFrame, kind: str, segment: str, instrument: str,
 
 
 def plan_option_requests(spark: SparkSession, master: DataFrame, store_path: str,
-                         as_of: _dt.date | None, ingest_run: int) -> DataFrame:
+                         as_of: _dt.date | None, ingest_run: int,
+                         granularity: str = DEFAULT_GRANULARITY) -> DataFrame:
     """Options manifest: each underlying's index id, 30-day windows from the
     stored resume day (default 2025-01-01) x 252 combos per window."""
     ids = resolve_indices(master, C.INDEX_MATCH_RULES)
@@ -125,7 +142,8 @@ def plan_option_requests(spark: SparkSession, master: DataFrame, store_path: str
         [(u, rule, seg, C.STRIKE_STEPS[u]) for u, rule, seg in C.OPTION_UNDERLYINGS],
         "underlying string, name string, segment string, strike_step int")
     ents = under.join(ids.select("name", "security_id"), "name")
-    plan = resume_plan(ents, _watermarks(spark, store_path, OPTION_STORE, "underlying"),
+    plan = resume_plan(ents, _watermarks(spark, store_path, option_store(granularity),
+                                         "underlying"),
                        "underlying", C.OPTIONS_START_DATE, X.as_of_date(as_of))
     reqs = M.option_requests(plan.where("needs_fetch"), "start_date", "end_date",
                              ["underlying", "security_id", "segment", "strike_step"])
@@ -198,7 +216,8 @@ def _responses(spark: SparkSession, landing: str | DataFrame, reader) -> DataFra
 
 def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
                    landing: str | DataFrame, store_path: str,
-                   report_missing: bool = True) -> IngestResult:
+                   report_missing: bool = True,
+                   granularity: str = DEFAULT_GRANULARITY) -> IngestResult:
     """Spot (strict arrays, failures abort) or stocks (zero fill, failures
     skipped) responses -> CANDLE store. ``landing`` is the landing folder or
     an already-read response frame (a stream micro-batch)."""
@@ -213,10 +232,10 @@ def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
                            label=F.col("request_id"))
     rows, bad_ts = _drop_bad_ts(rows)
     rows = (rows.withColumn("datetime", X.epoch_to_ist_iso("ts"))
-            .withColumn("trade_month", trade_month("ts")))
+            .withColumn(PARTITION_COLUMNS[granularity], partition_value("ts", granularity)))
     metrics: dict = {}
-    months = upsert_store(spark, store_path, rows, CANDLE_STORE, CANDLE_KEYS, ORDER,
-                          ["symbol", "ts"], metrics=metrics)
+    months = upsert_store(spark, store_path, rows, candle_store(granularity), CANDLE_KEYS,
+                          ORDER, ["symbol", "ts"], metrics=metrics)
     metrics.update(bad_ts.get if months else {"bad_ts_rows": 0})
     split = M.split_requests(
         j.where(F.col("outcome") == "split").select(
@@ -229,7 +248,8 @@ def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
 
 
 def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | DataFrame,
-                   store_path: str, report_missing: bool = True) -> IngestResult:
+                   store_path: str, report_missing: bool = True,
+                   granularity: str = DEFAULT_GRANULARITY) -> IngestResult:
     """Rolling-option responses -> enriched OPTION_CANDLE store. Failed
     combos are skipped (reported in the quarantine output)."""
     responses = _responses(spark, landing, read_option_responses)
@@ -248,10 +268,10 @@ def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | Data
     rows = rows.withColumn(
         "option_type", F.when(F.col("side") == "CALL", F.lit("CE")).otherwise(F.lit("PE")))
     typed = cast_option_candles(enrich_options(rows), extra=ORDER) \
-        .withColumn("trade_month", trade_month("ts"))
+        .withColumn(PARTITION_COLUMNS[granularity], partition_value("ts", granularity))
     metrics: dict = {}
-    months = upsert_store(spark, store_path, typed, OPTION_STORE, OPTION_KEYS, ORDER,
-                          ["underlying", "ts"], metrics=metrics)
+    months = upsert_store(spark, store_path, typed, option_store(granularity), OPTION_KEYS,
+                          ORDER, ["underlying", "ts"], metrics=metrics)
     metrics.update(bad_ts.get if months else {"bad_ts_rows": 0})
     empty_split = spark.createDataFrame([], "request_id string")
     quarantine = bad.select("request_id", "underlying", "status", "errorCode", "errorMessage",
@@ -262,14 +282,15 @@ def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | Data
 
 
 def register_views(spark: SparkSession, spot: str | None = None, stocks: str | None = None,
-                   options: str | None = None) -> list[str]:
+                   options: str | None = None,
+                   granularity: str = DEFAULT_GRANULARITY) -> list[str]:
     """Temp views over the stores for SQL users: ``spot_candles``,
-    ``stock_candles``, ``option_candles`` (consumer columns plus
-    ``trade_month`` for partition pruning). Returns the view names."""
+    ``stock_candles``, ``option_candles`` (consumer columns plus the
+    partition column for pruning). Returns the view names."""
     made = []
-    for name, path, schema in (("spot_candles", spot, CANDLE_STORE),
-                               ("stock_candles", stocks, CANDLE_STORE),
-                               ("option_candles", options, OPTION_STORE)):
+    for name, path, schema in (("spot_candles", spot, candle_store(granularity)),
+                               ("stock_candles", stocks, candle_store(granularity)),
+                               ("option_candles", options, option_store(granularity))):
         if path:
             consumer_view(read_store(spark, path, schema)).createOrReplaceTempView(name)
             made.append(name)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from barsmith.schemas import CANDLE, OPTION_CANDLE
-from barsmith.sources.store import trade_month, upsert_store
+from barsmith.sources.store import partition_column, partition_value, upsert_store
 
 # File layout of the original job (fixed values).
 LEGACY_GLOBS = {
@@ -64,7 +64,8 @@ def migrate(spark: SparkSession, root: str, kind: str, store_path: str,
         rows = rows.withColumn("volume", F.coalesce("volume", F.lit(0).cast("bigint")))
     rows = (rows.withColumn("ingest_run", F.lit(0).cast("bigint"))
             .withColumn("request_seq", F.lit(0).cast("bigint"))
-            .withColumn("pos", F.lit(0))
-            .withColumn("trade_month", trade_month("ts")))
+            .withColumn("pos", F.lit(0)))
+    col = partition_column(store_schema)
+    rows = rows.withColumn(col, partition_value("ts", "day" if col == "trade_date" else "month"))
     return upsert_store(spark, store_path, rows, store_schema, keys,
                         ["ingest_run", "request_seq", "pos"], sort_cols)

@@ -1,14 +1,17 @@
 """Partitioned Parquet store with newest-wins upsert.
 
 Layout: one dataset per kind (spot, stocks, options); the entity is a column
-and the physical partition is ``trade_month`` (IST month of ``ts``). An
-upsert reads only the months present in the batch (partition pruning),
-merges them with the batch, keeps the newest row per key and rewrites just
-those months with dynamic partition overwrite. ``trade_month`` is a function
-of ``ts``, which is part of every key, so equal keys always meet in the same
-month. Partitions commit one by one; a repeated run heals a partial one
-because the upsert is idempotent (rows are ranked by stored columns, never by
-arrival).
+and the physical partition is the IST day (``trade_date``) or IST month
+(``trade_month``) of ``ts`` -- whichever partition column the store schema
+has. An upsert reads only the partitions present in the batch (partition
+pruning), merges them with the batch, keeps the newest row per key and
+rewrites just those partitions with dynamic partition overwrite. The
+partition value is a function of ``ts``, which is part of every key, so equal
+keys always meet in the same partition. Day partitions keep the rewrite of a
+daily incremental run to the days it touches, which matters once a month of
+candles is large; month partitions suit small stores. Partitions commit one
+by one; a repeated run heals a partial one because the upsert is idempotent
+(rows are ranked by stored columns, never by arrival).
 """
 
 from __future__ import annotations
@@ -24,9 +27,29 @@ from barsmith.schemas import PARTITION_COLUMN
 from barsmith.session import scratch_path
 
 
+PARTITION_COLUMNS = {"day": "trade_date", "month": "trade_month"}
+_PARTITION_FORMATS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
+
+
+def partition_value(ts: str | Column = "ts", granularity: str = "month") -> Column:
+    """IST day (``yyyy-MM-dd``) or IST month (``yyyy-MM``) of epoch seconds."""
+    return F.date_format(X.ist_wall_time(ts), _PARTITION_FORMATS[granularity])
+
+
 def trade_month(ts: str | Column = "ts") -> Column:
-    """``yyyy-MM`` of the IST day of epoch seconds."""
-    return F.date_format(X.ist_wall_time(ts), "yyyy-MM")
+    return partition_value(ts, "month")
+
+
+def trade_date(ts: str | Column = "ts") -> Column:
+    return partition_value(ts, "day")
+
+
+def partition_column(schema: StructType) -> str:
+    """The store's partition column: ``trade_date`` or ``trade_month``."""
+    for col in ("trade_date", PARTITION_COLUMN):
+        if col in schema.names:
+            return col
+    raise ValueError("store schema needs a trade_date or trade_month column")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool | None:
@@ -54,10 +77,11 @@ def read_store(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         raise
 
 
-def touched_partitions(batch: DataFrame) -> list[str]:
+def touched_partitions(batch: DataFrame, col: str = PARTITION_COLUMN) -> list[str]:
     """Distinct partition values of a batch. The list is bounded by the
-    number of months in the batch, so it is safe to bring to the driver."""
-    return [r[0] for r in batch.select(PARTITION_COLUMN).distinct().collect()]
+    number of days / months in the batch, so it is safe to bring to the
+    driver."""
+    return sorted(r[0] for r in batch.select(col).distinct().collect())
 
 
 def stage_batch(spark: SparkSession, batch: DataFrame, schema: StructType
@@ -67,12 +91,12 @@ def stage_batch(spark: SparkSession, batch: DataFrame, schema: StructType
     The expensive batch plan (JSON parse, explode, enrichment) then runs
     once, and a lost executor re-reads staged files instead of recomputing
     the lineage. The stage is not partitioned: one file per task, however
-    many months a backfill spans. The touched months come from a distinct
-    over that single column of the staged files (a bounded list)."""
+    many partitions a backfill spans. The touched partition values come from
+    a distinct over that single column of the staged files (a bounded list)."""
     path = scratch_path(spark, "upsert-batch")
     batch.write.mode("overwrite").parquet(path)
     staged = spark.read.schema(schema).parquet(path)
-    return staged, touched_partitions(staged), path
+    return staged, touched_partitions(staged, partition_column(schema)), path
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:
@@ -88,18 +112,19 @@ def remove_path(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def write_partitions(df: DataFrame, path: str, sort_cols: list[str]) -> None:
+def write_partitions(df: DataFrame, path: str, sort_cols: list[str],
+                     col: str = PARTITION_COLUMN) -> None:
     """Dynamic partition overwrite: only partitions present in ``df`` are
-    replaced. A ``rebalance`` by month lets AQE size the write: small months
+    replaced. A ``rebalance`` by partition lets AQE size the write: small ones
     are packed into one task, a large (skewed) month is split over several
     tasks, so files stay near the advisory size instead of one file per
     month per task. Rows are sorted by ``sort_cols`` within each file (O1)."""
-    (df.hint("rebalance", PARTITION_COLUMN)
-       .sortWithinPartitions(PARTITION_COLUMN, *sort_cols)
+    (df.hint("rebalance", col)
+       .sortWithinPartitions(col, *sort_cols)
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("compression", "snappy")
-       .partitionBy(PARTITION_COLUMN)
+       .partitionBy(col)
        .parquet(path))
 
 
@@ -108,32 +133,34 @@ def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: Struc
                  stage: bool = True, metrics: dict | None = None) -> list[str]:
     """Merge ``batch`` into the store at ``path`` (U3, R7). ``schema`` is the
     stored schema including ``trade_month`` and the ordering columns.
-    Returns the months rewritten; an empty batch rewrites nothing (F7).
+    Returns the partitions (days or months) rewritten; an empty batch
+    rewrites nothing (F7).
     When ``metrics`` is given it receives ``rows_in`` (batch rows) and
-    ``rows_written`` (rows of the rewritten months), observed during the
+    ``rows_written`` (rows of the rewritten partitions), observed during the
     write itself (A5) -- no extra job."""
+    col = partition_column(schema)
     batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     stage_path = None
     if stage:
-        batch, months, stage_path = stage_batch(spark, batch, schema)
+        batch, parts, stage_path = stage_batch(spark, batch, schema)
     else:
-        months = touched_partitions(batch)
-    if not months:
+        parts = touched_partitions(batch, col)
+    if not parts:
         if stage_path:
             remove_path(spark, stage_path)
         return []
-    existing = read_store(spark, path, schema).where(F.col(PARTITION_COLUMN).isin(months))
+    existing = read_store(spark, path, schema).where(F.col(col).isin(parts))
     obs_in, obs_out = Observation("rows_in"), Observation("rows_written")
     batch = batch.observe(obs_in, F.count(F.lit(1)).alias("rows_in"))
     merged = keep_last(existing.unionByName(batch), keys, order)
     merged = merged.select(*schema.names).observe(obs_out,
                                                   F.count(F.lit(1)).alias("rows_written"))
-    write_partitions(merged, path, sort_cols)
+    write_partitions(merged, path, sort_cols, col)
     if stage_path:
         # The store write has committed; nothing reads the staged copy now.
         remove_path(spark, stage_path)
     if metrics is not None:
         metrics.update(obs_in.get)
         metrics.update(obs_out.get)
-        metrics["n_months"] = len(months)
-    return months
+        metrics["n_partitions"] = len(parts)
+    return parts

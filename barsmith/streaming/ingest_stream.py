@@ -19,7 +19,8 @@ from barsmith.schemas import INTRADAY_RESPONSE, OPTION_RESPONSE
 def stream_ingest(spark: SparkSession, kind: str, manifest: DataFrame, landing: str,
                   store_path: str, checkpoint: str, reports_path: str,
                   max_files_per_trigger: int | None = None,
-                  available_now: bool = True) -> None:
+                  available_now: bool = True,
+                  granularity: str = J.DEFAULT_GRANULARITY) -> None:
     schema = OPTION_RESPONSE if kind == "options" else INTRADAY_RESPONSE
     reader = (spark.readStream.schema(schema).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", "_corrupt_record"))
@@ -30,9 +31,11 @@ def stream_ingest(spark: SparkSession, kind: str, manifest: DataFrame, landing:
     def each(batch: DataFrame, epoch: int) -> None:  # noqa: C901
         s = batch.sparkSession
         if kind == "options":
-            res = J.ingest_options(s, manifest, batch, store_path, report_missing=False)
+            res = J.ingest_options(s, manifest, batch, store_path, report_missing=False,
+                                   granularity=granularity)
         else:
-            res = J.ingest_candles(s, kind, manifest, batch, store_path, report_missing=False)
+            res = J.ingest_candles(s, kind, manifest, batch, store_path, report_missing=False,
+                                   granularity=granularity)
         tag = F.lit(epoch).cast("bigint").alias("batch_id")
         res.quarantine.select("*", tag).write.mode("append").parquet(f"{reports_path}/quarantine")
         res.summary.select("*", tag).write.mode("append").parquet(f"{reports_path}/summary")

@@ -59,7 +59,7 @@ def test_spot_plan_ingest_split_and_resume(spark, master):
          "errorMessage": "Too many rows"},
     ])
     r1 = J.ingest_candles(spark, "spot", m1, root + "/l1", store)
-    assert r1.months == ["2021-01"]
+    assert r1.months == ["2021-01-01"]  # day partitions by default
     rows = J.read_store(spark, store, J.CANDLE_STORE)
     assert rows.count() == 3 and rows.where("volume = 0").count() == 3
     first = rows.orderBy("ts").first()
@@ -206,7 +206,7 @@ def test_command_line_plan_and_ingest(spark, master, capsys):
                  root + "/landing", "--store", root + "/store", "--reports",
                  root + "/reports"], spark=spark) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert out["rows_in"] == 2 and out["months"] == ["2021-01"]
+    assert out["rows_in"] == 2 and out["months"] == ["2021-01-01"]
     summ = {r.symbol: r for r in spark.read.parquet(root + "/reports/summary").collect()}
     assert summ["SENSEX"].no_data == 1 and summ["NIFTY"].ok == 1
 
@@ -219,5 +219,17 @@ def test_register_views_for_sql(spark, master):
     J.ingest_candles(spark, "spot", m.where("symbol = 'NIFTY'"), root + "/l", root + "/spot")
     assert J.register_views(spark, spot=root + "/spot") == ["spot_candles"]
     got = spark.sql("SELECT symbol, count(*) AS n, max(datetime) AS last FROM spot_candles "
-                    "WHERE trade_month = '2021-01' GROUP BY symbol").collect()
+                    "WHERE trade_date = '2021-01-01' GROUP BY symbol").collect()
     assert [(r.symbol, r.n, r.last) for r in got] == [("NIFTY", 2, "2021-01-01T09:16:00+05:30")]
+
+
+def test_month_granularity(spark, master):
+    root = tempfile.mkdtemp()
+    m = J.plan_spot_requests(spark, master, root + "/s", dt.date(2021, 1, 2), 1, "month")
+    nifty = [r for r in m.collect() if r.symbol == "NIFTY"][0]
+    land(root + "/l", [{"request_id": nifty.request_id, "status": 200, **body([D0, D0 + 60])}])
+    res = J.ingest_candles(spark, "spot", m.where("symbol = 'NIFTY'"), root + "/l", root + "/s",
+                           granularity="month")
+    assert res.months == ["2021-01"]
+    assert os.path.isdir(root + "/s/trade_month=2021-01")
+    assert J.read_store(spark, root + "/s", J.candle_store("month")).count() == 2

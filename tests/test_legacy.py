@@ -29,7 +29,7 @@ def test_read_and_migrate_legacy_layout(spark):
     assert {r.symbol for r in read_legacy(spark, root, "spot").collect()} == {"NIFTY"}
     store = tempfile.mkdtemp() + "/stocks"
     assert migrate(spark, root, "stocks", store, J.CANDLE_STORE, CANDLE_KEYS,
-                   ["symbol", "ts"]) == ["2023-01"]
+                   ["symbol", "ts"]) == ["2023-01-03"]
     assert J.read_store(spark, store, J.CANDLE_STORE).count() == 5
 
 
