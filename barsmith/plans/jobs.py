@@ -32,16 +32,13 @@ from barsmith.operators.explode import explode_candles, explode_option_side, sel
 from barsmith.operators.resolve import missing_symbols, resolve_indices, resolve_symbols
 from barsmith.operators.watermark import high_watermark, resume_plan
 from barsmith.plans import manifest as M
-from barsmith.schemas import CANDLE, CANDLE_KEYS, OPTION_CANDLE, OPTION_KEYS
+from barsmith.schemas import CANDLE, CANDLE_KEYS, OPTION_CANDLE, OPTION_KEYS, ORDER_COLUMNS
 from barsmith.sources.responses import mark_present, read_intraday_responses, \
     read_option_responses, triage
 from barsmith.sources.store import PARTITION_COLUMNS, partition_value, read_store, \
     upsert_store
 
 ORDER = ["ingest_run", "request_seq", "pos"]
-_ORDER_FIELDS = [T.StructField("ingest_run", T.LongType()),
-                 T.StructField("request_seq", T.LongType()),
-                 T.StructField("pos", T.IntegerType())]
 DEFAULT_GRANULARITY = "day"
 
 
@@ -49,12 +46,12 @@ def candle_store(granularity: str = DEFAULT_GRANULARITY) -> T.StructType:
     """Stored CANDLE schema: consumer columns, ordering columns and the
     partition column (``trade_date`` for day, ``trade_month`` for month)."""
     part = [T.StructField(PARTITION_COLUMNS[granularity], T.StringType())]
-    return T.StructType(list(CANDLE.fields) + _ORDER_FIELDS + part)
+    return T.StructType(list(CANDLE.fields) + ORDER_COLUMNS + part)
 
 
 def option_store(granularity: str = DEFAULT_GRANULARITY) -> T.StructType:
     part = [T.StructField(PARTITION_COLUMNS[granularity], T.StringType())]
-    return T.StructType(list(OPTION_CANDLE.fields) + _ORDER_FIELDS + part)
+    return T.StructType(list(OPTION_CANDLE.fields) + ORDER_COLUMNS + part)
 
 
 CANDLE_STORE = candle_store()

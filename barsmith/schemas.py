@@ -9,7 +9,6 @@ L = T.LongType()
 D = T.DoubleType()
 B = T.ByteType()
 I = T.IntegerType()
-DT = T.DateType()
 
 # Consumer-visible candle table (spot indices and stocks). ``symbol`` is ours:
 # one dataset holds all entities, keyed by column instead of by file.
@@ -91,30 +90,3 @@ OPTION_RESPONSE = T.StructType([
     ])),
     T.StructField("_corrupt_record", S),
 ])
-
-# Request manifest, one row per request.
-MANIFEST = T.StructType([
-    T.StructField("request_id", S, False),
-    T.StructField("request_seq", L, False),
-    T.StructField("entity", S, False),
-    T.StructField("security_id", S, False),
-    T.StructField("segment", S, False),
-    T.StructField("window_idx", I, False),
-    T.StructField("from_date", DT, False),
-    T.StructField("to_date", DT, False),
-])
-
-OPTION_MANIFEST_EXTRA = [
-    T.StructField("expiry_type", S, False),
-    T.StructField("expiry_code", B, False),
-    T.StructField("bucket", S, False),
-    T.StructField("side", S, False),
-]
-
-MATCH_RULE = T.StructType([
-    T.StructField("name", S, False),
-    T.StructField("preferred", T.ArrayType(S), False),
-    T.StructField("fallback", T.ArrayType(S), False),
-    T.StructField("exclude", T.ArrayType(S), False),
-    T.StructField("preferred_exch", S, False),
-])
