@@ -842,9 +842,12 @@ def _store_two_runs(spark: SparkSession, sf_dir: str) -> str:
             .where(F.col("l_shipdate") < F.lit(V.LINE_CUTOFF).cast("timestamp_ntz"))
             .withColumn("ingest_run", F.lit(1).cast("bigint"))
             .withColumn("trade_month", trade_month("ts")))
-    upsert_store(spark, path, run1, _STORE_SCHEMA, STORE_KEYS, STORE_ORDER, ["symbol", "ts"])
+    # These batches are plain Parquet scans, cheaper to recompute than to
+    # stage; the ingest jobs (JSON parse + explode) keep the default staging.
+    upsert_store(spark, path, run1, _STORE_SCHEMA, STORE_KEYS, STORE_ORDER, ["symbol", "ts"],
+                 stage=False)
     upsert_store(spark, path, _resume_batch(spark, path, li), _STORE_SCHEMA, STORE_KEYS,
-                 STORE_ORDER, ["symbol", "ts"])
+                 STORE_ORDER, ["symbol", "ts"], stage=False)
     return path
 
 
