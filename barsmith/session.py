@@ -45,11 +45,16 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a temp one only when none is configured."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
         current = tempfile.mkdtemp(prefix="barsmith-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
+    if sc is None:
+        return current
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     # getCheckpointDir() returns a per-application sub-folder; keep our
