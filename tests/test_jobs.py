@@ -233,3 +233,19 @@ def test_month_granularity(spark, master):
     assert res.months == ["2021-01"]
     assert os.path.isdir(root + "/s/trade_month=2021-01")
     assert J.read_store(spark, root + "/s", J.candle_store("month")).count() == 2
+
+
+def test_overlapping_windows_later_window_wins(spark, master):
+    root = tempfile.mkdtemp()
+    m = J.plan_spot_requests(spark, master, root + "/s", dt.date(2021, 4, 10), 1)
+    nifty = sorted((r for r in m.collect() if r.symbol == "NIFTY"), key=lambda r: r.window_idx)
+    assert [(r.from_date, r.to_date) for r in nifty] == [
+        (dt.date(2021, 1, 1), dt.date(2021, 4, 1)), (dt.date(2021, 4, 1), dt.date(2021, 4, 10))]
+    boundary = 1617248700  # 2021-04-01 09:15 IST, inside both windows (end day included)
+    land(root + "/l", [
+        {"request_id": nifty[1].request_id, "status": 200, **body([boundary], 2.0)},
+        {"request_id": nifty[0].request_id, "status": 200, **body([D0, boundary], 1.0)},
+    ])
+    J.ingest_candles(spark, "spot", m.where("symbol = 'NIFTY'"), root + "/l", root + "/s")
+    got = {r.ts: r.open for r in J.read_store(spark, root + "/s", J.CANDLE_STORE).collect()}
+    assert got == {D0: 1.0, boundary: 2.0}
