@@ -75,6 +75,9 @@ IST_ISO = ("strftime(make_timestamp(CAST({x} AS BIGINT) * 1000000) + INTERVAL 33
 OPTION_ROWS_SQL = f"""
 WITH {EV_CTE.strip()},
 runs AS (
+  -- Not a sampling filter: responses of users with user_id % 7 = 0 carry their
+  -- arrays under the other side's key, so picking the requested side yields no
+  -- rows (Spark reads and groups every event; the side pick drops them).
   SELECT ev.*, 1 AS ingest_run, CAST(0.5 AS DOUBLE) AS bump FROM ev
   WHERE user_id % 7 <> 0
   UNION ALL
