@@ -76,5 +76,17 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
     and the whole expansion would run in one task. A numbered repartition is
     kept as asked; on a cluster the number is the configured shuffle width.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *cols)
+    return df.repartition(shuffle_width(df.sparkSession), *cols)
+
+
+def shuffle_width(spark: SparkSession) -> int:
+    """``spark.sql.shuffle.partitions`` as a number; platforms that set it to
+    a non-number (e.g. ``auto``) get the default parallelism instead."""
+    value = spark.conf.get("spark.sql.shuffle.partitions", "200")
+    try:
+        return max(1, int(value))
+    except (TypeError, ValueError):
+        try:
+            return max(1, spark.sparkContext.defaultParallelism)
+        except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+            return 200
