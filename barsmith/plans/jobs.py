@@ -33,8 +33,9 @@ from barsmith.operators.resolve import missing_symbols, resolve_indices, resolve
 from barsmith.operators.watermark import high_watermark, resume_plan
 from barsmith.plans import manifest as M
 from barsmith.schemas import CANDLE, CANDLE_KEYS, OPTION_CANDLE, OPTION_KEYS, ORDER_COLUMNS
-from barsmith.sources.responses import mark_present, read_intraday_responses, \
-    read_option_responses, triage
+from barsmith.sources.responses import outcome_table, read_intraday_responses, \
+    read_option_responses
+from barsmith.session import scratch_path
 from barsmith.sources.store import PARTITION_COLUMNS, partition_value, read_store, \
     upsert_store
 
@@ -170,11 +171,44 @@ def next_run_split_manifest(split_manifest: DataFrame, kind: str, ingest_run: in
 
 # ---------------------------------------------------------------- ingest
 
-def _orphans(responses: DataFrame, manifest: DataFrame, entity: str) -> DataFrame:
-    """Landed lines that match no request (unreadable JSON has no id)."""
-    o = responses.join(manifest.select("request_id"), "request_id", "left_anti")
-    return o.select("request_id", F.lit(None).cast("string").alias(entity), "status",
-                    "errorCode", "errorMessage", "_corrupt_record")
+OUTCOMES = ["ok", "empty", "no_data", "split", "corrupt", "fail", "missing"]
+
+
+def _responses(spark: SparkSession, landing: str | DataFrame, reader) -> DataFrame:
+    return landing if isinstance(landing, DataFrame) else reader(spark, landing)
+
+
+def _stage_outcomes(spark: SparkSession, responses: DataFrame, manifest: DataFrame,
+                    sizes: dict, n_rows: Column, report_missing: bool) -> DataFrame:
+    """Triage once: the slim outcome table (no response bodies) is written
+    under the checkpoint folder and every report reads that table, so the
+    landed JSON is parsed once for the reports and once for the ingest."""
+    path = scratch_path(spark, "outcomes")
+    outcome_table(responses, manifest, sizes, n_rows, report_missing) \
+        .write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def _reports(outcomes: DataFrame, manifest: DataFrame, entity: str):
+    """Summary (sorted by entity, O3), quarantine (failed, unreadable and
+    orphan lines) and re-request list (R1: missing, failed, unreadable --
+    ``no_data`` / ``empty`` answers are real gaps in the market, not ours)."""
+    summary = (outcomes.where(F.col("outcome") != "orphan")
+               .groupBy(entity).pivot("outcome", OUTCOMES).count().fillna(0).orderBy(entity))
+    quarantine = outcomes.where(F.col("outcome").isin("fail", "corrupt", "orphan")).select(
+        "request_id", entity, "status", "errorCode", "errorMessage", "_corrupt_record",
+        "outcome")
+    rerequest = outcomes.where(F.col("outcome").isin("missing", "fail", "corrupt")) \
+        .select(*manifest.columns, "outcome")
+    return summary, quarantine, rerequest
+
+
+def _answered(responses: DataFrame, outcomes: DataFrame, keep: tuple[str, ...],
+              carry: list[str]) -> DataFrame:
+    """Bodies of the requests whose outcome is in ``keep``, with the request
+    columns the rows carry (one equi-join on ``request_id``)."""
+    req = outcomes.where(F.col("outcome").isin(*keep)).select("request_id", *carry)
+    return responses.join(req, "request_id")
 
 
 def _drop_bad_ts(rows: DataFrame):
@@ -185,32 +219,6 @@ def _drop_bad_ts(rows: DataFrame):
     return rows.where(F.col("ts").isNotNull()), obs
 
 
-def _rerequest(j: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Coverage gaps of a run (R1): requests that got no response, failed or
-    came back unreadable, with their manifest columns, ready to be sent again.
-    ``no_data`` / ``empty`` answers are real gaps in the market, not ours."""
-    return j.where(F.col("outcome").isin("missing", "fail", "corrupt")) \
-        .select(*manifest.columns, "outcome")
-
-
-def _split_outcomes(j: DataFrame, entity: str, fail_run: bool):
-    summary = (j.groupBy(entity).pivot("outcome", ["ok", "empty", "no_data", "split",
-                                                   "corrupt", "fail", "missing"])
-               .count().fillna(0).orderBy(entity))
-    bad = j.where(F.col("outcome").isin("fail", "corrupt"))
-    if fail_run:
-        # Spot: any non-splittable failure aborts the run (nothing is saved).
-        j = j.withColumn("outcome", F.when(
-            F.col("outcome").isin("fail", "corrupt"),
-            F.raise_error(F.concat(F.lit("request failed: "), F.col("request_id"))))
-            .otherwise(F.col("outcome")))
-    return j, summary, bad
-
-
-def _responses(spark: SparkSession, landing: str | DataFrame, reader) -> DataFrame:
-    return mark_present(landing if isinstance(landing, DataFrame) else reader(spark, landing))
-
-
 def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
                    landing: str | DataFrame, store_path: str,
                    report_missing: bool = True,
@@ -221,9 +229,17 @@ def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
     if kind not in ("spot", "stocks"):
         raise ValueError(kind)
     responses = _responses(spark, landing, read_intraday_responses)
-    j = triage(responses, manifest, report_missing=report_missing)
-    j, summary, bad = _split_outcomes(j, "symbol", fail_run=(kind == "spot"))
-    ok = j.where(F.col("outcome") == "ok")
+    n = F.size(F.coalesce(F.col("timestamp"), F.array().cast("array<string>")))
+    outcomes = _stage_outcomes(spark, responses, manifest, {"_n": n}, F.col("_n"),
+                               report_missing)
+    if kind == "spot":
+        # Spot: any non-splittable failure aborts the run before anything is
+        # saved (the bounded check reads one row of the slim table).
+        failed = outcomes.where(F.col("outcome").isin("fail", "corrupt")).limit(1).collect()
+        if failed:
+            raise RuntimeError(f"request failed: {failed[0]['request_id']}")
+    summary, quarantine, rerequest = _reports(outcomes, manifest, "symbol")
+    ok = _answered(responses, outcomes, ("ok",), ["symbol", "ingest_run", "request_seq"])
     rows = explode_candles(ok, "strict" if kind == "spot" else "zero_fill",
                            carry=["symbol", "ingest_run", "request_seq"],
                            label=F.col("request_id"))
@@ -235,13 +251,11 @@ def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
                           ORDER, ["symbol", "ts"], metrics=metrics)
     metrics.update(bad_ts.get if months else {"bad_ts_rows": 0})
     split = M.split_requests(
-        j.where(F.col("outcome") == "split").select(
+        outcomes.where(F.col("outcome") == "split").select(
             "symbol", "security_id", "segment", "instrument", "window_idx", "from_date",
             "to_date"),
         ["symbol", "security_id", "segment", "instrument"])
-    quarantine = bad.select("request_id", "symbol", "status", "errorCode", "errorMessage",
-                            "_corrupt_record").unionByName(_orphans(responses, manifest, "symbol"))
-    return IngestResult(months, summary, split, quarantine, _rerequest(j, manifest), metrics)
+    return IngestResult(months, summary, split, quarantine, rerequest, metrics)
 
 
 def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | DataFrame,
@@ -250,17 +264,17 @@ def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | Data
     """Rolling-option responses -> enriched OPTION_CANDLE store. Failed
     combos are skipped (reported in the quarantine output)."""
     responses = _responses(spark, landing, read_option_responses)
-    j = triage(responses, manifest,
-               timestamps=select_side(F.col("data"), F.col("side")).getField("timestamp"),
-               report_missing=report_missing)
-    j, summary, bad = _split_outcomes(j, "underlying", fail_run=False)
-    ok = j.where(F.col("outcome").isin("ok", "empty"))
-    sided = ok.select("ingest_run", "request_seq", "underlying", "side", "expiry_type",
-                      "expiry_code", "bucket", "strike_step",
-                      select_side(F.col("data"), F.col("side")).alias("side_data"))
-    rows = explode_option_side(sided, "side_data",
-                               carry=["ingest_run", "request_seq", "underlying", "side",
-                                      "expiry_type", "expiry_code", "bucket", "strike_step"])
+    empty = F.array().cast("array<string>")
+    sizes = {"_n_ce": F.size(F.coalesce(F.col("data.ce.timestamp"), empty)),
+             "_n_pe": F.size(F.coalesce(F.col("data.pe.timestamp"), empty))}
+    n_rows = F.when(F.col("side") == "CALL", F.col("_n_ce")).otherwise(F.col("_n_pe"))
+    outcomes = _stage_outcomes(spark, responses, manifest, sizes, n_rows, report_missing)
+    summary, quarantine, rerequest = _reports(outcomes, manifest, "underlying")
+    carry = ["ingest_run", "request_seq", "underlying", "side", "expiry_type", "expiry_code",
+             "bucket", "strike_step"]
+    ok = _answered(responses, outcomes, ("ok",), carry)
+    sided = ok.select(*carry, select_side(F.col("data"), F.col("side")).alias("side_data"))
+    rows = explode_option_side(sided, "side_data", carry=carry)
     rows, bad_ts = _drop_bad_ts(rows)
     rows = rows.withColumn(
         "option_type", F.when(F.col("side") == "CALL", F.lit("CE")).otherwise(F.lit("PE")))
@@ -271,11 +285,7 @@ def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | Data
                           ORDER, ["underlying", "ts"], metrics=metrics)
     metrics.update(bad_ts.get if months else {"bad_ts_rows": 0})
     empty_split = spark.createDataFrame([], "request_id string")
-    quarantine = bad.select("request_id", "underlying", "status", "errorCode", "errorMessage",
-                            "_corrupt_record").unionByName(
-        _orphans(responses, manifest, "underlying"))
-    return IngestResult(months, summary, empty_split, quarantine, _rerequest(j, manifest),
-                        metrics)
+    return IngestResult(months, summary, empty_split, quarantine, rerequest, metrics)
 
 
 def register_views(spark: SparkSession, spot: str | None = None, stocks: str | None = None,

@@ -27,24 +27,27 @@ def read_option_responses(spark: SparkSession, path: str) -> DataFrame:
     return _reader(spark, OPTION_RESPONSE).json(path)
 
 
-def triage(responses: DataFrame, manifest: DataFrame, timestamps: Column | None = None,
-           report_missing: bool = True) -> DataFrame:
-    """Attach each response to its request (by ``request_id``) and classify
-    it (R2, X17). ``outcome`` is one of ok / empty / no_data / split /
-    corrupt / fail; requests without any response are ``missing``.
-    ``timestamps`` is the response's timestamp array, evaluated after the
-    join (so it may depend on the request, e.g. the option side)."""
+def outcome_table(responses: DataFrame, manifest: DataFrame, sizes: dict[str, Column],
+                  n_rows: Column, report_missing: bool = True) -> DataFrame:
+    """One slim row per request -- and per landed line that matches no
+    request -- with its outcome (R2, X17), without the response bodies.
+
+    ``sizes`` are per-response array sizes computed before the join (e.g. the
+    timestamp count of each option side); ``n_rows`` picks the size that
+    counts after the join (it may depend on the request, e.g. its side).
+    Outcomes: ok / empty / no_data / split / corrupt / fail, ``missing`` for
+    a request without a response and ``orphan`` for a line without a request
+    (unreadable JSON has no id). Batch runs join in full; a stream
+    micro-batch starts from the responses it holds (no ``missing``)."""
+    slim = responses.select(
+        "request_id", "status", "errorCode", "errorMessage", "_corrupt_record",
+        F.lit(True).alias("_has_response"), *[c.alias(n) for n, c in sizes.items()])
+    req = manifest.withColumn("_has_request", F.lit(True))
+    j = req.join(slim, "request_id", "full" if report_missing else "right")
     days = F.datediff("to_date", "from_date")
-    # Batch runs start from the manifest (unanswered requests are reported);
-    # a stream micro-batch starts from the responses it holds.
-    j = manifest.join(responses, "request_id", "left" if report_missing else "inner")
-    ts = timestamps if timestamps is not None else F.col("timestamp")
-    n_rows = F.size(F.coalesce(ts, F.array().cast("array<string>")))
-    outcome = F.when(F.col("_has_response").isNull(), F.lit("missing")).otherwise(
-        classify_response("status", "errorCode", "errorMessage", days,
-                          corrupt="_corrupt_record", n_rows=n_rows))
-    return j.withColumn("outcome", outcome)
-
-
-def mark_present(responses: DataFrame) -> DataFrame:
-    return responses.withColumn("_has_response", F.lit(True))
+    outcome = (F.when(F.col("_has_request").isNull(), F.lit("orphan"))
+               .when(F.col("_has_response").isNull(), F.lit("missing"))
+               .otherwise(classify_response("status", "errorCode", "errorMessage", days,
+                                            corrupt="_corrupt_record",
+                                            n_rows=F.coalesce(n_rows, F.lit(0)))))
+    return j.withColumn("outcome", outcome).drop("_has_request", "_has_response", *sizes)
