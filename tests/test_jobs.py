@@ -6,7 +6,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from barsmith.plans import jobs as J
 

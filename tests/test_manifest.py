@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from barsmith.config import STRIKE_BUCKETS
 from barsmith.plans import manifest as M

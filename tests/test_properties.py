@@ -3,7 +3,6 @@ semantics (concatenate, drop_duplicates(keep="last"), list-index fills)."""
 
 import pandas as pd
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from barsmith.operators.dedupe import keep_last
 from barsmith.operators.explode import explode_candles

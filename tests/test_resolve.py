@@ -1,7 +1,6 @@
 """Instrument master resolution cases (index rules and stock symbols)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from barsmith.config import INDEX_MATCH_RULES
 from barsmith.operators.resolve import missing_symbols, resolve_indices, resolve_symbols
