@@ -66,7 +66,7 @@ class IngestResult:
     split_manifest: DataFrame   # half-range requests for the next run (R3)
     quarantine: DataFrame       # failed / corrupt responses
     rerequest: DataFrame        # requests to send again: missing, failed, corrupt (R1)
-    metrics: dict               # rows_in / rows_written / n_months of the upsert (A5)
+    metrics: dict               # rows_in / rows_written / n_partitions / bad_ts_rows (A5)
 
 
 def consumer_view(store: DataFrame) -> DataFrame:

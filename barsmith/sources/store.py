@@ -115,10 +115,11 @@ def remove_path(spark: SparkSession, path: str) -> bool:
 def write_partitions(df: DataFrame, path: str, sort_cols: list[str],
                      col: str = PARTITION_COLUMN) -> None:
     """Dynamic partition overwrite: only partitions present in ``df`` are
-    replaced. A ``rebalance`` by partition lets AQE size the write: small ones
-    are packed into one task, a large (skewed) month is split over several
-    tasks, so files stay near the advisory size instead of one file per
-    month per task. Rows are sorted by ``sort_cols`` within each file (O1)."""
+    replaced. A ``rebalance`` by the partition column lets AQE size the
+    write: small partitions are packed into one task, a large (skewed) one is
+    split over several tasks, so files stay near the advisory size instead of
+    one file per partition per task. Rows are sorted by ``sort_cols`` within
+    each file (O1)."""
     (df.hint("rebalance", col)
        .sortWithinPartitions(col, *sort_cols)
        .write.mode("overwrite")
