@@ -45,7 +45,8 @@ def test_plan_pre_aggregates_before_shuffle(spark):
                                   F.lit(1).cast("bigint").alias("run"), F.col("id").alias("seq"),
                                   F.lit(0).alias("pos"), F.col("id").cast("string").alias("v"))
     plan = keep_last(df, KEYS, ORDER)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max_by" in plan
+    # Partial top-1 on the map side, before the shuffle by key.
+    assert plan.count("WindowGroupLimit") == 2
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
 
 

@@ -19,7 +19,8 @@ from barsmith.session import build_session  # noqa: E402
 NOTES = {
     "option_enrich": "One scan of events; responses are a bounded collect (<= 4,096 ids per "
                      "response); explode/enrich stay in codegen; newest-wins is a partial "
-                     "`max_by` before the key shuffle, so a hot contract key is pre-reduced.",
+                     "top-1 (WindowGroupLimit) before the key shuffle, so a hot contract key is "
+                     "pre-reduced.",
     "epoch_to_iso": "Narrow projection, no shuffle.",
     "atm_strike": "Narrow projection, no shuffle.",
     "moneyness": "Bounded generator (22 offsets x 2 sides per part row), no join, no shuffle.",
@@ -45,16 +46,16 @@ NOTES = {
     "symbol_resolve": "Two lookups, each a partial `max_by` per key; requested list "
                       "de-duplicated; equi-joins on symbol.",
     "symbol_missing": "Same join chain as symbol_resolve, filtered to unresolved.",
-    "upsert_keep_last": "Filters pushed to both scans; one key shuffle with partial "
-                        "`max_by` on the map side.",
-    "split_precedence": "One key shuffle with partial `max_by`.",
+    "upsert_keep_last": "Filters pushed to both scans; one key shuffle with a partial "
+                        "top-1 (WindowGroupLimit) on the map side.",
+    "split_precedence": "One key shuffle with a partial top-1 (WindowGroupLimit).",
     "run_summary": "Several small partial aggregates by key and entity; joins on entity "
                    "left to AQE.",
     "coverage_gaps": "Distinct (entity, day) partial; spans spread before the day generator; "
                      "anti join on (entity, day).",
     "triage": "Narrow projection, no shuffle.",
     "upsert_dataset": "Batch staged once (month-partitioned, under the checkpoint dir); only "
-                      "touched months read; partial `max_by` per key; `rebalance` on month "
+                      "touched months read; partial top-1 per key; `rebalance` on month "
                       "lets AQE split a hot month and pack small ones for the write.",
     "read_symbol": "Column filter pushed into the Parquet scan; files sorted by "
                    "(month, symbol, ts), so row-group statistics prune.",
