@@ -10,6 +10,7 @@ from pyspark.sql import Column, functions as F
 
 
 _INT_TEXT = r"^\s*[+-]?[0-9]{1,19}\s*$"
+_EXACT = float(2 ** 53)
 
 
 def _col(c) -> Column:
@@ -43,10 +44,15 @@ def to_long(x, strict: bool = False, what: str = "value") -> Column:
     goes through double. NaN and overflow give null.
     """
     txt = F.nullif(_col(x).cast("string"), F.lit(""))
-    # Only text that looks like an integer goes to the bigint cast: a failing
-    # try_cast from text is about ten times slower than a passing one.
+    dbl = txt.try_cast("double")
+    # Below 2^53 a double holds every integer exactly, so truncating the
+    # parsed double is exact and needs no second parse. Larger magnitudes
+    # (and NaN / infinity) take the text path; only text that looks like an
+    # integer is cast to bigint, because a failing try_cast from text is
+    # about ten times slower than a passing one.
     as_int = F.when(txt.rlike(_INT_TEXT), txt.try_cast("bigint"))
-    parsed = F.coalesce(as_int, txt.try_cast("double").try_cast("bigint"))
+    parsed = F.when(F.abs(dbl) < F.lit(_EXACT), dbl.cast("bigint")).otherwise(
+        F.coalesce(as_int, dbl.try_cast("bigint")))
     if not strict:
         return parsed
     return F.when(parsed.isNull(), F.raise_error(F.lit(f"bad or missing {what}"))
