@@ -85,6 +85,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                    else J.ingest_candles(spark, a.kind, manifest, a.landing, a.store,
                                          granularity=a.granularity))
             res.summary.write.mode("overwrite").parquet(a.reports + "/summary")
+            res.run_summary.write.mode("overwrite").parquet(a.reports + "/run_summary")
             res.quarantine.write.mode("overwrite").parquet(a.reports + "/quarantine")
             res.rerequest.write.mode("overwrite").parquet(a.reports + "/rerequest")
             if a.kind != "options":

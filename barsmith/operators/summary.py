@@ -6,26 +6,35 @@ from pyspark.sql import DataFrame, functions as F
 
 from barsmith.operators.dedupe import upsert
 
+COUNTS = ["rows_in", "keys_new", "keys_replaced", "rows_out"]
 
-def summarize_run(existing: DataFrame, batch: DataFrame, entity: str, keys: list[str],
-                  order: list[str]) -> DataFrame:
-    """Per entity: ``rows_in`` (batch rows), ``keys_new`` (batch keys absent
-    from the store), ``keys_replaced`` (batch keys already stored) and
-    ``rows_out`` (rows the entity owns after the upsert).
 
-    One partial aggregate per (entity, key) of the batch feeds both the row
-    and the key counts; the two per-entity aggregates meet in a full outer
-    join on the entity (entities with stored rows only appear through
-    ``rows_out``)."""
+def incoming_counts(existing: DataFrame, batch: DataFrame, entity: str,
+                    keys: list[str]) -> DataFrame:
+    """Per entity of the batch: ``rows_in``, ``keys_new`` (keys absent from
+    ``existing``) and ``keys_replaced`` (keys already there). One partial
+    aggregate per (entity, key) feeds all three; only key columns are read."""
     per_key = batch.groupBy(entity, *keys).agg(F.count(F.lit(1)).alias("_n"))
     stored = existing.select(*keys).distinct().withColumn("_stored", F.lit(True))
     flagged = per_key.join(stored, keys, "left")
-    incoming = flagged.groupBy(entity).agg(
+    return flagged.groupBy(entity).agg(
         F.sum("_n").alias("rows_in"),
         F.count(F.when(F.col("_stored").isNull(), 1)).alias("keys_new"),
         F.count(F.when(F.col("_stored"), 1)).alias("keys_replaced"))
+
+
+def combine(incoming: DataFrame, owned: DataFrame, entity: str) -> DataFrame:
+    """Incoming counts and ``rows_out`` per entity in one row (full outer
+    join: entities with stored rows only appear through ``rows_out``)."""
+    j = incoming.join(owned, entity, "full")
+    return j.select(entity, *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in COUNTS])
+
+
+def summarize_run(existing: DataFrame, batch: DataFrame, entity: str, keys: list[str],
+                  order: list[str]) -> DataFrame:
+    """Per entity: ``rows_in`` (batch rows), ``keys_new`` (batch keys absent
+    from the store), ``keys_replaced`` (batch keys already stored) and
+    ``rows_out`` (rows the entity owns after the upsert)."""
     owned = upsert(existing, batch, keys, order).groupBy(entity) \
         .agg(F.count(F.lit(1)).alias("rows_out"))
-    j = incoming.join(owned, entity, "full")
-    return j.select(entity, *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in
-                              ["rows_in", "keys_new", "keys_replaced", "rows_out"]])
+    return combine(incoming_counts(existing, batch, entity, keys), owned, entity)

@@ -29,6 +29,7 @@ from barsmith import config as C
 from barsmith import functions as X
 from barsmith.operators.enrich import cast_option_candles, enrich_options
 from barsmith.operators.explode import explode_candles, explode_option_side, select_side
+from barsmith.operators.summary import COUNTS as SUMMARY_COUNTS
 from barsmith.operators.resolve import missing_symbols, resolve_indices, resolve_symbols
 from barsmith.operators.watermark import high_watermark, resume_plan
 from barsmith.plans import manifest as M
@@ -63,6 +64,7 @@ OPTION_STORE = option_store()
 class IngestResult:
     months: list[str]           # partitions (days or months) rewritten
     summary: DataFrame          # outcome counts per entity, sorted by entity (O3)
+    run_summary: DataFrame      # per entity: rows in / keys new / replaced / rows out, resume day (R6)
     split_manifest: DataFrame   # half-range requests for the next run (R3)
     quarantine: DataFrame       # failed / corrupt responses
     rerequest: DataFrame        # requests to send again: missing, failed, corrupt (R1)
@@ -211,6 +213,20 @@ def _answered(responses: DataFrame, outcomes: DataFrame, keep: tuple[str, ...],
     return responses.join(req, "request_id")
 
 
+def _with_resume_day(reports: dict, manifest: DataFrame, entity: str) -> DataFrame:
+    """Per-entity run summary (R6) with the day the run resumed from (the
+    first requested day). Entities whose requests brought no candles show
+    zero counts."""
+    first_day = manifest.groupBy(entity).agg(F.min("from_date").alias("resume_date"))
+    counts = reports.get("entity_summary")
+    if counts is None:  # nothing was written this run
+        return first_day.select(entity, *[F.lit(0).cast("bigint").alias(c) for c in SUMMARY_COUNTS],
+                                "resume_date")
+    j = first_day.join(counts, entity, "full")
+    return j.select(entity, *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
+                              for c in SUMMARY_COUNTS], "resume_date").orderBy(entity)
+
+
 def _drop_bad_ts(rows: DataFrame):
     """Candles whose timestamp cell is not a number cannot be keyed; they are
     left out and counted (``bad_ts_rows``) while the batch is staged."""
@@ -247,15 +263,19 @@ def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
     rows = (rows.withColumn("datetime", X.epoch_to_ist_iso("ts"))
             .withColumn(PARTITION_COLUMNS[granularity], partition_value("ts", granularity)))
     metrics: dict = {}
+    reports: dict = {}
     months = upsert_store(spark, store_path, rows, candle_store(granularity), CANDLE_KEYS,
-                          ORDER, ["symbol", "ts"], metrics=metrics)
+                          ORDER, ["symbol", "ts"], metrics=metrics, entity="symbol",
+                          reports=reports)
     metrics.update(bad_ts.get if months else {"bad_ts_rows": 0})
     split = M.split_requests(
         outcomes.where(F.col("outcome") == "split").select(
             "symbol", "security_id", "segment", "instrument", "window_idx", "from_date",
             "to_date"),
         ["symbol", "security_id", "segment", "instrument"])
-    return IngestResult(months, summary, split, quarantine, rerequest, metrics)
+    return IngestResult(months=months, summary=summary, split_manifest=split,
+                        quarantine=quarantine, rerequest=rerequest, metrics=metrics,
+                        run_summary=_with_resume_day(reports, manifest, "symbol"))
 
 
 def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | DataFrame,
@@ -281,11 +301,15 @@ def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | Data
     typed = cast_option_candles(enrich_options(rows), extra=ORDER) \
         .withColumn(PARTITION_COLUMNS[granularity], partition_value("ts", granularity))
     metrics: dict = {}
+    reports: dict = {}
     months = upsert_store(spark, store_path, typed, option_store(granularity), OPTION_KEYS,
-                          ORDER, ["underlying", "ts"], metrics=metrics)
+                          ORDER, ["underlying", "ts"], metrics=metrics, entity="underlying",
+                          reports=reports)
     metrics.update(bad_ts.get if months else {"bad_ts_rows": 0})
     empty_split = spark.createDataFrame([], "request_id string")
-    return IngestResult(months, summary, empty_split, quarantine, rerequest, metrics)
+    return IngestResult(months=months, summary=summary, split_manifest=empty_split,
+                        quarantine=quarantine, rerequest=rerequest, metrics=metrics,
+                        run_summary=_with_resume_day(reports, manifest, "underlying"))
 
 
 def register_views(spark: SparkSession, spot: str | None = None, stocks: str | None = None,

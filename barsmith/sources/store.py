@@ -23,6 +23,7 @@ from pyspark.errors import AnalysisException
 
 from barsmith import functions as X
 from barsmith.operators.dedupe import keep_last
+from barsmith.operators.summary import combine, incoming_counts
 from barsmith.schemas import PARTITION_COLUMN
 from barsmith.session import scratch_path
 
@@ -131,14 +132,19 @@ def write_partitions(df: DataFrame, path: str, sort_cols: list[str],
 
 def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: StructType,
                  keys: list[str], order: list[str], sort_cols: list[str],
-                 stage: bool = True, metrics: dict | None = None) -> list[str]:
+                 stage: bool = True, metrics: dict | None = None,
+                 entity: str | None = None, reports: dict | None = None) -> list[str]:
     """Merge ``batch`` into the store at ``path`` (U3, R7). ``schema`` is the
     stored schema including ``trade_month`` and the ordering columns.
     Returns the partitions (days or months) rewritten; an empty batch
     rewrites nothing (F7).
     When ``metrics`` is given it receives ``rows_in`` (batch rows) and
     ``rows_written`` (rows of the rewritten partitions), observed during the
-    write itself (A5) -- no extra job."""
+    write itself (A5) -- no extra job. With ``entity`` and ``reports``,
+    ``reports["entity_summary"]`` gets the per-entity run summary (R6):
+    ``rows_in``, ``keys_new``, ``keys_replaced`` (against the stored keys of
+    the touched partitions) and ``rows_out`` (the entity's rows in the
+    rewritten partitions), staged so it does not change with later runs."""
     col = partition_column(schema)
     batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     stage_path = None
@@ -152,11 +158,26 @@ def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: Struc
         return []
     existing = read_store(spark, path, schema).where(F.col(col).isin(parts))
     obs_in, obs_out = Observation("rows_in"), Observation("rows_written")
+    plain_batch = batch
     batch = batch.observe(obs_in, F.count(F.lit(1)).alias("rows_in"))
     merged = keep_last(existing.unionByName(batch), keys, order)
     merged = merged.select(*schema.names).observe(obs_out,
                                                   F.count(F.lit(1)).alias("rows_written"))
+    incoming_path = None
+    if entity and reports is not None:
+        # Before the write: what the batch brings per entity, from the batch
+        # and the stored keys of the touched partitions (key columns only).
+        incoming_path = scratch_path(spark, "run-summary-in")
+        incoming_counts(existing, plain_batch, entity, keys).write.mode("overwrite") \
+            .parquet(incoming_path)
     write_partitions(merged, path, sort_cols, col)
+    if incoming_path:
+        owned = (read_store(spark, path, schema).where(F.col(col).isin(parts))
+                 .groupBy(entity).agg(F.count(F.lit(1)).alias("rows_out")))
+        summary_path = scratch_path(spark, "run-summary")
+        combine(spark.read.parquet(incoming_path), owned, entity).write.mode("overwrite") \
+            .parquet(summary_path)
+        reports["entity_summary"] = spark.read.parquet(summary_path)
     if stage_path:
         # The store write has committed; nothing reads the staged copy now.
         remove_path(spark, stage_path)

@@ -39,6 +39,8 @@ def stream_ingest(spark: SparkSession, kind: str, manifest: DataFrame, landing:
         tag = F.lit(epoch).cast("bigint").alias("batch_id")
         res.quarantine.select("*", tag).write.mode("append").parquet(f"{reports_path}/quarantine")
         res.summary.select("*", tag).write.mode("append").parquet(f"{reports_path}/summary")
+        res.run_summary.select("*", tag).write.mode("append") \
+            .parquet(f"{reports_path}/run_summary")
         if res.split_manifest.columns != ["request_id"]:
             res.split_manifest.select("*", tag).write.mode("append") \
                 .parquet(f"{reports_path}/split_manifest")

@@ -77,7 +77,10 @@ def test_spot_plan_ingest_split_and_resume(spark, master):
         {"request_id": halves[0].request_id, "status": 200, **body([D0, boundary], 50.0)},
         {"request_id": halves[1].request_id, "status": 200, **body([boundary], 70.0)},
     ])
-    J.ingest_candles(spark, "spot", m2, root + "/l2", store)
+    r2 = J.ingest_candles(spark, "spot", m2, root + "/l2", store)
+    s2 = {r.symbol: r for r in r2.run_summary.collect()}
+    assert (s2["SENSEX"].rows_in, s2["SENSEX"].keys_new, s2["SENSEX"].rows_out) == (3, 2, 2)
+    assert s2["SENSEX"].resume_date == dt.date(2021, 1, 1)
     sx = {r.ts: r.open for r in J.read_store(spark, store, J.CANDLE_STORE)
           .where("symbol = 'SENSEX'").collect()}
     assert sx == {D0: 50.0, boundary: 70.0}
@@ -121,6 +124,10 @@ def test_stocks_zero_fill_missing_and_skip(spark, master):
     assert [r.open for r in got] == [1.0, 0.0]
     assert res.metrics["rows_in"] == 2 and res.metrics["rows_written"] == 2
     assert res.metrics["bad_ts_rows"] == 0
+    rs = {r.symbol: r for r in res.run_summary.collect()}
+    assert (rs["RELIANCE"].rows_in, rs["RELIANCE"].keys_new, rs["RELIANCE"].keys_replaced,
+            rs["RELIANCE"].rows_out) == (2, 2, 0, 2)
+    assert rs["INFY"].rows_in == 0 and rs["INFY"].resume_date == dt.date(2023, 1, 1)
     assert [r.symbol for r in res.rerequest.collect()] == ["INFY"]
     q = res.quarantine.collect()
     assert sorted(r.request_id or "" for r in q) == ["", reqs["INFY"].request_id]
