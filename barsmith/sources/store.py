@@ -163,13 +163,26 @@ def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: Struc
     merged = keep_last(existing.unionByName(batch), keys, order)
     merged = merged.select(*schema.names).observe(obs_out,
                                                   F.count(F.lit(1)).alias("rows_written"))
-    incoming_path = None
+    incoming_path = summary_path = None
     if entity and reports is not None:
         # Before the write: what the batch brings per entity, from the batch
         # and the stored keys of the touched partitions (key columns only).
-        incoming_path = scratch_path(spark, "run-summary-in")
-        incoming_counts(existing, plain_batch, entity, keys).write.mode("overwrite") \
-            .parquet(incoming_path)
+        incoming = incoming_counts(existing, plain_batch, entity, keys)
+        if entity in keys:
+            # The entity is part of the key, so after the upsert it holds its
+            # stored rows plus its new keys: no scan after the write.
+            held = existing.groupBy(entity).agg(F.count(F.lit(1)).alias("_held"))
+            j = incoming.join(held, entity, "full")
+            zero = F.lit(0).cast("bigint")
+            summary = j.select(
+                entity, *[F.coalesce(c, zero).alias(c) for c in
+                          ["rows_in", "keys_new", "keys_replaced"]],
+                (F.coalesce("_held", zero) + F.coalesce("keys_new", zero)).alias("rows_out"))
+            summary_path = scratch_path(spark, "run-summary")
+            summary.write.mode("overwrite").parquet(summary_path)
+        else:
+            incoming_path = scratch_path(spark, "run-summary-in")
+            incoming.write.mode("overwrite").parquet(incoming_path)
     write_partitions(merged, path, sort_cols, col)
     if incoming_path:
         owned = (read_store(spark, path, schema).where(F.col(col).isin(parts))
@@ -177,6 +190,7 @@ def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: Struc
         summary_path = scratch_path(spark, "run-summary")
         combine(spark.read.parquet(incoming_path), owned, entity).write.mode("overwrite") \
             .parquet(summary_path)
+    if summary_path:
         reports["entity_summary"] = spark.read.parquet(summary_path)
     if stage_path:
         # The store write has committed; nothing reads the staged copy now.

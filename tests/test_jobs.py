@@ -85,6 +85,11 @@ def test_spot_plan_ingest_split_and_resume(spark, master):
           .where("symbol = 'SENSEX'").collect()}
     assert sx == {D0: 50.0, boundary: 70.0}
 
+    # Re-ingesting run 1 replaces NIFTY's rows and adds nothing.
+    r3 = J.ingest_candles(spark, "spot", m1, root + "/l1", store)
+    n3 = {r.symbol: r for r in r3.run_summary.collect()}["NIFTY"]
+    assert (n3.rows_in, n3.keys_new, n3.keys_replaced, n3.rows_out) == (3, 0, 3, 3)
+
     # Re-plan: each index resumes on the IST day of its stored max(ts).
     m3 = {r.symbol: r for r in
           J.plan_spot_requests(spark, master, store, dt.date(2021, 1, 5), 3).collect()}
