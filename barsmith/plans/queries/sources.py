@@ -10,10 +10,11 @@ from barsmith.config import STRIKE_BUCKETS
 from barsmith.operators.coverage import coverage_gaps as _gaps
 from barsmith.operators.explode import explode_option_side, select_side
 from barsmith.plans import driver_views as V
-from barsmith.plans.queries.common import EV_CTE, OPTION_ROWS_SQL, register
+from barsmith.plans.queries.common import EV_CTE, IST_ISO, OPTION_ROWS_SQL, register
 from barsmith.plans.queries.store import LINE_BATCHES_CTE, STORE_KEYS, STORE_ORDER, STORE_SCHEMA
 from barsmith.session import scratch_path
 from barsmith.sources.instruments import land_master
+from barsmith.sources.legacy import read_legacy
 from barsmith.sources.responses import read_option_responses
 from barsmith.sources.store import read_store, trade_month
 from barsmith.streaming.upsert_stream import run_upsert_stream
@@ -175,3 +176,26 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{root}/store", STORE_SCHEMA, STORE_KEYS, STORE_ORDER, ["symbol", "ts"],
         checkpoint=f"{root}/checkpoint", max_files_per_trigger=4)
     return read_store(spark, f"{root}/store", STORE_SCHEMA)
+
+
+@register("legacy_layout_scan", f"""
+SELECT 'S' || l_suppkey AS symbol, epoch_us(l_shipdate) // 1000000 AS ts,
+       {IST_ISO.format(x='epoch_us(l_shipdate) // 1000000')} AS datetime,
+       l_extendedprice AS open, l_extendedprice AS high, l_extendedprice AS low,
+       l_extendedprice AS close, CAST(l_quantity AS BIGINT) AS volume
+FROM lineitem
+""")
+def legacy_layout_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candles stored one folder per entity with the entity only in
+    the path (as the original job stores one file per symbol) are read back
+    in one scan; the symbol comes from ``_metadata.file_path``."""
+    li = V.table(spark, sf_dir, "lineitem")
+    ts = X.epoch_seconds("l_shipdate")
+    root = scratch_path(spark, "legacy")
+    (li.select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("sym"),
+               ts.alias("ts"), X.epoch_to_ist_iso(ts).alias("datetime"),
+               *[F.col("l_extendedprice").alias(c) for c in ("open", "high", "low", "close")],
+               F.col("l_quantity").cast("bigint").alias("volume"))
+     .write.mode("overwrite").partitionBy("sym").parquet(f"{root}/stocks"))
+    return read_legacy(spark, root, "stocks", path_glob=f"{root}/stocks/sym=*/*.parquet",
+                       entity_pattern=r"/sym=([^/]+)/[^/]+$")

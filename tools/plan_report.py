@@ -68,10 +68,13 @@ NOTES = {
     "ingest_stocks_job": "The ingest job itself: triage join on request_id, explode, staged "
                          "upsert into a fresh store; the returned frame is a pruned store read.",
     "ingest_options_job": "As ingest_stocks_job with side pick and option enrichment.",
+    "legacy_layout_scan": "One scan over all per-entity folders; the entity comes from "
+                          "`_metadata.file_path` (no loop per file).",
 }
 
 WRITES = {"upsert_dataset", "read_symbol", "stream_upsert", "master_scan",
-          "option_response_scan", "ingest_stocks_job", "ingest_options_job"}
+          "option_response_scan", "ingest_stocks_job", "ingest_options_job",
+          "legacy_layout_scan"}
 
 
 def summarize(plan: str):
