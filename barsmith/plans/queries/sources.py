@@ -196,6 +196,8 @@ def legacy_layout_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                ts.alias("ts"), X.epoch_to_ist_iso(ts).alias("datetime"),
                *[F.col("l_extendedprice").alias(c) for c in ("open", "high", "low", "close")],
                F.col("l_quantity").cast("bigint").alias("volume"))
+     # One task per entity folder: one file per entity, written in parallel.
+     .repartition("sym")
      .write.mode("overwrite").partitionBy("sym").parquet(f"{root}/stocks"))
     return read_legacy(spark, root, "stocks", path_glob=f"{root}/stocks/sym=*/*.parquet",
                        entity_pattern=r"/sym=([^/]+)/[^/]+$")
