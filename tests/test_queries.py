@@ -55,7 +55,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 TIME_QUERIES = ["epoch_to_iso", "option_enrich", "watermark", "upsert_dataset", "request_grid",
-                "split_precedence", "coverage_gaps", "cast_and_fill"]
+                "split_precedence", "coverage_gaps", "cast_and_fill", "legacy_layout_scan"]
 
 
 @pytest.mark.parametrize("name", TIME_QUERIES)
