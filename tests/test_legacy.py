@@ -47,3 +47,15 @@ def test_legacy_options_with_null_typed_columns(spark):
         .to_parquet(f"{root}/options/nifty/NIFTY_OPTIONS_1m.parquet", index=False)
     row = read_legacy(spark, root, "options").collect()[0]
     assert row.underlying == "NIFTY" and row.strike is None and row.expiry_code == 1
+
+
+def test_migrate_from_the_command_line(spark):
+    from barsmith.__main__ import main
+    root = tempfile.mkdtemp()
+    write_candles(f"{root}/stocks/INFY/INFY_1m.parquet", 1672717500, 4, 15.0)
+    store = tempfile.mkdtemp() + "/stocks"
+    assert main(["migrate", "--kind", "stocks", "--legacy-root", root, "--store", store,
+                 "--granularity", "month"], spark=spark) == 0
+    assert os.path.isdir(f"{store}/trade_month=2023-01")
+    got = J.read_store(spark, store, J.candle_store("month")).collect()
+    assert {(r.symbol, r.close) for r in got} == {("INFY", 15.0)} and len(got) == 4
