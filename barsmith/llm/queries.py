@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barsmith.llm import packing
+from barsmith.llm import decontaminate, fertility, packing, resample, toxicity, urlfilter
 from barsmith.llm.staging import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,56 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+def remainder(doc_id, n: int):
+    """crc32 of the id as text, modulo ``n``; a null id counts as 0."""
+    return F.pmod(F.coalesce(F.crc32(doc_id.cast("string").cast("binary")), F.lit(0)), F.lit(n))
+
+
+@query
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = resample.resample(docs, read_table(spark, sf_dir, "labels"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "log_weight",
+                        F.col("sum").alias("gumbel_sum"), "kept")
+
+
+@query
+def op3_convolutional_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"),
+                         usable=remainder(F.col("doc_id"), 5) != 0)
+    return toxicity.score(docs, *model).select(
+        F.col("row.doc_id").alias("doc_id"),
+        (remainder(F.col("row.doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "threshold", "flagged")
+
+
 @query
 def op4_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_crc32(packing.pack(read_table(spark, sf_dir, "documents")))
+
+
+@query
+def op7_prefix_filtered_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.report(decontaminate.scan(docs, read_table(spark, sf_dir, "benchmark")))
+
+
+ORACLE["op7_prefix_filtered_windows"] = decontaminate.ORACLE
+
+
+@query
+def op8_sorted_digest_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    entries = urlfilter.entries_frame(spark, urlfilter.RULES + urlfilter.LISTED)
+    return urlfilter.verdicts(urlfilter.judge(pages, entries))
+
+
+ORACLE["op8_sorted_digest_array"] = urlfilter.ORACLE
+
+
+@query
+def op9_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return fertility.judge(docs).select(
+        F.col("row.doc_id").alias("doc_id"), *fertility.COUNTS, "entropy", "base_failed", "kept")

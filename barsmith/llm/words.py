@@ -112,27 +112,25 @@ class Words:
         return self.data[self.start[i]:self.end[i]].tobytes()
 
 
-def runs(flag: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and first-run-per-document of the runs of true bytes, cut at
-    document boundaries."""
-    n = len(flag)
-    begins = np.zeros(n + 1, bool)
-    begins[:n] = flag
-    begins[1:n] &= ~flag[:-1]
-    ends = np.zeros(n + 1, bool)
-    ends[1:] = flag
-    ends[1:n] &= ~flag[1:]
-    inner = offsets[(offsets > 0) & (offsets < n)]
-    begins[inner] = flag[inner]
-    ends[inner] = flag[inner - 1]
-    start, end = np.flatnonzero(begins[:n]), np.flatnonzero(ends)
+def runs(kind: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and first-run-per-document of the runs of equal non-zero
+    (or true) values, cut at document boundaries."""
+    n = len(kind)
+    change = np.ones(n + 1, bool)
+    change[1:n] = kind[1:] != kind[:-1]
+    change[offsets] = True
+    cut = np.flatnonzero(change)
+    cut = cut if len(cut) and cut[-1] == n else np.append(cut, n)
+    own = kind[cut[:-1]] != 0
+    start, end = cut[:-1][own], cut[1:][own]
     return start, end, np.searchsorted(start, offsets)
 
 
-def words_of(col: pa.Array, member: np.ndarray = NOT_WHITE) -> Words:
-    """Words of every row: maximal runs of bytes for which ``member`` is true."""
+def words_of(col: pa.Array, kinds: np.ndarray = NOT_WHITE) -> Words:
+    """Words of every row: maximal runs of bytes of one kind; ``kinds`` is a
+    table by byte, and bytes of kind 0 (or false) lie between words."""
     data, offsets = text_buffers(col)
-    start, end, first = runs(member[data], offsets)
+    start, end, first = runs(kinds[data], offsets)
     return Words(data, start, end, first)
 
 
