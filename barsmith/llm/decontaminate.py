@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from barsmith.llm.staging import pieces_for, staged, text_bytes
+from barsmith.llm.staging import arrow_map, pieces_for, staged, text_bytes
 from barsmith.llm.words import ALNUM, join_hashes, mix, text_slices, words_of
 
 #: UTF-8 bytes of benchmark text in one block.
@@ -125,8 +125,8 @@ def shingle_counts(docs: DataFrame, keys: dict[int, np.ndarray], column: str) ->
                 [pa.array(np.full(len(pos), width, np.int32)), pa.array(pos), pa.array(n[pos])],
                 names=["width", "pos", "n"])
 
-    found = docs.select(F.col(column).cast("string").alias(column)).mapInArrow(
-        run, "width int, pos bigint, n bigint")
+    found = arrow_map(docs.select(F.col(column).cast("string").alias(column)), run,
+                      "width int, pos bigint, n bigint")
     return found.groupBy("width", "pos").agg(F.sum("n").alias("n"))
 
 
@@ -211,7 +211,7 @@ def _scan_block(rows: DataFrame, prefixes: Prefixes, column: str) -> DataFrame:
                  pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
                 names=["row", "text", "n_words", "spans", "item_ids"])
 
-    return rows.mapInArrow(run, rows.schema)
+    return arrow_map(rows, run, rows.schema)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, size: int = 10, shingle: int = 3,

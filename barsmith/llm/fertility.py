@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from barsmith.llm.staging import staged
+from barsmith.llm.staging import arrow_map, staged
 from barsmith.llm.tokens import PIECE_BPE, piece_bpe_cache, vocabulary_path
 from barsmith.llm.words import (Words, mix, ngram_hashes, runs, span_hashes, text_slices, words_of)
 
@@ -133,7 +133,7 @@ def measure(docs: DataFrame, text: str = "text", lang: str = "lang",
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row"),
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, lang string, {MEASURES}")
+    return arrow_map(rows, run, f"row {kind}, lang string, {MEASURES}")
 
 
 def per_token() -> F.Column:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from barsmith.llm.staging import staged
+from barsmith.llm.staging import arrow_map, staged
 from barsmith.llm.tokens import WORD_BPE, word_bpe_cache
 from barsmith.llm.words import text_slices, words_of
 
@@ -64,7 +64,7 @@ def tokenize(docs: DataFrame, vocabulary: str = WORD_BPE, end_id: int = 2) -> Da
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, TOKENS)
+    return arrow_map(rows, run, TOKENS)
 
 
 def partition_offsets(tokens: DataFrame) -> dict[int, int]:
@@ -103,7 +103,7 @@ def cut(tokens: DataFrame, offsets: dict[int, int], length: int = 4096) -> DataF
                 pa.array(raw, pa.binary()),
             ], names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
-    return tokens.mapInArrow(run, PIECES)
+    return arrow_map(tokens, run, PIECES)
 
 
 def pack(docs: DataFrame, length: int = 4096, vocabulary: str = WORD_BPE,
@@ -137,4 +137,4 @@ def with_crc32(pieces: DataFrame) -> DataFrame:
                 [*batch.columns[:-1], pa.array(crc, pa.int64())],
                 names=[*batch.schema.names[:-1], "ids_crc32"])
 
-    return pieces.mapInArrow(run, PIECES.replace("ids binary", "ids_crc32 bigint"))
+    return arrow_map(pieces, run, PIECES.replace("ids binary", "ids_crc32 bigint"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barsmith.llm import decontaminate, fertility, packing, resample, toxicity, urlfilter
+from barsmith.llm import decontaminate, fertility, packing, resample, suffix_tree, toxicity, urlfilter
 from barsmith.llm.staging import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,11 @@ def op9_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return fertility.judge(docs).select(
         F.col("row.doc_id").alias("doc_id"), *fertility.COUNTS, "entropy", "base_failed", "kept")
+
+
+@query
+def op10_probabilistic_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = suffix_tree.score(docs, remainder(F.col("doc_id"), 5) == 1)
+    return found.select("doc_id", (remainder(F.col("doc_id"), 5) == 1).alias("held_out"),
+                        "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from barsmith.llm.staging import drop_staged, staged
+from barsmith.llm.staging import arrow_groups, arrow_map, drop_staged, staged
 from barsmith.llm.words import (ALNUM, NOT_WHITE, join_hashes, text_slices, words_of)
 
 KINDS = NOT_WHITE.astype(np.uint8) + ALNUM
@@ -85,10 +85,10 @@ def ngram_counts(docs: DataFrame, target_ids: list, bits: int, text: str = "text
         total = sum(np.frombuffer(x.as_buffer(), np.int64) for x in group.column("counts"))
         return pa.table({"part": group.column("part")[:1], "counts": pa.array([total.tobytes()], pa.binary())})
 
-    found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                        F.col(text).cast("string").alias("text")) \
-        .mapInArrow(run, "part int, counts binary") \
-        .groupBy("part").applyInArrow(add, "part int, counts binary")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
+                       F.col(text).cast("string").alias("text"))
+    schema = "part int, counts binary"
+    found = arrow_groups(arrow_map(rows, run, schema), ["part"], add, schema)
     parts = dict((r[0], r[1]) for r in found.collect())
     if not parts:
         return np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
@@ -123,7 +123,7 @@ def score(docs: DataFrame, weights: np.ndarray, seed: int = 0, text: str = "text
                        (-F.log(-F.log(uniform))).alias("noise"),
                        F.col(text).cast("string").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, n_tokens bigint, log_weight double, sum double")
+    return arrow_map(rows, run, f"row {kind}, n_tokens bigint, log_weight double, sum double")
 
 
 def kth_largest(df: DataFrame, column: str, k: int, width: int = 4096) -> float:

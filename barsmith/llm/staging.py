@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import math
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import barsmith
 from barsmith.session import scratch_path
 from barsmith.sources.store import remove_path
 
@@ -38,3 +42,33 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
 def pieces_for(total: int, each: int, least: int = 1) -> int:
     """How many pieces of about ``each`` make ``total``; grows with the input."""
     return max(least, math.ceil(total / each))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the Python workers, once per application,
+    so that they need neither an installed copy nor the driver's folders."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = Path(barsmith.__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="barsmith-")) / "barsmith_workers.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    spark.sparkContext.addPyFile(str(path))
+    _SHIPPED.add(app)
+
+
+def arrow_map(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand on the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+def arrow_groups(df: DataFrame, keys: list[str], run, schema) -> DataFrame:
+    """``df.groupBy(keys).applyInArrow`` with this package at hand on the workers."""
+    ship_package(df.sparkSession)
+    return df.groupBy(*keys).applyInArrow(run, schema)

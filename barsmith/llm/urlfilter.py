@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from barsmith.llm.staging import pieces_for, staged
+from barsmith.llm.staging import arrow_map, pieces_for, staged
 
 #: Actions, strongest first.
 ACTIONS = ("allow", "block", "listed")
@@ -142,7 +142,7 @@ def judge(pages: DataFrame, entries: DataFrame, url: str = "url",
     for shard in range(shards):
         own = entries.select("action", "host", "path").where(key == shard).collect()
         sent = pages.sparkSession.sparkContext.broadcast(build_index([tuple(r) for r in own]))
-        rows = rows.mapInArrow(_probe(sent), rows.schema)
+        rows = arrow_map(rows, _probe(sent), rows.schema)
         if shard + 1 < shards:
             rows = staged(rows, "url-shard")
     return rows

@@ -137,7 +137,14 @@ def words_of(col: pa.Array, kinds: np.ndarray = NOT_WHITE) -> Words:
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray,
                 table: np.ndarray | None = None) -> np.ndarray:
     """Hash of ``data[start[i]:end[i]]`` for ascending, non-overlapping spans."""
-    out = np.empty(len(start), np.uint64)
+    return prefix_hashes(data, start, end, [None], table)[0]
+
+
+def prefix_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, sizes: list[int | None],
+                  table: np.ndarray | None = None) -> np.ndarray:
+    """For each of ``sizes`` the hash of the first so many bytes of every span
+    (None: of the whole span, which is also a shorter span's prefix)."""
+    out = np.empty((len(sizes), len(start)), np.uint64)
     values = _T if table is None else _T[table]
     i = 0
     with np.errstate(over="ignore"):
@@ -145,7 +152,8 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray,
             base = start[i]
             if end[i] - base > PIECE:
                 raw = data[base:end[i]] if table is None else table[data[base:end[i]]]
-                out[i] = xxhash.xxh64_intdigest(raw.tobytes())
+                for k, size in enumerate(sizes):
+                    out[k, i] = xxhash.xxh64_intdigest(raw[:size].tobytes())
                 i += 1
                 continue
             j = int(np.searchsorted(end, base + PIECE, "right"))
@@ -156,7 +164,9 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray,
             s, e = start[i:j] - base, end[i:j] - base
             # An empty span at the very end has no power of its own; its sum is 0.
             inv = q[np.minimum(s, len(q) - 1)] if len(q) else np.ones(len(s), np.uint64)
-            out[i:j] = mix((c[e] - c[s]) * inv + (e - s).astype(np.uint64))
+            for k, size in enumerate(sizes):
+                stop = e if size is None else np.minimum(e, s + size)
+                out[k, i:j] = mix((c[stop] - c[s]) * inv + (stop - s).astype(np.uint64))
             i = j
     return out
 
