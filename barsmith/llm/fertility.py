@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from barsmith.llm.staging import arrow_map, staged
 from barsmith.llm.tokens import PIECE_BPE, piece_bpe_cache, vocabulary_path
-from barsmith.llm.words import (Words, mix, ngram_hashes, runs, span_hashes, text_slices, words_of)
+from barsmith.llm.words import (
+    Words, mix, ngram_hashes, per_doc, runs, span_hashes, text_slices, words_of)
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -50,11 +51,6 @@ def _vocabulary(path: str):
     return _CACHE[path]
 
 
-def per_doc(flag: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Sum of ``flag`` between consecutive offsets."""
-    return np.diff(np.concatenate([[0], np.cumsum(flag, dtype=np.int64)])[offsets])
-
-
 def _in_document(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return mix(h ^ (doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from barsmith.llm import decontaminate, fertility, packing, resample, suffix_tree, toxicity, urlfilter
+from barsmith.llm import (
+    decontaminate, extract, fertility, packing, resample, suffix_tree, toxicity, urlfilter)
 from barsmith.llm.staging import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +80,11 @@ def op10_probabilistic_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFram
     found = suffix_tree.score(docs, remainder(F.col("doc_id"), 5) == 1)
     return found.select("doc_id", (remainder(F.col("doc_id"), 5) == 1).alias("held_out"),
                         "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op5_recurrent_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract.extract(pages).select(
+        F.col("row.page_id").alias("page_id"), F.col("row.url").alias("url"), "text",
+        F.length("text").cast("bigint").alias("n_chars"))
