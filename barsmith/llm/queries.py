@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barsmith.llm import (
-    decontaminate, extract, fertility, packing, resample, suffix_tree, toxicity, urlfilter)
+    decontaminate, extract, fertility, linespread, packing, resample, suffix_tree, toxicity, urlfilter)
 from barsmith.llm.staging import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,15 @@ def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("sum").alias("gumbel_sum"), "kept")
 
 
+@query
+def op2_distinct_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linespread.clean(read_table(spark, sf_dir, "documents"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "text", "n_lines", "n_removed")
+
+
+ORACLE["op2_distinct_site_spread"] = linespread.ORACLE
+
+
 @query
 def op3_convolutional_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
