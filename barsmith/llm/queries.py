@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barsmith.llm import (
-    decontaminate, extract, fertility, linespread, packing, resample, suffix_tree, toxicity, urlfilter)
+    decontaminate, extract, fertility, linespread, packing, resample, suffix_tree, toccurrence,
+    toxicity, urlfilter)
 from barsmith.llm.staging import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +58,11 @@ def op4_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_crc32(packing.pack(read_table(spark, sf_dir, "documents")))
 
 
+@query
+def op6_t_occurrence_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toccurrence.jaccard_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op7_prefix_filtered_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
