@@ -5,6 +5,7 @@ Commands map the original job's entry points onto the two-step design:
 * ``land-master``  CSV master -> Parquet with line order
 * ``plan``         request manifest for spot / stocks / options (written as Parquet)
 * ``ingest``       landed responses -> store, plus reports (batch or ``--stream``)
+* ``next-run``     split manifest of one run -> request manifest of the next
 * ``migrate``      original per-entity files -> store
 """
 
@@ -47,6 +48,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     i.add_argument("--reports", required=True)
     i.add_argument("--stream", action="store_true", help="availableNow file stream")
     i.add_argument("--checkpoint", default=None)
+    i.add_argument("--strict-cells", action="store_true",
+                   help="fail on a null or unreadable cell inside an array")
+    n = sub.add_parser("next-run")
+    n.add_argument("--kind", choices=["spot", "stocks", "options"], required=True)
+    n.add_argument("--split-manifest", required=True, help="<reports>/split_manifest of a run")
+    n.add_argument("--run", type=int, required=True, help="number of the next run")
+    n.add_argument("--out", required=True, help="manifest output (Parquet)")
     g = sub.add_parser("migrate")
     g.add_argument("--kind", choices=["spot", "stocks", "options"], required=True)
     g.add_argument("--legacy-root", required=True)
@@ -80,17 +88,17 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                           a.checkpoint or a.reports + "/_checkpoint", a.reports,
                           granularity=a.granularity)
         else:
-            res = (J.ingest_options(spark, manifest, a.landing, a.store,
-                                    granularity=a.granularity) if a.kind == "options"
-                   else J.ingest_candles(spark, a.kind, manifest, a.landing, a.store,
-                                         granularity=a.granularity))
-            res.summary.write.mode("overwrite").parquet(a.reports + "/summary")
-            res.run_summary.write.mode("overwrite").parquet(a.reports + "/run_summary")
-            res.quarantine.write.mode("overwrite").parquet(a.reports + "/quarantine")
-            res.rerequest.write.mode("overwrite").parquet(a.reports + "/rerequest")
-            if a.kind != "options":
-                res.split_manifest.write.mode("overwrite").parquet(a.reports + "/split_manifest")
+            own = {"granularity": a.granularity, "strict_cells": a.strict_cells}
+            res = (J.ingest_options(spark, manifest, a.landing, a.store, **own)
+                   if a.kind == "options"
+                   else J.ingest_candles(spark, a.kind, manifest, a.landing, a.store, **own))
+            for name in ("summary", "run_summary", "quarantine", "rerequest", "split_manifest"):
+                getattr(res, name).write.mode("overwrite").parquet(f"{a.reports}/{name}")
+            res.release(spark)
             print(json.dumps({"months": res.months, **res.metrics}))
+    elif a.cmd == "next-run":
+        J.next_run_split_manifest(spark.read.parquet(a.split_manifest), a.kind, a.run) \
+            .write.mode("overwrite").parquet(a.out)
     elif a.cmd == "migrate":
         from barsmith.sources.legacy import migrate
         schema = (J.option_store(a.granularity) if a.kind == "options"

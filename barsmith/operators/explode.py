@@ -1,10 +1,11 @@
 """Column-array responses -> one row per candle.
 
-A response row holds parallel arrays (``timestamp``, ``open``, ...). Rows are
-built by one ``transform`` over the timestamp array that reads every other
-array at the same index with ``get`` (null out of range, never an error) and
-then ``inline``: the arrays are touched once per response, never copied per
-output row. ``arrays_zip`` is not used: it pads to the longest array.
+A response row holds parallel arrays (``timestamp``, ``open``, ...). The arrays,
+missing ones taken as empty, are zipped and exploded with their position, and
+the cells are parsed after the explode, so generation and parsing run in one
+code-generated stage. ``arrays_zip`` pads to the longest array: positions beyond
+the timestamps are dropped, and each array's own size, carried along, tells a
+cell beyond its end from a null inside it.
 
 Three length policies, kept apart on purpose:
 
@@ -28,6 +29,16 @@ from barsmith.functions.numbers import empty_to_null_double, to_double, to_long
 PRICE_FIELDS = ["open", "high", "low", "close"]
 
 
+def _zipped(resp: DataFrame, carry: list[str], arrays: dict[str, Column]) -> DataFrame:
+    """``carry``, ``pos``, the size of every array (``_n_<name>``) and its cell
+    (``_c.<name>``), one row per timestamp."""
+    named = resp.select(*carry, *[a.alias(f"_a_{n}") for n, a in arrays.items()])
+    zipped = named.select(*carry, *[F.size(f"_a_{n}").alias(f"_n_{n}") for n in arrays],
+                          F.arrays_zip(*[f"_a_{n}" for n in arrays]).alias("_z"))
+    return zipped.select(*carry, *[f"_n_{n}" for n in arrays], F.posexplode("_z").alias("pos", "_c")) \
+        .where(F.col("pos") < F.col("_n_timestamp"))
+
+
 def _arr(df: DataFrame, name: str, base: str | None) -> Column:
     """A response array, missing/null -> empty (``data.get(x) or []``)."""
     ref = F.col(f"{base}.{name}") if base else F.col(name)
@@ -35,23 +46,29 @@ def _arr(df: DataFrame, name: str, base: str | None) -> Column:
     return F.coalesce(ref, F.array().cast(dtype))
 
 
-def _price(arr: Column, i: Column, policy: str, strict_cells: bool, name: str) -> Column:
-    in_range = i < F.size(arr)
-    cell = F.get(arr, i)
-    value = to_double(cell, strict=strict_cells, what=name)
+def _cell(name: str) -> Column:
+    return F.col(f"_c._a_{name}")
+
+
+def _in_range(name: str) -> Column:
+    return F.col("pos") < F.col(f"_n_{name}")
+
+
+def _price(name: str, policy: str, strict_cells: bool) -> Column:
+    value = to_double(_cell(name), strict=strict_cells, what=name)
     if policy == "zero_fill":
-        return F.when(in_range, value).otherwise(F.lit(0.0))
+        return F.when(_in_range(name), value).otherwise(F.lit(0.0))
     if policy == "null_fill":
-        return F.when(in_range, value)
+        return F.when(_in_range(name), value)
     return value  # strict: lengths were checked per response
 
 
-def _count(arr: Column, i: Column, strict_cells: bool, name: str) -> Column:
+def _count(name: str, strict_cells: bool) -> Column:
     """volume / oi: 0 beyond the array; an in-range bad cell is 0 (or fails)."""
-    value = to_long(F.get(arr, i), strict=strict_cells, what=name)
+    value = to_long(_cell(name), strict=strict_cells, what=name)
     if not strict_cells:
         value = F.coalesce(value, F.lit(0).cast("bigint"))
-    return F.when(i < F.size(arr), value).otherwise(F.lit(0).cast("bigint"))
+    return F.when(_in_range(name), value).otherwise(F.lit(0).cast("bigint"))
 
 
 def explode_candles(resp: DataFrame, policy: str, carry: list[str],
@@ -63,25 +80,20 @@ def explode_candles(resp: DataFrame, policy: str, carry: list[str],
     """
     if policy not in ("strict", "zero_fill", "null_fill"):
         raise ValueError(policy)
-    ts = _arr(resp, "timestamp", base)
-    arrays = {n: _arr(resp, n, base) for n in PRICE_FIELDS + ["volume"]}
+    arrays = {n: _arr(resp, n, base) for n in ["timestamp", *PRICE_FIELDS, "volume"]}
     if policy == "strict":
+        ts = arrays["timestamp"]
         n = F.size(ts)
         aligned = F.lit(True)
         for name in PRICE_FIELDS:
             aligned = aligned & (F.size(arrays[name]) == n)
         msg = F.concat(F.lit("Misaligned arrays in response "),
                        (label if label is not None else F.lit("?")).cast("string"))
-        ts = F.when((n == 0) | aligned, ts).otherwise(F.raise_error(msg))
-
-    def row(t: Column, i: Column) -> Column:
-        fields = [i.alias("pos"), to_long(t, strict=strict_cells, what="timestamp").alias("ts")]
-        for name in PRICE_FIELDS:
-            fields.append(_price(arrays[name], i, policy, strict_cells, name).alias(name))
-        fields.append(_count(arrays["volume"], i, strict_cells, "volume").alias("volume"))
-        return F.struct(*fields)
-
-    return resp.select(*carry, F.inline(F.transform(ts, row)))
+        arrays["timestamp"] = F.when((n == 0) | aligned, ts).otherwise(F.raise_error(msg))
+    return _zipped(resp, carry, arrays).select(
+        *carry, "pos", to_long(_cell("timestamp"), strict=strict_cells, what="timestamp").alias("ts"),
+        *[_price(name, policy, strict_cells).alias(name) for name in PRICE_FIELDS],
+        _count("volume", strict_cells).alias("volume"))
 
 
 def select_side(data: Column, side: Column) -> Column:
@@ -94,22 +106,11 @@ def explode_option_side(resp: DataFrame, side_col: str, carry: list[str],
     """Option response rows (one side struct each) -> one row per candle with
     the null-fill policy (P3). Strike and spot tolerate null, ``""`` and NaN
     (null); prices and iv are null beyond their arrays; volume and oi 0."""
-    def arr(name: str) -> Column:
-        return F.coalesce(F.col(side_col).getField(name), F.array().cast("array<string>"))
-
-    ts = arr("timestamp")
-    prices = {n: arr(n) for n in PRICE_FIELDS + ["iv"]}
-    strike, spot = arr("strike"), arr("spot")
-    vol, oi = arr("volume"), arr("oi")
-
-    def row(t: Column, i: Column) -> Column:
-        fields = [i.alias("pos"), to_long(t, strict=strict_cells, what="timestamp").alias("ts")]
-        fields.append(empty_to_null_double(F.get(strike, i)).alias("strike"))
-        fields.append(empty_to_null_double(F.get(spot, i)).alias("spot"))
-        for name in PRICE_FIELDS + ["iv"]:
-            fields.append(_price(prices[name], i, "null_fill", strict_cells, name).alias(name))
-        fields.append(_count(vol, i, strict_cells, "volume").alias("volume"))
-        fields.append(_count(oi, i, strict_cells, "oi").alias("oi"))
-        return F.struct(*fields)
-
-    return resp.select(*carry, F.inline(F.transform(ts, row)))
+    names = ["timestamp", *PRICE_FIELDS, "iv", "strike", "spot", "volume", "oi"]
+    arrays = {n: F.coalesce(F.col(side_col).getField(n), F.array().cast("array<string>")) for n in names}
+    return _zipped(resp, carry, arrays).select(
+        *carry, "pos", to_long(_cell("timestamp"), strict=strict_cells, what="timestamp").alias("ts"),
+        empty_to_null_double(_cell("strike")).alias("strike"),
+        empty_to_null_double(_cell("spot")).alias("spot"),
+        *[_price(n, "null_fill", strict_cells).alias(n) for n in [*PRICE_FIELDS, "iv"]],
+        *[_count(n, strict_cells).alias(n) for n in ("volume", "oi")])

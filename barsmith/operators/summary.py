@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from barsmith.operators.dedupe import upsert
+from barsmith.operators.dedupe import nan_keys_to_null, upsert
 
 COUNTS = ["rows_in", "keys_new", "keys_replaced", "rows_out"]
 
@@ -13,10 +13,14 @@ def incoming_counts(existing: DataFrame, batch: DataFrame, entity: str,
                     keys: list[str]) -> DataFrame:
     """Per entity of the batch: ``rows_in``, ``keys_new`` (keys absent from
     ``existing``) and ``keys_replaced`` (keys already there). One partial
-    aggregate per (entity, key) feeds all three; only key columns are read."""
-    per_key = batch.groupBy(entity, *keys).agg(F.count(F.lit(1)).alias("_n"))
-    stored = existing.select(*keys).distinct().withColumn("_stored", F.lit(True))
-    flagged = per_key.join(stored, keys, "left")
+    aggregate per (entity, key) feeds all three; only key columns are read.
+    Keys compare as in the upsert: null equals null, and NaN is null."""
+    per_key = nan_keys_to_null(batch.select(*dict.fromkeys([entity, *keys])), keys) \
+        .groupBy(*dict.fromkeys([entity, *keys])).agg(F.count(F.lit(1)).alias("_n"))
+    stored = nan_keys_to_null(existing.select(*keys), keys).distinct() \
+        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.lit(True).alias("_stored"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    flagged = per_key.join(stored, same, "left")
     return flagged.groupBy(entity).agg(
         F.sum("_n").alias("rows_in"),
         F.count(F.when(F.col("_stored").isNull(), 1)).alias("keys_new"),

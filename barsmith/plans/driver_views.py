@@ -7,10 +7,8 @@ that every registered query reads the given tables and its work grows with
 them. Every derived value is a deterministic function of the row, so the DuckDB
 oracle can rebuild it with the same arithmetic.
 
-Response grouping: a response is the events of one user on one day within one
-block of 4,096 event ids. Event ids are unique, so no response can hold more
-than 4,096 candles however the data is skewed (a provider page limit of the
-same kind): no unbounded group is ever collected into one row.
+Response grouping: a response is the events of one user in one 30-day request
+window, as the original job asks for them, so it holds all bars of the window.
 """
 
 from __future__ import annotations
@@ -19,7 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barsmith import functions as X
 
-RESPONSE_BLOCK = 4096
+FIRST_DAY = "2024-01-01"  # first day of the first request window
+WINDOW_DAYS = 30
 RERUN_FROM = "2024-01-28"  # day from which the fixture's second run re-fetches
 
 
@@ -27,8 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _div(c: str, d: int) -> Column:
-    return F.expr(f"{c} div {d}")
+def request_window(ts: str) -> Column:
+    """Number of the 30-day request window that holds ``ts``."""
+    days = F.datediff(ts, F.lit(FIRST_DAY).cast("date"))
+    return F.floor(days / WINDOW_DAYS).cast("bigint")
+
+
+def window_start(window: Column) -> Column:
+    return F.date_add(F.lit(FIRST_DAY).cast("date"), (window * WINDOW_DAYS).cast("int"))
 
 
 def event_bars(events: DataFrame) -> DataFrame:
@@ -39,7 +44,7 @@ def event_bars(events: DataFrame) -> DataFrame:
         sec.alias("sec"),
         (F.expr("unix_timestamp(ts) div 60") * 60).alias("bar"),
         F.to_date("ts").alias("day"),
-        _div("event_id", RESPONSE_BLOCK).alias("chunk"),
+        request_window("ts").alias("win"),
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
     )
 
@@ -50,7 +55,7 @@ def _sorted_elems(fields: list[Column]) -> Column:
 
 
 def intraday_responses(events: DataFrame) -> DataFrame:
-    """One response row per (user, day, id block): text arrays of
+    """One response row per (user, request window): text arrays of
     timestamp/open/high/low/close/volume, in time order, plus ``n`` and the
     short-array lengths used by the zero-fill fixtures.
 
@@ -59,7 +64,7 @@ def intraday_responses(events: DataFrame) -> DataFrame:
     ``n - user_id % 2`` (short prices for the zero-fill policy).
     """
     e = event_bars(events)
-    g = (e.groupBy("user_id", "day", "chunk")
+    g = (e.groupBy("user_id", "win")
          .agg(_sorted_elems([F.col("ts"), F.col("event_id"), F.col("sec"), F.col("value"),
                              F.col("k")]).alias("el")))
     n = F.size("el")
@@ -71,7 +76,7 @@ def intraday_responses(events: DataFrame) -> DataFrame:
 
     return g.select(
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"),
-        "user_id", "day", "chunk",
+        "user_id", "win",
         txt(lambda x: x["sec"]).alias("timestamp"),
         txt(lambda x: x["value"]).alias("open_full"),
         txt(lambda x: x["value"] + 1.0).alias("high"),
@@ -80,7 +85,7 @@ def intraday_responses(events: DataFrame) -> DataFrame:
         txt(lambda x: x["k"]).alias("volume_full"),
         s3.alias("n_short3"), s2.alias("n_short2"),
     ).select(
-        "symbol", "user_id", "day", "chunk", "timestamp", "high", "low",
+        "symbol", "user_id", "win", "timestamp", "high", "low",
         "open_full", "close_full", "volume_full",
         F.slice("open_full", 1, F.col("n_short3")).alias("open_short"),
         F.slice("close_full", 1, F.col("n_short2")).alias("close_short"),
@@ -109,29 +114,30 @@ def option_request_attrs(user: Column) -> dict[str, Column]:
 
 
 def option_responses(events: DataFrame, ingest_run: int = 1,
-                     close_bump: float = 0.5) -> DataFrame:
-    """One option response per (user, day, id block), shaped like the landed
+                     close_bump: float = 0.5, misplaced: bool = False) -> DataFrame:
+    """One option response per (user, request window), shaped like the landed
     rolling-option body: ``data.ce`` / ``data.pe`` side structs of text arrays.
 
     Side arrays: spot = base + 10 * value (base 20000 / 70000 by underlying),
     ``""`` for error events; strike = (floor(spot / step) + offset) * step,
     ``""`` for purchases with k < 30; open is short by ``user_id % 3`` values,
-    iv by one value, oi is absent for ``user_id % 5 = 0``; for
-    ``user_id % 7 = 0`` the arrays sit under the wrong side key.
+    iv by one value, oi is absent for ``user_id % 5 = 0``. With ``misplaced``
+    the arrays of ``user_id % 7 = 0`` sit under the other side's key: the
+    requested side is missing and the response gives no rows (F5).
     """
     tagged = events.select("*", F.lit(ingest_run).cast("bigint").alias("ingest_run"),
                            F.lit(close_bump).alias("close_bump"))
-    return _option_responses(tagged)
+    return _option_responses(tagged, misplaced)
 
 
-def _option_responses(events: DataFrame) -> DataFrame:
+def _option_responses(events: DataFrame, misplaced: bool = False) -> DataFrame:
     """``option_responses`` over events tagged with ``ingest_run`` and
-    ``close_bump``; one response per (run, user, day, id block)."""
+    ``close_bump``; one response per (run, user, request window)."""
     e = events.select(
         "event_id", "user_id", "event_type", "value", "ts", "ingest_run", "close_bump",
         (F.expr("unix_timestamp(ts) div 60") * 60).alias("bar"),
         F.to_date("ts").alias("day"),
-        _div("event_id", RESPONSE_BLOCK).alias("chunk"),
+        request_window("ts").alias("win"),
         F.get_json_object("props", "$.k").cast("bigint").alias("k"))
     u = F.col("user_id")
     a = option_request_attrs(u)
@@ -148,7 +154,7 @@ def _option_responses(events: DataFrame) -> DataFrame:
         .otherwise(strike.cast("string")).alias("strike_txt"),
         (F.col("value") + F.col("close_bump")).cast("string").alias("close_txt"),
     )
-    g = (e.groupBy("ingest_run", "user_id", "day", "chunk")
+    g = (e.groupBy("ingest_run", "user_id", "win")
          .agg(_sorted_elems([F.col("ts"), F.col("event_id"), F.col("bar"), F.col("value"),
                              F.col("k"), F.col("spot_txt"), F.col("strike_txt"),
                              F.col("close_txt")]).alias("el")))
@@ -171,23 +177,20 @@ def _option_responses(events: DataFrame) -> DataFrame:
         F.transform("el", lambda x: x["spot_txt"]).alias("spot"),
     )
     null_side = F.lit(None).cast(side_type())
-    day_idx = F.datediff("day", F.lit("2024-01-01").cast("date")).cast("bigint")
-    seq = (day_idx * F.lit(10 ** 15) + a["flag_idx"] * F.lit(10 ** 14)
+    other = (u % 7 == 0) if misplaced else F.lit(False)
+    seq = (F.col("win") * F.lit(10 ** 15) + a["flag_idx"] * F.lit(10 ** 14)
            + a["code_idx"] * F.lit(10 ** 13) + a["bucket_idx"] * F.lit(10 ** 11)
-           + a["side_idx"] * F.lit(10 ** 10) + u * F.lit(10 ** 4) + F.col("chunk"))
+           + a["side_idx"] * F.lit(10 ** 10) + u * F.lit(10 ** 4))
     return g.select(
         "ingest_run",
         seq.alias("request_seq"),
-        "user_id", "day",
+        "user_id", "win",
         a["underlying"].alias("underlying"), a["side"].alias("side"),
         a["expiry_type"].alias("expiry_type"), a["expiry_code"].alias("expiry_code"),
         a["bucket"].alias("bucket"),
-        # Users with user_id % 7 = 0 get their arrays under the other side's
-        # key: the requested side is missing and the response gives no rows.
-        F.struct(F.when((a["side"] == "CALL") != (u % 7 == 0), side).otherwise(null_side)
-                 .alias("ce"),
-                 F.when((a["side"] == "PUT") != (u % 7 == 0), side).otherwise(null_side)
-                 .alias("pe")).alias("data"),
+        F.struct(F.when((a["side"] == "CALL") != other, side).otherwise(null_side).alias("ce"),
+                 F.when((a["side"] == "PUT") != other, side).otherwise(null_side).alias("pe"))
+        .alias("data"),
     )
 
 

@@ -20,13 +20,14 @@ Every entity runs in the same job, keyed by column (no loop per entity).
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from barsmith import config as C
 from barsmith import functions as X
+from barsmith.operators.dedupe import keep_last
 from barsmith.operators.enrich import cast_option_candles, enrich_options
 from barsmith.operators.explode import explode_candles, explode_option_side, select_side
 from barsmith.operators.summary import COUNTS as SUMMARY_COUNTS
@@ -34,11 +35,11 @@ from barsmith.operators.resolve import missing_symbols, resolve_indices, resolve
 from barsmith.operators.watermark import high_watermark, resume_plan
 from barsmith.plans import manifest as M
 from barsmith.schemas import CANDLE, CANDLE_KEYS, OPTION_CANDLE, OPTION_KEYS, ORDER_COLUMNS
-from barsmith.sources.responses import outcome_table, read_intraday_responses, \
-    read_option_responses
+from barsmith.sources.responses import outcome_table, rank_answers, \
+    read_intraday_responses, read_option_responses
 from barsmith.session import scratch_path
 from barsmith.sources.store import PARTITION_COLUMNS, partition_value, read_store, \
-    upsert_store
+    remove_path, upsert_store
 
 ORDER = ["ingest_run", "request_seq", "pos"]
 DEFAULT_GRANULARITY = "day"
@@ -66,9 +67,15 @@ class IngestResult:
     summary: DataFrame          # outcome counts per entity, sorted by entity (O3)
     run_summary: DataFrame      # per entity: rows in / keys new / replaced / rows out, resume day (R6)
     split_manifest: DataFrame   # half-range requests for the next run (R3)
-    quarantine: DataFrame       # failed / corrupt responses
-    rerequest: DataFrame        # requests to send again: missing, failed, corrupt (R1)
+    quarantine: DataFrame       # failed, unreadable, orphan, bad-timestamp and superseded answers
+    rerequest: DataFrame        # requests to send again: missing, failed, corrupt, bad_ts (R1)
     metrics: dict               # rows_in / rows_written / n_partitions / bad_ts_rows (A5)
+    scratch: list[str] = field(default_factory=list)  # staged tables the reports read
+
+    def release(self, spark: SparkSession) -> None:
+        """Delete the staged tables, once the reports have been written."""
+        for path in self.scratch:
+            remove_path(spark, path)
 
 
 def consumer_view(store: DataFrame) -> DataFrame:
@@ -160,9 +167,20 @@ def plan_option_requests(spark: SparkSession, master: DataFrame, store_path: str
 def next_run_split_manifest(split_manifest: DataFrame, kind: str, ingest_run: int) -> DataFrame:
     """Turn the split manifest of one run into requests of the next run.
     Halves keep the top-level window; ``request_seq`` orders them by window,
-    then start day, so the later half wins on the shared day (N4)."""
+    then start day, so the later half wins on the shared day (N4); option
+    halves then go by their place in the 252 combos of a window."""
     seq = (F.col("window_idx").cast("bigint") * 100000
            + F.datediff("from_date", F.lit("1970-01-01").cast("date")) % 100000)
+    if kind == "options":
+        own = [c for c in OPTION_SPLIT if c in split_manifest.columns and c != "request_seq"]
+        return split_manifest.select(
+            _request_id(F.lit(kind), F.col("underlying"), F.col("from_date"), F.col("to_date"),
+                        F.col("expiry_type"), F.col("expiry_code"), F.col("bucket"),
+                        F.col("side"), F.lit(ingest_run)).alias("request_id"),
+            F.lit(ingest_run).cast("bigint").alias("ingest_run"),
+            (seq * M.COMBOS_PER_WINDOW + F.col("request_seq") % M.COMBOS_PER_WINDOW)
+            .alias("request_seq"),
+            *own, "window_idx", "from_date", "to_date", "from_text", "to_text")
     return split_manifest.select(
         _request_id(F.lit(kind), F.col("symbol"), F.col("from_date"), F.col("to_date"),
                     F.lit(ingest_run)).alias("request_id"),
@@ -173,44 +191,70 @@ def next_run_split_manifest(split_manifest: DataFrame, kind: str, ingest_run: in
 
 # ---------------------------------------------------------------- ingest
 
-OUTCOMES = ["ok", "empty", "no_data", "split", "corrupt", "fail", "missing"]
+OUTCOMES = ["ok", "bad_ts", "empty", "no_data", "split", "corrupt", "fail", "missing"]
+OPTION_SPLIT = ["underlying", "security_id", "segment", "strike_step", "instrument", "expiry_type",
+                "expiry_code", "bucket", "side", "request_seq"]
+CANDLE_SPLIT = ["symbol", "security_id", "segment", "instrument"]
+#: Epoch seconds a candle can have (1970 to 2100); others are unreadable timestamps.
+TS_RANGE = (0, 4102444800)
 
 
 def _responses(spark: SparkSession, landing: str | DataFrame, reader) -> DataFrame:
     return landing if isinstance(landing, DataFrame) else reader(spark, landing)
 
 
-def _stage_outcomes(spark: SparkSession, responses: DataFrame, manifest: DataFrame,
-                    sizes: dict, n_rows: Column, report_missing: bool) -> DataFrame:
-    """Triage once: the slim outcome table (no response bodies) is written
-    under the checkpoint folder and every report reads that table, so the
-    landed JSON is parsed once for the reports and once for the ingest."""
-    path = scratch_path(spark, "outcomes")
-    outcome_table(responses, manifest, sizes, n_rows, report_missing) \
-        .write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def _staged(spark: SparkSession, df: DataFrame, name: str, scratch: list[str]) -> DataFrame:
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    scratch.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _stage_answers(spark: SparkSession, responses: DataFrame, scratch: list[str]
+                   ) -> tuple[DataFrame, DataFrame]:
+    """All landed answers, ranked, and those besides the one that decides for
+    its request. The landed JSON is parsed here, once; triage and ingest read
+    the staged table."""
+    ranked = _staged(spark, rank_answers(responses), "answers", scratch)
+    return ranked, ranked.where("_rank > 1")
 
 
-def _reports(outcomes: DataFrame, manifest: DataFrame, entity: str):
-    """Summary (sorted by entity, O3), quarantine (failed, unreadable and
-    orphan lines) and re-request list (R1: missing, failed, unreadable --
-    ``no_data`` / ``empty`` answers are real gaps in the market, not ours)."""
+def _reports(outcomes: DataFrame, superseded: DataFrame, manifest: DataFrame, entity: str):
+    """Summary (sorted by entity, O3), quarantine and re-request list. Every
+    landed answer is stored (``ok``; ``bad_ts`` for its readable candles), a
+    known gap (``empty``, ``no_data``), in the split manifest or in the
+    quarantine, which holds failed, unreadable, orphan, superseded and
+    bad-timestamp answers. Requests without a usable answer -- missing, failed,
+    unreadable, bad timestamps -- are re-requested (R1)."""
     summary = (outcomes.where(F.col("outcome") != "orphan")
                .groupBy(entity).pivot("outcome", OUTCOMES).count().fillna(0).orderBy(entity))
-    quarantine = outcomes.where(F.col("outcome").isin("fail", "corrupt", "orphan")).select(
-        "request_id", entity, "status", "errorCode", "errorMessage", "_corrupt_record",
-        "outcome")
-    rerequest = outcomes.where(F.col("outcome").isin("missing", "fail", "corrupt")) \
+    columns = ["request_id", entity, "status", "errorCode", "errorMessage", "_corrupt_record",
+               "n_bad_ts", "outcome"]
+    late = superseded.join(manifest.select("request_id", entity), "request_id", "left").select(
+        "*", F.lit(0).cast("bigint").alias("n_bad_ts"), F.lit("superseded").alias("outcome"))
+    quarantine = outcomes.where(F.col("outcome").isin("fail", "corrupt", "orphan", "bad_ts")) \
+        .select(*columns).unionByName(late.select(*columns))
+    rerequest = outcomes.where(F.col("outcome").isin("missing", "fail", "corrupt", "bad_ts")) \
         .select(*manifest.columns, "outcome")
     return summary, quarantine, rerequest
 
 
 def _answered(responses: DataFrame, outcomes: DataFrame, keep: tuple[str, ...],
               carry: list[str]) -> DataFrame:
-    """Bodies of the requests whose outcome is in ``keep``, with the request
-    columns the rows carry (one equi-join on ``request_id``)."""
+    """Usable bodies of the requests whose outcome is in ``keep``, with the
+    request columns the rows carry (one equi-join on ``request_id``, which is
+    unique in the outcomes). All usable answers of a request bring their
+    candles; ``_fresh`` is larger for those that landed later."""
     req = outcomes.where(F.col("outcome").isin(*keep)).select("request_id", *carry)
-    return responses.join(req, "request_id")
+    return responses.where("_usable").withColumn("_fresh", -F.col("_rank")).join(req, "request_id")
+
+
+def _one_per_key(rows: DataFrame, superseded: DataFrame, keys: list[str]) -> DataFrame:
+    """Where some request has several usable answers, the candle of the one
+    that landed last wins a tie of run, request and position."""
+    if superseded.where("_usable").limit(1).count():
+        rows = keep_last(rows, keys, [*ORDER, "_fresh"])
+    return rows.drop("_fresh")
 
 
 def _with_resume_day(reports: dict, manifest: DataFrame, entity: str) -> DataFrame:
@@ -227,39 +271,69 @@ def _with_resume_day(reports: dict, manifest: DataFrame, entity: str) -> DataFra
                               for c in SUMMARY_COUNTS], "resume_date").orderBy(entity)
 
 
+def _bad_ts(ts: Column) -> Column:
+    """Whether an epoch second cannot be that of a candle."""
+    return F.coalesce(~ts.between(*TS_RANGE), F.lit(True))
+
+
+def _count_bad_ts(cells: Column) -> Column:
+    """Timestamp cells of a response that cannot be read."""
+    return F.size(F.filter(F.coalesce(cells, F.array().cast("array<string>")),
+                           lambda x: _bad_ts(X.to_long(x))))
+
+
 def _drop_bad_ts(rows: DataFrame):
-    """Candles whose timestamp cell is not a number cannot be keyed; they are
-    left out and counted (``bad_ts_rows``) while the batch is staged."""
+    """Candles whose timestamp cell is no plausible time cannot be keyed; they
+    are left out and counted (``bad_ts_rows``) while the batch is staged. Their
+    answer is in the quarantine and its request in the re-request list."""
     obs = Observation("bad_ts_rows")
-    rows = rows.observe(obs, F.count(F.when(F.col("ts").isNull(), 1)).alias("bad_ts_rows"))
-    return rows.where(F.col("ts").isNotNull()), obs
+    rows = rows.observe(obs, F.count(F.when(_bad_ts(F.col("ts")), 1)).alias("bad_ts_rows"))
+    return rows.where(~_bad_ts(F.col("ts"))), obs
+
+
+def _split_manifest(outcomes: DataFrame, keep: list[str], option_text: bool = False) -> DataFrame:
+    """Half-range requests for the answers that ask for a shorter range."""
+    failed = outcomes.where(F.col("outcome") == "split")
+    if "window_idx" not in failed.columns:
+        failed = failed.withColumn("window_idx", F.lit(1))
+    own = [c for c in keep if c in failed.columns]
+    return M.split_requests(failed.select(*own, "window_idx", "from_date", "to_date"), own, option_text)
 
 
 def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
                    landing: str | DataFrame, store_path: str,
                    report_missing: bool = True,
-                   granularity: str = DEFAULT_GRANULARITY) -> IngestResult:
+                   granularity: str = DEFAULT_GRANULARITY,
+                   strict_cells: bool = False) -> IngestResult:
     """Spot (strict arrays, failures abort) or stocks (zero fill, failures
     skipped) responses -> CANDLE store. ``landing`` is the landing folder or
-    an already-read response frame (a stream micro-batch)."""
+    an already-read response frame (a stream micro-batch). ``strict_cells``
+    fails on a null or unreadable cell inside an array (N5)."""
     if kind not in ("spot", "stocks"):
         raise ValueError(kind)
-    responses = _responses(spark, landing, read_intraday_responses)
+    scratch: list[str] = []
+    responses, superseded = _stage_answers(
+        spark, _responses(spark, landing, read_intraday_responses), scratch)
     n = F.size(F.coalesce(F.col("timestamp"), F.array().cast("array<string>")))
-    outcomes = _stage_outcomes(spark, responses, manifest, {"_n": n}, F.col("_n"),
-                               report_missing)
+    outcomes = _staged(spark, outcome_table(
+        responses.where("_rank = 1"), manifest, {"_n": n, "_bad": _count_bad_ts(F.col("timestamp"))}, F.col("_n"),
+        report_missing, F.col("_bad")), "outcomes", scratch)
     if kind == "spot":
         # Spot: any non-splittable failure aborts the run before anything is
-        # saved (the bounded check reads one row of the slim table).
-        failed = outcomes.where(F.col("outcome").isin("fail", "corrupt")).limit(1).collect()
+        # saved, an unreadable line or timestamp included (the bounded check
+        # reads one row of the slim table).
+        unreadable = (F.col("outcome") == "orphan") & F.col("_corrupt_record").isNotNull()
+        failed = outcomes.where(F.col("outcome").isin("fail", "corrupt", "bad_ts") | unreadable) \
+            .limit(1).collect()
         if failed:
-            raise RuntimeError(f"request failed: {failed[0]['request_id']}")
-    summary, quarantine, rerequest = _reports(outcomes, manifest, "symbol")
-    ok = _answered(responses, outcomes, ("ok",), ["symbol", "ingest_run", "request_seq"])
+            raise RuntimeError(f"request failed: {failed[0]['request_id'] or 'unreadable response'}")
+    summary, quarantine, rerequest = _reports(outcomes, superseded, manifest, "symbol")
+    ok = _answered(responses, outcomes, ("ok", "bad_ts"), ["symbol", "ingest_run", "request_seq"])
     rows = explode_candles(ok, "strict" if kind == "spot" else "zero_fill",
-                           carry=["symbol", "ingest_run", "request_seq"],
-                           label=F.col("request_id"))
+                           carry=["symbol", "ingest_run", "request_seq", "_fresh"],
+                           strict_cells=strict_cells, label=F.col("request_id"))
     rows, bad_ts = _drop_bad_ts(rows)
+    rows = _one_per_key(rows, superseded, CANDLE_KEYS)
     rows = (rows.withColumn("datetime", X.epoch_to_ist_iso("ts"))
             .withColumn(PARTITION_COLUMNS[granularity], partition_value("ts", granularity)))
     metrics: dict = {}
@@ -268,37 +342,44 @@ def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
                           ORDER, ["symbol", "ts"], metrics=metrics, entity="symbol",
                           reports=reports)
     metrics.update(bad_ts.get if months else {"bad_ts_rows": 0})
-    split = M.split_requests(
-        outcomes.where(F.col("outcome") == "split").select(
-            "symbol", "security_id", "segment", "instrument", "window_idx", "from_date",
-            "to_date"),
-        ["symbol", "security_id", "segment", "instrument"])
-    return IngestResult(months=months, summary=summary, split_manifest=split,
+    return IngestResult(months=months, summary=summary,
+                        split_manifest=_split_manifest(outcomes, CANDLE_SPLIT),
                         quarantine=quarantine, rerequest=rerequest, metrics=metrics,
-                        run_summary=_with_resume_day(reports, manifest, "symbol"))
+                        run_summary=_with_resume_day(reports, manifest, "symbol"),
+                        scratch=scratch + reports.get("scratch", []))
 
 
 def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | DataFrame,
                    store_path: str, report_missing: bool = True,
-                   granularity: str = DEFAULT_GRANULARITY) -> IngestResult:
+                   granularity: str = DEFAULT_GRANULARITY,
+                   strict_cells: bool = False) -> IngestResult:
     """Rolling-option responses -> enriched OPTION_CANDLE store. Failed
-    combos are skipped (reported in the quarantine output)."""
-    responses = _responses(spark, landing, read_option_responses)
+    combos are skipped (reported in the quarantine output and re-requested);
+    combos whose range was too long come back halved in the split manifest."""
+    scratch: list[str] = []
+    responses, superseded = _stage_answers(
+        spark, _responses(spark, landing, read_option_responses), scratch)
     empty = F.array().cast("array<string>")
     sizes = {"_n_ce": F.size(F.coalesce(F.col("data.ce.timestamp"), empty)),
-             "_n_pe": F.size(F.coalesce(F.col("data.pe.timestamp"), empty))}
-    n_rows = F.when(F.col("side") == "CALL", F.col("_n_ce")).otherwise(F.col("_n_pe"))
-    outcomes = _stage_outcomes(spark, responses, manifest, sizes, n_rows, report_missing)
-    summary, quarantine, rerequest = _reports(outcomes, manifest, "underlying")
+             "_n_pe": F.size(F.coalesce(F.col("data.pe.timestamp"), empty)),
+             "_bad_ce": _count_bad_ts(F.col("data.ce.timestamp")),
+             "_bad_pe": _count_bad_ts(F.col("data.pe.timestamp"))}
+    by_side = lambda c: F.when(F.col("side") == "CALL", F.col(f"_{c}_ce")).otherwise(F.col(f"_{c}_pe"))
+    outcomes = _staged(spark, outcome_table(
+        responses.where("_rank = 1"), manifest, sizes, by_side("n"), report_missing, by_side("bad")),
+        "outcomes", scratch)
+    summary, quarantine, rerequest = _reports(outcomes, superseded, manifest, "underlying")
     carry = ["ingest_run", "request_seq", "underlying", "side", "expiry_type", "expiry_code",
              "bucket", "strike_step"]
-    ok = _answered(responses, outcomes, ("ok",), carry)
-    sided = ok.select(*carry, select_side(F.col("data"), F.col("side")).alias("side_data"))
-    rows = explode_option_side(sided, "side_data", carry=carry)
+    kept = [*carry, "_fresh"]
+    ok = _answered(responses, outcomes, ("ok", "bad_ts"), carry)
+    sided = ok.select(*kept, select_side(F.col("data"), F.col("side")).alias("side_data"))
+    rows = explode_option_side(sided, "side_data", carry=kept, strict_cells=strict_cells)
     rows, bad_ts = _drop_bad_ts(rows)
     rows = rows.withColumn(
         "option_type", F.when(F.col("side") == "CALL", F.lit("CE")).otherwise(F.lit("PE")))
-    typed = cast_option_candles(enrich_options(rows), extra=ORDER) \
+    typed = cast_option_candles(enrich_options(rows), extra=[*ORDER, "_fresh"])
+    typed = _one_per_key(typed, superseded, OPTION_KEYS) \
         .withColumn(PARTITION_COLUMNS[granularity], partition_value("ts", granularity))
     metrics: dict = {}
     reports: dict = {}
@@ -306,10 +387,11 @@ def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | Data
                           ORDER, ["underlying", "ts"], metrics=metrics, entity="underlying",
                           reports=reports)
     metrics.update(bad_ts.get if months else {"bad_ts_rows": 0})
-    empty_split = spark.createDataFrame([], "request_id string")
-    return IngestResult(months=months, summary=summary, split_manifest=empty_split,
+    return IngestResult(months=months, summary=summary,
+                        split_manifest=_split_manifest(outcomes, OPTION_SPLIT, option_text=True),
                         quarantine=quarantine, rerequest=rerequest, metrics=metrics,
-                        run_summary=_with_resume_day(reports, manifest, "underlying"))
+                        run_summary=_with_resume_day(reports, manifest, "underlying"),
+                        scratch=scratch + reports.get("scratch", []))
 
 
 def register_views(spark: SparkSession, spot: str | None = None, stocks: str | None = None,

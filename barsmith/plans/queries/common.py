@@ -64,7 +64,7 @@ ev AS (
          epoch_us(ts) // 1000000 AS sec,
          (epoch_us(ts) // 1000000) // 60 * 60 AS bar,
          CAST(ts AS DATE) AS day,
-         event_id // 4096 AS chunk,
+         date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 30 AS win,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
   FROM events)"""
 
@@ -72,21 +72,17 @@ IST_ISO = ("strftime(make_timestamp(CAST({x} AS BIGINT) * 1000000) + INTERVAL 33
            "'%Y-%m-%dT%H:%M:%S') || '+05:30'")
 
 
-OPTION_ROWS_SQL = f"""
+_OPTION_ROWS = f"""
 WITH {EV_CTE.strip()},
 runs AS (
-  -- Not a sampling filter: responses of users with user_id % 7 = 0 carry their
-  -- arrays under the other side's key, so picking the requested side yields no
-  -- rows (Spark reads and groups every event; the side pick drops them).
   SELECT ev.*, 1 AS ingest_run, CAST(0.5 AS DOUBLE) AS bump FROM ev
-  WHERE user_id % 7 <> 0
   UNION ALL
   SELECT ev.*, 2 AS ingest_run, CAST(0.75 AS DOUBLE) AS bump FROM ev
-  WHERE day >= DATE '2024-01-28' AND user_id % 7 <> 0),
+  WHERE day >= DATE '2024-01-28'),
 p AS (
   SELECT *,
-    row_number() OVER (PARTITION BY ingest_run, user_id, day, chunk ORDER BY ts, event_id) - 1 AS pos,
-    count(*) OVER (PARTITION BY ingest_run, user_id, day, chunk) AS n,
+    row_number() OVER (PARTITION BY ingest_run, user_id, win ORDER BY ts, event_id) - 1 AS pos,
+    count(*) OVER (PARTITION BY ingest_run, user_id, win) AS n,
     (user_id // 4) % 2 AS flag_idx, (user_id // 8) % 3 AS code_idx,
     user_id % 21 AS bucket_idx, (user_id // 2) % 2 AS side_idx,
     CASE WHEN user_id % 2 = 0 THEN 50 ELSE 100 END AS step,
@@ -100,9 +96,9 @@ c AS (
     CASE WHEN side_idx = 0 THEN 'CE' ELSE 'PE' END AS option_type,
     CASE WHEN flag_idx = 0 THEN 'WEEK' ELSE 'MONTH' END AS expiry_type,
     code_idx + 1 AS expiry_code,
-    date_diff('day', DATE '2024-01-01', day) * 1000000000000000 + flag_idx * 100000000000000
+    win * 1000000000000000 + flag_idx * 100000000000000
       + code_idx * 10000000000000 + bucket_idx * 100000000000 + side_idx * 10000000000
-      + user_id * 10000 + chunk AS request_seq
+      + user_id * 10000 AS request_seq
   FROM p),
 d AS (
   SELECT *,
@@ -129,13 +125,14 @@ o AS (
     k AS volume,
     CASE WHEN user_id % 5 = 0 THEN CAST(0 AS BIGINT) ELSE event_id END AS oi,
     CASE WHEN pos < n - 1 THEN value / CAST(100 AS DOUBLE) END AS iv,
-    ingest_run, request_seq, pos
+    ingest_run, request_seq, pos, user_id
   FROM d)"""
+OPTION_ROWS_SQL = _OPTION_ROWS
 
 
 CANDLE_ROWS_CTE = f"""
 WITH {EV_CTE.strip()},
 r AS (
-  SELECT *, row_number() OVER (PARTITION BY user_id, day, chunk ORDER BY ts, event_id) - 1 AS pos,
-         count(*) OVER (PARTITION BY user_id, day, chunk) AS n
+  SELECT *, row_number() OVER (PARTITION BY user_id, win ORDER BY ts, event_id) - 1 AS pos,
+         count(*) OVER (PARTITION BY user_id, win) AS n
   FROM ev)"""

@@ -16,6 +16,12 @@ from barsmith.plans.queries.common import (
 from barsmith.session import scratch_path
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """A manifest as a collector would find it: written once, then read."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @register("ingest_stocks_job", CANDLE_ROWS_CTE + f"""
 SELECT 'U' || user_id AS symbol, sec AS ts, {IST_ISO.format(x='sec')} AS datetime,
   CASE WHEN pos < n - user_id % 3 THEN value ELSE CAST(0 AS DOUBLE) END AS open,
@@ -31,8 +37,7 @@ def ingest_stocks_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     triages, explodes (zero fill), upserts into a fresh store, which is read
     back through the consumer view."""
     resp = V.intraday_responses(V.table(spark, sf_dir, "events"))
-    rid = F.concat_ws("-", F.col("symbol"), F.col("day").cast("string"),
-                      F.col("chunk").cast("string"))
+    rid = F.concat_ws("-", F.col("symbol"), F.col("win").cast("string"))
     root = scratch_path(spark, "stocks-job")
     resp.select(rid.alias("request_id"), F.lit(200).alias("status"), "timestamp",
                 F.col("open_short").alias("open"), "high", "low",
@@ -40,12 +45,13 @@ def ingest_stocks_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         .write.mode("overwrite").json(f"{root}/landing")
     manifest = resp.select(
         rid.alias("request_id"), F.lit(1).cast("bigint").alias("ingest_run"),
-        (F.datediff("day", F.lit("2024-01-01").cast("date")).cast("bigint") * 100000
-         + F.col("chunk")).alias("request_seq"),
+        F.col("win").alias("request_seq"),
         "symbol", F.col("user_id").cast("string").alias("security_id"),
         F.lit("NSE_EQ").alias("segment"), F.lit("EQUITY").alias("instrument"),
-        F.lit(1).alias("window_idx"), F.col("day").alias("from_date"),
-        F.date_add("day", 1).alias("to_date"))
+        (F.col("win") + 1).cast("int").alias("window_idx"),
+        V.window_start(F.col("win")).alias("from_date"),
+        V.window_start(F.col("win") + 1).alias("to_date"))
+    manifest = written(manifest, f"{root}/manifest")
     J.ingest_candles(spark, "stocks", manifest, f"{root}/landing", f"{root}/store")
     return J.consumer_view(J.read_store(spark, f"{root}/store", J.CANDLE_STORE)) \
         .drop("trade_date")
@@ -72,8 +78,9 @@ def ingest_options_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = resp.select(
         rid.alias("request_id"), "ingest_run", "request_seq", "underlying", "side",
         "expiry_type", "expiry_code", "bucket", strike_step(F.col("underlying"))
-        .alias("strike_step"), F.col("day").alias("from_date"),
-        F.date_add("day", 1).alias("to_date"))
+        .alias("strike_step"), V.window_start(F.col("win")).alias("from_date"),
+        V.window_start(F.col("win") + 1).alias("to_date"))
+    manifest = written(manifest, f"{root}/manifest")
     J.ingest_options(spark, manifest, f"{root}/landing", f"{root}/store")
     return J.consumer_view(J.read_store(spark, f"{root}/store", J.OPTION_STORE)) \
         .drop("trade_date")

@@ -1,8 +1,9 @@
 """Spark session and shared scratch locations.
 
 Library code never picks a machine-local folder on its own: scratch tables go
-under the cluster's ``spark.checkpoint.dir``. Only when that setting is unset
-(local runs, tests) do we set one, under the system temp folder.
+under the cluster's ``spark.checkpoint.dir``. Only on a local master, when that
+setting is unset (local runs, tests), do we set one under the system temp folder;
+on any other master an unset folder is an error.
 """
 
 from __future__ import annotations
@@ -51,6 +52,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     current = (sc.getCheckpointDir() if sc else None) or spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(
+                f"set {CHECKPOINT_CONF} to a folder that all executors share: a temp folder "
+                "of the driver's machine cannot hold staged tables on a cluster")
         current = tempfile.mkdtemp(prefix="barsmith-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     if sc is None:

@@ -4,7 +4,10 @@ The master is read with a header and no schema inference (every cell is
 text). Header names and cells are stripped of surrounding whitespace, tabs
 included. Ties in resolution depend on the master's line order, which Spark
 does not keep for CSV, so the master is landed once as Parquet with an
-explicit ``row_seq``:
+explicit ``row_seq``. Quoted cells may hold commas, doubled quotes and line
+breaks, as a standard CSV reader takes them; a line break inside a cell needs the
+file to be read whole, so a file is one split (the master is one small file, and
+several files are read in parallel):
 
 ``row_seq`` = rows in earlier file splits + position inside the split. The
 position comes from ``monotonically_increasing_id`` (consecutive inside one
@@ -26,6 +29,7 @@ from barsmith.functions.text import strip_ws
 def read_master_csv(spark: SparkSession, path: str) -> DataFrame:
     raw = (spark.read.option("header", True).option("inferSchema", False)
            .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True)
+           .option("escape", '"').option("multiLine", True)
            .csv(path))
     # Strip header names and cells (Unicode whitespace, like Python strip).
     return raw.select(*[strip_ws(F.col(f"`{c}`")).alias(c.strip()) for c in raw.columns],

@@ -192,6 +192,7 @@ def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: Struc
             .parquet(summary_path)
     if summary_path:
         reports["entity_summary"] = spark.read.parquet(summary_path)
+        reports.setdefault("scratch", []).extend(p for p in (summary_path, incoming_path) if p)
     if stage_path:
         # The store write has committed; nothing reads the staged copy now.
         remove_path(spark, stage_path)

@@ -4,7 +4,9 @@ Landed response files are a file-source stream; each micro-batch runs the
 same triage -> explode -> enrich -> upsert as the batch job. The store upsert
 is idempotent, so a replayed micro-batch (``foreachBatch`` is at-least-once)
 leaves the store unchanged; report rows carry the micro-batch id so a replay
-can be recognised. ``trigger(availableNow=True)`` processes what has landed
+can be recognised. A micro-batch rewrites every partition it touches, so an
+answer over 30 days rewrites up to 30 of them: let files gather
+(``max_files_per_trigger`` unset, or a long trigger) where that matters. ``trigger(availableNow=True)`` processes what has landed
 and stops; a processing-time trigger keeps it running.
 """
 
@@ -14,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barsmith.plans import jobs as J
 from barsmith.schemas import INTRADAY_RESPONSE, OPTION_RESPONSE
+from barsmith.sources.responses import with_landing
 
 
 def stream_ingest(spark: SparkSession, kind: str, manifest: DataFrame, landing: str,
@@ -26,9 +29,9 @@ def stream_ingest(spark: SparkSession, kind: str, manifest: DataFrame, landing:
               .option("columnNameOfCorruptRecord", "_corrupt_record"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.json(landing)
+    stream = with_landing(reader.json(landing))
 
-    def each(batch: DataFrame, epoch: int) -> None:  # noqa: C901
+    def each(batch: DataFrame, epoch: int) -> None:
         s = batch.sparkSession
         if kind == "options":
             res = J.ingest_options(s, manifest, batch, store_path, report_missing=False,
@@ -37,13 +40,9 @@ def stream_ingest(spark: SparkSession, kind: str, manifest: DataFrame, landing:
             res = J.ingest_candles(s, kind, manifest, batch, store_path, report_missing=False,
                                    granularity=granularity)
         tag = F.lit(epoch).cast("bigint").alias("batch_id")
-        res.quarantine.select("*", tag).write.mode("append").parquet(f"{reports_path}/quarantine")
-        res.summary.select("*", tag).write.mode("append").parquet(f"{reports_path}/summary")
-        res.run_summary.select("*", tag).write.mode("append") \
-            .parquet(f"{reports_path}/run_summary")
-        if res.split_manifest.columns != ["request_id"]:
-            res.split_manifest.select("*", tag).write.mode("append") \
-                .parquet(f"{reports_path}/split_manifest")
+        for name in ("quarantine", "rerequest", "summary", "run_summary", "split_manifest"):
+            getattr(res, name).select("*", tag).write.mode("append").parquet(f"{reports_path}/{name}")
+        res.release(s)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now \
