@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from barsmith import functions as X
 from barsmith.session import spread
 
 
@@ -20,3 +21,25 @@ def coverage_gaps(observed: DataFrame, entity: str, day: str) -> DataFrame:
     gaps = planned.join(obs, [entity, day], "left_anti")
     return gaps.select(entity, F.col(day).alias("from_date"),
                        F.date_add(day, 1).alias("to_date"))
+
+
+def combo_gaps(planned: DataFrame, stored: DataFrame) -> DataFrame:
+    """Planned option requests (``plans.manifest.option_requests``) for which
+    the store holds no candle: the re-request list by underlying, window, flag,
+    code, bucket and side (R1). Gaps before the first and after the last stored
+    day count too, as the grid comes from the plan.
+
+    The stored candles are reduced to their distinct (combination, IST day)
+    first; days meet windows by an equi-join on the combination followed by a
+    range condition, and the result is an anti join of the plan."""
+    side = F.when(F.col("option_type") == "CE", F.lit("CALL")).otherwise(F.lit("PUT"))
+    seen = stored.select(
+        F.col("underlying").alias("_u"), side.alias("_s"), F.col("expiry_type").alias("_t"),
+        F.col("expiry_code").alias("_c"), F.col("strike_offset").cast("int").alias("_o"),
+        X.epoch_to_ist_date("ts").alias("_day")).distinct()
+    offset = X.strike_offset("bucket").cast("int")
+    same = ((F.col("underlying") == F.col("_u")) & (F.col("side") == F.col("_s"))
+            & (F.col("expiry_type") == F.col("_t")) & (F.col("expiry_code") == F.col("_c"))
+            & (offset == F.col("_o")) & (F.col("_day") >= F.col("from_date"))
+            & (F.col("_day") < F.col("to_date")))
+    return planned.join(seen, same, "left_anti")

@@ -113,11 +113,12 @@ def plan_spot_requests(spark: SparkSession, master: DataFrame, store_path: str,
 
 def plan_stock_requests(spark: SparkSession, master: DataFrame, store_path: str,
                         as_of: _dt.date | None, ingest_run: int,
-                        symbols: list[str] | None = None,
+                        symbols: list[str] | DataFrame | None = None,
                         granularity: str = DEFAULT_GRANULARITY) -> tuple[DataFrame, DataFrame]:
     """Stock manifest for the symbol list (90-day windows from the resume
     day, default 2023-01-01), plus the symbols that could not be resolved."""
-    req = spark.createDataFrame([(s,) for s in (symbols or C.STOCK_SYMBOLS)], "symbol string")
+    req = symbols if isinstance(symbols, DataFrame) else \
+        spark.createDataFrame([(s,) for s in (symbols or C.STOCK_SYMBOLS)], "symbol string")
     ids = resolve_symbols(master, req).where(F.col("security_id").isNotNull())
     plan = resume_plan(ids.select("symbol", "security_id"),
                        _watermarks(spark, store_path, candle_store(granularity), "symbol"),

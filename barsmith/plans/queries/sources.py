@@ -14,7 +14,7 @@ from barsmith.plans.queries.common import EV_CTE, IST_ISO, OPTION_ROWS_SQL, regi
 from barsmith.plans.queries.store import LINE_BATCHES_CTE, STORE_KEYS, STORE_ORDER, STORE_SCHEMA
 from barsmith.session import scratch_path
 from barsmith.sources.instruments import land_master
-from barsmith.sources.legacy import read_legacy
+from barsmith.sources.legacy import read_legacy, to_legacy_layout
 from barsmith.sources.responses import read_option_responses
 from barsmith.sources.store import read_store, trade_month
 from barsmith.streaming.upsert_stream import run_upsert_stream
@@ -186,9 +186,10 @@ SELECT 'S' || l_suppkey AS symbol, epoch_us(l_shipdate) // 1000000 AS ts,
 FROM lineitem
 """)
 def legacy_layout_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candles stored one folder per entity with the entity only in
-    the path (as the original job stores one file per symbol) are read back
-    in one scan; the symbol comes from ``_metadata.file_path``."""
+    """Candles in the original layout, ``stocks/<SYMBOL>/<SYMBOL>_1m.parquet``,
+    read back by the real globs in one scan; the symbol comes from
+    ``_metadata.file_path``. A partitioned write makes the entity folders (a
+    large entity in several files); its files then take the layout's names."""
     li = V.table(spark, sf_dir, "lineitem")
     ts = X.epoch_seconds("l_shipdate")
     root = scratch_path(spark, "legacy")
@@ -196,8 +197,8 @@ def legacy_layout_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                ts.alias("ts"), X.epoch_to_ist_iso(ts).alias("datetime"),
                *[F.col("l_extendedprice").alias(c) for c in ("open", "high", "low", "close")],
                F.col("l_quantity").cast("bigint").alias("volume"))
-     # One task per entity folder: one file per entity, written in parallel.
-     .repartition("sym")
-     .write.mode("overwrite").partitionBy("sym").parquet(f"{root}/stocks"))
-    return read_legacy(spark, root, "stocks", path_glob=f"{root}/stocks/sym=*/*.parquet",
-                       entity_pattern=r"/sym=([^/]+)/[^/]+$")
+     # AQE packs small entities and splits a large one over several files.
+     .hint("rebalance", "sym")
+     .write.mode("overwrite").partitionBy("sym").parquet(f"{root}/written"))
+    to_legacy_layout(spark, f"{root}/written", "sym", f"{root}/stocks")
+    return read_legacy(spark, root, "stocks")

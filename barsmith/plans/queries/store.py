@@ -12,7 +12,8 @@ from barsmith.operators.watermark import high_watermark, resume_plan
 from barsmith.plans import driver_views as V
 from barsmith.plans.queries.common import register
 from barsmith.session import scratch_path
-from barsmith.sources.store import read_store, trade_month, upsert_store
+from barsmith.sources.store import (
+    BUCKET_COLUMN, read_entity, read_store, symbol_bucket, trade_month, upsert_store)
 
 
 LINE_KEYS = ["l_orderkey", "l_linenumber"]
@@ -99,6 +100,8 @@ STORE_SCHEMA = T.StructType([
     T.StructField("l_returnflag", T.StringType()), T.StructField("ingest_run", T.LongType()),
     T.StructField("trade_month", T.StringType()),
 ])
+BUCKETED_SCHEMA = T.StructType([*STORE_SCHEMA.fields, T.StructField(BUCKET_COLUMN, T.IntegerType())])
+READ_BUCKETS = 8
 STORE_KEYS = ["l_orderkey", "l_linenumber", "ts"]
 STORE_ORDER = ["ingest_run", "l_partkey", "l_suppkey"]
 
@@ -119,18 +122,23 @@ def _resume_batch(spark: SparkSession, path: str, lineitem: DataFrame) -> DataFr
             .withColumn("trade_month", trade_month("ts")))
 
 
-def _store_two_runs(spark: SparkSession, sf_dir: str) -> str:
+def _store_two_runs(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> str:
     li = V.table(spark, sf_dir, "lineitem")
     path = scratch_path(spark, "lineitem-store")
+    schema = BUCKETED_SCHEMA if buckets else STORE_SCHEMA
+
+    def shaped(batch: DataFrame) -> DataFrame:
+        return batch.withColumn(BUCKET_COLUMN, symbol_bucket("symbol", buckets)) if buckets else batch
+
     run1 = (V.lineitem_candles(li)
             .where(F.col("l_shipdate") < F.lit(V.LINE_CUTOFF).cast("timestamp_ntz"))
             .withColumn("ingest_run", F.lit(1).cast("bigint"))
             .withColumn("trade_month", trade_month("ts")))
     # These batches are plain Parquet scans, cheaper to recompute than to
     # stage; the ingest jobs (JSON parse + explode) keep the default staging.
-    upsert_store(spark, path, run1, STORE_SCHEMA, STORE_KEYS, STORE_ORDER, ["symbol", "ts"],
+    upsert_store(spark, path, shaped(run1), schema, STORE_KEYS, STORE_ORDER, ["symbol", "ts"],
                  stage=False)
-    upsert_store(spark, path, _resume_batch(spark, path, li), STORE_SCHEMA, STORE_KEYS,
+    upsert_store(spark, path, shaped(_resume_batch(spark, path, li)), schema, STORE_KEYS,
                  STORE_ORDER, ["symbol", "ts"], stage=False)
     return path
 
@@ -169,13 +177,13 @@ def upsert_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("read_symbol", STORE_ORACLE_CTE + """
 SELECT 'S' || l_suppkey AS symbol, ts, l_orderkey, l_linenumber, l_extendedprice, ingest_run
-FROM s WHERE l_returnflag = 'R'
+FROM s WHERE l_suppkey = 7
 """)
 def read_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A consumer read of the store -- one column value (return flag R)
-    with the filter pushed into the Parquet scan."""
-    ds = read_store(spark, _store_two_runs(spark, sf_dir), STORE_SCHEMA)
-    return ds.where(F.col("l_returnflag") == "R").select(
+    """A consumer read of one symbol. The store has a symbol bucket below
+    the month, so the read opens one bucket of every month only."""
+    path = _store_two_runs(spark, sf_dir, READ_BUCKETS)
+    return read_entity(spark, path, BUCKETED_SCHEMA, "symbol", "S7", READ_BUCKETS).select(
         "symbol", "ts", "l_orderkey", "l_linenumber", "l_extendedprice", "ingest_run")
 
 

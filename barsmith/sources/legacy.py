@@ -55,6 +55,26 @@ def read_legacy(spark: SparkSession, root: str, kind: str,
                      *[F.col(f.name).cast(f.dataType) for f in CANDLE.fields if f.name != "symbol"])
 
 
+def to_legacy_layout(spark: SparkSession, written: str, column: str, target: str) -> int:
+    """Gives the files of a dataset partitioned by ``column`` the per-entity
+    names: ``<target>/<E>/<E>_1m.parquet`` (``<E>-<n>_1m.parquet`` for further
+    files of an entity). Renames only; returns the number of files."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    root = path(written)
+    fs = root.getFileSystem(conf)
+    files = 0
+    for folder in fs.globStatus(path(f"{written}/{column}=*")):
+        entity = folder.getPath().getName().split("=", 1)[1]
+        fs.mkdirs(path(f"{target}/{entity}"))
+        for n, part in enumerate(fs.globStatus(path(f"{folder.getPath()}/*.parquet"))):
+            suffix = f"-{n}" if n else ""
+            fs.rename(part.getPath(), path(f"{target}/{entity}/{entity}{suffix}_1m.parquet"))
+            files += 1
+    return files
+
+
 def migrate(spark: SparkSession, root: str, kind: str, store_path: str,
             store_schema: T.StructType, keys: list[str], sort_cols: list[str]) -> list[str]:
     """Upsert legacy files into the partitioned store as run 0. Stored files

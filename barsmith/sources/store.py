@@ -45,6 +45,32 @@ def trade_date(ts: str | Column = "ts") -> Column:
     return partition_value(ts, "day")
 
 
+BUCKET_COLUMN = "symbol_bucket"
+
+
+def symbol_bucket(entity: str | Column, buckets: int) -> Column:
+    """The bucket of an entity: a second partition level, so that reading one
+    entity lists and opens one bucket's files instead of every file."""
+    return F.pmod(F.xxhash64(entity), F.lit(buckets)).cast("int")
+
+
+def read_entity(spark: SparkSession, path: str, schema: StructType, entity: str, value: str,
+                buckets: int | None = None) -> DataFrame:
+    """One entity's rows (S8). ``buckets`` is the number the store was written
+    with, if it has the bucket level: the filter on it prunes partitions, the
+    filter on the entity is pushed into the scan."""
+    rows = read_store(spark, path, schema).where(F.col(entity) == value)
+    if buckets and BUCKET_COLUMN in schema.names:
+        number = spark.range(1).select(symbol_bucket(F.lit(value), buckets)).first()[0]
+        rows = rows.where(F.col(BUCKET_COLUMN) == number)
+    return rows
+
+
+def partition_columns(schema: StructType) -> list[str]:
+    """The time partition and, where the schema has it, the symbol bucket."""
+    return [partition_column(schema), *(c for c in schema.names if c == BUCKET_COLUMN)]
+
+
 def partition_column(schema: StructType) -> str:
     """The store's partition column: ``trade_date`` or ``trade_month``."""
     for col in ("trade_date", PARTITION_COLUMN):
@@ -114,19 +140,20 @@ def remove_path(spark: SparkSession, path: str) -> bool:
 
 
 def write_partitions(df: DataFrame, path: str, sort_cols: list[str],
-                     col: str = PARTITION_COLUMN) -> None:
+                     col: str | list[str] = PARTITION_COLUMN) -> None:
     """Dynamic partition overwrite: only partitions present in ``df`` are
     replaced. A ``rebalance`` by the partition column lets AQE size the
     write: small partitions are packed into one task, a large (skewed) one is
     split over several tasks, so files stay near the advisory size instead of
     one file per partition per task. Rows are sorted by ``sort_cols`` within
     each file (O1)."""
-    (df.hint("rebalance", col)
-       .sortWithinPartitions(col, *sort_cols)
+    cols = [col] if isinstance(col, str) else col
+    (df.hint("rebalance", *cols)
+       .sortWithinPartitions(*cols, *sort_cols)
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .option("compression", "snappy")
-       .partitionBy(col)
+       .partitionBy(*cols)
        .parquet(path))
 
 
@@ -183,7 +210,7 @@ def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: Struc
         else:
             incoming_path = scratch_path(spark, "run-summary-in")
             incoming.write.mode("overwrite").parquet(incoming_path)
-    write_partitions(merged, path, sort_cols, col)
+    write_partitions(merged, path, sort_cols, partition_columns(schema))
     if incoming_path:
         owned = (read_store(spark, path, schema).where(F.col(col).isin(parts))
                  .groupBy(entity).agg(F.count(F.lit(1)).alias("rows_out")))

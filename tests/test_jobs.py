@@ -260,3 +260,103 @@ def test_overlapping_windows_later_window_wins(spark, master):
     J.ingest_candles(spark, "spot", m.where("symbol = 'NIFTY'"), root + "/l", root + "/s")
     got = {r.ts: r.open for r in J.read_store(spark, root + "/s", J.CANDLE_STORE).collect()}
     assert got == {D0: 1.0, boundary: 2.0}
+
+
+def _accounted(landed, res):
+    """Answers in = answers stored, known gaps, split, or in the quarantine."""
+    s = [r.asDict() for r in res.summary.collect()]
+    fine = sum(r[c] for r in s for c in ("ok", "empty", "no_data"))
+    splits = res.split_manifest.count() // 2
+    return landed == fine + splits + res.quarantine.count()
+
+
+def _mixed(reqs, good):
+    """One landed line per case; returns the lines."""
+    a, b, c, d, e = reqs[:5]
+    return [
+        {"request_id": a, "status": 200, **good}, {"request_id": a, "status": 200, **good},
+        {"request_id": a, "status": 500, "errorCode": "DH-904"},
+        {"request_id": b, "status": 400, "errorCode": "DH-906", "errorMessage": "Too long"},
+        {"request_id": c, "status": 400, "errorCode": "DH-905", "errorMessage": "No data"},
+        {"request_id": d, "status": 500, "errorCode": "DH-904"}, {"request_id": d, "status": 500, "errorCode": "X"},
+        {"request_id": e, "status": 200, **dict(good, timestamp=["soon"] + good["timestamp"][1:])},
+        {"request_id": "nobody", "status": 200, **good}, "not json"]
+
+
+def test_every_answer_is_accounted_for(spark, master):
+    root = tempfile.mkdtemp()
+    names = [f"S{i}" for i in range(6)]
+    rows = [(i + 10, "EQUITY", "", "", "NSE", str(i), "EQUITY", "EQ", n) for i, n in enumerate(names)]
+    own = spark.createDataFrame(MASTER + rows, ", ".join(
+        f"{c} {'bigint' if c == 'row_seq' else 'string'}" for c in MASTER_COLS))
+    m, _ = J.plan_stock_requests(spark, own, root + "/s", dt.date(2023, 1, 9), 1, symbols=names)
+    reqs = [r.request_id for r in m.orderBy("symbol").collect()]
+    lines = _mixed(reqs, body([1672717500, 1672717560]))
+    land(root + "/l", lines)
+    res = J.ingest_candles(spark, "stocks", m, root + "/l", root + "/s")
+    assert _accounted(len(lines), res)
+    q = sorted((r.request_id or "", r.outcome) for r in res.quarantine.collect())
+    assert q == sorted([("", "orphan"), ("nobody", "orphan"), (reqs[0], "superseded"), (reqs[0], "superseded"),
+                        (reqs[3], "fail"), (reqs[3], "superseded"), (reqs[4], "bad_ts")])
+    assert sorted((r.request_id, r.outcome) for r in res.rerequest.collect()) == sorted(
+        [(reqs[3], "fail"), (reqs[4], "bad_ts"), (reqs[5], "missing")])
+    assert res.metrics["rows_in"] == 3 and res.metrics["bad_ts_rows"] == 1
+    res.release(spark)
+
+
+def test_stream_accounts_for_every_answer(spark, master):
+    from barsmith.streaming.ingest_stream import stream_ingest
+    root = tempfile.mkdtemp()
+    m = J.plan_option_requests(spark, master, root + "/o", dt.date(2025, 1, 20), 1).orderBy("request_seq")
+    call = [r.request_id for r in m.where("side = 'CALL'").limit(5).collect()]
+    good = {"timestamp": ["1735703100", "1735703160"], "open": ["1", "2"], "strike": ["100", None]}
+    lines = [{**{k: v for k, v in x.items() if k not in good}, "data": {"ce": {k: x[k] for k in good}}}
+             if isinstance(x, dict) and "timestamp" in x else x for x in _mixed(call, good)]
+    land(root + "/l", lines)
+    stream_ingest(spark, "options", m, root + "/l", root + "/s", root + "/ckpt", root + "/rep")
+    read = lambda n: spark.read.parquet(f"{root}/rep/{n}")
+    fine = sum(r.ok + r.empty + r.no_data for r in read("summary").collect())
+    assert len(lines) == fine + read("split_manifest").count() // 2 + read("quarantine").count()
+    assert sorted(r.outcome for r in read("rerequest").collect()) == ["bad_ts", "fail"]
+    # An option answer that asks for a shorter range becomes two requests of the next run.
+    nxt = J.next_run_split_manifest(read("split_manifest"), "options", 2).orderBy("from_date").collect()
+    assert [(r.from_date, r.to_date) for r in nxt] == [
+        (dt.date(2025, 1, 1), dt.date(2025, 1, 10)), (dt.date(2025, 1, 10), dt.date(2025, 1, 20))]
+    assert nxt[0].request_seq < nxt[1].request_seq and nxt[0].side == "CALL"
+    assert len({r.request_id for r in nxt}) == 2
+
+
+@pytest.mark.parametrize("line", ["not json", "bad timestamp"])
+def test_spot_aborts_on_what_cannot_be_read(spark, master, line):
+    root = tempfile.mkdtemp()
+    m = J.plan_spot_requests(spark, master, root + "/s", dt.date(2021, 1, 3), 1)
+    reqs = [r.request_id for r in m.collect()]
+    good = body([D0, D0 + 60])
+    land(root + "/l", [{"request_id": reqs[0], "status": 200, **good}, line if line == "not json" else
+                       {"request_id": reqs[1], "status": 200, **dict(good, timestamp=["x", "y"])}])
+    with pytest.raises(Exception, match="request failed"):
+        J.ingest_candles(spark, "spot", m, root + "/l", root + "/s")
+    assert not os.path.exists(root + "/s")
+
+
+def test_reingest_adds_no_key_for_null_strikes(spark, master):
+    root = tempfile.mkdtemp()
+    m = J.plan_option_requests(spark, master, root + "/o", dt.date(2025, 1, 3), 1)
+    r = m.where("underlying = 'NIFTY' AND side = 'CALL'").first()
+    land(root + "/l", [{"request_id": r.request_id, "status": 200, "data": {"ce": {
+        "timestamp": ["1735703100", "1735703160"], "strike": [None, "NaN"], "spot": ["1", "2"]}}}])
+    for new in (2, 0):
+        res = J.ingest_options(spark, m, root + "/l", root + "/o")
+        s = {x.underlying: x for x in res.run_summary.collect()}["NIFTY"]
+        assert (s.rows_in, s.keys_new, s.rows_out) == (2, new, 2)
+
+
+def test_command_line_next_run(spark):
+    from barsmith.__main__ import main
+    root = tempfile.mkdtemp()
+    spark.createDataFrame([("A", "1", "NSE_EQ", "EQUITY", 1, dt.date(2023, 1, 1), dt.date(2023, 1, 3), "f", "t")],
+                          "symbol string, security_id string, segment string, instrument string, window_idx int, "
+                          "from_date date, to_date date, from_text string, to_text string").write.parquet(root + "/sp")
+    assert main(["next-run", "--kind", "stocks", "--split-manifest", root + "/sp", "--run", "5", "--out",
+                 root + "/m"], spark=spark) == 0
+    assert [r.request_id for r in spark.read.parquet(root + "/m").collect()] == ["stocks|A|2023-01-01|2023-01-03|5"]

@@ -26,3 +26,18 @@ def test_master_columns_are_text(spark):
     df = read_master_csv(spark, root)
     row = df.collect()[0]
     assert row.A == "007" and row.B == "1.50"
+
+
+def test_quoted_cells_as_a_standard_reader_takes_them(spark, tmp_path):
+    import csv
+
+    from barsmith.sources.instruments import land_master
+    rows = [["1", 'ACME "X", LTD', "NSE"], ["2", "two\nlines", "BSE"], ["3", "", "NSE"], ["4", "plain", "a\tb"],
+            ["5", '""', "NSE"], ["6", "back\\slash", "NSE"]]
+    with open(tmp_path / "m.csv", "w", newline="", encoding="utf-8") as f:
+        csv.writer(f).writerows([["ID", "NAME", "EXCH"], *rows])
+    got = land_master(spark, str(tmp_path / "m.csv"), str(tmp_path / "out")).orderBy("row_seq").collect()
+    with open(tmp_path / "m.csv", newline="", encoding="utf-8") as f:
+        want = list(csv.reader(f))[1:]
+    assert [[r.ID, r.NAME or "", r.EXCH] for r in got] == want
+    assert [r.row_seq for r in got] == list(range(6))

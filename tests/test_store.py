@@ -119,3 +119,31 @@ def test_store_reads_are_pruned_and_pushed(spark):
     assert "PushedFilters: [IsNotNull(symbol), EqualTo(symbol,A)]" in plan
     assert "ReadSchema: struct<symbol:string,ts:bigint,close:double>" in plan
     assert [tuple(r) for r in one.collect()] == [(JAN, 1.0)]
+
+
+def test_one_symbol_reads_one_bucket(spark, tmp_path):
+    import re
+
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from barsmith.sources import store as S
+    schema = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("ts", T.LongType()),
+                           T.StructField("ingest_run", T.LongType()), T.StructField("trade_date", T.StringType()),
+                           T.StructField(S.BUCKET_COLUMN, T.IntegerType())])
+    rows = spark.range(20_000).select(
+        F.concat(F.lit("S"), (F.col("id") % 100).cast("string")).alias("symbol"), F.col("id").alias("ts"),
+        F.lit(1).cast("bigint").alias("ingest_run"),
+        F.concat(F.lit("2024-01-0"), (F.col("id") % 4 + 1).cast("string")).alias("trade_date"))
+    rows = rows.withColumn(S.BUCKET_COLUMN, S.symbol_bucket("symbol", 16))
+    path = str(tmp_path / "s")
+    S.upsert_store(spark, path, rows, schema, ["symbol", "ts"], ["ingest_run"], ["symbol", "ts"])
+    one = S.read_entity(spark, path, schema, "symbol", "S7", 16)
+    assert one.count() == 200
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*symbol_bucket", plan) and "EqualTo(symbol,S7)" in plan
+    files = S.read_store(spark, path, schema).inputFiles()
+    assert len(one.inputFiles()) <= len(files)
+    scanned = spark.read.schema(schema).parquet(path).where(
+        F.col(S.BUCKET_COLUMN) == one.first()[S.BUCKET_COLUMN]).count()
+    assert scanned < 20_000 / 8
