@@ -296,20 +296,22 @@ def plan_stocks_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("combo_coverage", OPTION_ROWS_SQL + """
-, seen AS (SELECT DISTINCT underlying, option_type, expiry_type, expiry_code, bucket_idx AS bi FROM o
+, seen AS (SELECT DISTINCT underlying, option_type, expiry_type, expiry_code, bucket_idx AS bi,
+    date_diff('day', DATE '2024-01-01', CAST(make_timestamp(ts * 1000000) + INTERVAL 330 MINUTE AS DATE)) // 30 AS w
+  FROM o
         WHERE ingest_run = 1),
 u AS (SELECT unnest(['NIFTY', 'SENSEX']) AS underlying),
 fl AS (SELECT unnest(['WEEK', 'MONTH']) AS expiry_type), co AS (SELECT unnest([1, 2, 3]) AS expiry_code),
 bu AS (SELECT unnest(range(0, 21)) AS bi), si AS (SELECT unnest(['CALL', 'PUT']) AS side),
 wi AS (SELECT unnest([0, 1]) AS w),
 plan AS (SELECT *, CASE side WHEN 'CALL' THEN 'CE' ELSE 'PE' END AS option_type FROM u, fl, co, bu, si, wi)
-SELECT plan.underlying, DATE '2024-01-01' + CAST(w * 30 AS INTEGER) AS from_date,
-  DATE '2024-01-01' + CAST(w * 30 + 30 AS INTEGER) AS to_date, plan.expiry_type,
+SELECT plan.underlying, DATE '2024-01-01' + CAST(plan.w * 30 AS INTEGER) AS from_date,
+  DATE '2024-01-01' + CAST(plan.w * 30 + 30 AS INTEGER) AS to_date, plan.expiry_type,
   CAST(plan.expiry_code AS TINYINT) AS expiry_code,
   CASE WHEN plan.bi = 0 THEN 'ATM' WHEN plan.bi <= 10 THEN 'ATM+' || plan.bi ELSE 'ATM-' || (plan.bi - 10) END
     AS bucket, plan.side
 FROM plan LEFT JOIN seen ON seen.underlying = plan.underlying AND seen.option_type = plan.option_type
-  AND seen.expiry_type = plan.expiry_type AND seen.expiry_code = plan.expiry_code AND seen.bi = plan.bi AND w = 0
+  AND seen.expiry_type = plan.expiry_type AND seen.expiry_code = plan.expiry_code AND seen.bi = plan.bi AND seen.w = plan.w
 WHERE seen.bi IS NULL
 """)
 def combo_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
