@@ -55,7 +55,8 @@ def test_held_out_accuracy(spark):
 
 @pytest.fixture(scope="module")
 def model():
-    texts = [f"plain words number {i} and more" for i in range(60)] + [f"you badword{i % 7} number {i}" for i in range(60)]
+    rest = [" ".join(f"w{(i * k) % 23}" for k in range(1, 3 + i % 9)) for i in range(60)]
+    texts = [f"plain words {t}" for t in rest] + [f"plain words badword{i % 7} {t}" for i, t in enumerate(rest)]
     words = [tx.rows_of(words_of(pa.array([t]), ALNUM)) for t in texts]
     return tx.train(words, np.array([0.0] * 60 + [1.0] * 60, np.float32), epochs=20), {"en": 0.4}
 
@@ -63,7 +64,7 @@ def model():
 def test_odd_rows(spark, model):
     long = "plain words " * 200_000
     rows = [(1, None, "en"), (2, "", None), (3, long, "en"), (4, long + " badword3 ", "xx"), (5, "!!! ...", "en"),
-            (5, "!!! ...", "en"), (None, "you badword9 x", "en")]
+            (5, "!!! ...", "en"), (None, "badword9 x", "en")]
     docs = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, lang string, "
                                  "score string, row int")
     got = tx.score(docs, *model).collect()
