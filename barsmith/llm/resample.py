@@ -97,7 +97,9 @@ def ngram_counts(docs: DataFrame, target_ids: list, bits: int, text: str = "text
 
 
 def log_ratio(raw: np.ndarray, target: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
-    """log(target / raw) by bucket; the raw model is the prior of the target's."""
+    """log(target / raw) by bucket; the raw model is the prior of the target's.
+    Pseudo-counts make up a fifth of the raw counts at most."""
+    smoothing = min(smoothing, max(raw.sum(), 1) / (4 * len(raw)))
     p = (raw + smoothing) / (raw.sum() + smoothing * len(raw))
     q = (target + smoothing * len(raw) * p) / (target.sum() + smoothing * len(raw))
     return np.log(q / p)

@@ -46,8 +46,8 @@ from barsmith.llm.staging import arrow_groups, arrow_map, pieces_for, staged, te
 from barsmith.llm.words import join_hashes, mix, ngram_hashes, text_slices, words_of
 
 WIDTH, PERCENT = 5, 80
-#: Text bytes per bucket of shingles: some four million shingles to sort.
-BUCKET_BYTES = 24 << 20
+#: Text bytes per bucket of shingles: some two million shingles to sort.
+BUCKET_BYTES = 12 << 20
 #: Bytes of shingles searched in one task, and classes searched in one shard.
 FAMILY_BYTES = 24 << 20
 FAMILY_LIMIT = 2048

@@ -63,8 +63,9 @@ def brute_quality(spark, rows):
         each[i] = bucket
         raw += np.bincount(bucket, minlength=1 << bits)
         good += np.bincount(bucket, minlength=1 << bits) * (labels.get(i) == 1)
-    p = (raw + 1) / (raw.sum() + (1 << bits))
-    q = (good + (1 << bits) * p) / (good.sum() + (1 << bits))
+    a = min(1.0, raw.sum() / (4 << bits))
+    p = (raw + a) / (raw.sum() + a * (1 << bits))
+    q = (good + a * (1 << bits) * p) / (good.sum() + a * (1 << bits))
     assert np.allclose(weight, np.log(q / p))
     noise = {r.doc_id: r["sum"] - r["log_weight"] for r in resample.score(
         spark.read.parquet(f"{SF}/documents.parquet"), weight).select("row.doc_id", "sum", "log_weight").collect()}
