@@ -78,30 +78,34 @@ GRID_DEFAULT_START = "1998-01-01"
 
 @register("request_grid", f"""
 WITH st AS (
-  SELECT o_custkey, CAST(max(o_orderdate) AS DATE) AS resume
-  FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey),
+  SELECT o_custkey, CAST(max(o_orderdate) AS DATE) AS resume FROM orders GROUP BY o_custkey),
 ent AS (
   SELECT c.c_custkey, coalesce(st.resume, DATE '{GRID_DEFAULT_START}') AS s,
          DATE '{GRID_AS_OF}' AS e
   FROM customer c LEFT JOIN st ON st.o_custkey = c.c_custkey),
 w AS (
   SELECT c_custkey, s, e, unnest(range(0, (date_diff('day', s, e) + 29) // 30)) AS i
-  FROM ent WHERE s < e)
-SELECT c_custkey, CAST(i + 1 AS INTEGER) AS window_idx,
-       CAST(s + CAST(i * 30 AS INTEGER) AS VARCHAR) AS from_text,
-       CAST(least(s + CAST((i + 1) * 30 AS INTEGER), e) AS VARCHAR) AS to_text,
-       CAST(252 AS BIGINT) AS n_requests, CAST(126 AS BIGINT) AS n_calls,
-       CAST(i * 252 AS BIGINT) AS min_seq, CAST(i * 252 + 251 AS BIGINT) AS max_seq
-FROM w
+  FROM ent WHERE s < e),
+x AS (SELECT i, s + CAST(i * 30 AS INTEGER) AS f, least(s + CAST((i + 1) * 30 AS INTEGER), e) AS t FROM w),
+n AS (SELECT count(*) AS n, CAST(sum(i + 1) AS BIGINT) AS w, min(i) AS lo, max(i) AS hi, min(f) AS f,
+        max(t) AS t, CAST(sum(date_diff('day', f, t)) AS BIGINT) AS d FROM x),
+fl AS (SELECT unnest(['WEEK', 'MONTH']) AS flag, unnest([0, 1]) AS fi),
+co AS (SELECT unnest([1, 2, 3]) AS code), bu AS (SELECT unnest(range(0, 21)) AS bi),
+si AS (SELECT unnest(['CALL', 'PUT']) AS side, unnest([0, 1]) AS si)
+SELECT flag AS expiry_type, CAST(code AS TINYINT) AS expiry_code,
+  CASE WHEN bi = 0 THEN 'ATM' WHEN bi <= 10 THEN 'ATM+' || bi ELSE 'ATM-' || (bi - 10) END AS bucket,
+  side, n AS n_requests, w AS sum_window_idx, d AS n_days,
+  CAST(lo * 252 + ((fi * 3 + code - 1) * 21 + bi) * 2 + si AS BIGINT) AS min_seq,
+  CAST(hi * 252 + ((fi * 3 + code - 1) * 21 + bi) * 2 + si AS BIGINT) AS max_seq,
+  CAST(f AS VARCHAR) AS first_from, CAST(t AS VARCHAR) AS last_to
+FROM n, fl, co, bu, si
 """)
 def request_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Options manifest per customer -- resume from the day of
-    its last finished order (else a default start) to a fixed as-of date,
-    30-day windows x 252 combos -- then planned-request counts per window."""
-    o = V.table(spark, sf_dir, "orders")
-    stored = (o.where(F.col("o_orderstatus") == "F")
-              .select(F.col("o_custkey").alias("c_custkey"),
-                      X.epoch_seconds("o_orderdate").alias("ts")))
+    its last order (else a default start) to a fixed as-of date, 30-day windows
+    x 252 combos -- and what is planned for each combo over all customers."""
+    stored = V.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), X.epoch_seconds("o_orderdate").alias("ts"))
     ents = V.table(spark, sf_dir, "customer").select("c_custkey")
     plan = resume_plan(ents, high_watermark(stored, "c_custkey"), "c_custkey",
                        F.lit(GRID_DEFAULT_START).cast("date"),
@@ -109,18 +113,15 @@ def request_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The stored day is an IST day; order dates are midnight UTC, so the IST
     # day equals the order date.
     reqs = M.option_requests(plan.where("needs_fetch"), "start_date", "end_date", ["c_custkey"])
-    # Group on the narrow window key; the text bounds are derived once per
-    # window afterwards (column pruning drops them from the 252x rows).
-    per_window = (reqs.groupBy("c_custkey", "window_idx")
-                  .agg(F.min("from_date").alias("from_date"), F.min("to_date").alias("to_date"),
-                       F.count(F.lit(1)).alias("n_requests"),
-                       F.count(F.when(F.col("side") == "CALL", 1)).alias("n_calls"),
-                       F.min("request_seq").alias("min_seq"),
-                       F.max("request_seq").alias("max_seq")))
-    f_txt, t_txt = X.option_window_text("from_date", "to_date")
-    return per_window.select("c_custkey", "window_idx", f_txt.alias("from_text"),
-                             t_txt.alias("to_text"), "n_requests", "n_calls", "min_seq",
-                             "max_seq")
+    per_combo = reqs.groupBy("expiry_type", "expiry_code", "bucket", "side").agg(
+        F.count(F.lit(1)).alias("n_requests"),
+        F.sum(F.col("window_idx").cast("bigint")).alias("sum_window_idx"),
+        F.sum(F.datediff("to_date", "from_date").cast("bigint")).alias("n_days"),
+        F.min("request_seq").alias("min_seq"), F.max("request_seq").alias("max_seq"),
+        F.min("from_date").alias("f"), F.max("to_date").alias("t"))
+    f_txt, t_txt = X.option_window_text("f", "t")
+    return per_combo.select("expiry_type", "expiry_code", "bucket", "side", "n_requests", "sum_window_idx",
+                            "n_days", "min_seq", "max_seq", f_txt.alias("first_from"), t_txt.alias("last_to"))
 
 
 WATERMARK_AS_OF = "2024-01-20"

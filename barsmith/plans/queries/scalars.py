@@ -148,11 +148,17 @@ def text_to_number(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("l_extendedprice")).cast("string")
     qty_txt = F.col("l_quantity").cast("bigint").cast("string")
     disc_txt = F.col("l_discount").cast("string")
-    return li.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        X.to_double(price_txt).alias("price"), X.to_long(price_txt).alias("price_int"),
-        X.to_long(signed).alias("signed_int"), X.to_long(qty_txt).alias("qty"),
-        X.to_long(disc_txt).alias("disc_int"), X.to_double(signed).alias("signed_price"))
+    # Named texts, then named numbers: every cell is written and parsed once.
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    texts = {"price": price_txt, "signed": signed, "qty": qty_txt, "disc": disc_txt}
+    named = li.select(*keys, *[t.alias(f"{n}_txt") for n, t in texts.items()])
+    parsed = named.select("*", *[F.col(f"{n}_txt").try_cast("double").alias(f"{n}_num") for n in texts])
+    whole = {n: X.to_long(f"{n}_txt", parsed=F.col(f"{n}_num")) for n in texts}
+    number = {n: F.nullif(F.col(f"{n}_num"), F.lit(float("nan"))) for n in texts}
+    return parsed.select(
+        *keys, number["price"].alias("price"), whole["price"].alias("price_int"),
+        whole["signed"].alias("signed_int"), whole["qty"].alias("qty"),
+        whole["disc"].alias("disc_int"), number["signed"].alias("signed_price"))
 
 
 _CAST_TARGET = T.StructType([
