@@ -84,9 +84,10 @@ def resolve_indices(master: DataFrame, rules: dict) -> DataFrame:
                     F.coalesce("n_candidates", F.lit(0)).alias("n_candidates"))
 
 
-def equity_lookups(master: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two lookups over NSE equity rows with a security id (F2, P9): by
-    trading symbol and by symbol name. Per key, the last EQ-series row wins,
+def equity_lookups(master: DataFrame) -> DataFrame:
+    """Two lookups over NSE equity rows with a security id (F2, P9) in one pass
+    over the master: ``symbol``, the id by trading symbol (``sid_primary``) and
+    by symbol name (``sid_fallback``). Per key, the last EQ-series row wins,
     else the first row (A3)."""
     m = master.select(
         "row_seq",
@@ -102,20 +103,21 @@ def equity_lookups(master: DataFrame) -> tuple[DataFrame, DataFrame]:
     is_eq = F.col("series") == "EQ"
     rank = F.struct(is_eq, F.when(is_eq, F.col("row_seq")).otherwise(-F.col("row_seq")))
 
-    def lookup(key: str) -> DataFrame:
-        return (m.where(F.col(key) != "")
-                .groupBy(F.col(key).alias("symbol"))
-                .agg(F.max_by("security_id", rank).alias("security_id")))
-    return lookup("underlying_symbol"), lookup("symbol_name")
+    keys = F.array(F.struct(F.lit(True).alias("primary"), F.col("underlying_symbol").alias("symbol")),
+                   F.struct(F.lit(False).alias("primary"), F.col("symbol_name").alias("symbol")))
+    both = m.select("security_id", rank.alias("rank"), F.inline(keys)).where(F.col("symbol") != "")
+
+    def best(primary: bool) -> Column:
+        return F.max_by("security_id", F.when(F.col("primary") == primary, F.col("rank")))
+    return both.groupBy("symbol").agg(
+        F.when(F.count_if("primary") > 0, best(True)).alias("sid_primary"),
+        F.when(F.count_if(~F.col("primary")) > 0, best(False)).alias("sid_fallback"))
 
 
 def resolve_symbols(master: DataFrame, requested: DataFrame) -> DataFrame:
     """Requested symbols (duplicates collapse, A7) -> security id by trading
     symbol, else by symbol name (J1, J2); unmatched symbols get null (J3)."""
-    primary, fallback = equity_lookups(master)
-    req = requested.select("symbol").distinct()
-    j = (req.join(primary.withColumnRenamed("security_id", "sid_primary"), "symbol", "left")
-         .join(fallback.withColumnRenamed("security_id", "sid_fallback"), "symbol", "left"))
+    j = requested.select("symbol").distinct().join(equity_lookups(master), "symbol", "left")
     return j.select(
         "symbol", F.coalesce("sid_primary", "sid_fallback").alias("security_id"),
         F.when(F.col("sid_primary").isNotNull(), F.lit("UNDERLYING_SYMBOL"))

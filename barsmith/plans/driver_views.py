@@ -246,9 +246,7 @@ def requested_symbols(part: DataFrame) -> DataFrame:
     """Symbols asked for: every part name and brand (found by the first and
     the second lookup) and every upper-cased type (never found: matching is
     case-sensitive). Repeats collapse."""
-    return (part.select(F.col("p_name").alias("symbol"))
-            .unionByName(part.select(F.col("p_brand").alias("symbol")))
-            .unionByName(part.select(F.upper("p_type").alias("symbol"))))
+    return part.select(F.explode(F.array("p_name", "p_brand", F.upper("p_type"))).alias("symbol"))
 
 
 LINE_CUTOFF = "1998-06-01"
