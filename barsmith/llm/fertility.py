@@ -8,8 +8,11 @@ Rejection bands come from all documents, per language:
   absolute deviation (at least ``floor`` of the median);
 * entropy: a line in the logarithm of the token count is fitted (longer texts
   have more entropy), and the distance from it is banded in the same way,
-  downwards only (repetition);
-* byte share: the median plus ``byte_margin``.
+  downwards only (repetition; a deviation is at least ``line_floor`` bits);
+* byte share: the median plus ``byte_margin``;
+* a text below the middle on both of the first two, each by more than ``inner``
+  deviations, is rejected too: few characters per token *and* few kinds of
+  tokens mark symbol and keyword runs, while either alone is common.
 
 Before that come fixed base rules: at least ``min_words`` words, and at most
 ``max_repeat_percent`` of words inside a repeated 3-word window.
@@ -142,8 +145,8 @@ def on_line() -> F.Column:
     return F.col("slope") * F.log2("n_tokens") + F.col("base")
 
 
-def bands(measured: DataFrame, width: float, floor: float, byte_margin: float,
-          accuracy: int = 10_000) -> DataFrame:
+def bands(measured: DataFrame, width: float, inner: float, floor: float, line_floor: float,
+          byte_margin: float, accuracy: int = 10_000) -> DataFrame:
     """One row per language with the bounds, from all rows that have tokens."""
     middle = lambda c: F.percentile_approx(c, 0.5, accuracy)
     own = measured.where("n_tokens > 0")
@@ -156,11 +159,15 @@ def bands(measured: DataFrame, width: float, floor: float, byte_margin: float,
         "off_line": F.abs(F.col("entropy") - on_line())})
     spread = off.groupBy("lang").agg(middle("off_chars").alias("mad_chars"),
                                      middle("off_line").alias("mad_line"))
-    reach = F.lit(width) * F.greatest("mad_chars", F.lit(floor) * F.col("mid_chars"))
+    one_chars = F.greatest("mad_chars", F.lit(floor) * F.col("mid_chars"))
+    one_line = F.greatest("mad_line", F.lit(line_floor))
+    reach = F.lit(width) * one_chars
     return centre.join(spread.withColumnRenamed("lang", "_l"), F.col("lang").eqNullSafe(F.col("_l"))).select(
         "lang", "slope", "base", (F.col("mid_chars") - reach).alias("min_chars"),
         (F.col("mid_chars") + reach).alias("max_chars"),
-        (F.lit(width) * F.greatest("mad_line", F.lit(floor))).alias("line_reach"),
+        (F.lit(width) * one_line).alias("line_reach"),
+        (F.col("mid_chars") - F.lit(inner) * one_chars).alias("low_chars"),
+        (F.lit(inner) * one_line).alias("low_reach"),
         (F.col("mid_bytes") + byte_margin).alias("max_bytes"))
 
 
@@ -174,16 +181,17 @@ def with_bands(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", vocabulary: str = PIECE_BPE,
-          min_words: int = 50, max_repeat_percent: int = 50, width: float = 8.0,
-          floor: float = 0.03, byte_margin: float = 0.2) -> DataFrame:
+          min_words: int = 50, max_repeat_percent: int = 50, width: float = 8.0, inner: float = 1.2,
+          floor: float = 0.03, line_floor: float = 0.25, byte_margin: float = 0.2) -> DataFrame:
     """Measures, bounds and verdict of every document."""
     measured = staged(measure(docs, text, lang, vocabulary), "fertility-measures")
-    limits = staged(bands(measured, width, floor, byte_margin), "fertility-bands")
+    limits = staged(bands(measured, width, inner, floor, line_floor, byte_margin), "fertility-bands")
     failed = ((F.col("n_words") < min_words)
               | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
     fits = (F.col("n_tokens") > 0) & per_token().between(F.col("min_chars"), F.col("max_chars")) & (
         F.col("entropy") >= on_line() - F.col("line_reach")) & (
-        F.try_divide("n_byte_tokens", "n_tokens") <= F.col("max_bytes"))
+        F.try_divide("n_byte_tokens", "n_tokens") <= F.col("max_bytes")) & ~(
+        (per_token() < F.col("low_chars")) & (F.col("entropy") < on_line() - F.col("low_reach")))
     return with_bands(measured, limits).withColumns({
         "base_failed": failed,
         "kept": ~failed & F.coalesce(fits, F.lit(False))})
