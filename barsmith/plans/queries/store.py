@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from barsmith import functions as X
@@ -138,6 +138,11 @@ def _store_two_runs(spark: SparkSession, sf_dir: str, buckets: int | None = None
     # stage; the ingest jobs (JSON parse + explode) keep the default staging.
     upsert_store(spark, path, shaped(run1), schema, STORE_KEYS, STORE_ORDER, ["symbol", "ts"],
                  stage=False)
+    # a batch without rows rewrites nothing.
+    none = upsert_store(spark, path, shaped(run1.where("l_orderkey < 0")), schema, STORE_KEYS, STORE_ORDER,
+                        ["symbol", "ts"], stage=False)
+    if none:
+        raise RuntimeError(f"an empty batch rewrote {none}")
     upsert_store(spark, path, shaped(_resume_batch(spark, path, li)), schema, STORE_KEYS,
                  STORE_ORDER, ["symbol", "ts"], stage=False)
     return path
@@ -175,6 +180,22 @@ def upsert_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_store(spark, _store_two_runs(spark, sf_dir), STORE_SCHEMA)
 
 
+@register("store_order", STORE_ORACLE_CTE + """
+SELECT strftime(make_timestamp(ts * 1000000) + INTERVAL 330 MINUTE, '%Y-%m') AS trade_month,
+       count(*) AS n_rows, CAST(0 AS BIGINT) AS n_out_of_order
+FROM s GROUP BY 1
+""")
+def store_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: per month, the stored rows, and how many of them come in their file
+    before a row that sorts lower by (symbol, ts)."""
+    rows = spark.read.schema(STORE_SCHEMA).parquet(_store_two_runs(spark, sf_dir)).select(
+        "trade_month", F.struct("symbol", "ts").alias("k"), F.col("_metadata.file_path").alias("f"),
+        F.col("_metadata.row_index").alias("i"))
+    before = F.lag("k").over(Window.partitionBy("f").orderBy("i"))
+    return rows.select("trade_month", (before > F.col("k")).alias("late")).groupBy("trade_month").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("late").alias("n_out_of_order"))
+
+
 @register("read_symbol", STORE_ORACLE_CTE + """
 SELECT 'S' || l_suppkey AS symbol, ts, l_orderkey, l_linenumber, l_extendedprice, ingest_run
 FROM s WHERE l_suppkey = 7
