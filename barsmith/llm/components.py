@@ -19,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     nothing changes; each round's table is written to the shared folder, and
     a node's neighbours are only ever reduced to their minimum, never listed."""
     now = staged(_pointed(edges), "component-edges")
-    size, before = now.count(), None
+    before = None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "component-least")
@@ -37,7 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
         now = after
         if state == before or not state[0]:
             break
-        size, before = state[0], state
+        before = state
     roots = now.select("b").distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")) \
         .unionByName(roots.select(F.col("b").alias("node"), F.col("b").alias("root")))
