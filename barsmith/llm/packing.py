@@ -75,8 +75,9 @@ def partition_offsets(tokens: DataFrame) -> dict[int, int]:
     return {part: end - n for (part, n), end in zip(totals, ends)}
 
 
-def cut(tokens: DataFrame, offsets: dict[int, int], length: int = 4096) -> DataFrame:
-    """Pass two: the pieces of every document."""
+def cut(tokens: DataFrame, offsets: dict[int, int], length: int = 4096, crc32: bool = False) -> DataFrame:
+    """Pass two: the pieces of every document, with their ids or, if ``crc32``,
+    with ``ids_crc32``, the CRC-32 of the ids as 32-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,23 +96,27 @@ def cut(tokens: DataFrame, offsets: dict[int, int], length: int = 4096) -> DataF
             start, size = lo - begin[doc], hi - lo
             ids = batch.column("ids")
             values = [ids[i].as_buffer() for i in range(len(n))]
-            raw = [values[d].slice(2 * s, 2 * k).to_pybytes()
+            raw = [values[d].slice(2 * s, 2 * k)
                    for d, s, k in zip(doc.tolist(), start.tolist(), size.tolist())]
+            last = pa.array([zlib.crc32(np.frombuffer(x, "<u2").astype("<u4").tobytes()) for x in raw],
+                            pa.int64()) if crc32 else pa.array([x.to_pybytes() for x in raw], pa.binary())
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id").take(pa.array(doc)), pa.array(start), pa.array(size),
                 pa.array(n[doc]), pa.array(sequence), pa.array(lo - sequence * length),
-                pa.array(raw, pa.binary()),
-            ], names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+                last,
+            ], names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset",
+                      "ids_crc32" if crc32 else "ids"])
 
-    return arrow_map(tokens, run, PIECES)
+    return arrow_map(tokens, run, PIECES.replace("ids binary", "ids_crc32 bigint") if crc32 else PIECES)
 
 
 def pack(docs: DataFrame, length: int = 4096, vocabulary: str = WORD_BPE,
-         end_id: int = 2) -> DataFrame:
+         end_id: int = 2, crc32: bool = False) -> DataFrame:
     """Pieces ``(doc_id, start, length, doc_tokens, sequence_id, offset, ids)``
-    of all documents; ``ids`` holds little-endian 16-bit numbers."""
+    of all documents; ``ids`` holds little-endian 16-bit numbers. With
+    ``crc32`` there is ``ids_crc32`` in their place."""
     tokens = staged(tokenize(docs, vocabulary, end_id), "packing-tokens")
-    return cut(tokens, partition_offsets(tokens), length)
+    return cut(tokens, partition_offsets(tokens), length, crc32)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
@@ -123,18 +128,3 @@ def sequences(pieces: DataFrame) -> DataFrame:
     return rows.select("sequence_id", joined.alias("ids"), F.transform("r", lambda x: F.struct(
         x["doc_id"].alias("doc_id"), x["start"].alias("start"), x["offset"].alias("offset"),
         x["length"].alias("length"))).alias("boundaries"))
-
-
-def with_crc32(pieces: DataFrame) -> DataFrame:
-    """Pieces with ``ids_crc32``, the CRC-32 of the ids as 32-bit numbers, in
-    place of the ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = [zlib.crc32(np.frombuffer(x.as_buffer(), "<u2").astype("<u4").tobytes())
-                   for x in batch.column("ids")]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(crc, pa.int64())],
-                names=[*batch.schema.names[:-1], "ids_crc32"])
-
-    return arrow_map(pieces, run, PIECES.replace("ids binary", "ids_crc32 bigint"))

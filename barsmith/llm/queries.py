@@ -55,7 +55,7 @@ def op3_convolutional_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_concat_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.with_crc32(packing.pack(read_table(spark, sf_dir, "documents")))
+    return packing.pack(read_table(spark, sf_dir, "documents"), crc32=True)
 
 
 @query

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import barsmith
@@ -62,13 +64,46 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+#: Bytes of one Arrow batch sent to a Python worker, however many rows fit.
+BATCH_BYTES = 4 << 20
+
+
+def _release() -> None:
+    """Give memory that a finished task has freed back to the system: workers
+    are reused, and what each keeps adds up on an executor."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
+def _prepare(spark: SparkSession) -> None:
+    ship_package(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key).rstrip("b") != str(BATCH_BYTES):
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def arrow_map(df: DataFrame, run, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package at hand on the workers."""
-    ship_package(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    """``df.mapInArrow`` with this package at hand on the workers, small batches,
+    and memory released after each task."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _release()
+
+    _prepare(df.sparkSession)
+    return df.mapInArrow(task, schema)
 
 
 def arrow_groups(df: DataFrame, keys: list[str], run, schema) -> DataFrame:
-    """``df.groupBy(keys).applyInArrow`` with this package at hand on the workers."""
-    ship_package(df.sparkSession)
-    return df.groupBy(*keys).applyInArrow(run, schema)
+    """``df.groupBy(keys).applyInArrow``, likewise."""
+    def task(group):
+        out = run(group)
+        _release()
+        return out
+
+    _prepare(df.sparkSession)
+    return df.groupBy(*keys).applyInArrow(task, schema)

@@ -18,7 +18,7 @@ import public_tokenizers
 
 from barsmith.llm.words import Words
 
-MAX_WORDS = 2_000_000
+MAX_WORDS = 600_000
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
 

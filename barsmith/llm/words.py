@@ -18,8 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-PIECE = 1 << 20
-SLICE_BYTES = 4 << 20
+PIECE = 1 << 18
+SLICE_BYTES = 2 << 20
 
 _rng = np.random.default_rng(20240607)
 _T = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -58,7 +58,7 @@ def join_hashes(parts: list[np.ndarray]) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if PIECE not in _POWERS:
         with np.errstate(over="ignore"):
-            size = 2 * PIECE + 1
+            size = PIECE + 1
             _POWERS[PIECE] = tuple(
                 np.concatenate([[np.uint64(1)], np.cumprod(np.full(size - 1, np.uint64(b)))])
                 for b in (_B, _BINV))

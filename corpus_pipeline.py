@@ -44,7 +44,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: the documents as pieces of 4096-token sequences."""
-    return packing.with_crc32(packing.pack(docs))
+    return packing.pack(docs, crc32=True)
 
 
 STAGES = [("quality", quality), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates),

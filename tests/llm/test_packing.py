@@ -68,7 +68,7 @@ def test_crc_and_sequences(spark):
     docs = spark.createDataFrame([(7, "alpha beta"), (8, None), (None, "gamma")], "doc_id long, text string")
     pieces = packing.pack(docs, length=3)
     want = {7: expected(["alpha beta"])[0], 8: [2], None: expected(["gamma"])[0]}
-    for p in packing.with_crc32(pieces).collect():
+    for p in packing.pack(docs, length=3, crc32=True).collect():
         part = want[p.doc_id][p.start:p.start + p.length]
         assert p.ids_crc32 == zlib.crc32(np.array(part, "<u4").tobytes())
     seqs = sorted(packing.sequences(pieces).collect())
@@ -78,4 +78,4 @@ def test_crc_and_sequences(spark):
 
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, n_chars long")
-    assert packing.with_crc32(packing.pack(docs)).count() == 0
+    assert packing.pack(docs, crc32=True).count() == packing.pack(docs).count() == 0
