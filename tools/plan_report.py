@@ -68,6 +68,18 @@ NOTES = {
     "ingest_stocks_job": "The ingest job itself: triage join on request_id, explode, staged "
                          "upsert into a fresh store; the returned frame is a pruned store read.",
     "ingest_options_job": "As ingest_stocks_job with side pick and option enrichment.",
+    "triage_outputs": "The stock ingest job on answers of every kind; the returned frame is a "
+                      "union over its staged outcome table.",
+    "ingest_spot_job": "As ingest_stocks_job with strict arrays; a bounded check aborts first.",
+    "ingest_options_summary": "Two runs of the options job; the summaries are staged, one row per "
+                              "underlying.",
+    "plan_spot_job": "Watermark is a partial max over two columns of the store; rules per master "
+                     "row; windows by a bounded generator.",
+    "plan_stocks_job": "Both symbol lookups in one pass over the master; one equi-join.",
+    "plan_options_job": "As plan_spot_job with the 252-combo generator.",
+    "combo_coverage": "Stored candles reduced to distinct (combo, day) first; anti join on the "
+                      "combo with a range condition on the day.",
+    "store_order": "A lag within each file (bounded by the file size).",
     "legacy_layout_scan": "One scan over all per-entity folders; the entity comes from "
                           "`_metadata.file_path` (no loop per file).",
 }
@@ -102,7 +114,7 @@ def main() -> None:
         df = fn(spark, sf)
         # Runs this very frame, so that its plan is the final, adaptive one.
         df._jdf.queryExecution().toRdd().count()
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         ex, bex, bad, scans = summarize(plan)
         assert not bad, (name, bad)
         sc = "<br>".join(
