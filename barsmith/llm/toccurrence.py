@@ -46,8 +46,13 @@ from barsmith.llm.staging import arrow_groups, arrow_map, pieces_for, staged, te
 from barsmith.llm.words import join_hashes, mix, ngram_hashes, text_slices, words_of
 
 WIDTH, PERCENT = 5, 80
-#: Text bytes per bucket of shingles: some two million shingles to sort.
-BUCKET_BYTES = 12 << 20
+#: Text bytes per bucket of shingles: some four million shingles to sort. Every
+#: class costs 16 bytes in each bucket it has shingles in, so larger buckets
+#: shuffle less; ``LEAST_BUCKETS`` keep a small input parallel.
+BUCKET_BYTES = 24 << 20
+LEAST_BUCKETS = 16
+#: Text bytes hashed at once; equal sets in a slice are sent once.
+SEND_BYTES = 4 << 20
 #: Bytes of shingles searched in one task, and classes searched in one shard.
 FAMILY_BYTES = 24 << 20
 FAMILY_LIMIT = 2048
@@ -101,7 +106,7 @@ def send_shingles(docs: DataFrame, buckets: int, width: int, text: str, doc_id:
     per slice also carries the slice's documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", SEND_BYTES):
             gram, first = shingle_sets(batch.column("text"), width)
             digest, n = digests(gram, first), np.diff(first)
             own = np.unique(digest, return_index=True)[1]
@@ -326,14 +331,15 @@ class Family:
 
 
 def _search(percent: int):
-    """Links of the families of a bucket: ``(a, b)`` that connect all that link.
-    Rows of side 1 and side 2 of a pair of shards are searched across only."""
+    """Searches the families of a bucket. A whole family gives ``(class, root)``
+    of all its classes that link (``done``); a pair of shards gives links that
+    connect all that link across it, or within it if it is one shard twice."""
 
     def run(group: pa.Table) -> pa.Table:
         side = group.column("side").to_numpy()
         family = group.column("family").to_numpy()
         size, name = group.column("n").to_numpy(), group.column("class").to_numpy()
-        grams = group.column("grams")
+        grams, whole = group.column("grams"), bool(group.column("whole")[0].as_py())
         order = np.lexsort((name, size, family))
         a, b = [], []
         edge = np.append(np.flatnonzero(np.diff(family[order], prepend=family[order[0]] - 1)), len(order))
@@ -345,16 +351,24 @@ def _search(percent: int):
             across = side[own].any()
             for q in range(1, len(own)):
                 usable = side[own] != side[own[q]] if across else None
-                for c in f.partners(q, usable):
-                    a.append(name[own[q]])
-                    b.append(name[own[c]])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                found = f.partners(q, usable)
+                if not whole:
+                    a += [name[own[q]]] * len(found)
+                    b += [name[own[c]] for c in found]
+            if whole:
+                root = f.roots(np.arange(len(own)))
+                away = root != np.arange(len(own))
+                a += name[own[away]].tolist()
+                b += name[own[root[away]]].tolist()
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()),
+                         "done": pa.array([whole] * len(a), pa.bool_())})
 
     return run
 
 
-def _links(classes: DataFrame, percent: int, family_limit: int) -> DataFrame:
-    """Links that connect all classes that link, as ``(a, b)``."""
+def _roots(classes: DataFrame, percent: int, family_limit: int) -> DataFrame:
+    """``(class, root)`` of the classes that link; classes with equal roots are
+    connected. A class without a row is its own root."""
     spark = classes.sparkSession
     postings = staged(classes.select("class", F.explode("prefix").alias("gram")), "prefix-postings")
     hubs = staged(postings.groupBy("gram").agg(F.min("class").alias("hub"), F.count(F.lit(1)).alias("k"))
@@ -368,15 +382,22 @@ def _links(classes: DataFrame, percent: int, family_limit: int) -> DataFrame:
     total = own.agg(F.sum(F.octet_length("grams"))).first()[0] or 0
     tasks = pieces_for(total, FAMILY_BYTES, least=spark.sparkContext.defaultParallelism)
     small = own.join(large, "family", "left_anti").select(
-        F.pmod(F.xxhash64("family"), F.lit(tasks)).alias("task"), F.lit(0).alias("side"), "family", "class", "n", "grams")
+        F.pmod(F.xxhash64("family"), F.lit(tasks)).alias("task"), F.lit(0).alias("side"), F.lit(True).alias("whole"),
+        "family", "class", "n", "grams")
     shard = F.pmod(F.xxhash64("class"), F.col("shards")).cast("int")
     cut = own.join(large, "family").withColumn("s", shard).withColumn(
         "o", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
     cut = cut.select(
         F.xxhash64("family", F.least("s", "o"), F.greatest("s", "o")).alias("task"),
         F.when(F.col("s") == F.col("o"), 0).when(F.col("s") < F.col("o"), 1).otherwise(2).alias("side"),
-        "family", "class", "n", "grams")
-    return arrow_groups(small.unionByName(cut), ["task"], _search(percent), "a bigint, b bigint")
+        F.lit(False).alias("whole"), "family", "class", "n", "grams")
+    schema = "a bigint, b bigint, done boolean"
+    found = staged(arrow_groups(small.unionByName(cut), ["task"], _search(percent), schema), "shingle-links")
+    done = found.where("done").select(F.col("a").alias("class"), F.col("b").alias("root"))
+    if not large.limit(1).count():
+        return done
+    rest = components(found.where("not done").select("a", "b"))
+    return done.unionByName(rest.select(F.col("node").alias("class"), "root"))
 
 
 def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", width: int = WIDTH,
@@ -384,14 +405,13 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
     """Per document: doc_id, n_shingles and component_id, the smallest id that
     links reach (its own without links)."""
     total = text_bytes(docs, text)
-    buckets = pieces_for(total, BUCKET_BYTES, least=8)
+    buckets = pieces_for(total, BUCKET_BYTES, least=LEAST_BUCKETS)
     sent = send_shingles(docs, buckets, width, text, doc_id)
     lists = arrow_groups(sent, ["bucket"], _lists_of(buckets), SHARED)
     found = staged(arrow_groups(lists, ["home"], _classes_of(percent), FOUND), "shingle-classes")
     members = found.where("is_doc").select("class", F.col("n").alias("n_shingles"), "doc_id")
     classes = found.where("not is_doc and size(prefix) > 0").select("class", "n", "prefix", "grams")
-    links = staged(_links(classes, percent, family_limit), "shingle-links")
-    roots = staged(components(links).select(F.col("node").alias("class"), "root"), "class-roots")
+    roots = staged(_roots(classes, percent, family_limit), "class-roots")
     first = members.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first"))
     whole = staged(first.join(roots, "class", "left").select(
         "class", F.coalesce("root", "class").alias("root"), "first"), "class-firsts")
