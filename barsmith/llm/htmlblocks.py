@@ -4,6 +4,9 @@ A block is the text between two block-level boundaries. Inline markup does not
 break a block and ``br`` is white space. Omitted end tags are implied as in
 HTML: a block-level start tag ends an open ``p``, a list item or table cell
 ends its sibling, and an end tag closes whatever is open inside its element.
+Of the hidden elements only raw text runs to the end of the page if unclosed;
+an unclosed button, list of choices, object or drawing ends at the next
+block-level tag.
 Scripts, styles, comments, the head's title and the choices and contents of
 form controls are not text.
 """
@@ -17,6 +20,9 @@ from dataclasses import dataclass
 #: Element kinds of the HTML standard.
 HIDDEN = {"script", "style", "template", "textarea", "select", "title", "svg", "math", "iframe",
           "object", "noframes", "datalist", "button"}
+#: Hidden elements that hold markup, and those of them that cannot hold themselves.
+MARKUP = {"button", "select", "datalist", "object", "svg", "math"}
+SINGLE = {"button", "select", "datalist"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
         "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details",
@@ -33,6 +39,7 @@ SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</?([A-Za-z][^\s/>]*)"
                     r"((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
 _MARK = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK))})(?=[\s/>])", re.I)
 _PART = re.compile(r"[A-Za-z]+")
 
 
@@ -51,6 +58,19 @@ def _marks(attrs: str) -> tuple[str, ...]:
                  for w in _PART.findall(m[2] or m[3] or m[4] or ""))
 
 
+def _hidden_end(page: str, tag: str, at: int) -> int:
+    """Where a hidden element ends whose start tag ends at ``at``."""
+    done = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+    end = done.end() if done else len(page)
+    if tag not in MARKUP:
+        return end
+    again = re.compile(rf"<{re.escape(tag)}(?=[\s/>])", re.I).search(page, at, end) if tag in SINGLE else None
+    if done and not again:
+        return end
+    block = _BLOCK_TAG.search(page, at, again.start() if again else end)
+    return block.start() if block else again.start() if again else end
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """The page's blocks with text, in order."""
     page = page or ""
@@ -104,8 +124,7 @@ def blocks_of(page: str | None) -> list[Block]:
                 close(i)
             continue
         if tag in HIDDEN and not m[2].rstrip().endswith("/"):
-            done = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = done.end() if done else len(page)
+            at = _hidden_end(page, tag, at)
             pieces.append(" ")
             continue
         if block:

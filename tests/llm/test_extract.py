@@ -32,6 +32,16 @@ def test_odd_markup(page, texts):
     assert [b.text for b in blocks_of(page)] == texts
 
 
+@pytest.mark.parametrize("tag", ["button", "select", "datalist", "object", "svg", "math"])
+def test_unclosed_hidden_element_ends_at_the_next_block(tag):
+    texts = lambda page: [b.text for b in blocks_of(page)]
+    assert texts(f"<p>One</p><{tag} class=x>gone<p>Two</p><div>Three</div>") == ["One", "Two", "Three"]
+    assert texts(f"<p>One<{tag}><div>gone</div></{tag}> two</p>") == ["One two"]
+    if tag in ("button", "select", "datalist"):
+        assert texts(f"<{tag}>gone<p>One</p><{tag}>gone</{tag}><p>Two</p>") == ["One", "Two"]
+    assert texts("<p>One</p><script>gone<p>gone</p>") == ["One"]
+
+
 def test_made_pages_held_out(net):
     pages, labels = ex.labelled_pages(150, seed=77)
     f = ex.Features(pages)
