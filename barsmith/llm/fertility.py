@@ -4,14 +4,17 @@ A public vocabulary with byte fallback measures every whole text: characters
 per token, the share of byte-fallback tokens, and the entropy of its tokens.
 Rejection bands come from all documents, per language:
 
-* characters per token: the median, plus or minus ``width`` times the median
-  absolute deviation (at least ``floor`` of the median);
+* characters per token: from the lower to the upper quartile, and ``width`` times
+  their distance (at least a third of ``floor`` of the median) beyond either;
 * entropy: a line in the logarithm of the token count is fitted (longer texts
-  have more entropy), and the distance from it is banded in the same way,
-  downwards only (repetition; a deviation is at least ``line_floor`` bits);
-* byte share: the median plus ``byte_margin``;
+  have more entropy), and the distance from it is banded in the same way by
+  ``line_width``, downwards only (repetition; a quartile distance is at least a
+  third of ``line_floor`` bits);
+* byte share: the upper quartile and ``width`` quartile distances, at least
+  ``byte_margin``;
 * a text below the middle on both of the first two, each by more than ``inner``
-  deviations, is rejected too: few characters per token *and* few kinds of
+  median absolute deviations (at least ``floor`` of the median, ``line_floor``
+  bits), is rejected too: few characters per token *and* few kinds of
   tokens mark symbol and keyword runs, while either alone is common.
 
 Before that come fixed base rules: at least ``min_words`` words, and at most
@@ -145,30 +148,36 @@ def on_line() -> F.Column:
     return F.col("slope") * F.log2("n_tokens") + F.col("base")
 
 
-def bands(measured: DataFrame, width: float, inner: float, floor: float, line_floor: float,
+def bands(measured: DataFrame, width: float, line_width: float, inner: float, floor: float, line_floor: float,
           byte_margin: float, accuracy: int = 10_000) -> DataFrame:
-    """One row per language with the bounds, from all rows that have tokens."""
+    """One row per language with the bounds, from all rows that have tokens. The
+    outer ones lie so many quartile distances beyond the language's quartiles."""
     middle = lambda c: F.percentile_approx(c, 0.5, accuracy)
+    quarter = lambda c: F.percentile_approx(c, [0.25, 0.75], accuracy)
     own = measured.where("n_tokens > 0")
+    share = F.col("n_byte_tokens") / F.col("n_tokens")
     centre = own.groupBy("lang").agg(
-        middle(per_token()).alias("mid_chars"), middle(F.col("n_byte_tokens") / F.col("n_tokens")).alias("mid_bytes"),
+        middle(per_token()).alias("mid_chars"), quarter(per_token()).alias("q_chars"), quarter(share).alias("q_bytes"),
         F.coalesce(F.regr_slope("entropy", F.log2("n_tokens")), F.lit(0.0)).alias("slope"),
         F.coalesce(F.regr_intercept("entropy", F.log2("n_tokens")), F.avg("entropy")).alias("base"))
     off = with_bands(own, centre).withColumns({
         "off_chars": F.abs(per_token() - F.col("mid_chars")),
         "off_line": F.abs(F.col("entropy") - on_line())})
     spread = off.groupBy("lang").agg(middle("off_chars").alias("mad_chars"),
-                                     middle("off_line").alias("mad_line"))
+                                     middle("off_line").alias("mad_line"),
+                                     quarter(F.col("entropy") - on_line()).alias("q_line"))
     one_chars = F.greatest("mad_chars", F.lit(floor) * F.col("mid_chars"))
     one_line = F.greatest("mad_line", F.lit(line_floor))
-    reach = F.lit(width) * one_chars
+    far = lambda q, least: F.greatest(F.col(q)[1] - F.col(q)[0], least)
+    reach = F.lit(width) * far("q_chars", F.lit(floor / 3) * F.col("mid_chars"))
+    line_reach = F.lit(line_width) * far("q_line", F.lit(line_floor / 3)) - F.col("q_line")[0]
     return centre.join(spread.withColumnRenamed("lang", "_l"), F.col("lang").eqNullSafe(F.col("_l"))).select(
-        "lang", "slope", "base", (F.col("mid_chars") - reach).alias("min_chars"),
-        (F.col("mid_chars") + reach).alias("max_chars"),
-        (F.lit(width) * one_line).alias("line_reach"),
+        "lang", "slope", "base", (F.col("q_chars")[0] - reach).alias("min_chars"),
+        (F.col("q_chars")[1] + reach).alias("max_chars"),
+        line_reach.alias("line_reach"),
         (F.col("mid_chars") - F.lit(inner) * one_chars).alias("low_chars"),
         (F.lit(inner) * one_line).alias("low_reach"),
-        (F.col("mid_bytes") + byte_margin).alias("max_bytes"))
+        (F.col("q_bytes")[1] + F.lit(width) * far("q_bytes", F.lit(byte_margin / width))).alias("max_bytes"))
 
 
 def with_bands(rows: DataFrame, found: DataFrame) -> DataFrame:
@@ -181,11 +190,12 @@ def with_bands(rows: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", vocabulary: str = PIECE_BPE,
-          min_words: int = 50, max_repeat_percent: int = 50, width: float = 8.0, inner: float = 1.2,
-          floor: float = 0.03, line_floor: float = 0.25, byte_margin: float = 0.2) -> DataFrame:
+          min_words: int = 50, max_repeat_percent: int = 50, width: float = 6.0, line_width: float = 3.0,
+          inner: float = 1.2, floor: float = 0.03, line_floor: float = 0.25,
+          byte_margin: float = 0.02) -> DataFrame:
     """Measures, bounds and verdict of every document."""
     measured = staged(measure(docs, text, lang, vocabulary), "fertility-measures")
-    limits = staged(bands(measured, width, inner, floor, line_floor, byte_margin), "fertility-bands")
+    limits = staged(bands(measured, width, line_width, inner, floor, line_floor, byte_margin), "fertility-bands")
     failed = ((F.col("n_words") < min_words)
               | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
     fits = (F.col("n_tokens") > 0) & per_token().between(F.col("min_chars"), F.col("max_chars")) & (

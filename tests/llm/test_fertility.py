@@ -60,3 +60,18 @@ def test_verdicts(spark):
     assert not any(got[i].kept for i in range(900, 905))
     assert [got[i].base_failed for i in range(900, 905)] == [False, True, True, True, False]
     assert fertility.judge(docs.limit(0)).count() == 0
+
+
+def test_few_kinds_of_tokens_alone_are_rejected(spark):
+    rnd = random.Random(6)
+    vocab = ["".join(rnd.choice(["th", "er", "on", "ing", "es"]) for _ in range(rnd.randint(1, 4)))
+             for _ in range(400)]
+    rows = [(i, " ".join(rnd.choice(vocab) for _ in range(rnd.randint(60, 300))), "en") for i in range(200)]
+    few = sorted(set(vocab), key=lambda w: -len(w))[:25]
+    rows.append((900, " ".join(rnd.choice(few) for _ in range(250)), "en"))
+    got = {r.row.doc_id: r for r in fertility.judge(spark.createDataFrame(
+        rows, "doc_id long, text string, lang string")).collect()}
+    assert all(got[i].kept for i in range(200))
+    r = got[900]
+    assert not r.base_failed and not r.kept
+    assert r.word_chars / r.n_tokens >= r.low_chars  # not by the inner band
