@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barsmith.llm import (
-    decontaminate, extract, fertility, linespread, packing, resample, suffix_tree, toccurrence,
-    toxicity, urlfilter)
+    decontaminate, extract, fertility, filteraudit, lexsearch, linespread, packing, resample,
+    spotsigs, suffix_tree, toccurrence, toxicity, urlfilter)
 from barsmith.llm.staging import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,34 @@ def op5_recurrent_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract(pages).select(
         F.col("row.page_id").alias("page_id"), F.col("row.url").alias("url"), "text",
         F.length("text").cast("bigint").alias("n_chars"))
+
+
+@query
+def op11_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spotsigs.edited_pairs(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        spotsigs.fingerprint("own").alias("fingerprint"), spotsigs.fingerprint("other").alias("edited_fingerprint"),
+        "near_edited", "near_next")
+
+
+ORACLE["op11_spot_signatures"] = spotsigs.ORACLE
+
+
+@query
+def op12_dense_blas_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexsearch.search(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op12_dense_blas_tiles"] = lexsearch.ORACLE
+
+
+@query
+def op13_lehmer_rank_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return filteraudit.audit(filteraudit.failures(docs, read_table(spark, sf_dir, "labels")))
+
+
+ORACLE["op13_lehmer_rank_audit"] = filteraudit.ORACLE
