@@ -32,14 +32,14 @@ from barsmith.operators.enrich import cast_option_candles, enrich_options
 from barsmith.operators.explode import explode_candles, explode_option_side, select_side
 from barsmith.operators.summary import COUNTS as SUMMARY_COUNTS
 from barsmith.operators.resolve import missing_symbols, resolve_indices, resolve_symbols
-from barsmith.operators.watermark import high_watermark, resume_plan
+from barsmith.operators.watermark import resume_plan
 from barsmith.plans import manifest as M
 from barsmith.schemas import CANDLE, CANDLE_KEYS, OPTION_CANDLE, OPTION_KEYS, ORDER_COLUMNS
 from barsmith.sources.responses import outcome_table, rank_answers, \
     read_intraday_responses, read_option_responses
 from barsmith.session import scratch_path
-from barsmith.sources.store import PARTITION_COLUMNS, partition_value, read_store, \
-    remove_path, upsert_store
+from barsmith.sources.commit_log import CommitStore
+from barsmith.sources.store import PARTITION_COLUMNS, partition_value, remove_path
 
 ORDER = ["ingest_run", "request_seq", "pos"]
 DEFAULT_GRANULARITY = "day"
@@ -78,6 +78,18 @@ class IngestResult:
             remove_path(spark, path)
 
 
+def open_store(spark: SparkSession, path: str, schema: T.StructType) -> CommitStore:
+    """The commit-logged store of candles or option candles at ``path``."""
+    if "underlying" in schema.names:
+        return CommitStore(spark, path, schema, OPTION_KEYS, ORDER, ["underlying", "ts"], "underlying")
+    return CommitStore(spark, path, schema, CANDLE_KEYS, ORDER, ["symbol", "ts"], "symbol")
+
+
+def read_store(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of a store as of its last commit."""
+    return open_store(spark, path, schema).read()
+
+
 def consumer_view(store: DataFrame) -> DataFrame:
     """The consumer columns of a store (ordering columns dropped)."""
     return store.drop("ingest_run", "request_seq", "pos")
@@ -87,9 +99,8 @@ def _request_id(*parts: Column) -> Column:
     return F.concat_ws("|", *[p.cast("string") for p in parts])
 
 
-def _watermarks(spark: SparkSession, store_path: str, schema: T.StructType,
-                entity: str) -> DataFrame:
-    return high_watermark(read_store(spark, store_path, schema).select(entity, "ts"), entity)
+def _watermarks(spark: SparkSession, store_path: str, schema: T.StructType) -> DataFrame:
+    return open_store(spark, store_path, schema).watermarks()
 
 
 # ---------------------------------------------------------------- planning
@@ -103,7 +114,7 @@ def plan_spot_requests(spark: SparkSession, master: DataFrame, store_path: str,
     names = spark.createDataFrame([(n, s.upper()) for n, s in C.SPOT_INDICES],
                                   "name string, symbol string")
     ents = names.join(ids.select("name", "security_id"), "name")
-    plan = resume_plan(ents, _watermarks(spark, store_path, candle_store(granularity), "symbol"),
+    plan = resume_plan(ents, _watermarks(spark, store_path, candle_store(granularity)),
                        "symbol", C.SPOT_START_DATE, X.as_of_date(as_of))
     reqs = M.candle_requests(plan.where("needs_fetch"), "start_date", "end_date",
                              ["symbol", "security_id"])
@@ -121,7 +132,7 @@ def plan_stock_requests(spark: SparkSession, master: DataFrame, store_path: str,
         spark.createDataFrame([(s,) for s in (symbols or C.STOCK_SYMBOLS)], "symbol string")
     ids = resolve_symbols(master, req).where(F.col("security_id").isNotNull())
     plan = resume_plan(ids.select("symbol", "security_id"),
-                       _watermarks(spark, store_path, candle_store(granularity), "symbol"),
+                       _watermarks(spark, store_path, candle_store(granularity)),
                        "symbol", C.STOCKS_START_DATE, X.as_of_date(as_of))
     reqs = M.candle_requests(plan.where("needs_fetch"), "start_date", "end_date",
                              ["symbol", "security_id"])
@@ -150,8 +161,7 @@ def plan_option_requests(spark: SparkSession, master: DataFrame, store_path: str
         [(u, rule, seg, C.STRIKE_STEPS[u]) for u, rule, seg in C.OPTION_UNDERLYINGS],
         "underlying string, name string, segment string, strike_step int")
     ents = under.join(ids.select("name", "security_id"), "name")
-    plan = resume_plan(ents, _watermarks(spark, store_path, option_store(granularity),
-                                         "underlying"),
+    plan = resume_plan(ents, _watermarks(spark, store_path, option_store(granularity)),
                        "underlying", C.OPTIONS_START_DATE, X.as_of_date(as_of))
     reqs = M.option_requests(plan.where("needs_fetch"), "start_date", "end_date",
                              ["underlying", "security_id", "segment", "strike_step"])
@@ -305,11 +315,13 @@ def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
                    landing: str | DataFrame, store_path: str,
                    report_missing: bool = True,
                    granularity: str = DEFAULT_GRANULARITY,
-                   strict_cells: bool = False) -> IngestResult:
+                   strict_cells: bool = False, stream: str | None = None,
+                   epoch: int | None = None) -> IngestResult:
     """Spot (strict arrays, failures abort) or stocks (zero fill, failures
     skipped) responses -> CANDLE store. ``landing`` is the landing folder or
     an already-read response frame (a stream micro-batch). ``strict_cells``
-    fails on a null or unreadable cell inside an array (N5)."""
+    fails on a null or unreadable cell inside an array (N5). A micro-batch
+    (``epoch`` of ``stream``) that the store has committed is not written again."""
     if kind not in ("spot", "stocks"):
         raise ValueError(kind)
     scratch: list[str] = []
@@ -339,9 +351,8 @@ def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
             .withColumn(PARTITION_COLUMNS[granularity], partition_value("ts", granularity)))
     metrics: dict = {}
     reports: dict = {}
-    months = upsert_store(spark, store_path, rows, candle_store(granularity), CANDLE_KEYS,
-                          ORDER, ["symbol", "ts"], metrics=metrics, entity="symbol",
-                          reports=reports)
+    months = open_store(spark, store_path, candle_store(granularity)).upsert(
+        rows, stream, epoch, metrics=metrics, reports=reports)
     metrics.update(bad_ts.get if months else {"bad_ts_rows": 0})
     return IngestResult(months=months, summary=summary,
                         split_manifest=_split_manifest(outcomes, CANDLE_SPLIT),
@@ -353,7 +364,8 @@ def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
 def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | DataFrame,
                    store_path: str, report_missing: bool = True,
                    granularity: str = DEFAULT_GRANULARITY,
-                   strict_cells: bool = False) -> IngestResult:
+                   strict_cells: bool = False, stream: str | None = None,
+                   epoch: int | None = None) -> IngestResult:
     """Rolling-option responses -> enriched OPTION_CANDLE store. Failed
     combos are skipped (reported in the quarantine output and re-requested);
     combos whose range was too long come back halved in the split manifest."""
@@ -384,9 +396,8 @@ def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | Data
         .withColumn(PARTITION_COLUMNS[granularity], partition_value("ts", granularity))
     metrics: dict = {}
     reports: dict = {}
-    months = upsert_store(spark, store_path, typed, option_store(granularity), OPTION_KEYS,
-                          ORDER, ["underlying", "ts"], metrics=metrics, entity="underlying",
-                          reports=reports)
+    months = open_store(spark, store_path, option_store(granularity)).upsert(
+        typed, stream, epoch, metrics=metrics, reports=reports)
     metrics.update(bad_ts.get if months else {"bad_ts_rows": 0})
     return IngestResult(months=months, summary=summary,
                         split_manifest=_split_manifest(outcomes, OPTION_SPLIT, option_text=True),

@@ -220,14 +220,23 @@ st AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'NIFTY' ELSE 'SENSEX' END AS ent,
        FROM events GROUP BY 1)"""
 
 
-def _stored_candles(spark: SparkSession, sf_dir: str, root: str) -> str:
-    """A candle store whose entities last saw data at their last event; only
-    the columns that planning reads are filled."""
+def _stored(spark: SparkSession, rows: DataFrame, path: str, schema) -> str:
+    """A store that one commit filled with ``rows`` (entity and ``ts``); the other
+    columns hold defaults."""
+    part = J.partition_value("ts", "day").alias("trade_date")
+    zero = {"bigint": F.lit(0), "int": F.lit(0), "tinyint": F.lit(0), "double": F.lit(0.0), "string": F.lit("")}
+    own = rows.select("*", part)
+    full = own.select(*[F.col(f.name) if f.name in own.columns else
+                        zero[f.dataType.simpleString()].cast(f.dataType).alias(f.name) for f in schema.fields])
+    J.open_store(spark, path, schema).upsert(full)
+    return path
+
+
+def _stored_entities(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
+    """Entities that last saw data at their last event."""
     ev = V.event_bars(V.table(spark, sf_dir, "events"))
-    rows = ev.select(F.when(F.col("user_id") % 2 == 0, "NIFTY").otherwise("SENSEX").alias("symbol"),
-                     F.col("sec").alias("ts"), J.partition_value("sec", "day").alias("trade_date"))
-    rows.write.mode("overwrite").partitionBy("trade_date").parquet(f"{root}/store")
-    return f"{root}/store"
+    return ev.select(F.when(F.col("user_id") % 2 == 0, "NIFTY").otherwise("SENSEX").alias(entity),
+                     F.col("sec").alias("ts"))
 
 
 @register("plan_spot_job", f"WITH {_INDEX_CTE.strip()}, {_STORED_CTE.strip()}, "
@@ -243,12 +252,13 @@ def plan_spot_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The spot manifest, index ids resolved from the master,
     windows from the day of the stored maximum."""
     root = scratch_path(spark, "plan-spot")
-    return J.plan_spot_requests(spark, index_master(V.table(spark, sf_dir, "part")),
-                                _stored_candles(spark, sf_dir, root), PLAN_AS_OF, 7)
+    store = _stored(spark, _stored_entities(spark, sf_dir, "symbol"), f"{root}/store", J.CANDLE_STORE)
+    return J.plan_spot_requests(spark, index_master(V.table(spark, sf_dir, "part")), store, PLAN_AS_OF, 7)
 
 
-@register("plan_options_job", f"WITH {_INDEX_CTE.strip()}, "
-          f"e AS (SELECT ent, sid, DATE '{C.OPTIONS_START_DATE}' AS s FROM ids), "
+@register("plan_options_job", f"WITH {_INDEX_CTE.strip()}, {_STORED_CTE.strip()}, "
+          f"e AS (SELECT ids.ent, sid, coalesce(d, DATE '{C.OPTIONS_START_DATE}') AS s FROM ids LEFT JOIN st "
+          f"ON st.ent = ids.ent), "
           f"{_windows_sql('e', 30).strip()}" + """
 , fl AS (SELECT unnest(['WEEK', 'MONTH']) AS flag, unnest([0, 1]) AS fi),
 co AS (SELECT unnest([1, 2, 3]) AS code),
@@ -266,19 +276,21 @@ FROM x, c
 """)
 def plan_options_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The options manifest, all columns, all 252
-    combinations of every window from the default start."""
+    combinations of every window from the day of the stored maximum."""
     root = scratch_path(spark, "plan-options")
-    return J.plan_option_requests(spark, index_master(V.table(spark, sf_dir, "part")),
-                                  f"{root}/none", PLAN_AS_OF, 7)
+    store = _stored(spark, _stored_entities(spark, sf_dir, "underlying"), f"{root}/store", J.OPTION_STORE)
+    return J.plan_option_requests(spark, index_master(V.table(spark, sf_dir, "part")), store, PLAN_AS_OF, 7)
 
 
 @register("plan_stocks_job", f"""
 WITH m AS (
   SELECT p_partkey AS row_seq, CAST(p_partkey AS VARCHAR) AS sid, p_type = 'ECONOMY' AS is_eq, p_name AS u
   FROM part WHERE p_size % 3 IN (0, 1) AND p_size <= 45),
-e AS (SELECT u AS ent, sid, DATE '{C.STOCKS_START_DATE}' AS s FROM (
+st AS (SELECT p_name AS n, max(DATE '2024-01-01' + CAST(p_partkey % 500 AS INTEGER)) AS d FROM part
+  WHERE p_partkey % 3 = 0 GROUP BY p_name),
+e AS (SELECT u AS ent, sid, coalesce(d, DATE '{C.STOCKS_START_DATE}') AS s FROM (
     SELECT *, row_number() OVER (PARTITION BY u ORDER BY is_eq DESC,
-           CASE WHEN is_eq THEN -row_seq ELSE row_seq END) AS rn FROM m WHERE u <> '') WHERE rn = 1),
+           CASE WHEN is_eq THEN -row_seq ELSE row_seq END) AS rn FROM m WHERE u <> '') LEFT JOIN st ON n = u WHERE rn = 1),
 """ + _windows_sql("e", 90).strip() + """
 SELECT 'stocks|' || ent || '|' || f || '|' || t || '|7' AS request_id, CAST(7 AS BIGINT) AS ingest_run,
   CAST(window_idx AS BIGINT) AS request_seq, ent AS symbol, sid AS security_id, 'NSE_EQ' AS segment,
@@ -287,11 +299,17 @@ SELECT 'stocks|' || ent || '|' || f || '|' || t || '|7' AS request_id, CAST(7 AS
 FROM x
 """)
 def plan_stocks_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stock manifest for every part name that resolves."""
+    """The stock manifest for every part name that resolves: from
+    the stored day for every third part (none where it is up to date), from the
+    default day for the others."""
     root = scratch_path(spark, "plan-stocks")
     part = V.table(spark, sf_dir, "part")
     names = part.select(F.col("p_name").alias("symbol"))
-    manifest, _ = J.plan_stock_requests(spark, V.part_master(part), f"{root}/none", PLAN_AS_OF, 7, names)
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % 500).cast("int"))
+    seen = part.where("p_partkey % 3 = 0").select(F.col("p_name").alias("symbol"),
+                                                  (F.unix_date(day).cast("bigint") * 86400 + 3600).alias("ts"))
+    store = _stored(spark, seen, f"{root}/store", J.CANDLE_STORE)
+    manifest, _ = J.plan_stock_requests(spark, V.part_master(part), store, PLAN_AS_OF, 7, names)
     return manifest
 
 

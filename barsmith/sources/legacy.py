@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from barsmith.schemas import CANDLE, OPTION_CANDLE
-from barsmith.sources.store import partition_column, partition_value, upsert_store
+from barsmith.sources.commit_log import CommitStore
+from barsmith.sources.store import partition_column, partition_value
 
 # File layout of the original job (fixed values).
 LEGACY_GLOBS = {
@@ -87,5 +88,5 @@ def migrate(spark: SparkSession, root: str, kind: str, store_path: str,
             .withColumn("pos", F.lit(0)))
     col = partition_column(store_schema)
     rows = rows.withColumn(col, partition_value("ts", "day" if col == "trade_date" else "month"))
-    return upsert_store(spark, store_path, rows, store_schema, keys,
-                        ["ingest_run", "request_seq", "pos"], sort_cols)
+    return CommitStore(spark, store_path, store_schema, keys, ["ingest_run", "request_seq", "pos"],
+                       sort_cols, sort_cols[0]).upsert(rows)

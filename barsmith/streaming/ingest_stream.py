@@ -35,10 +35,10 @@ def stream_ingest(spark: SparkSession, kind: str, manifest: DataFrame, landing:
         s = batch.sparkSession
         if kind == "options":
             res = J.ingest_options(s, manifest, batch, store_path, report_missing=False,
-                                   granularity=granularity)
+                                   granularity=granularity, stream=checkpoint, epoch=epoch)
         else:
             res = J.ingest_candles(s, kind, manifest, batch, store_path, report_missing=False,
-                                   granularity=granularity)
+                                   granularity=granularity, stream=checkpoint, epoch=epoch)
         tag = F.lit(epoch).cast("bigint").alias("batch_id")
         for name in ("quarantine", "rerequest", "summary", "run_summary", "split_manifest"):
             getattr(res, name).select("*", tag).write.mode("append").parquet(f"{reports_path}/{name}")
