@@ -311,6 +311,21 @@ def _split_manifest(outcomes: DataFrame, keep: list[str], option_text: bool = Fa
     return M.split_requests(failed.select(*own, "window_idx", "from_date", "to_date"), own, option_text)
 
 
+def answer_sizes(kind: str) -> tuple[dict[str, Column], Column, Column]:
+    """Per landed answer, the sizes computed before it meets its request; and,
+    after, its number of timestamps and of unreadable ones (an option answer's
+    depend on the side that was asked for)."""
+    empty = F.array().cast("array<string>")
+    if kind != "options":
+        n = F.size(F.coalesce(F.col("timestamp"), empty))
+        return {"_n": n, "_bad": _count_bad_ts(F.col("timestamp"))}, F.col("_n"), F.col("_bad")
+    sizes = {f"_{name}_{s}": size(F.col(f"data.{s}.timestamp"))
+             for name, size in (("n", lambda c: F.size(F.coalesce(c, empty))), ("bad", _count_bad_ts))
+             for s in ("ce", "pe")}
+    by_side = lambda c: F.when(F.col("side") == "CALL", F.col(f"_{c}_ce")).otherwise(F.col(f"_{c}_pe"))
+    return sizes, by_side("n"), by_side("bad")
+
+
 def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
                    landing: str | DataFrame, store_path: str,
                    report_missing: bool = True,
@@ -327,10 +342,9 @@ def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
     scratch: list[str] = []
     responses, superseded = _stage_answers(
         spark, _responses(spark, landing, read_intraday_responses), scratch)
-    n = F.size(F.coalesce(F.col("timestamp"), F.array().cast("array<string>")))
-    outcomes = _staged(spark, outcome_table(
-        responses.where("_rank = 1"), manifest, {"_n": n, "_bad": _count_bad_ts(F.col("timestamp"))}, F.col("_n"),
-        report_missing, F.col("_bad")), "outcomes", scratch)
+    sizes, n_rows, n_bad = answer_sizes(kind)
+    outcomes = _staged(spark, outcome_table(responses.where("_rank = 1"), manifest, sizes, n_rows,
+                                            report_missing, n_bad), "outcomes", scratch)
     if kind == "spot":
         # Spot: any non-splittable failure aborts the run before anything is
         # saved, an unreadable line or timestamp included (the bounded check
@@ -372,15 +386,9 @@ def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | Data
     scratch: list[str] = []
     responses, superseded = _stage_answers(
         spark, _responses(spark, landing, read_option_responses), scratch)
-    empty = F.array().cast("array<string>")
-    sizes = {"_n_ce": F.size(F.coalesce(F.col("data.ce.timestamp"), empty)),
-             "_n_pe": F.size(F.coalesce(F.col("data.pe.timestamp"), empty)),
-             "_bad_ce": _count_bad_ts(F.col("data.ce.timestamp")),
-             "_bad_pe": _count_bad_ts(F.col("data.pe.timestamp"))}
-    by_side = lambda c: F.when(F.col("side") == "CALL", F.col(f"_{c}_ce")).otherwise(F.col(f"_{c}_pe"))
-    outcomes = _staged(spark, outcome_table(
-        responses.where("_rank = 1"), manifest, sizes, by_side("n"), report_missing, by_side("bad")),
-        "outcomes", scratch)
+    sizes, n_rows, n_bad = answer_sizes("options")
+    outcomes = _staged(spark, outcome_table(responses.where("_rank = 1"), manifest, sizes, n_rows,
+                                            report_missing, n_bad), "outcomes", scratch)
     summary, quarantine, rerequest = _reports(outcomes, superseded, manifest, "underlying")
     carry = ["ingest_run", "request_seq", "underlying", "side", "expiry_type", "expiry_code",
              "bucket", "strike_step"]

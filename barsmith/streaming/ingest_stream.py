@@ -3,33 +3,49 @@
 Landed response files are a file-source stream; each micro-batch runs the
 same triage -> explode -> enrich -> upsert as the batch job. The store upsert
 is idempotent, so a replayed micro-batch (``foreachBatch`` is at-least-once)
-leaves the store unchanged; report rows carry the micro-batch id so a replay
-can be recognised. A micro-batch rewrites every partition it touches, so an
-answer over 30 days rewrites up to 30 of them: let files gather
-(``max_files_per_trigger`` unset, or a long trigger) where that matters. ``trigger(availableNow=True)`` processes what has landed
-and stops; a processing-time trigger keeps it running.
+leaves the store unchanged, and one that the store's log lists is not written
+again; report rows carry the micro-batch id so a replay can be recognised. A
+micro-batch writes its own rows only, a segment per day (``sources.commit_log``).
+``trigger(availableNow=True)`` processes what has landed and stops; a
+processing-time trigger keeps it running.
+
+The reports of a micro-batch say what became of its answers. What is open across
+micro-batches -- requests without an answer in time, re-requests that a later
+answer settles -- is followed per request where ``timeout`` is given
+(``streaming.request_state``): the events go to ``<reports>/request_events``, and
+``request_state.open_requests`` reads the re-request list from them.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barsmith.plans import jobs as J
 from barsmith.schemas import INTRADAY_RESPONSE, OPTION_RESPONSE
 from barsmith.sources.responses import with_landing
+from barsmith.streaming.request_state import track_requests
 
 
 def stream_ingest(spark: SparkSession, kind: str, manifest: DataFrame, landing: str,
                   store_path: str, checkpoint: str, reports_path: str,
                   max_files_per_trigger: int | None = None,
                   available_now: bool = True,
-                  granularity: str = J.DEFAULT_GRANULARITY) -> None:
+                  granularity: str = J.DEFAULT_GRANULARITY, timeout: dt.timedelta | None = None,
+                  asked_at: dt.datetime | None = None) -> None:
     schema = OPTION_RESPONSE if kind == "options" else INTRADAY_RESPONSE
-    reader = (spark.readStream.schema(schema).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", "_corrupt_record"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = with_landing(reader.json(landing))
+
+    def landed() -> DataFrame:
+        reader = (spark.readStream.schema(schema).option("mode", "PERMISSIVE")
+                  .option("columnNameOfCorruptRecord", "_corrupt_record"))
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        return with_landing(reader.json(landing))
+
+    stream = landed()
+    if timeout is not None and not available_now:
+        _track(spark, kind, manifest, landed(), checkpoint, reports_path, asked_at, timeout, False)
 
     def each(batch: DataFrame, epoch: int) -> None:
         s = batch.sparkSession
@@ -52,3 +68,11 @@ def stream_ingest(spark: SparkSession, kind: str, manifest: DataFrame, landing:
         q.awaitTermination()
         if q.exception() is not None:
             raise q.exception()
+        if timeout is not None:
+            _track(spark, kind, manifest, landed(), checkpoint, reports_path, asked_at, timeout, True)
+
+
+def _track(spark: SparkSession, kind: str, manifest: DataFrame, answers: DataFrame, checkpoint: str,
+           reports_path: str, asked_at: dt.datetime | None, timeout: dt.timedelta, available_now: bool) -> None:
+    track_requests(spark, kind, manifest, answers, f"{checkpoint}-requests", f"{reports_path}/request_events",
+                   asked_at or dt.datetime.now(dt.timezone.utc), timeout, available_now=available_now)
