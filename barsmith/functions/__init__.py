@@ -12,5 +12,5 @@ from barsmith.functions.text import (  # noqa: F401
 from barsmith.functions.options import (  # noqa: F401
     atm_strike, moneyness, guarded_moneyness, stored_atm, strike_offset,
 )
-from barsmith.functions.dates import date_windows, bisect_mid  # noqa: F401
+from barsmith.functions.dates import bisect_leaves, bisect_mid, date_windows  # noqa: F401
 from barsmith.functions.triage import classify_response  # noqa: F401

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from barsmith import functions as X
 from barsmith.session import spread
@@ -43,3 +43,28 @@ def combo_gaps(planned: DataFrame, stored: DataFrame) -> DataFrame:
             & (offset == F.col("_o")) & (F.col("_day") >= F.col("from_date"))
             & (F.col("_day") < F.col("to_date")))
     return planned.join(seen, same, "left_anti")
+
+
+def gap_ranges(gaps: DataFrame, entity: str, max_days: int) -> DataFrame:
+    """One-day gaps (``coverage_gaps``) merged to maximal ranges ``[from, to)`` and
+    these cut to request windows of ``max_days``: consecutive days share the
+    difference of day and rank. ``gap`` numbers an entity's maximal ranges,
+    ``window_idx`` the windows of each."""
+    rank = F.row_number().over(Window.partitionBy(entity).orderBy("from_date"))
+    islands = gaps.select(entity, "from_date", F.date_sub("from_date", rank).alias("_island"))
+    ranges = islands.groupBy(entity, "_island").agg(
+        F.min("from_date").alias("_f"), F.date_add(F.max("from_date"), 1).alias("_t"))
+    number = F.row_number().over(Window.partitionBy(entity).orderBy("_f"))
+    return ranges.select(entity, number.alias("gap"), "_f", "_t").select(
+        entity, "gap", F.inline(X.date_windows("_f", "_t", max_days)))
+
+
+def combo_counts(planned: DataFrame, stored: DataFrame) -> DataFrame:
+    """Per underlying and window of the plan: requests planned, those with at least
+    one stored candle, those without (R1, A6)."""
+    window = ["underlying", "window_idx", "from_date", "to_date"]
+    combo = ["expiry_type", "expiry_code", "bucket", "side"]
+    missing = combo_gaps(planned, stored).select(*window, *combo, F.lit(1).alias("_gap"))
+    n = F.count(F.lit(1))
+    return planned.join(missing, [*window, *combo], "left").groupBy(*window).agg(
+        n.alias("n_planned"), F.count_if(F.col("_gap").isNull()).alias("n_stored"), F.count("_gap").alias("n_missing"))

@@ -179,23 +179,27 @@ def next_run_split_manifest(split_manifest: DataFrame, kind: str, ingest_run: in
     """Turn the split manifest of one run into requests of the next run.
     Halves keep the top-level window; ``request_seq`` orders them by window,
     then start day, so the later half wins on the shared day (N4); option
-    halves then go by their place in the 252 combos of a window."""
-    seq = (F.col("window_idx").cast("bigint") * 100000
-           + F.datediff("from_date", F.lit("1970-01-01").cast("date")) % 100000)
+    halves then go by their place in the 252 combos of a window.
+
+    Halves of halves, which a later run fetches, rank in the run of the first
+    halves (``split_run``): the pieces of a window are one order from left to
+    right, whichever run fetched them."""
+    seq = M.leaf_seq()
+    run = F.lit(ingest_run).cast("bigint")
+    rank = F.coalesce("split_run", run) if "split_run" in split_manifest.columns else run
+    runs = [rank.alias("ingest_run"), rank.alias("split_run")]
     if kind == "options":
-        own = [c for c in OPTION_SPLIT if c in split_manifest.columns and c != "request_seq"]
+        own = [c for c in OPTION_SPLIT if c in split_manifest.columns and c not in ("request_seq", "split_run")]
         return split_manifest.select(
             _request_id(F.lit(kind), F.col("underlying"), F.col("from_date"), F.col("to_date"),
                         F.col("expiry_type"), F.col("expiry_code"), F.col("bucket"),
-                        F.col("side"), F.lit(ingest_run)).alias("request_id"),
-            F.lit(ingest_run).cast("bigint").alias("ingest_run"),
+                        F.col("side"), run).alias("request_id"), *runs,
             (seq * M.COMBOS_PER_WINDOW + F.col("request_seq") % M.COMBOS_PER_WINDOW)
             .alias("request_seq"),
             *own, "window_idx", "from_date", "to_date", "from_text", "to_text")
     return split_manifest.select(
-        _request_id(F.lit(kind), F.col("symbol"), F.col("from_date"), F.col("to_date"),
-                    F.lit(ingest_run)).alias("request_id"),
-        F.lit(ingest_run).cast("bigint").alias("ingest_run"), seq.alias("request_seq"),
+        _request_id(F.lit(kind), F.col("symbol"), F.col("from_date"), F.col("to_date"), run).alias("request_id"),
+        *runs, seq.alias("request_seq"),
         "symbol", "security_id", "segment", "instrument", "window_idx", "from_date", "to_date",
         "from_text", "to_text")
 
@@ -204,8 +208,8 @@ def next_run_split_manifest(split_manifest: DataFrame, kind: str, ingest_run: in
 
 OUTCOMES = ["ok", "bad_ts", "empty", "no_data", "split", "corrupt", "fail", "missing"]
 OPTION_SPLIT = ["underlying", "security_id", "segment", "strike_step", "instrument", "expiry_type",
-                "expiry_code", "bucket", "side", "request_seq"]
-CANDLE_SPLIT = ["symbol", "security_id", "segment", "instrument"]
+                "expiry_code", "bucket", "side", "request_seq", "split_run"]
+CANDLE_SPLIT = ["symbol", "security_id", "segment", "instrument", "split_run"]
 #: Epoch seconds a candle can have (1970 to 2100); others are unreadable timestamps.
 TS_RANGE = (0, 4102444800)
 

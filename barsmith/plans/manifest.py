@@ -93,3 +93,39 @@ def split_requests(failed: DataFrame, keep: list[str], option_text: bool = False
     text = X.option_window_text if option_text else X.candle_window_text
     f_txt, t_txt = text("from_date", "to_date")
     return out.select("*", f_txt.alias("from_text"), t_txt.alias("to_text"))
+
+
+#: Longest range whose halves are followed to the end.
+TREE_DAYS = 366
+
+
+def split_tree(failed: DataFrame, keep: list[str], leaf_days: int = 1,
+               option_text: bool = False, max_days: int = TREE_DAYS) -> DataFrame:
+    """The whole tree below requests that ask for a shorter range, down to
+    leaves of at most ``leaf_days``, for the next run: ``leaf`` numbers them from
+    left to right, and ``request_seq`` puts the leaves of all windows in one order
+    (N4). Requests of one day have no leaves; one of more than ``max_days`` fails.
+
+    A tree depends on the number of days alone, so the trees of all lengths up to
+    ``max_days`` (a row each, a bounded broadcast) are built once and looked up."""
+    day = F.lit("2000-01-01").cast("date")
+    since = lambda d: F.datediff(d, day)
+    trees = failed.sparkSession.range(2, max_days + 1).select(
+        F.col("id").cast("int").alias("_n"),
+        F.transform(X.bisect_leaves(day, F.date_add(day, F.col("id").cast("int")), leaf_days, max_days),
+                    lambda r: F.struct(since(r["from_date"]).alias("a"), since(r["to_date"]).alias("b"))).alias("_tree"))
+    days = F.datediff("to_date", "from_date")
+    long = F.raise_error(F.lit(f"a range of more than {max_days} days cannot be halved to its end"))
+    found = failed.where(days > 1).withColumn("_n", days).join(F.broadcast(trees), "_n", "left") \
+        .select(*keep, "window_idx", F.col("from_date").alias("_f"), F.coalesce("_tree", long).alias("_tree"))
+    leaves = found.select(*keep, "window_idx", "_f", F.posexplode("_tree").alias("_i", "_r"))
+    out = leaves.select(*keep, "window_idx", (F.col("_i") + 1).alias("leaf"),
+                        F.date_add("_f", F.col("_r.a")).alias("from_date"), F.date_add("_f", F.col("_r.b")).alias("to_date"))
+    text = X.option_window_text if option_text else X.candle_window_text
+    f_txt, t_txt = text("from_date", "to_date")
+    return out.select("*", f_txt.alias("from_text"), t_txt.alias("to_text"), leaf_seq().alias("request_seq"))
+
+
+def leaf_seq() -> Column:
+    """Place of a split piece: by window, then by its first day."""
+    return F.col("window_idx").cast("bigint") * 100000 + F.unix_date("from_date") % 100000

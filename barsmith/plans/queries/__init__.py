@@ -17,4 +17,5 @@ from barsmith.plans.queries import ingest_jobs  # noqa: F401
 from barsmith.plans.queries import reports  # noqa: F401
 from barsmith.plans.queries import commits  # noqa: F401
 from barsmith.plans.queries import streams  # noqa: F401
+from barsmith.plans.queries import splits  # noqa: F401
 from barsmith.plans.queries.common import ORACLE, QUERIES  # noqa: F401

@@ -2,8 +2,10 @@
 
 import datetime as dt
 
+import pytest
 
 from barsmith.config import STRIKE_BUCKETS
+from barsmith.operators.coverage import gap_ranges
 from barsmith.plans import manifest as M
 
 
@@ -44,3 +46,42 @@ def test_split_requests(spark):
     assert [(r.window_idx, r.from_date, r.to_date) for r in got] == [
         (1, dt.date(2024, 1, 1), dt.date(2024, 1, 2)), (1, dt.date(2024, 1, 2), dt.date(2024, 1, 4)),
         (3, dt.date(2024, 1, 5), dt.date(2024, 1, 6)), (3, dt.date(2024, 1, 6), dt.date(2024, 1, 7))]
+
+
+def recursion(f, t, leaf_days):
+    """The visiting order of a recursion that halves a range, left half first."""
+    n = (t - f).days
+    if n <= leaf_days:
+        return [(f, t)]
+    mid = f + (t - f) // 2
+    return recursion(f, mid, leaf_days) + recursion(mid, t, leaf_days)
+
+
+def test_split_tree_is_the_recursion(spark):
+    day = dt.date(2024, 1, 1)
+    spans = [(i, day + dt.timedelta(i), day + dt.timedelta(i + n)) for i, n in enumerate([0, 1, 2, 3, 7, 30, 89, 90, 365])]
+    df = spark.createDataFrame(spans, "window_idx int, from_date date, to_date date")
+    for leaf_days in (1, 7):
+        got = {}
+        for r in M.split_tree(df, [], leaf_days).orderBy("window_idx", "leaf").collect():
+            got.setdefault(r.window_idx, []).append(r)
+        want = {i: recursion(f, t, leaf_days) for i, f, t in spans if (t - f).days > 1}
+        assert {i: [(r.from_date, r.to_date) for r in v] for i, v in got.items()} == want
+        for v in got.values():
+            assert [r.leaf for r in v] == list(range(1, len(v) + 1))
+            assert [r.request_seq for r in v] == sorted(r.request_seq for r in v)
+
+
+def test_split_tree_refuses_what_it_cannot_finish(spark):
+    df = spark.createDataFrame([(1, dt.date(2020, 1, 1), dt.date(2024, 1, 1))], "window_idx int, from_date date, to_date date")
+    with pytest.raises(Exception, match="cannot be halved"):
+        M.split_tree(df, []).collect()
+
+
+def test_gap_ranges(spark):
+    days = [("A", d) for d in (2, 3, 4, 9, 11, 12, 13, 14, 15, 16)] + [("B", 5)]
+    df = spark.createDataFrame([(e, dt.date(2024, 1, d), dt.date(2024, 1, d + 1)) for e, d in days],
+                               "symbol string, from_date date, to_date date")
+    got = sorted((r.symbol, r.gap, r.window_idx, r.from_date.day, r.to_date.day) for r in gap_ranges(df, "symbol", 4).collect())
+    assert got == [("A", 1, 1, 2, 5), ("A", 2, 1, 9, 10), ("A", 3, 1, 11, 15), ("A", 3, 2, 15, 17), ("B", 1, 1, 5, 6)]
+    assert gap_ranges(df.limit(0), "symbol", 4).count() == 0
