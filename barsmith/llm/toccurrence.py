@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from barsmith.llm.components import components
 from barsmith.llm.staging import arrow_groups, arrow_map, pieces_for, staged, text_bytes
@@ -121,10 +121,10 @@ def send_shingles(docs: DataFrame, buckets: int, width: int, text: str, doc_id:
             edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
             ids = batch.column("doc_id")
             home = int(digest.sum(dtype=np.uint64) % np.uint64(buckets))
-            for b in range(buckets):
+            # Buckets with shingles of this slice only: their number is bounded by the
+            # slice, while that of all buckets grows with the input.
+            for b in np.union1d(np.flatnonzero(np.diff(edge)), [home]).tolist():
                 lo, hi = edge[b], edge[b + 1]
-                if lo == hi and b != home:
-                    continue
                 per = np.bincount(who[lo:hi], minlength=len(own))
                 some = np.flatnonzero(per)
                 cells = [digest[own[some]], n[own[some]].astype(np.int32), per[some].astype(np.int32),
@@ -170,7 +170,8 @@ def _lists_of(homes: int):
         gram, who = gram[new], who[new]
         _, run_of, df = np.unique(gram, return_inverse=True, return_counts=True)
         df = df[run_of.reshape(-1)].astype(np.int32) if len(gram) else np.empty(0, np.int32)
-        gram, who, df = gram[df > 1] | np.uint64(bucket << 48), who[df > 1], df[df > 1]
+        # 48 bits of the hash and 16 of the bucket, which is its beginning.
+        gram, who, df = gram[df > 1] | np.uint64((bucket & 0xFFFF) << 48), who[df > 1], df[df > 1]
         order = np.argsort(who, kind="stable")
         gram, who, df = gram[order], who[order], df[order]
         home = (names[who] % np.uint64(homes)).astype(np.int64)
@@ -422,10 +423,16 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """One document of each component, the one with the smallest id, with all
-    its columns; documents without an id stay."""
-    found = jaccard_components(docs, doc_id=doc_id, **options)
+def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+    """One document of each component, the one with the smallest id, with all its
+    columns; documents without an id stay. Of several rows with that id, one of
+    every distinct text stays, the one whose columns have the least hash."""
+    found = jaccard_components(docs, text=text, doc_id=doc_id, **options)
     kept = found.where(F.col(doc_id) == F.col("component_id")).select(F.col(doc_id).alias("_kept")).distinct()
-    one = docs.join(kept, F.col(doc_id) == F.col("_kept"), "left_semi").dropDuplicates([doc_id])
+    one = docs.join(kept, F.col(doc_id) == F.col("_kept"), "left_semi")
+    names = one.columns
+    place = Window.partitionBy(F.col(f"`{doc_id}`"), F.xxhash64(F.col(f"`{text}`").cast("string"))) \
+        .orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in names]))
+    one = one.withColumn("_keep_place", F.row_number().over(place)).where("_keep_place = 1").select(
+        *[F.col(f"`{c}`") for c in names])
     return one.unionByName(docs.where(F.col(doc_id).isNull()))

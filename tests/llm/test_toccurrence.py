@@ -125,3 +125,27 @@ def test_sets_of_a_column():
     gram, first = tj.shingle_sets(pa.array(texts))
     assert np.diff(first).tolist() == [len(shingles(t)) for t in texts]
     assert gram[first[1]] in gram[:first[1]]
+
+
+def test_keep_one_loses_no_other_text_of_an_id(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text, "a"), (1, text, "b"), (1, "quite another text under the same id", "c"), (2, text, "d"),
+            (None, text, "e"), (3, None, "f"), (3, None, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = sorted(((r.doc_id, r.text, r.source) for r in tj.keep_one(docs).collect()), key=str)
+    again = sorted(((r.doc_id, r.text, r.source) for r in tj.keep_one(docs.repartition(2, "source")).collect()), key=str)
+    assert got == again
+    assert sorted((str(i), str(t)) for i, t, _ in got) == sorted([
+        ("1", text), ("1", rows[2][1]), ("None", text), ("3", "None")])
+
+
+def test_bucket_numbers_beyond_16_bits():
+    run = tj._lists_of(100_000)
+    gram = np.array([5, 5], np.uint64).view(np.uint8).reshape(-1, 8)[:, :6]
+    row = {"bucket": 70_000, "class": np.array([1, 2], np.uint64).tobytes(), "size": np.array([1, 1], np.int32).tobytes(),
+           "n": np.array([1, 1], np.int32).tobytes(), "gram": gram.tobytes(), "doc_id": b"", "no_id": b"",
+           "doc_class": b"", "doc_n": b""}
+    out = run(pa.Table.from_pylist([row], schema=pa.schema(
+        [("bucket", pa.int32()), *((c, pa.binary()) for c in tj.SENT_COLUMNS)])))
+    found = np.frombuffer(b"".join(out.column("gram").to_pylist()), np.uint64)
+    assert set(found.tolist()) == {5 | (70_000 & 0xFFFF) << 48}
