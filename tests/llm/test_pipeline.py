@@ -28,7 +28,7 @@ def test_stages_equal_brute_force(spark):
             assert all(after[i] == rows[i] for i in after)
         elif name == "line_dedup":
             want = {x[0]: x[1] for x in test_linespread.brute(
-                [(r.doc_id, r.text, r.source) for r in rows.values()], linespread.MIN_SITES, linespread.MAX_SHARE)}
+                [(r.doc_id, r.text, r.source) for r in rows.values()], linespread.MIN_SITES)}
             assert {i: r.text for i, r in after.items()} == want
             assert all(r.n_chars == len(r.text) for r in after.values())
         elif name == "near_duplicates":

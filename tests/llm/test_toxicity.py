@@ -89,3 +89,17 @@ def test_best_thresholds():
     cuts = tx.best_thresholds(s, y, ["en"] * 60)
     assert 0.1 < cuts["en"] <= 0.35
     assert tx.best_thresholds(s[:5], y[:5], ["de"] * 5) == {"de": 0.5}
+
+
+def test_the_sample_is_of_short_texts_one_per_id(spark):
+    """Long texts do not use up the sample, nor do repeated rows of one id."""
+    long = "word " * 300
+    rows = [(i, long if i % 3 else f"short text {i}", "en") for i in range(60)] + [(0, "short text 0", "en")] * 50
+    rows += [(3, "another text of the id", "en"), (None, "no id", "en"), (999, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(999, 1)], "doc_id long, toxic int")
+    got = tx.training_rows(docs, labels, F.lit(True), 8, 100)
+    assert sum(y for _, y, _ in got) == 8 and len(got) == 16
+    assert all(w.shape[1] <= 5 for w, _, _ in got)
+    everything = tx.training_rows(docs, labels, F.lit(True), 1000, 100)
+    assert len(everything) == 21
