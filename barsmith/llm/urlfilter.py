@@ -2,10 +2,11 @@
 
 Entries are ``host/path-prefix`` strings with an action. Their 64-bit xxhash
 digests are kept sorted, beside the full strings, in one flat file that every
-worker maps into memory. A URL is probed with every host suffix and every
-path prefix whose length occurs among the entries; all probes of a batch are
+worker maps into memory. A URL is probed with every host suffix and path
+prefix whose lengths occur together in an entry; all probes of a batch are
 one vectorised binary search, and a digest that is found counts only if the
-stored string is equal (digests can collide). Rules (``allow`` and ``block``)
+stored string is equal (digests can collide). Only host suffixes and path
+prefixes of lengths that entries have are made, so a long URL costs no more. Rules (``allow`` and ``block``)
 go before plain ``listed`` entries; then the longest that fits wins, and at
 equal length ``allow`` beats ``block``.
 
@@ -62,16 +63,17 @@ def entries_frame(spark, entries: Iterable[tuple[str, str, str]]) -> DataFrame:
 
 
 def build_index(entries: list[tuple[str, str, str]]) -> bytes:
-    """The flat file: count, digests, end offsets, path lengths, actions, strings."""
-    rows = sorted({(xxhash.xxh64_intdigest((h + p).encode(), SEED), h + p, len(p), ACTIONS.index(a))
+    """The flat file: count, digests, end offsets, host and path lengths, actions, strings."""
+    rows = sorted({(xxhash.xxh64_intdigest((h + p).encode(), SEED), h + p, len(h), len(p), ACTIONS.index(a))
                    for a, h, p in entries})
-    blobs = [s.encode() for _, s, _, _ in rows]
+    blobs = [r[1].encode() for r in rows]
     return b"".join([
         np.array([len(rows)], "<u8").tobytes(),
         np.array([r[0] for r in rows], "<u8").tobytes(),
         np.cumsum([len(b) for b in blobs], dtype="<u8").tobytes() if rows else b"",
         np.array([r[2] for r in rows], "<u4").tobytes(),
-        np.array([r[3] for r in rows], "u1").tobytes(), *blobs])
+        np.array([r[3] for r in rows], "<u4").tobytes(),
+        np.array([r[4] for r in rows], "u1").tobytes(), *blobs])
 
 
 def rank(text: str, action: int) -> tuple[bool, int, int, str]:
@@ -90,9 +92,11 @@ class DigestArray:
         view = lambda kind, n, at: np.frombuffer(self.map, kind, n, at)
         n = int(view("<u8", 1, 0)[0])
         self.digest, self.end = view("<u8", n, 8), view("<u8", n, 8 + 8 * n)
-        self.path_len, self.action = view("<u4", n, 8 + 16 * n), view("u1", n, 8 + 20 * n)
-        self.base = 8 + 21 * n
-        self.path_lengths = sorted(set(self.path_len.tolist()))
+        self.action, self.base = view("u1", n, 8 + 24 * n), 8 + 25 * n
+        #: Path lengths by host length, both ascending.
+        self.lengths: dict[int, list[int]] = {}
+        for h, p in sorted(set(zip(view("<u4", n, 8 + 16 * n).tolist(), view("<u4", n, 8 + 20 * n).tolist()))):
+            self.lengths.setdefault(h, []).append(p)
 
     def text(self, i: int) -> bytes:
         begin = int(self.end[i - 1]) if i else 0
@@ -104,13 +108,17 @@ class DigestArray:
         for row, (host, path) in enumerate(zip(hosts, paths)):
             if not host:
                 continue
-            dots = [-1, *(i for i, c in enumerate(host) if c == ".")]
-            for n in self.path_lengths:
-                if n > len(path):
+            for size, path_lengths in self.lengths.items():
+                at = len(host) - size
+                if at < 0:
                     break
-                for dot in dots:
+                if at and host[at - 1] != ".":
+                    continue
+                for n in path_lengths:
+                    if n > len(path):
+                        break
                     owner.append(row)
-                    probe.append((host[dot + 1:] + path[:n]).encode())
+                    probe.append((host[at:] + path[:n]).encode())
         out: list[tuple | None] = [None] * len(hosts)
         if not probe or not len(self.digest):
             return out
@@ -132,7 +140,7 @@ def judge(pages: DataFrame, entries: DataFrame, url: str = "url",
           max_bytes: int = MAX_BYTES) -> DataFrame:
     """A row per page: ``row`` (its columns), ``host``, ``path``, ``entry`` and
     ``action`` of the best entry (null if none fits)."""
-    sizes = entries.agg(F.sum(F.octet_length("host") + F.octet_length("path") + 21)).first()[0] or 0
+    sizes = entries.agg(F.sum(F.octet_length("host") + F.octet_length("path") + 25)).first()[0] or 0
     shards = pieces_for(sizes, max_bytes)
     rows = pages.select(
         F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row"),

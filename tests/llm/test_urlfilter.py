@@ -46,6 +46,31 @@ def test_collisions_are_confirmed(monkeypatch):
         (True, 7, -1, "a.com/x"), (True, 5, 0, "b.com"), None]
 
 
+def test_very_long_urls(spark):
+    urls = ["http://" + "a." * 100_000 + "com/fr/", "http://" + "a" * 200_000 + ".org",
+            "http://b.com/de/" + "x/" * 100_000, "http://" + "." * 100_000 + "/x"]
+    entries = uf.RULES + uf.LISTED
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    judged = uf.judge(pages, uf.entries_frame(spark, entries))
+    got = {r.page_id: tuple(r)[1:] for r in uf.verdicts(judged).collect()}
+    assert got == {i: brute(u, entries) for i, u in enumerate(urls)}
+
+
+def test_random_entries_equal_brute_force():
+    import random
+    rnd = random.Random(3)
+    name = lambda: ".".join(rnd.choice(["a", "b", "cc", "é"]) for _ in range(rnd.randint(1, 4)))
+    path = lambda: rnd.choice(["", "/", "/x", "/x/y", "/é/"])
+    entries = sorted({(rnd.choice(uf.ACTIONS), name(), path()) for _ in range(60)})
+    index = uf.DigestArray(uf.build_index(entries))
+    hosts = [name() for _ in range(400)]
+    paths = [rnd.choice(["", "/"]) and path() + "z" if k % 2 else path() for k in range(400)]
+    paths = [p if p.startswith("/") or not p else "/" + p for p in paths]
+    for h, p, got in zip(hosts, paths, index.best(hosts, paths)):
+        want = brute(f"http://{h}{p}", entries)
+        assert (got[3] if got else None) == (want[2] or want[4])
+
+
 def test_empty(spark):
     pages = spark.createDataFrame([(1, "http://a.org/")], "page_id long, url string")
     entries = uf.entries_frame(spark, uf.RULES)
