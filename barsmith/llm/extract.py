@@ -108,10 +108,12 @@ class BlockLabeller:
         return np.concatenate([_means(self.w["path"], f.path, f.path_first),
                                _means(self.w["word"], f.word, f.word_first), f.sizes], 1)
 
-    def _run(self, x: np.ndarray, mask: np.ndarray, d: str) -> tuple[np.ndarray, list]:
-        """One direction over padded pages, x[time, page]; padding keeps the state."""
+    def _run(self, x: np.ndarray, mask: np.ndarray, d: str, learn: bool = True) -> tuple[np.ndarray, list]:
+        """One direction over padded pages, x[time, page]; padding keeps the state.
+        What backpropagation needs of every step is kept only to ``learn``."""
         n, h = x.shape[1], self.hidden
-        state, cell, out, memory = np.zeros((n, h), np.float32), np.zeros((n, h), np.float32), [], []
+        state, cell, memory = np.zeros((n, h), np.float32), np.zeros((n, h), np.float32), []
+        out = np.empty((len(x), n, h), np.result_type(x, self.w["rec_" + d]))
         ahead = x @ self.w["in_" + d] + self.w["bias_" + d]
         for t in range(len(x)):
             g = ahead[t] + state @ self.w["rec_" + d]
@@ -120,11 +122,12 @@ class BlockLabeller:
             new = f * cell + i * c
             m = mask[t][:, None]
             top = np.tanh(new)
-            memory.append((state, cell, i, f, o, c, top, m))
+            if learn:
+                memory.append((state, cell, i, f, o, c, top, m))
             cell = np.where(m, new, cell)
             state = np.where(m, o * top, state)
-            out.append(state)
-        return np.array(out).reshape(len(x), n, h), memory
+            out[t] = state
+        return out, memory
 
     def _back(self, x: np.ndarray, dout: np.ndarray, memory: list, d: str, grads: dict) -> np.ndarray:
         h, w = self.hidden, self.w["rec_" + d]
@@ -154,22 +157,28 @@ class BlockLabeller:
         t = np.arange(n.max())[:, None]
         return np.minimum(f.page_first[pages] + t, f.page_first[-1] - 1), t < n
 
-    def scores(self, f: Features, batch: int = 128) -> np.ndarray:
-        """Probability of main text for every block."""
+    def scores(self, f: Features, pages: int = 128, cells: int = 1 << 14) -> np.ndarray:
+        """Probability of main text for every block. Pages of like length are
+        read together, at most ``pages`` and ``cells`` blocks with padding (or one page)."""
         x = self.inputs(f)
         out = np.zeros(len(x), np.float32)
         n = np.diff(f.page_first)
         order = np.argsort(n, kind="stable")
         order = order[n[order] > 0]
-        for k in range(0, len(order), batch):
-            at, mask = self._padded(f, order[k:k + batch])
-            z = self._logits(x[at], mask)[0]
+        k = 0
+        while k < len(order):
+            size = 1
+            while size < pages and k + size < len(order) and (size + 1) * n[order[k + size]] <= cells:
+                size += 1
+            at, mask = self._padded(f, order[k:k + size])
+            z = self._logits(x[at], mask, learn=False)[0]
             out[at[mask]] = sigmoid(z[mask])
+            k += size
         return out
 
-    def _logits(self, x: np.ndarray, mask: np.ndarray):
-        ahead, mem_f = self._run(x, mask, "f")
-        back, mem_b = self._run(x[::-1], mask[::-1], "b")
+    def _logits(self, x: np.ndarray, mask: np.ndarray, learn: bool = True):
+        ahead, mem_f = self._run(x, mask, "f", learn)
+        back, mem_b = self._run(x[::-1], mask[::-1], "b", learn)
         top = np.concatenate([ahead, back[::-1], x], 2)
         return top @ self.w["out"] + self.w["out_bias"], top, mem_f, mem_b
 
@@ -289,6 +298,8 @@ def made_page(rnd: random.Random) -> tuple[str, list[int]]:
             for _ in range(rnd.randint(1, 4)):
                 add(f"<p>{said(kind, 1, 8)}<input></p>" if rnd.random() < 0.5
                     else f"<div><label>{said(kind, 1, 3)}</label><input></div>", 0)
+        elif tag != "p" and rnd.random() < 0.02:
+            grid(0, lambda: said(kind, 1, 4))
         elif rnd.random() < 0.5 or tag == "p":
             add(prose(3, 30) if rnd.random() < 0.6 else said(kind, 2, 12), 0)
         else:
@@ -298,10 +309,29 @@ def made_page(rnd: random.Random) -> tuple[str, list[int]]:
                            "</" + out[-1][1:].split(">")[0] + ">")
         out.append(f"</{tag}>")
 
+    def grid(label: int, text) -> None:
+        cell = rnd.choice(["td", "td", "th"])
+        out.append("<table>" + rnd.choice(["", "<tbody>"]))
+        if rnd.random() < 0.2:
+            add(f"<caption>{text()}</caption>", label)
+        width = rnd.randint(1, 4)
+        for row in range(rnd.randint(1, 6)):
+            out.append("<tr>")
+            for _ in range(width):
+                own = cell if row == 0 else "td"
+                add(f"<{own}>{rnd.choice([text, lambda: str(rnd.randint(0, 9999))])()}</{own}>", label)
+            out.append("</tr>")
+        out.append("</table>")
+
+    def paragraphs(hi: int) -> None:
+        for _ in range(rnd.randint(1, hi)):
+            add(f"<p>{prose(2, 80)}</p>", 1)
+
     def article() -> None:
         shape = rnd.random()
-        tags = [("article", "")] if shape < 0.45 else [("main", "")] if shape < 0.55 else \
-            [("div", named("content"))] if shape < 0.9 else [("main", ""), ("article", named("content"))]
+        tags = [("article", "")] if shape < 0.4 else [("main", "")] if shape < 0.5 else \
+            [("div", named("content"))] if shape < 0.75 else [("div", "")] if shape < 0.9 else \
+            [("main", ""), ("article", named("content"))]
         if rnd.random() < 0.3:
             tags.append(("div", named("content")))
         out.extend(f"<{t}{a}>" for t, a in tags)
@@ -313,7 +343,7 @@ def made_page(rnd: random.Random) -> tuple[str, list[int]]:
         n = rnd.choice([rnd.randint(0, 4), rnd.randint(1, 12), rnd.randint(5, 40)])
         for k in range(n):
             roll = rnd.random()
-            if roll < 0.7:
+            if roll < 0.62:
                 text = prose(1, 3) if rnd.random() < 0.3 else prose(4, 120)
                 if rnd.random() < 0.12:
                     text = said(rnd.choice(list(PHRASES)), 1, 12).capitalize() + "."
@@ -321,17 +351,34 @@ def made_page(rnd: random.Random) -> tuple[str, list[int]]:
                     text = rnd.choice(["<b>{}</b>", "<b>{}", "{} <a href='x'>" + word() + "</a>.",
                                        "<i>" + word() + "</i> {}"]).format(text)
                 add(f"<p>{text}" + rnd.choice(["</p>", "</p>", "</p>", "", "<br>"]), 1)
-            elif roll < 0.78:
+            elif roll < 0.69:
                 add(f"<h2>{prose(1, 8)}</h2>", 1)
-            elif roll < 0.86:
+            elif roll < 0.76:
                 out.append("<ul>")
                 for _ in range(rnd.randint(1, 5)):
                     add(f"<li>{prose(1, 20)}</li>", 1)
                 out.append("</ul>")
-            elif roll < 0.91:
+            elif roll < 0.8:
                 add(f"<blockquote>{prose(5, 40)}</blockquote>", 1)
-            elif roll < 0.94:
+            elif roll < 0.82:
                 add(f"<pre>{prose(3, 20)}</pre>", 1)
+            elif roll < 0.86:
+                grid(1, lambda: prose(1, 6))
+            elif roll < 0.88:
+                out.append("<dl>")
+                for _ in range(rnd.randint(1, 4)):
+                    add(f"<dt>{prose(1, 4)}</dt>", 1)
+                    add(f"<dd>{prose(2, 30)}</dd>", 1)
+                out.append("</dl>")
+            elif roll < 0.91:
+                out.append("<figure><img src=x>")
+                add(f"<figcaption>{prose(1, 25)}</figcaption>", 1)
+                out.append("</figure>")
+            elif roll < 0.94:
+                box = rnd.choice(["div", "section", "div"])
+                out.append(f"<{box}>")
+                paragraphs(4)
+                out.append(f"</{box}>")
             elif roll < 0.97:
                 part("ad")
             else:
@@ -370,7 +417,7 @@ def labelled_pages(n: int, seed: int) -> tuple[list[list[Block]], list[list[int]
 
 
 @functools.lru_cache(maxsize=4)
-def train(pages: int = 700, epochs: int = 8, seed: int = 0, batch: int = 32, rate: float = 0.01) -> BlockLabeller:
+def train(pages: int = 900, epochs: int = 8, seed: int = 0, batch: int = 32, rate: float = 0.01) -> BlockLabeller:
     """The labeller, trained on made pages (the same for the same arguments)."""
     blocks, labels = labelled_pages(pages, seed)
     rng, net, state = np.random.default_rng(seed), BlockLabeller(seed=seed), {}

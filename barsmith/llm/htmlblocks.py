@@ -9,6 +9,10 @@ an unclosed button, list of choices, object or drawing ends at the next
 block-level tag.
 Scripts, styles, comments, the head's title and the choices and contents of
 form controls are not text.
+
+Work and memory grow with the page's length: open elements are found by their
+name, an end tag that a hidden element lacks is looked for once, and a path of
+more than ``PATH_HEAD + PATH_TAIL`` parts keeps the outermost and innermost.
 """
 
 from __future__ import annotations
@@ -42,6 +46,9 @@ _MARK = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^
 _BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK))})(?=[\s/>])", re.I)
 _PART = re.compile(r"[A-Za-z]+")
 
+#: Parts of a long path that are kept: from its outer and from its inner end.
+PATH_HEAD, PATH_TAIL = 16, 48
+
 
 @dataclass
 class Block:
@@ -58,10 +65,27 @@ def _marks(attrs: str) -> tuple[str, ...]:
                  for w in _PART.findall(m[2] or m[3] or m[4] or ""))
 
 
-def _hidden_end(page: str, tag: str, at: int) -> int:
+def _path(stack: list[tuple[str, tuple[str, ...]]]) -> tuple[str, ...]:
+    """Tags and marks of the open elements, outermost first."""
+    if len(stack) + sum(len(marks) for _, marks in stack[:PATH_HEAD + PATH_TAIL]) <= PATH_HEAD + PATH_TAIL:
+        return tuple(x for tag, marks in stack for x in (tag, *marks))
+    outer = [x for tag, marks in stack[:PATH_HEAD] for x in (tag, *marks)][:PATH_HEAD]
+    inner = [x for tag, marks in stack[-PATH_TAIL:] for x in (tag, *marks)][-PATH_TAIL:]
+    return tuple(outer + inner)
+
+
+def _end_tag(page: str, tag: str, at: int, known: dict[str, tuple[int, int]]) -> tuple[int, int] | None:
+    """Begin and end of the next end tag of this name. ``known`` has the last answer by name."""
+    if tag not in known or known[tag][0] < at:
+        m = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+        known[tag] = m.span() if m else (len(page) + 1, len(page))
+    return known[tag] if known[tag][0] <= len(page) else None
+
+
+def _hidden_end(page: str, tag: str, at: int, known: dict[str, tuple[int, int]]) -> int:
     """Where a hidden element ends whose start tag ends at ``at``."""
-    done = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-    end = done.end() if done else len(page)
+    done = _end_tag(page, tag, at, known)
+    end = done[1] if done else len(page)
     if tag not in MARKUP:
         return end
     again = re.compile(rf"<{re.escape(tag)}(?=[\s/>])", re.I).search(page, at, end) if tag in SINGLE else None
@@ -76,6 +100,9 @@ def blocks_of(page: str | None) -> list[Block]:
     page = page or ""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    places: dict[str, list[int]] = {}    # where in the stack each name is open
+    blocks: list[int] = []               # where block-level elements are
+    known: dict[str, tuple[int, int]] = {}
     pieces: list[str] = []
     linked = links = at = 0
 
@@ -84,23 +111,25 @@ def blocks_of(page: str | None) -> list[Block]:
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                out.append(Block(text, tuple(x for tag, marks in stack for x in (tag, *marks)),
-                                 min(linked, len(text))))
+                out.append(Block(text, _path(stack), min(linked, len(text))))
             pieces.clear()
         linked = 0
 
     def close(i: int) -> None:
         nonlocal links
-        links -= sum(tag == "a" for tag, _ in stack[i:])
-        del stack[i:]
+        while len(stack) > i:
+            tag, _ = stack.pop()
+            places[tag].pop()
+            links -= tag == "a"
+            if blocks and blocks[-1] == len(stack):
+                blocks.pop()
+
+    def last(names: set[str]) -> int:
+        return max((places[x][-1] for x in names if places.get(x)), default=-1)
 
     def find(names: set[str], stop: set[str]) -> int | None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in names:
-                return i
-            if stack[i][0] in stop:
-                return None
-        return None
+        i = last(names)
+        return i if i >= 0 and i >= last(stop) else None
 
     while at < len(page):
         m = _TOKEN.search(page, at)
@@ -120,11 +149,11 @@ def blocks_of(page: str | None) -> list[Block]:
             i = find({tag}, set())
             if block:
                 flush()
-            if i is not None and (block or not any(t in BLOCK for t, _ in stack[i:])):
+            if i is not None and (block or not blocks or blocks[-1] < i):
                 close(i)
             continue
         if tag in HIDDEN and not m[2].rstrip().endswith("/"):
-            at = _hidden_end(page, tag, at)
+            at = _hidden_end(page, tag, at, known)
             pieces.append(" ")
             continue
         if block:
@@ -137,6 +166,9 @@ def blocks_of(page: str | None) -> list[Block]:
         if tag == "br":
             pieces.append(" ")
         if tag not in VOID and not m[2].endswith("/"):
+            places.setdefault(tag, []).append(len(stack))
+            if block:
+                blocks.append(len(stack))
             stack.append((tag, _marks(m[2])))
             links += tag == "a"
     flush()
