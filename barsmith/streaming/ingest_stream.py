@@ -9,7 +9,9 @@ micro-batch writes its own rows only, a segment per day (``sources.commit_log``)
 ``trigger(availableNow=True)`` processes what has landed and stops; a
 processing-time trigger keeps it running.
 
-The reports of a micro-batch say what became of its answers. What is open across
+The reports of a micro-batch say what became of its answers, and ``batch_metrics``
+what it counted: rows read from its answers, written, and left out for their
+timestamps, as observed while it ran (A5). What is open across
 micro-batches -- requests without an answer in time, re-requests that a later
 answer settles -- is followed per request where ``timeout`` is given
 (``streaming.request_state``): the events go to ``<reports>/request_events``, and
@@ -28,6 +30,17 @@ from barsmith.sources.responses import with_landing
 from barsmith.streaming.request_state import track_requests
 
 
+#: Counts of a micro-batch in the ``batch_metrics`` report.
+METRICS = ["rows_in", "rows_written", "bad_ts_rows", "n_partitions"]
+
+
+def batch_metrics(spark: SparkSession, reports_path: str) -> DataFrame:
+    """What each micro-batch of an ingest stream counted (A5). A micro-batch
+    that was run again is one row, that of the run which committed it."""
+    return spark.read.parquet(f"{reports_path}/batch_metrics").groupBy("batch_id") \
+        .agg(*[F.max(c).alias(c) for c in METRICS], F.count(F.lit(1)).alias("n_runs"))
+
+
 def stream_ingest(spark: SparkSession, kind: str, manifest: DataFrame, landing: str,
                   store_path: str, checkpoint: str, reports_path: str,
                   max_files_per_trigger: int | None = None,
@@ -58,6 +71,10 @@ def stream_ingest(spark: SparkSession, kind: str, manifest: DataFrame, landing:
         tag = F.lit(epoch).cast("bigint").alias("batch_id")
         for name in ("quarantine", "rerequest", "summary", "run_summary", "split_manifest"):
             getattr(res, name).select("*", tag).write.mode("append").parquet(f"{reports_path}/{name}")
+        # A replay that the store skips counts no rows; its row says so by the zeros.
+        counts = [int(res.metrics.get(c) or 0) for c in METRICS]
+        s.range(1).select(tag, *[F.lit(n).cast("bigint").alias(c) for c, n in zip(METRICS, counts)]) \
+            .write.mode("append").parquet(f"{reports_path}/batch_metrics")
         res.release(s)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)

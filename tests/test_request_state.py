@@ -6,7 +6,7 @@ import tempfile
 import time
 
 from barsmith.plans import jobs as J
-from barsmith.streaming.ingest_stream import stream_ingest
+from barsmith.streaming.ingest_stream import METRICS, batch_metrics, stream_ingest
 from barsmith.streaming.request_state import open_requests, request_states
 from tests.test_jobs import body, land
 
@@ -79,3 +79,22 @@ def test_a_second_micro_batch_wins_in_the_store(spark):
         land(root + "/l", [{"request_id": "r0", "status": 200, **body([T0], price)}])
         stream_ingest(spark, "stocks", m, root + "/l", root + "/s", root + "/ckpt", root + "/rep")
         assert [r.open for r in J.read_store(spark, root + "/s", J.CANDLE_STORE).collect()] == [price]
+
+
+def test_counts_of_micro_batches(spark):
+    root = tempfile.mkdtemp()
+    m = manifest(spark, 4)
+    kw = {"max_files_per_trigger": 100}
+    land(root + "/l", [good(0), failed(1), {**good(2), "timestamp": ["soon"]}])
+    stream_ingest(spark, "stocks", m, root + "/l", root + "/s", root + "/ckpt", root + "/rep", **kw)
+    land(root + "/l", [failed(3)])
+    stream_ingest(spark, "stocks", m, root + "/l", root + "/s", root + "/ckpt", root + "/rep", **kw)
+    land(root + "/l", [good(1), good(3), good(0)])
+    stream_ingest(spark, "stocks", m, root + "/l", root + "/s", root + "/ckpt", root + "/rep", **kw)
+    got = {r.batch_id: [r[c] for c in METRICS] for r in batch_metrics(spark, root + "/rep").collect()}
+    assert got == {0: [1, 1, 1, 1], 1: [0, 0, 0, 0], 2: [3, 3, 0, 1]}
+    # A micro-batch that is run again adds a row of zeros, which changes nothing.
+    row = spark.range(1).selectExpr("0L AS batch_id", *[f"0L AS {c}" for c in METRICS])
+    row.write.mode("append").parquet(root + "/rep/batch_metrics")
+    again = batch_metrics(spark, root + "/rep").where("batch_id = 0").first()
+    assert [again[c] for c in METRICS] == got[0] and again.n_runs == 2
