@@ -50,6 +50,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     i.add_argument("--checkpoint", default=None)
     i.add_argument("--strict-cells", action="store_true",
                    help="fail on a null or unreadable cell inside an array")
+    i.add_argument("--cells", choices=["text", "variant"], default="text",
+                   help="variant: cells keep their JSON type, so a fractional text is no integer")
     n = sub.add_parser("next-run")
     n.add_argument("--kind", choices=["spot", "stocks", "options"], required=True)
     n.add_argument("--split-manifest", required=True, help="<reports>/split_manifest of a run")
@@ -86,9 +88,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             from barsmith.streaming.ingest_stream import stream_ingest
             stream_ingest(spark, a.kind, manifest, a.landing, a.store,
                           a.checkpoint or a.reports + "/_checkpoint", a.reports,
-                          granularity=a.granularity)
+                          granularity=a.granularity, cells=a.cells)
         else:
-            own = {"granularity": a.granularity, "strict_cells": a.strict_cells}
+            own = {"granularity": a.granularity, "strict_cells": a.strict_cells, "cells": a.cells}
             res = (J.ingest_options(spark, manifest, a.landing, a.store, **own)
                    if a.kind == "options"
                    else J.ingest_candles(spark, a.kind, manifest, a.landing, a.store, **own))

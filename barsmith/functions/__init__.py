@@ -6,6 +6,9 @@ from barsmith.functions.timefmt import (  # noqa: F401
     candle_window_text, option_window_text,
 )
 from barsmith.functions.numbers import to_double, to_long, empty_to_null_double  # noqa: F401
+from barsmith.functions.variants import (  # noqa: F401
+    variant_double, variant_empty_to_null, variant_kind, variant_long,
+)
 from barsmith.functions.text import (  # noqa: F401
     first_non_empty, strip_ws, matches_keywords, combined_text,
 )

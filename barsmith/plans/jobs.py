@@ -29,7 +29,7 @@ from barsmith import config as C
 from barsmith import functions as X
 from barsmith.operators.dedupe import keep_last
 from barsmith.operators.enrich import cast_option_candles, enrich_options
-from barsmith.operators.explode import explode_candles, explode_option_side, select_side
+from barsmith.operators.explode import cell_parsers, explode_candles, explode_option_side, select_side
 from barsmith.operators.summary import COUNTS as SUMMARY_COUNTS
 from barsmith.operators.resolve import missing_symbols, resolve_indices, resolve_symbols
 from barsmith.operators.watermark import resume_plan
@@ -214,8 +214,8 @@ CANDLE_SPLIT = ["symbol", "security_id", "segment", "instrument", "split_run"]
 TS_RANGE = (0, 4102444800)
 
 
-def _responses(spark: SparkSession, landing: str | DataFrame, reader) -> DataFrame:
-    return landing if isinstance(landing, DataFrame) else reader(spark, landing)
+def _responses(spark: SparkSession, landing: str | DataFrame, reader, cells: str) -> DataFrame:
+    return landing if isinstance(landing, DataFrame) else reader(spark, landing, cells)
 
 
 def _staged(spark: SparkSession, df: DataFrame, name: str, scratch: list[str]) -> DataFrame:
@@ -291,10 +291,10 @@ def _bad_ts(ts: Column) -> Column:
     return F.coalesce(~ts.between(*TS_RANGE), F.lit(True))
 
 
-def _count_bad_ts(cells: Column) -> Column:
+def _count_bad_ts(cells: Column, dtype: T.ArrayType) -> Column:
     """Timestamp cells of a response that cannot be read."""
-    return F.size(F.filter(F.coalesce(cells, F.array().cast("array<string>")),
-                           lambda x: _bad_ts(X.to_long(x))))
+    return F.size(F.filter(F.coalesce(cells, F.array().cast(dtype)),
+                           lambda x: _bad_ts(cell_parsers(dtype).to_long(x))))
 
 
 def _drop_bad_ts(rows: DataFrame):
@@ -315,16 +315,18 @@ def _split_manifest(outcomes: DataFrame, keep: list[str], option_text: bool = Fa
     return M.split_requests(failed.select(*own, "window_idx", "from_date", "to_date"), own, option_text)
 
 
-def answer_sizes(kind: str) -> tuple[dict[str, Column], Column, Column]:
+def answer_sizes(kind: str, responses: DataFrame) -> tuple[dict[str, Column], Column, Column]:
     """Per landed answer, the sizes computed before it meets its request; and,
     after, its number of timestamps and of unreadable ones (an option answer's
     depend on the side that was asked for)."""
-    empty = F.array().cast("array<string>")
+    dtype = (responses.select("data.ce.timestamp") if kind == "options" else responses).schema["timestamp"].dataType
+    empty = F.array().cast(dtype)
     if kind != "options":
         n = F.size(F.coalesce(F.col("timestamp"), empty))
-        return {"_n": n, "_bad": _count_bad_ts(F.col("timestamp"))}, F.col("_n"), F.col("_bad")
+        return {"_n": n, "_bad": _count_bad_ts(F.col("timestamp"), dtype)}, F.col("_n"), F.col("_bad")
     sizes = {f"_{name}_{s}": size(F.col(f"data.{s}.timestamp"))
-             for name, size in (("n", lambda c: F.size(F.coalesce(c, empty))), ("bad", _count_bad_ts))
+             for name, size in (("n", lambda c: F.size(F.coalesce(c, empty))),
+                                ("bad", lambda c: _count_bad_ts(c, dtype)))
              for s in ("ce", "pe")}
     by_side = lambda c: F.when(F.col("side") == "CALL", F.col(f"_{c}_ce")).otherwise(F.col(f"_{c}_pe"))
     return sizes, by_side("n"), by_side("bad")
@@ -335,18 +337,19 @@ def ingest_candles(spark: SparkSession, kind: str, manifest: DataFrame,
                    report_missing: bool = True,
                    granularity: str = DEFAULT_GRANULARITY,
                    strict_cells: bool = False, stream: str | None = None,
-                   epoch: int | None = None) -> IngestResult:
+                   epoch: int | None = None, cells: str = "text") -> IngestResult:
     """Spot (strict arrays, failures abort) or stocks (zero fill, failures
     skipped) responses -> CANDLE store. ``landing`` is the landing folder or
     an already-read response frame (a stream micro-batch). ``strict_cells``
-    fails on a null or unreadable cell inside an array (N5). A micro-batch
+    fails on a null or unreadable cell inside an array (N5). ``cells="variant"``
+    reads the landing folder with cells that keep their JSON type. A micro-batch
     (``epoch`` of ``stream``) that the store has committed is not written again."""
     if kind not in ("spot", "stocks"):
         raise ValueError(kind)
     scratch: list[str] = []
     responses, superseded = _stage_answers(
-        spark, _responses(spark, landing, read_intraday_responses), scratch)
-    sizes, n_rows, n_bad = answer_sizes(kind)
+        spark, _responses(spark, landing, read_intraday_responses, cells), scratch)
+    sizes, n_rows, n_bad = answer_sizes(kind, responses)
     outcomes = _staged(spark, outcome_table(responses.where("_rank = 1"), manifest, sizes, n_rows,
                                             report_missing, n_bad), "outcomes", scratch)
     if kind == "spot":
@@ -383,14 +386,15 @@ def ingest_options(spark: SparkSession, manifest: DataFrame, landing: str | Data
                    store_path: str, report_missing: bool = True,
                    granularity: str = DEFAULT_GRANULARITY,
                    strict_cells: bool = False, stream: str | None = None,
-                   epoch: int | None = None) -> IngestResult:
+                   epoch: int | None = None, cells: str = "text") -> IngestResult:
     """Rolling-option responses -> enriched OPTION_CANDLE store. Failed
     combos are skipped (reported in the quarantine output and re-requested);
-    combos whose range was too long come back halved in the split manifest."""
+    combos whose range was too long come back halved in the split manifest.
+    ``cells`` is as in ``ingest_candles``."""
     scratch: list[str] = []
     responses, superseded = _stage_answers(
-        spark, _responses(spark, landing, read_option_responses), scratch)
-    sizes, n_rows, n_bad = answer_sizes("options")
+        spark, _responses(spark, landing, read_option_responses, cells), scratch)
+    sizes, n_rows, n_bad = answer_sizes("options", responses)
     outcomes = _staged(spark, outcome_table(responses.where("_rank = 1"), manifest, sizes, n_rows,
                                             report_missing, n_bad), "outcomes", scratch)
     summary, quarantine, rerequest = _reports(outcomes, superseded, manifest, "underlying")

@@ -90,3 +90,20 @@ OPTION_RESPONSE = T.StructType([
     ])),
     T.StructField("_corrupt_record", S),
 ])
+
+
+def variant_cells(schema: T.StructType) -> T.StructType:
+    """A landed response schema whose cells keep their JSON type."""
+    def typed(dtype: T.DataType) -> T.DataType:
+        if isinstance(dtype, T.StructType):
+            return T.StructType([T.StructField(f.name, typed(f.dataType)) for f in dtype.fields])
+        return T.ArrayType(T.VariantType()) if dtype == CELLS else dtype
+    return typed(schema)
+
+
+def response_schema(kind: str, cells: str = "text") -> T.StructType:
+    """Schema of the landed answers of a kind, with text or variant cells."""
+    if cells not in ("text", "variant"):
+        raise ValueError(cells)
+    schema = OPTION_RESPONSE if kind == "options" else INTRADAY_RESPONSE
+    return variant_cells(schema) if cells == "variant" else schema

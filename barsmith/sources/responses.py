@@ -2,8 +2,9 @@
 
 Each landed JSON line is one response: an envelope (``request_id``,
 ``status``, ``errorCode``, ``errorMessage``) and the body. Cells are read as
-text so one ``""`` cannot null a whole numeric array; unreadable lines land
-in ``_corrupt_record`` instead of failing the read.
+text so one ``""`` cannot null a whole numeric array, or as VARIANT where their
+JSON types matter (``functions.variants``); unreadable lines land in
+``_corrupt_record`` instead of failing the read.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from barsmith.functions.triage import classify_response
-from barsmith.schemas import INTRADAY_RESPONSE, OPTION_RESPONSE
+from barsmith.schemas import response_schema
 
 
 def _reader(spark: SparkSession, schema):
@@ -25,12 +26,12 @@ def with_landing(responses: DataFrame) -> DataFrame:
                             F.col("_metadata.file_path").alias("_landed_file"))
 
 
-def read_intraday_responses(spark: SparkSession, path: str) -> DataFrame:
-    return with_landing(_reader(spark, INTRADAY_RESPONSE).json(path))
+def read_intraday_responses(spark: SparkSession, path: str, cells: str = "text") -> DataFrame:
+    return with_landing(_reader(spark, response_schema("stocks", cells)).json(path))
 
 
-def read_option_responses(spark: SparkSession, path: str) -> DataFrame:
-    return with_landing(_reader(spark, OPTION_RESPONSE).json(path))
+def read_option_responses(spark: SparkSession, path: str, cells: str = "text") -> DataFrame:
+    return with_landing(_reader(spark, response_schema("options", cells)).json(path))
 
 
 def rank_answers(responses: DataFrame) -> DataFrame:
@@ -43,7 +44,9 @@ def rank_answers(responses: DataFrame) -> DataFrame:
               & F.col("_corrupt_record").isNull() & F.col("request_id").isNotNull())
     have = responses.select("*", usable.alias("_usable"), *[F.lit(None).cast(t).alias(c) for c, t in landing.items()
                                    if c not in responses.columns])
-    body = F.xxhash64(*[F.col(f"`{c}`") for c in responses.columns if c not in landing])
+    # Variants have no hash of their own.
+    typed = {f.name: "variant" in f.dataType.simpleString() for f in responses.schema.fields}
+    body = F.xxhash64(*[F.to_json(c) if typed[c] else F.col(f"`{c}`") for c in responses.columns if c not in landing])
     newest = Window.partitionBy("request_id").orderBy(
         F.col("_usable").desc(), F.col("_landed_at").desc_nulls_last(), F.col("_landed_file").desc_nulls_last(), body.desc())
     named = have.where(F.col("request_id").isNotNull()).withColumn("_rank", F.row_number().over(newest))

@@ -25,7 +25,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barsmith.plans import jobs as J
-from barsmith.schemas import INTRADAY_RESPONSE, OPTION_RESPONSE
+from barsmith.schemas import response_schema
 from barsmith.sources.responses import with_landing
 from barsmith.streaming.request_state import track_requests
 
@@ -46,8 +46,8 @@ def stream_ingest(spark: SparkSession, kind: str, manifest: DataFrame, landing:
                   max_files_per_trigger: int | None = None,
                   available_now: bool = True,
                   granularity: str = J.DEFAULT_GRANULARITY, timeout: dt.timedelta | None = None,
-                  asked_at: dt.datetime | None = None) -> None:
-    schema = OPTION_RESPONSE if kind == "options" else INTRADAY_RESPONSE
+                  asked_at: dt.datetime | None = None, cells: str = "text") -> None:
+    schema = response_schema(kind, cells)
 
     def landed() -> DataFrame:
         reader = (spark.readStream.schema(schema).option("mode", "PERMISSIVE")

@@ -87,7 +87,7 @@ class RequestState(StatefulProcessor):
 
 def answer_outcomes(answers: DataFrame, manifest: DataFrame, kind: str) -> DataFrame:
     """``request_id``, ``outcome`` and ``_landed_at`` of every readable answer."""
-    sizes, n_rows, n_bad = J.answer_sizes(kind)
+    sizes, n_rows, n_bad = J.answer_sizes(kind, answers)
     own = ["request_id", "from_date", "to_date", *(["side"] if kind == "options" else [])]
     slim = answers.where(F.col("request_id").isNotNull()).select(
         "request_id", "status", "errorCode", "errorMessage", "_corrupt_record", "_landed_at",
