@@ -19,4 +19,5 @@ from barsmith.plans.queries import commits  # noqa: F401
 from barsmith.plans.queries import streams  # noqa: F401
 from barsmith.plans.queries import splits  # noqa: F401
 from barsmith.plans.queries import cells  # noqa: F401
+from barsmith.plans.queries import symbols  # noqa: F401
 from barsmith.plans.queries.common import ORACLE, QUERIES  # noqa: F401

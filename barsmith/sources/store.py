@@ -66,6 +66,20 @@ def read_entity(spark: SparkSession, path: str, schema: StructType, entity: str,
     return rows
 
 
+def read_entities(spark: SparkSession, path: str, schema: StructType, entity: str, entities: DataFrame,
+                  buckets: int | None = None) -> DataFrame:
+    """The rows of all entities of a table (S8). Where the store has the bucket
+    level, the join is on bucket and entity: a table that Spark broadcasts by
+    its size prunes the buckets to open at run time. A larger one is joined
+    by shuffle, over all buckets. Empty names are no entities."""
+    rows = read_store(spark, path, schema)
+    names = entities.select(entity).where(F.length(entity) > 0)
+    on = [entity]
+    if buckets and BUCKET_COLUMN in schema.names:
+        names, on = names.withColumn(BUCKET_COLUMN, symbol_bucket(entity, buckets)), [BUCKET_COLUMN, entity]
+    return rows.join(names, on, "left_semi").select(*schema.names)
+
+
 def partition_columns(schema: StructType) -> list[str]:
     """The time partition and, where the schema has it, the symbol bucket."""
     return [partition_column(schema), *(c for c in schema.names if c == BUCKET_COLUMN)]
