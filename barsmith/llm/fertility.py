@@ -1,8 +1,9 @@
 """Operator 9, quality rules: tokeniser fertility.
 
-A public vocabulary with byte fallback measures every whole text: characters
-per token, the share of byte-fallback tokens, and the entropy of its tokens.
-Rejection bands come from all documents, per language:
+Public vocabularies measure every whole text: one with byte fallback gives the
+share of its byte tokens, and each of them characters per token and the entropy
+of the tokens. Rejection bands come from all documents, per language and
+vocabulary:
 
 * characters per token: from the lower to the upper quartile, and ``width`` times
   their distance (at least a third of ``floor`` of the median) beyond either;
@@ -14,8 +15,14 @@ Rejection bands come from all documents, per language:
   ``byte_margin``;
 * a text below the middle on both of the first two, each by more than ``inner``
   median absolute deviations (at least ``floor`` of the median, ``line_floor``
-  bits), is rejected too: few characters per token *and* few kinds of
-  tokens mark symbol and keyword runs, while either alone is common.
+  bits), is rejected too, if every vocabulary finds it so: few characters per
+  token *and* few kinds of tokens mark symbol and keyword runs, while either
+  alone is common.
+
+The other bands reject a text that is outside by any vocabulary. Quartiles and
+medians are exact, of values in steps of ``STEP``: a language's values are counted
+by step, so their number is bounded and the result does not depend on partitions
+(but for the last digits of the fitted line's sums).
 
 Before that come fixed base rules: at least ``min_words`` words, and at most
 ``max_repeat_percent`` of words inside a repeated 3-word window.
@@ -34,29 +41,44 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from barsmith.llm.staging import arrow_map, staged
-from barsmith.llm.tokens import PIECE_BPE, piece_bpe_cache, vocabulary_path
+from barsmith.llm.tokens import PIECE_BPE, WORD_BPE, WordCache, piece_bpe_cache, vocabulary_path, word_bpe_cache
 from barsmith.llm.words import (
     Words, mix, ngram_hashes, per_doc, runs, span_hashes, text_slices, words_of)
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
-COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-          "n_tokens", "n_byte_tokens"]
-MEASURES = ", ".join(f"{c} bigint" for c in COUNTS) + ", entropy double"
+BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+COUNTS = [*BASE, "n_tokens", "n_byte_tokens"]
+VOCABULARIES = (PIECE_BPE, WORD_BPE)
+#: Width of the steps in which values are ranked.
+STEP = 1e-3
 #: Languages whose bands are sent to all tasks; with more, the bands are joined.
 MAX_BROADCAST_GROUPS = 10_000
 _CACHE: dict[str, tuple] = {}
 
 
-def _vocabulary(path: str):
+def _vocabulary(path: str) -> tuple[WordCache, np.ndarray | None]:
+    """The encoder, and which ids are byte-fallback tokens (None: it has none)."""
     if path not in _CACHE:
-        import sentencepiece
-        model = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path(path))
-        is_byte = np.array([model.is_byte(i) for i in range(model.get_piece_size())])
-        _CACHE[path] = (piece_bpe_cache(path), is_byte)
+        if path.endswith(".json"):
+            _CACHE[path] = (word_bpe_cache(path), None)
+        else:
+            import sentencepiece
+            model = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path(path))
+            is_byte = np.array([model.is_byte(i) for i in range(model.get_piece_size())])
+            _CACHE[path] = (piece_bpe_cache(path), is_byte)
     return _CACHE[path]
 
 
+def columns_of(n: int) -> list[str]:
+    """Columns of the ``n``-th vocabulary's measures; the first has plain names."""
+    return [c if not n else f"{c}_{n + 1}" for c in ("n_tokens", "n_byte_tokens", "entropy")]
+
+
+def _names(vocabularies: tuple[str, ...]) -> list[str]:
+    return BASE + [c for n in range(len(vocabularies)) for c in columns_of(n)]
+
+
 def _in_document(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return mix(h ^ (doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
@@ -100,9 +122,9 @@ def entropies(ids: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
     return np.where(n > 0, np.log2(np.maximum(n, 1)) - spread / np.maximum(n, 1), 0.0)
 
 
-def measure_column(col: pa.Array, vocabulary: str = PIECE_BPE) -> list[np.ndarray]:
-    """The columns of ``MEASURES`` for a column of texts."""
-    cache, is_byte = _vocabulary(vocabulary)
+def measure_column(col: pa.Array, vocabularies: tuple[str, ...] = VOCABULARIES) -> list[np.ndarray]:
+    """The columns of ``BASE`` for a column of texts, then tokens, byte tokens and
+    entropy by each vocabulary."""
     words = words_of(col)
     size = np.array([0 if x is None else x for x in pa.compute.binary_length(col).to_pylist()], np.int64)
     offsets = np.concatenate([[0], np.cumsum(size)])
@@ -110,32 +132,37 @@ def measure_column(col: pa.Array, vocabulary: str = PIECE_BPE) -> list[np.ndarra
     in_word[words.start] += 1
     in_word[words.end] -= 1
     letters = (np.cumsum(in_word[:-1], dtype=np.int8) > 0) & ((words.data & 0xC0) != 0x80)
-    ids, n_ids = cache.encode_words(words)
-    edge = np.concatenate([[0], np.cumsum(n_ids)])[words.first]
-    doc = np.repeat(np.arange(words.docs), np.diff(edge))
-    h = words.hashes(lower=False)
-    return [words.counts, per_doc(letters, offsets), per_doc(SYMBOLS[words.data], offsets),
-            duplicate_lines(words, offsets), repeat_words(words, h), np.diff(edge),
-            per_doc(is_byte[ids], edge), entropies(ids, doc, words.docs)]
+    found = [words.counts, per_doc(letters, offsets), per_doc(SYMBOLS[words.data], offsets),
+             duplicate_lines(words, offsets), repeat_words(words, words.hashes(lower=False))]
+    for name in vocabularies:
+        cache, is_byte = _vocabulary(name)
+        ids, n_ids = cache.encode_words(words)
+        edge = np.concatenate([[0], np.cumsum(n_ids)])[words.first]
+        doc = np.repeat(np.arange(words.docs), np.diff(edge))
+        n_bytes = np.zeros(words.docs, np.int64) if is_byte is None else per_doc(is_byte[ids], edge)
+        found += [np.diff(edge), n_bytes, entropies(ids, doc, words.docs)]
+    return found
 
 
 def measure(docs: DataFrame, text: str = "text", lang: str = "lang",
-            vocabulary: str = PIECE_BPE) -> DataFrame:
+            vocabularies: tuple[str, ...] = VOCABULARIES) -> DataFrame:
     """``row`` (the document's columns), ``lang`` and the measures."""
+    names = _names(vocabularies)
+    kinds = [(c, pa.float64() if c.startswith("entropy") else pa.int64()) for c in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
-            found = measure_column(batch.column("text"), vocabulary)
+            found = measure_column(batch.column("text"), vocabularies)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("lang"),
-                 *(pa.array(x, pa.int64()) for x in found[:-1]), pa.array(found[-1], pa.float64())],
-                names=["row", "lang", *COUNTS, "entropy"])
+                [batch.column("row"), batch.column("lang"), *(pa.array(x, k) for x, (_, k) in zip(found, kinds))],
+                names=["row", "lang", *names])
 
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row"),
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
-    return arrow_map(rows, run, f"row {kind}, lang string, {MEASURES}")
+    measures = ", ".join(f"{c} {'double' if k == pa.float64() else 'bigint'}" for c, k in kinds)
+    return arrow_map(rows, run, f"row {kind}, lang string, {measures}")
 
 
 def per_token() -> F.Column:
@@ -149,11 +176,12 @@ def on_line() -> F.Column:
 
 
 def bands(measured: DataFrame, width: float, line_width: float, inner: float, floor: float, line_floor: float,
-          byte_margin: float, accuracy: int = 10_000) -> DataFrame:
+          byte_margin: float) -> DataFrame:
     """One row per language with the bounds, from all rows that have tokens. The
     outer ones lie so many quartile distances beyond the language's quartiles."""
-    middle = lambda c: F.percentile_approx(c, 0.5, accuracy)
-    quarter = lambda c: F.percentile_approx(c, [0.25, 0.75], accuracy)
+    stepped = lambda c: F.round((F.col(c) if isinstance(c, str) else c) / STEP).cast("bigint")
+    middle = lambda c: F.percentile(stepped(c), 0.5) * STEP
+    quarter = lambda c: F.transform(F.percentile(stepped(c), [0.25, 0.75]), lambda x: x * STEP)
     own = measured.where("n_tokens > 0")
     share = F.col("n_byte_tokens") / F.col("n_tokens")
     centre = own.groupBy("lang").agg(
@@ -189,19 +217,44 @@ def with_bands(rows: DataFrame, found: DataFrame) -> DataFrame:
                      F.col("lang").eqNullSafe(F.col("_lang")), "left").drop("_lang")
 
 
-def judge(docs: DataFrame, text: str = "text", lang: str = "lang", vocabulary: str = PIECE_BPE,
+def judge(docs: DataFrame, text: str = "text", lang: str = "lang", vocabularies: tuple[str, ...] = VOCABULARIES,
           min_words: int = 50, max_repeat_percent: int = 50, width: float = 6.0, line_width: float = 3.0,
           inner: float = 1.2, floor: float = 0.03, line_floor: float = 0.25,
           byte_margin: float = 0.02) -> DataFrame:
-    """Measures, bounds and verdict of every document."""
-    measured = staged(measure(docs, text, lang, vocabulary), "fertility-measures")
-    limits = staged(bands(measured, width, line_width, inner, floor, line_floor, byte_margin), "fertility-bands")
+    """Measures, bounds (``by_vocabulary``, an array) and verdict of every document."""
+    measured = staged(measure(docs, text, lang, vocabularies), "fertility-measures")
+    limits = None
+    for n in range(len(vocabularies)):
+        own = measured.select("lang", "word_chars", *_as_first(n))
+        found = bands(own, width, line_width, inner, floor, line_floor, byte_margin)
+        found = found.select("lang", F.struct(*[c for c in found.columns if c != "lang"]).alias(f"bounds_{n}"))
+        limits = found if limits is None else limits.join(
+            found.withColumnRenamed("lang", "_l"), F.col("lang").eqNullSafe(F.col("_l")), "full").select(
+            F.coalesce("lang", "_l").alias("lang"), *limits.columns[1:], f"bounds_{n}")
+    limits = staged(limits.select("lang", F.array(*limits.columns[1:]).alias("by_vocabulary")), "fertility-bands")
     failed = ((F.col("n_words") < min_words)
               | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
-    fits = (F.col("n_tokens") > 0) & per_token().between(F.col("min_chars"), F.col("max_chars")) & (
-        F.col("entropy") >= on_line() - F.col("line_reach")) & (
-        F.try_divide("n_byte_tokens", "n_tokens") <= F.col("max_bytes")) & ~(
-        (per_token() < F.col("low_chars")) & (F.col("entropy") < on_line() - F.col("low_reach")))
+    fits, low = F.lit(True), F.lit(True)
+    for n in range(len(vocabularies)):
+        inside, under = _verdict(n)
+        fits, low = fits & inside, low & under
     return with_bands(measured, limits).withColumns({
         "base_failed": failed,
-        "kept": ~failed & F.coalesce(fits, F.lit(False))})
+        "kept": ~failed & F.coalesce(fits & ~low, F.lit(False))})
+
+
+def _as_first(n: int) -> list[F.Column]:
+    """The ``n``-th vocabulary's measures under the names of the first's."""
+    return [F.col(c).alias(own) for c, own in zip(columns_of(n), columns_of(0))]
+
+
+def _verdict(n: int) -> tuple[F.Column, F.Column]:
+    """Whether a row is inside the ``n``-th vocabulary's outer bands, and whether it
+    is below the middle on both measures."""
+    n_tokens, n_bytes, entropy = (F.col(c) for c in columns_of(n))
+    bound = lambda c: F.col("by_vocabulary")[n][c]
+    chars = F.try_divide("word_chars", n_tokens)
+    line = bound("slope") * F.log2(n_tokens) + bound("base")
+    inside = ((n_tokens > 0) & chars.between(bound("min_chars"), bound("max_chars"))
+              & (entropy >= line - bound("line_reach")) & (F.try_divide(n_bytes, n_tokens) <= bound("max_bytes")))
+    return inside, (chars < bound("low_chars")) & (entropy < line - bound("low_reach"))

@@ -86,7 +86,7 @@ ORACLE["op8_sorted_digest_array"] = urlfilter.ORACLE
 def op9_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return fertility.judge(docs).select(
-        F.col("row.doc_id").alias("doc_id"), *fertility.COUNTS, "entropy", "base_failed", "kept")
+        F.col("row.doc_id").alias("doc_id"), *fertility.COUNTS, "entropy", "n_tokens_2", "entropy_2", "base_failed", "kept")
 
 
 @query
