@@ -15,11 +15,10 @@ vocabulary:
   ``byte_margin``;
 * a text below the middle on both of the first two, each by more than ``inner``
   median absolute deviations (at least ``floor`` of the median, ``line_floor``
-  bits), is rejected too, if every vocabulary finds it so: few characters per
-  token *and* few kinds of tokens mark symbol and keyword runs, while either
-  alone is common.
+  bits), is rejected too: few characters per token *and* few kinds of
+  tokens mark symbol and keyword runs, while either alone is common.
 
-The other bands reject a text that is outside by any vocabulary. Quartiles and
+A text is rejected that one of the vocabularies rejects. Quartiles and
 medians are exact, of values in steps of ``STEP``: a language's values are counted
 by step, so their number is bounded and the result does not depend on partitions
 (but for the last digits of the fitted line's sums).
@@ -234,13 +233,13 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", vocabularies:
     limits = staged(limits.select("lang", F.array(*limits.columns[1:]).alias("by_vocabulary")), "fertility-bands")
     failed = ((F.col("n_words") < min_words)
               | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
-    fits, low = F.lit(True), F.lit(True)
+    fits = F.lit(True)
     for n in range(len(vocabularies)):
-        inside, under = _verdict(n)
-        fits, low = fits & inside, low & under
+        inside, low = _verdict(n)
+        fits = fits & inside & ~low
     return with_bands(measured, limits).withColumns({
         "base_failed": failed,
-        "kept": ~failed & F.coalesce(fits & ~low, F.lit(False))})
+        "kept": ~failed & F.coalesce(fits, F.lit(False))})
 
 
 def _as_first(n: int) -> list[F.Column]:
