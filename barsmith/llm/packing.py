@@ -34,6 +34,9 @@ from barsmith.llm.words import text_slices, words_of
 TOKENS = "part int, doc_id bigint, start_in_part bigint, n_tokens bigint, ids binary"
 PIECES = ("doc_id bigint, start bigint, length bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint, ids binary")
+#: Text bytes tokenized at once: every worker of an executor holds some twenty
+#: times as much beside its vocabulary and known words.
+SEND_BYTES = 512 << 10
 _CACHE: dict[str, object] = {}
 
 
@@ -46,7 +49,7 @@ def tokenize(docs: DataFrame, vocabulary: str = WORD_BPE, end_id: int = 2) -> Da
             _CACHE[vocabulary] = word_bpe_cache(vocabulary)
         cache = _CACHE[vocabulary]
         part, done = TaskContext.get().partitionId(), 0
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", SEND_BYTES):
             words = words_of(batch.column("text"))
             ids, size = cache.encode_words(words)
             before = np.concatenate([[0], np.cumsum(size)])[words.first]

@@ -47,9 +47,9 @@ class WordCache:
         slots = np.arange(len(self.begin) - 1, len(self.begin) - 1 + len(at))
         self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
         self.ids = np.concatenate([self.ids, flat])
-        keys = np.concatenate([self.known, hashes[at]])
-        order = np.argsort(keys, kind="stable")
-        self.known, self.slot = keys[order], np.concatenate([self.slot, slots])[order]
+        # Both are in the order of the hashes already: merged, not sorted anew.
+        place = np.searchsorted(self.known, hashes[at])
+        self.known, self.slot = np.insert(self.known, place, hashes[at]), np.insert(self.slot, place, slots)
 
     def lookup(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """``(slot of every word, ids per slot are self.ids[begin[s]:begin[s+1]])``."""

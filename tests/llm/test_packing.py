@@ -79,3 +79,21 @@ def test_crc_and_sequences(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, n_chars long")
     assert packing.pack(docs, crc32=True).count() == packing.pack(docs).count() == 0
+
+
+def test_texts_are_sent_in_small_slices(spark, monkeypatch):
+    """Ids do not depend on the slices, down to one document each."""
+    texts = [f"word{i} {'of the ' * (i % 7)}text{i % 5} don't" for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    monkeypatch.setattr(packing, "SEND_BYTES", 1)
+    got = {r.doc_id: np.frombuffer(r.ids, "<u2").tolist() for r in packing.tokenize(docs).collect()}
+    assert got == dict(enumerate(expected(texts)))
+
+
+def test_new_words_are_merged_into_the_known_ones():
+    cache = word_bpe_cache()
+    for i in range(0, 3000, 50):
+        text = " ".join(f"w{k * 7919 % 3000}" for k in range(i, i + 50)) + " w7 again"
+        ids, _ = cache.encode_words(words_of(pa.array([text])))
+        assert ids.tolist() + [2] == expected([text])[0]
+    assert (cache.known[1:] > cache.known[:-1]).all() and len(cache.known) == len(cache.slot)
