@@ -30,9 +30,11 @@ def window_rows(df: DataFrame, start: str | Column, end: str | Column, max_days:
     """One row per date window of ``[start, end)`` per input row.
 
     The entity frame is usually a small aggregate; it is spread over the
-    shuffle partitions first so the expansion runs on every core."""
+    shuffle partitions first so the expansion runs on every core. (By a hash of
+    ``keep``: Spark leaves out a repartition by what was aggregated by already.)"""
     if spread_first:
-        df = spread(df, *keep)
+        own = F.xxhash64(*[F.col(f"`{c}`") for c in keep]) if keep else F.lit(0)
+        df = spread(df.withColumn("_spread", own), "_spread").drop("_spread")
     return df.select(*keep, F.inline(X.date_windows(start, end, max_days)))
 
 
@@ -100,11 +102,13 @@ TREE_DAYS = 366
 
 
 def split_tree(failed: DataFrame, keep: list[str], leaf_days: int = 1,
-               option_text: bool = False, max_days: int = TREE_DAYS) -> DataFrame:
+               option_text: bool = False, max_days: int = TREE_DAYS, nested: bool = False) -> DataFrame:
     """The whole tree below requests that ask for a shorter range, down to
     leaves of at most ``leaf_days``, for the next run: ``leaf`` numbers them from
     left to right, and ``request_seq`` puts the leaves of all windows in one order
     (N4). Requests of one day have no leaves; one of more than ``max_days`` fails.
+    ``nested`` gives a row per request with its ``leaves`` (without texts), so that
+    what is asked of one tree needs no grouping of its leaves.
 
     A tree depends on the number of days alone, so the trees of all lengths up to
     ``max_days`` (a row each, a bounded broadcast) are built once and looked up."""
@@ -118,14 +122,18 @@ def split_tree(failed: DataFrame, keep: list[str], leaf_days: int = 1,
     long = F.raise_error(F.lit(f"a range of more than {max_days} days cannot be halved to its end"))
     found = failed.where(days > 1).withColumn("_n", days).join(F.broadcast(trees), "_n", "left") \
         .select(*keep, "window_idx", F.col("from_date").alias("_f"), F.coalesce("_tree", long).alias("_tree"))
-    leaves = found.select(*keep, "window_idx", "_f", F.posexplode("_tree").alias("_i", "_r"))
-    out = leaves.select(*keep, "window_idx", (F.col("_i") + 1).alias("leaf"),
-                        F.date_add("_f", F.col("_r.a")).alias("from_date"), F.date_add("_f", F.col("_r.b")).alias("to_date"))
+    leaves = found.select(*keep, "window_idx", F.transform("_tree", lambda r, i: F.struct(
+        (i + 1).alias("leaf"), F.date_add("_f", r["a"]).alias("from_date"), F.date_add("_f", r["b"]).alias("to_date"),
+        leaf_seq(F.date_add("_f", r["a"])).alias("request_seq"))).alias("leaves"))
+    if nested:
+        return leaves
+    out = leaves.select(*keep, "window_idx", F.inline("leaves"))
     text = X.option_window_text if option_text else X.candle_window_text
     f_txt, t_txt = text("from_date", "to_date")
-    return out.select("*", f_txt.alias("from_text"), t_txt.alias("to_text"), leaf_seq().alias("request_seq"))
+    return out.select(*keep, "window_idx", "leaf", "from_date", "to_date", f_txt.alias("from_text"),
+                      t_txt.alias("to_text"), "request_seq")
 
 
-def leaf_seq() -> Column:
+def leaf_seq(from_date: str | Column = "from_date") -> Column:
     """Place of a split piece: by window, then by its first day."""
-    return F.col("window_idx").cast("bigint") * 100000 + F.unix_date("from_date") % 100000
+    return F.col("window_idx").cast("bigint") * 100000 + F.unix_date(from_date) % 100000

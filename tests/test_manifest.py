@@ -72,6 +72,29 @@ def test_split_tree_is_the_recursion(spark):
             assert [r.request_seq for r in v] == sorted(r.request_seq for r in v)
 
 
+def test_nested_trees_hold_the_same_leaves(spark):
+    day = dt.date(2024, 1, 1)
+    df = spark.createDataFrame([(k, i, day + dt.timedelta(i), day + dt.timedelta(i + n)) for k, i, n in (
+        ("a", 1, 90), ("a", 2, 1), ("b", 1, 31), (None, 3, 30), ("b", 1, 31))],
+        "k string, window_idx int, from_date date, to_date date")
+    flat = M.split_tree(df, ["k"], 7).drop("from_text", "to_text")
+    nested = M.split_tree(df, ["k"], 7, nested=True)
+    assert nested.count() == 4
+    own = nested.selectExpr("k", "window_idx", "inline(leaves)").select(*flat.columns)
+    assert sorted(map(str, own.collect())) == sorted(map(str, flat.collect()))
+
+
+def test_the_tree_query_sends_no_leaves(spark):
+    """Leaves are many times the windows: none is shuffled."""
+    from barsmith.plans.queries import QUERIES
+    found = QUERIES["split_tree"](spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "posexplode" not in plan
+    rows = [r for r in found.collect() if r.max_days == 90 and r.n_leaves > 2]
+    assert rows and all(r.n_leaves == len(r.leaves.split(" ")) for r in rows)
+    assert all(r.last_seq - r.first_seq == r.n_leaves - 1 for r in rows)
+
+
 def test_split_tree_refuses_what_it_cannot_finish(spark):
     df = spark.createDataFrame([(1, dt.date(2020, 1, 1), dt.date(2024, 1, 1))], "window_idx int, from_date date, to_date date")
     with pytest.raises(Exception, match="cannot be halved"):
