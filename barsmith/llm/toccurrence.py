@@ -425,14 +425,23 @@ def jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
 
 def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """One document of each component, the one with the smallest id, with all its
-    columns; documents without an id stay. Of several rows with that id, one of
-    every distinct text stays, the one whose columns have the least hash."""
-    found = jaccard_components(docs, text=text, doc_id=doc_id, **options)
-    kept = found.where(F.col(doc_id) == F.col("component_id")).select(F.col(doc_id).alias("_kept")).distinct()
-    one = docs.join(kept, F.col(doc_id) == F.col("_kept"), "left_semi")
-    names = one.columns
-    place = Window.partitionBy(F.col(f"`{doc_id}`"), F.xxhash64(F.col(f"`{text}`").cast("string"))) \
-        .orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in names]))
-    one = one.withColumn("_keep_place", F.row_number().over(place)).where("_keep_place = 1").select(
-        *[F.col(f"`{c}`") for c in names])
-    return one.unionByName(docs.where(F.col(doc_id).isNull()))
+    columns; documents without an id stay. Components are of texts, so that several
+    texts under one id are judged each by its own links: the id stays with those of
+    its texts that are first in their component, with one where they link with each
+    other. Of equal rows in this sense the one whose columns have the least hash stays."""
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    own = docs.withColumn("_text_key", F.xxhash64(F.col(f"`{text}`").cast("string")))
+    found = jaccard_components(own.select("_text_key", F.col(f"`{text}`").alias("text")), text="text",
+                               doc_id="_text_key", **options)
+    found = staged(found.distinct(), "text-components")
+    ids = own.select(F.col(f"`{doc_id}`").alias("_id"), "_text_key").where("_id IS NOT NULL").distinct()
+    placed = ids.join(found, "_text_key")
+    first = placed.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct("_id", "_text_key")).alias("r")) \
+        .select("r.*")
+    # Texts without shingles link with nothing: each id keeps its own.
+    kept = first.unionByName(placed.where("n_shingles = 0").select("_id", "_text_key"))
+    kept = staged(kept.withColumnRenamed("_text_key", "_kept_key"), "kept-texts")
+    one = own.join(kept, (F.col(f"`{doc_id}`") == F.col("_id")) & (F.col("_text_key") == F.col("_kept_key")), "left_semi")
+    place = Window.partitionBy(F.col(f"`{doc_id}`"), "_text_key").orderBy(F.xxhash64(*names))
+    one = one.withColumn("_keep_place", F.row_number().over(place)).where("_keep_place = 1").select(*names)
+    return one.unionByName(docs.where(F.col(f"`{doc_id}`").isNull()))

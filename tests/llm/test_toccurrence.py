@@ -149,3 +149,15 @@ def test_bucket_numbers_beyond_16_bits():
         [("bucket", pa.int32()), *((c, pa.binary()) for c in tj.SENT_COLUMNS)])))
     found = np.frombuffer(b"".join(out.column("gram").to_pylist()), np.uint64)
     assert set(found.tolist()) == {5 | (70_000 & 0xFFFF) << 48}
+
+
+def test_keep_one_judges_every_text_of_an_id(spark):
+    """A copy goes although its id stays with another text, and an id keeps one of its near copies."""
+    text = [f"w{i}" for i in range(60)]
+    copy, near = " ".join(text), " ".join(text[:-1] + ["other"])
+    rows = [(2, copy), (5, copy), (5, "a text that only this id has"), (7, "x " + near), (9, near.upper()),
+            (11, "near copies of one id " * 30), (11, "near copies of one id " * 30 + "end"), (12, ""), (13, ""), (13, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(tuple(r) for r in tj.keep_one(docs).collect())
+    assert [r for r in got if r[0] != 11] == [(2, copy), (5, rows[2][1]), (12, ""), (13, "")]
+    assert len(got) == 5 and got[2][1] in (rows[5][1], rows[6][1])
