@@ -103,3 +103,33 @@ def test_the_sample_is_of_short_texts_one_per_id(spark):
     assert all(w.shape[1] <= 5 for w, _, _ in got)
     everything = tx.training_rows(docs, labels, F.lit(True), 1000, 100)
     assert len(everything) == 21
+
+
+def test_thresholds_of_all_rows_equal_those_of_arrays(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for lang, n, shift in (("en", 400, 2.0), (None, 150, 1.0), ("de", 60, 3.0), ("xx", 30, 1.0), ("fr", 80, 0.0)):
+        y = (rng.random(n) < (0.03 if lang == "xx" else 0.4)).astype(int)
+        s = 1 / (1 + np.exp(-np.round(rng.normal(-1, 2, n) + shift * y, 1 if lang != "de" else 3)))
+        rows += list(zip([lang] * n, s.tolist(), y.tolist()))
+    df = spark.createDataFrame(rows, "lang string, score double, y int").repartition(5)
+    got = tx.thresholds(df)
+    want = tx.best_thresholds(np.array([r[1] for r in rows]), np.array([r[2] for r in rows]), [r[0] for r in rows])
+    assert got.keys() == want.keys() and got["xx"] == 0.5
+    assert all(abs(got[k] - want[k]) < 1e-12 for k in want), (got, want)
+    assert tx.thresholds(df.limit(0)) == {}
+
+
+def test_thresholds_come_from_all_labelled_rows(spark):
+    """With a sample too small for any threshold, the rows outside it set one."""
+    rows = [(i, f"plain words number{i % 13} {'badword' if i % 2 else ''} w{i}", "en") for i in range(160)]
+    docs = spark.createDataFrame(rows + rows[:40], "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(160)], "doc_id long, toxic int")
+    seen = []
+    real = tx.thresholds
+    try:
+        tx.thresholds = lambda scored: seen.append(scored.count()) or real(scored)
+        tx.fit(docs, labels, sample_rows=10)
+    finally:
+        tx.thresholds = real
+    assert seen == [160 - 16]
