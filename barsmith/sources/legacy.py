@@ -15,6 +15,8 @@ into the partitioned store with ingest run 0, so any later run wins.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +37,10 @@ LEGACY_ENTITY = {
 }
 
 
+#: Folders of the original layout that are filled at the same time.
+RENAMES = 16
+
+
 def _file_schema(kind: str) -> T.StructType:
     base = OPTION_CANDLE if kind == "options" else CANDLE
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in base.fields
@@ -65,15 +71,19 @@ def to_legacy_layout(spark: SparkSession, written: str, column: str, target: str
     path = jvm.org.apache.hadoop.fs.Path
     root = path(written)
     fs = root.getFileSystem(conf)
-    files = 0
-    for folder in fs.globStatus(path(f"{written}/{column}=*")):
-        entity = folder.getPath().getName().split("=", 1)[1]
+    def entity_files(folder: str) -> int:
+        entity = folder.rsplit("/", 1)[1].split("=", 1)[1]
         fs.mkdirs(path(f"{target}/{entity}"))
-        for n, part in enumerate(fs.globStatus(path(f"{folder.getPath()}/*.parquet"))):
+        parts = fs.globStatus(path(f"{folder}/*.parquet"))
+        for n, part in enumerate(parts):
             suffix = f"-{n}" if n else ""
             fs.rename(part.getPath(), path(f"{target}/{entity}/{entity}{suffix}_1m.parquet"))
-            files += 1
-    return files
+        return len(parts)
+
+    # Each call waits for the file system: many at a time, as an entity is its own folder.
+    folders = [f.getPath().toString() for f in fs.globStatus(path(f"{written}/{column}=*"))]
+    with ThreadPoolExecutor(RENAMES) as pool:
+        return sum(pool.map(entity_files, folders))
 
 
 def migrate(spark: SparkSession, root: str, kind: str, store_path: str,

@@ -59,3 +59,17 @@ def test_migrate_from_the_command_line(spark):
     assert os.path.isdir(f"{store}/trade_month=2023-01")
     got = J.read_store(spark, store, J.candle_store("month")).collect()
     assert {(r.symbol, r.close) for r in got} == {("INFY", 15.0)} and len(got) == 4
+
+
+def test_folders_are_filled_at_the_same_time(spark, tmp_path, monkeypatch):
+    """Entities wait for the file system together, and each keeps all its files."""
+    from barsmith.sources import legacy as L
+    used = []
+    real = L.ThreadPoolExecutor
+    monkeypatch.setattr(L, "ThreadPoolExecutor", lambda n: used.append(n) or real(n))
+    rows = [(f"S{i % 9}", i) for i in range(90)]
+    spark.createDataFrame(rows, "sym string, ts long").repartition(3).write.partitionBy("sym").parquet(str(tmp_path / "w"))
+    written = len(list((tmp_path / "w").glob("sym=*/*.parquet")))
+    assert L.to_legacy_layout(spark, str(tmp_path / "w"), "sym", str(tmp_path / "stocks")) == written and used[0] > 1
+    got = read_legacy(spark, str(tmp_path), "stocks").select("symbol", "ts").collect()
+    assert sorted(map(tuple, got)) == sorted(rows)
