@@ -188,12 +188,25 @@ FROM s GROUP BY 1
 def store_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1: per month, the stored rows, and how many of them come in their file
     before a row that sorts lower by (symbol, ts)."""
-    rows = spark.read.schema(STORE_SCHEMA).parquet(_store_two_runs(spark, sf_dir)).select(
-        "trade_month", F.struct("symbol", "ts").alias("k"), F.col("_metadata.file_path").alias("f"),
-        F.col("_metadata.row_index").alias("i"))
-    before = F.lag("k").over(Window.partitionBy("f").orderBy("i"))
-    return rows.select("trade_month", (before > F.col("k")).alias("late")).groupBy("trade_month").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if("late").alias("n_out_of_order"))
+    return out_of_order(spark.read.schema(STORE_SCHEMA).parquet(_store_two_runs(spark, sf_dir)))
+
+
+#: Rows of a file that are compared in one group.
+ORDER_BLOCK = 50_000
+
+
+def out_of_order(stored: DataFrame, block: int = ORDER_BLOCK) -> DataFrame:
+    """Rows by month, and those that come after a row that sorts higher. A file is
+    compared in blocks of rows, whatever its size: the last row of a block is sent to
+    the next one too, where it is compared with the first and not counted."""
+    rows = stored.select("trade_month", F.struct("symbol", "ts").alias("k"), F.col("_metadata.file_path").alias("f"),
+                         F.col("_metadata.row_index").alias("i"))
+    own = F.floor(F.col("i") / block)
+    blocks = F.when(F.col("i") % block == block - 1, F.array(own, own + 1)).otherwise(F.array(own))
+    rows = rows.select("trade_month", "k", "f", "i", own.alias("own"), F.explode(blocks).alias("b"))
+    before = F.lag("k").over(Window.partitionBy("f", "b").orderBy("i"))
+    return rows.select("trade_month", "own", "b", (before > F.col("k")).alias("late")).where("own = b") \
+        .groupBy("trade_month").agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("late").alias("n_out_of_order"))
 
 
 @register("read_symbol", STORE_ORACLE_CTE + """

@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,3 +148,14 @@ def test_one_symbol_reads_one_bucket(spark, tmp_path):
     scanned = spark.read.schema(schema).parquet(path).where(
         F.col(S.BUCKET_COLUMN) == one.first()[S.BUCKET_COLUMN]).count()
     assert scanned < 20_000 / 8
+
+
+@pytest.mark.parametrize("block", [1, 3, 50_000])
+def test_rows_out_of_order_across_blocks(spark, tmp_path, block):
+    from barsmith.plans.queries import store as Q
+    ts = [5, 6, 4, 7, 8, 9, 3, 10, 11, 2]
+    rows = [("S1", t, "2024-01") for t in ts] + [("S0", 1, "2024-02")]
+    spark.createDataFrame(rows, "symbol string, ts long, trade_month string").coalesce(1).write.parquet(str(tmp_path / "s"))
+    got = {r.trade_month: (r.n_rows, r.n_out_of_order) for r in
+           Q.out_of_order(spark.read.parquet(str(tmp_path / "s")), block).collect()}
+    assert got == {"2024-01": (10, 3), "2024-02": (1, 1)}
