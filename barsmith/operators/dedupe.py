@@ -17,6 +17,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+#: Most rows of one partition value that go to one task, about 10 MB in a file.
+DEALT_ROWS = 500_000
+
 
 def nan_keys_to_null(df: DataFrame, keys: list[str]) -> DataFrame:
     """NaN and null are two groups in Spark but one in the original job."""
@@ -42,3 +45,21 @@ def upsert(existing: DataFrame | None, new: DataFrame, keys: list[str],
     newest row per key (U3). Sorting by ``ts`` is left to the writer."""
     combined = new if existing is None else existing.unionByName(new, allowMissingColumns=True)
     return keep_last(combined, keys, order)
+
+
+def keep_last_by_partition(df: DataFrame, part: str, keys: list[str], order: list[str],
+                           rows: dict[str, int]) -> DataFrame:
+    """``keep_last`` for a write partitioned by ``part``, a function of the keys,
+    with one shuffle: rows are dealt by partition and, within one of more than
+    ``DEALT_ROWS`` rows, by a hash of the key, so that equal keys meet and each task
+    writes few files. ``rows`` is about how many rows each partition has."""
+    df = nan_keys_to_null(df, keys)
+    shares: dict[int, list[str]] = {}  # powers of two, so that a row looks into few sets
+    for p, n in rows.items():
+        if p is not None and n > DEALT_ROWS:
+            shares.setdefault(1 << (-(-n // DEALT_ROWS) - 1).bit_length(), []).append(p)
+    if not shares:
+        return keep_last(df.repartition(part), [part, *keys], order)
+    share = F.coalesce(*[F.when(F.col(part).isin(ps), F.lit(k)) for k, ps in shares.items()], F.lit(1))
+    dealt = df.withColumn("_deal", F.pmod(F.xxhash64(*keys), share)).repartition(part, "_deal")
+    return keep_last(dealt, [part, "_deal", *keys], order).drop("_deal")

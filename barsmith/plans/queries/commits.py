@@ -70,7 +70,8 @@ def _line_commits(spark: SparkSession, sf_dir: str) -> tuple[CommitStore, list[d
     for i in range(COMMITS):
         own = rows.where(F.col("l_linenumber") > i) if i else rows
         counts.append({})
-        store.upsert(own.withColumn("l_extendedprice", F.col("l_extendedprice") + float(i)), metrics=counts[-1])
+        store.upsert(own.withColumn("l_extendedprice", F.col("l_extendedprice") + float(i)), metrics=counts[-1],
+                     stage=False)
     return store, counts
 
 

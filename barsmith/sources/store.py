@@ -125,6 +125,11 @@ def touched_partitions(batch: DataFrame, col: str = PARTITION_COLUMN) -> list[st
     return sorted(r[0] for r in batch.select(col).distinct().collect())
 
 
+def partition_rows(batch: DataFrame, col: str = PARTITION_COLUMN) -> dict[str, int]:
+    """Rows of every partition value of a batch, as bounded as the list above."""
+    return {r[0]: r[1] for r in batch.groupBy(col).agg(F.count(F.lit(1))).collect()}
+
+
 def stage_batch(spark: SparkSession, batch: DataFrame, schema: StructType
                 ) -> tuple[DataFrame, list[str], str]:
     """Write the batch once under the checkpoint folder and read it back.

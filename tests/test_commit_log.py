@@ -202,3 +202,34 @@ def test_nan_and_null_keys_stay_one_key(spark, tmp_path):
             [T.StructField(f.name, f.dataType) for f in J.OPTION_STORE.fields])))
     got = s.read().select("strike", "close").collect()
     assert [tuple(r) for r in got] == [(None, 3.0)]
+
+
+@pytest.mark.parametrize("most", [4, 500_000])
+def test_a_commit_shuffles_its_rows_once(spark, tmp_path, monkeypatch, most):
+    """Its own rows, and with them those of the days that it rewrites; a batch that
+    is read from files is not staged either."""
+    from barsmith.operators import dedupe as D
+    plans, deal = [], CL.keep_last_by_partition
+
+    def spy(*args):
+        found = deal(*args)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(D, "DEALT_ROWS", most)
+    monkeypatch.setattr(CL, "keep_last_by_partition", spy)
+    monkeypatch.setattr(CL, "stage_batch", None)
+    s, want = store(spark, tmp_path / "s", max_segments=2), {}
+    for i in range(4):
+        rows = [("A", JAN + 3600 * k, float(100 * i + k), 1) for k in range(i, 40)]
+        path = str(tmp_path / f"b{i}")
+        batch(spark, rows + rows[:1]).write.parquet(path)
+        metrics = {}
+        s.upsert(spark.read.parquet(path), metrics=metrics, stage=False)
+        want.update({(r[0], r[1]): r[2] for r in rows})
+        assert metrics["rows_in"] == len(rows) + 1
+        assert metrics["n_rewritten"] == (2 if i == 2 else 0)
+        assert snap(s) == sorted((*k, v) for k, v in want.items())
+    assert [p.count("Exchange") for p in plans] == [1] * 4
+    empty = spark.read.parquet(path).where("false")
+    assert s.upsert(empty, stage=False) == []

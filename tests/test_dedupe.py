@@ -1,5 +1,8 @@
 """Newest-wins de-duplication and upsert properties."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from barsmith.operators.dedupe import keep_last, upsert
@@ -61,3 +64,23 @@ def test_hot_key_holding_a_third_of_rows(spark):
     hot = out.where("k = 0").collect()[0]
     # Highest run among multiples of 3 is 6; the highest such seq wins.
     assert hot.run == 6 and hot.seq == max(i for i in range(0, n, 3) if i % 7 == 6)
+
+
+@pytest.mark.parametrize("most", [3, 40, 500_000])
+def test_partitions_are_dealt_with_one_shuffle(spark, monkeypatch, most):
+    from collections import Counter
+
+    from barsmith.operators import dedupe as D
+    monkeypatch.setattr(D, "DEALT_ROWS", most)
+    rnd = random.Random(5)
+    rows = []
+    for i in range(400):
+        ts = rnd.choice([None, *range(30)])
+        part = None if ts is None else "big" if ts < 20 else f"p{ts}"
+        rows.append((part, rnd.choice([None, float("nan"), 1.0, 2.0]), ts, i))
+    df = spark.createDataFrame(rows, "part string, k double, ts long, run int").repartition(3)
+    found = D.keep_last_by_partition(df, "part", ["k", "ts"], ["run"], Counter(r[0] for r in rows))
+    assert sorted(map(str, found.collect())) == sorted(map(str, D.keep_last(df, ["k", "ts"], ["run"]).collect()))
+    plan = spark.createDataFrame(rows, df.schema)
+    plan = D.keep_last_by_partition(plan, "part", ["k", "ts"], ["run"], Counter(r[0] for r in rows))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
