@@ -22,7 +22,7 @@ from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
 from barsmith import functions as X
-from barsmith.operators.dedupe import keep_last
+from barsmith.operators.dedupe import keep_last, keep_last_by_partition
 from barsmith.operators.summary import combine, incoming_counts
 from barsmith.schemas import PARTITION_COLUMN
 from barsmith.session import scratch_path
@@ -159,15 +159,15 @@ def remove_path(spark: SparkSession, path: str) -> bool:
 
 
 def write_partitions(df: DataFrame, path: str, sort_cols: list[str],
-                     col: str | list[str] = PARTITION_COLUMN) -> None:
+                     col: str | list[str] = PARTITION_COLUMN, dealt: bool = False) -> None:
     """Dynamic partition overwrite: only partitions present in ``df`` are
     replaced. A ``rebalance`` by the partition column lets AQE size the
     write: small partitions are packed into one task, a large (skewed) one is
     split over several tasks, so files stay near the advisory size instead of
-    one file per partition per task. Rows are sorted by ``sort_cols`` within
-    each file (O1)."""
+    one file per partition per task; ``dealt`` rows are shuffled by partition
+    already. Rows are sorted by ``sort_cols`` within each file (O1)."""
     cols = [col] if isinstance(col, str) else col
-    (df.hint("rebalance", *cols)
+    ((df if dealt else df.hint("rebalance", *cols))
        .sortWithinPartitions(*cols, *sort_cols)
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
@@ -206,7 +206,16 @@ def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: Struc
     obs_in, obs_out = Observation("rows_in"), Observation("rows_written")
     plain_batch = batch
     batch = batch.observe(obs_in, F.count(F.lit(1)).alias("rows_in"))
-    merged = keep_last(existing.unionByName(batch), keys, order)
+    both = existing.unionByName(batch)
+    # Where ts, which decides the partition, is part of the key, rows are shuffled once.
+    once = "ts" in keys and BUCKET_COLUMN not in schema.names
+    if once:
+        sizes = partition_rows(plain_batch, col)
+        for p, n in partition_rows(existing, col).items():
+            sizes[p] = sizes.get(p, 0) + n
+        merged = keep_last_by_partition(both, col, keys, order, sizes)
+    else:
+        merged = keep_last(both, keys, order)
     merged = merged.select(*schema.names).observe(obs_out,
                                                   F.count(F.lit(1)).alias("rows_written"))
     incoming_path = summary_path = None
@@ -229,7 +238,7 @@ def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: Struc
         else:
             incoming_path = scratch_path(spark, "run-summary-in")
             incoming.write.mode("overwrite").parquet(incoming_path)
-    write_partitions(merged, path, sort_cols, partition_columns(schema))
+    write_partitions(merged, path, sort_cols, partition_columns(schema), dealt=once)
     if incoming_path:
         owned = (read_store(spark, path, schema).where(F.col(col).isin(parts))
                  .groupBy(entity).agg(F.count(F.lit(1)).alias("rows_out")))

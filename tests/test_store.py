@@ -159,3 +159,39 @@ def test_rows_out_of_order_across_blocks(spark, tmp_path, block):
     got = {r.trade_month: (r.n_rows, r.n_out_of_order) for r in
            Q.out_of_order(spark.read.parquet(str(tmp_path / "s")), block).collect()}
     assert got == {"2024-01": (10, 3), "2024-02": (1, 1)}
+
+
+def test_a_stream_rewrites_the_store_once(spark, tmp_path, monkeypatch):
+    """However many micro-batches; what a stopped run has read is merged by the next."""
+    from barsmith.streaming import upsert_stream as US
+    root, calls, real = str(tmp_path), [], US.upsert_store
+    cols = "symbol string, ts bigint, close double, ingest_run bigint, request_seq bigint, pos int"
+    landing_schema = T.StructType([f for f in SCHEMA.fields if f.name != "trade_month"])
+
+    def land(run):
+        spark.createDataFrame([("A", JAN + 60 * i, 10.0 * run + i, run, i, 0) for i in range(6)], cols) \
+            .repartition(3).write.mode("append").json(f"{root}/landing")
+
+    def run():
+        run_upsert_stream(spark, f"{root}/landing", landing_schema,
+                          lambda b: b.withColumn("trade_month", trade_month("ts")), f"{root}/store", SCHEMA, KEYS,
+                          ORDER, ["symbol", "ts"], checkpoint=f"{root}/ckpt", max_files_per_trigger=1)
+
+    def stopped(*args, **kw):
+        raise RuntimeError("stopped")
+
+    land(2)
+    monkeypatch.setattr(US, "upsert_store", stopped)
+    with pytest.raises(RuntimeError, match="stopped"):
+        run()
+    assert not os.path.exists(f"{root}/store")
+    monkeypatch.setattr(US, "upsert_store", lambda *a, **kw: calls.append(1) or real(*a, **kw))
+    land(1)
+    run()
+    assert len(calls) == 1 and not os.path.exists(f"{root}/ckpt-pending")
+    assert snapshot(spark, f"{root}/store") == [("A", JAN + 60 * i, 20.0 + i, 2) for i in range(6)]
+    land(3)
+    run()
+    assert snapshot(spark, f"{root}/store") == [("A", JAN + 60 * i, 30.0 + i, 3) for i in range(6)]
+    run()  # nothing landed
+    assert len(calls) == 2
