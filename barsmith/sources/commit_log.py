@@ -177,11 +177,10 @@ class CommitStore:
             return []
         batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields])
         if stage:
-            staged, parts, stage_path = stage_batch(spark, batch, self.schema)
-            sizes = partition_rows(staged, col)
+            staged, sizes, stage_path = stage_batch(spark, batch, self.schema)
         else:
-            staged, stage_path, sizes = batch, None, partition_rows(batch, col)
-            parts = sorted(sizes)
+            staged, sizes, stage_path = batch, partition_rows(batch, col), None
+        parts = sorted(sizes)
         if not parts:
             if stage_path:
                 remove_path(spark, stage_path)

@@ -118,31 +118,26 @@ def read_store(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         raise
 
 
-def touched_partitions(batch: DataFrame, col: str = PARTITION_COLUMN) -> list[str]:
-    """Distinct partition values of a batch. The list is bounded by the
+def partition_rows(batch: DataFrame, col: str = PARTITION_COLUMN) -> dict[str, int]:
+    """Rows of every partition value of a batch. The list is bounded by the
     number of days / months in the batch, so it is safe to bring to the
     driver."""
-    return sorted(r[0] for r in batch.select(col).distinct().collect())
-
-
-def partition_rows(batch: DataFrame, col: str = PARTITION_COLUMN) -> dict[str, int]:
-    """Rows of every partition value of a batch, as bounded as the list above."""
     return {r[0]: r[1] for r in batch.groupBy(col).agg(F.count(F.lit(1))).collect()}
 
 
 def stage_batch(spark: SparkSession, batch: DataFrame, schema: StructType
-                ) -> tuple[DataFrame, list[str], str]:
+                ) -> tuple[DataFrame, dict[str, int], str]:
     """Write the batch once under the checkpoint folder and read it back.
 
     The expensive batch plan (JSON parse, explode, enrichment) then runs
     once, and a lost executor re-reads staged files instead of recomputing
     the lineage. The stage is not partitioned: one file per task, however
-    many partitions a backfill spans. The touched partition values come from
-    a distinct over that single column of the staged files (a bounded list)."""
+    many partitions a backfill spans. The touched partition values and their rows
+    are counted over that single column of the staged files (a bounded list)."""
     path = scratch_path(spark, "upsert-batch")
     batch.write.mode("overwrite").parquet(path)
     staged = spark.read.schema(schema).parquet(path)
-    return staged, touched_partitions(staged, partition_column(schema)), path
+    return staged, partition_rows(staged, partition_column(schema)), path
 
 
 def remove_path(spark: SparkSession, path: str) -> bool:
@@ -195,9 +190,10 @@ def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: Struc
     batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
     stage_path = None
     if stage:
-        batch, parts, stage_path = stage_batch(spark, batch, schema)
+        batch, sizes, stage_path = stage_batch(spark, batch, schema)
     else:
-        parts = touched_partitions(batch, col)
+        sizes = partition_rows(batch, col)
+    parts = sorted(sizes)
     if not parts:
         if stage_path:
             remove_path(spark, stage_path)
@@ -210,7 +206,6 @@ def upsert_store(spark: SparkSession, path: str, batch: DataFrame, schema: Struc
     # Where ts, which decides the partition, is part of the key, rows are shuffled once.
     once = "ts" in keys and BUCKET_COLUMN not in schema.names
     if once:
-        sizes = partition_rows(plain_batch, col)
         for p, n in partition_rows(existing, col).items():
             sizes[p] = sizes.get(p, 0) + n
         merged = keep_last_by_partition(both, col, keys, order, sizes)
