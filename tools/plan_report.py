@@ -55,16 +55,16 @@ NOTES = {
                      "anti join on (entity, day).",
     "triage": "Narrow projection, no shuffle.",
     "upsert_dataset": "Batches are plain scans, recomputed rather than staged; only "
-                      "touched months read; partial top-1 per key; `rebalance` on month "
-                      "lets AQE split a hot month and pack small ones for the write.",
+                      "touched months read; one shuffle by month, and by a hash of the "
+                      "key in large months, serves both the top-1 per key and the write.",
     "read_symbol": "The symbol's bucket is a partition filter, so one eighth of the "
                    "files is listed and opened; the symbol filter is pushed into the scan.",
     "option_response_scan": "JSON read with text cells; one equi-join on request_id "
                             "(unique per side).",
     "master_scan": "Line order from (file, block, row id in split); split table is tiny; "
                    "master landed once as Parquet.",
-    "stream_upsert": "availableNow file stream; each micro-batch runs the staged upsert; "
-                     "idempotent under replay.",
+    "stream_upsert": "availableNow file stream; micro-batches are staged and merged by one "
+                     "upsert at the end of a run; idempotent under replay.",
     "ingest_stocks_job": "The ingest job itself: triage join on request_id, explode, staged "
                          "upsert into a fresh store; the returned frame is a pruned store read.",
     "ingest_options_job": "As ingest_stocks_job with side pick and option enrichment.",
