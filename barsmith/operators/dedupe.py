@@ -17,8 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-#: Most rows of one partition value that go to one task, about 10 MB in a file.
-DEALT_ROWS = 500_000
+#: Most rows of one partition value that go to one task, some 15 MB in a file.
+DEALT_ROWS = 1_000_000
 
 
 def nan_keys_to_null(df: DataFrame, keys: list[str]) -> DataFrame:
