@@ -10,7 +10,9 @@ Boilerplate lines are removed from every document, except from copies, which are
 left to near-duplicate removal: a text that several documents hold, and one of
 which nothing would be left. Found positions are gathered per distinct text (two
 64-bit hashes), so many copies of one text cost one row; how often each position
-was found says how many documents hold the text.
+was found says how many documents hold the text. With ``spare=False`` nothing is
+left to a later step: copies lose their boilerplate lines too, and a text of such
+lines alone becomes what blank lines it has, or empty.
 
 Lines are compared without white space at their ends; lines of white space
 alone never count. Defined results: a null or empty text stays as it is; a null
@@ -56,16 +58,16 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, margin: float = MA
 
 
 def clean(docs: DataFrame, text: str = "text", site: str = "source", min_sites: int = MIN_SITES,
-          margin: float = MARGIN) -> DataFrame:
+          margin: float = MARGIN, spare: bool = True) -> DataFrame:
     """``row`` (the document's columns), the cleaned ``text``, ``n_lines`` and
-    ``n_removed``."""
+    ``n_removed``; copies are cut like any other text unless ``spare``."""
     lines = lines_of(docs, text, site)
     spread = staged(boilerplate(lines, min_sites, margin), "boilerplate-lines")
     # Each document of a text brings each of the text's hits once.
-    hits = staged(lines.join(spread, "line", "left_semi").groupBy("k1", "k2", "pos", "chars").agg(
+    hits = lines.join(spread, "line", "left_semi").groupBy("k1", "k2", "pos", "chars").agg(
         F.count(F.lit(1)).alias("n")).groupBy("k1", "k2").agg(
         F.collect_list("pos").alias("gone"), F.sum("chars").alias("found"), F.max("n").alias("copies"))
-        .where("copies = 1"), "boilerplate-hits")
+    hits = staged(hits.where("copies = 1") if spare else hits, "boilerplate-hits")
     body = F.col(text).cast("string")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        body.alias("text"), F.xxhash64(body, F.lit(1)).alias("k1"),
@@ -73,7 +75,8 @@ def clean(docs: DataFrame, text: str = "text", site: str = "source", min_sites:
         .join(hits.hint("merge"), ["k1", "k2"], "left")  # one plan at every size; skew is split at run time
     rows = rows.select("row", "text", "found", "gone", F.split("text", "\n", -1).alias("parts"))
     total = F.aggregate("parts", F.lit(0).cast("bigint"), lambda a, x: a + F.length(F.btrim(x, F.lit(WHITE))))
-    rows = rows.select("row", "text", "parts", F.when(F.col("found") < total, F.col("gone")).alias("gone"))
+    gone = F.when(F.col("found") < total, F.col("gone")) if spare else F.col("gone")
+    rows = rows.select("row", "text", "parts", gone.alias("gone"))
     left = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("gone"))
     rows = rows.select("row", "text", "parts", "gone", F.when(F.col("gone").isNotNull(), left).alias("left"))
     return rows.select(

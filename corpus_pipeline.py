@@ -26,7 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: lines spread over many sites are cut out of the texts."""
+    """Operator 2: lines spread over many sites are cut out of the texts, but not of copies."""
     found = linespread.clean(docs)
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("bigint")}
     return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

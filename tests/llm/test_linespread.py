@@ -66,6 +66,30 @@ def test_what_is_spared(spark):
     assert got == {i: f"own {i}" for i in range(9)} | {i: t for i, t, _ in rows[9:]}
 
 
+def test_nothing_is_spared_on_request(spark):
+    """With spare=False copies and texts of spread lines alone lose theirs as well."""
+    rnd = random.Random(7)
+    menu = [f"menu entry {k} of every site" for k in range(6)]
+    rows = [(i, "\n".join(rnd.sample(menu, 4) + [f" own {i}"] * rnd.randint(0, 2)), f"s{i % 17}") for i in range(60)]
+    rows += [(100 + i, "\n".join(["twice", menu[0], "", menu[1] + " "]), f"s{i}") for i in range(3)]
+    rows += [(200 + i, "\n".join(menu), "s1") for i in range(2)] + [(210, menu[2] + "\n\t", None)]
+    rows += [(220, None, "a"), (221, "", "a"), (222, "\n\n", "a"), rows[5]]
+    sites = {}
+    for _, t, s in rows:
+        for x in (t or "").split("\n"):
+            sites.setdefault(x.strip(ls.WHITE), set()).add(s or "")
+    want = []
+    for i, t, _ in rows:
+        parts = [] if t is None else t.split("\n")
+        left = [x for x in parts if not x.strip(ls.WHITE) or len(sites[x.strip(ls.WHITE)]) < ls.MIN_SITES]
+        want.append((i, None if t is None else "\n".join(left), len(parts), len(parts) - len(left)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = [(r.row.doc_id, r.text, r.n_lines, r.n_removed) for r in ls.clean(docs, spare=False).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    by = {r[0]: r[1:] for r in got}
+    assert by[100] == by[102] == ("twice\n", 4, 2) and by[200] == ("", 6, 6) and by[210] == ("\t", 2, 1)
+
+
 def test_very_long_texts(spark):
     """Time grows with the text, not with its square."""
     rows = [(i, "\n".join(f"common line {k}" if k % 2 else f"line {k} of text {i}" for k in range(20_000)), f"s{i}")
