@@ -188,17 +188,14 @@ FROM lineitem
 def legacy_layout_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candles in the original layout, ``stocks/<SYMBOL>/<SYMBOL>_1m.parquet``,
     read back by the real globs in one scan; the symbol comes from
-    ``_metadata.file_path``. A partitioned write makes the entity folders (a
-    large entity in several files); its files then take the layout's names."""
+    ``_metadata.file_path``. Each entity's rows meet in one task, which writes its
+    file (a large entity has several) under the layout's name."""
     li = V.table(spark, sf_dir, "lineitem")
     ts = X.epoch_seconds("l_shipdate")
     root = scratch_path(spark, "legacy")
-    (li.select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("sym"),
-               ts.alias("ts"), X.epoch_to_ist_iso(ts).alias("datetime"),
-               *[F.col("l_extendedprice").alias(c) for c in ("open", "high", "low", "close")],
-               F.col("l_quantity").cast("bigint").alias("volume"))
-     # AQE packs small entities and splits a large one over several files.
-     .hint("rebalance", "sym")
-     .write.mode("overwrite").partitionBy("sym").parquet(f"{root}/written"))
-    to_legacy_layout(spark, f"{root}/written", "sym", f"{root}/stocks")
+    rows = li.select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("sym"),
+                     ts.alias("ts"), X.epoch_to_ist_iso(ts).alias("datetime"),
+                     *[F.col("l_extendedprice").alias(c) for c in ("open", "high", "low", "close")],
+                     F.col("l_quantity").cast("bigint").alias("volume"))
+    to_legacy_layout(spark, rows, "sym", f"{root}/stocks")
     return read_legacy(spark, root, "stocks")

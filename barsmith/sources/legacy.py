@@ -15,12 +15,15 @@ into the partitioned store with ingest run 0, so any later run wins.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from barsmith.schemas import CANDLE, OPTION_CANDLE
+from barsmith.session import shuffle_width
 from barsmith.sources.commit_log import CommitStore
 from barsmith.sources.store import partition_column, partition_value
 
@@ -62,15 +65,24 @@ def read_legacy(spark: SparkSession, root: str, kind: str,
                      *[F.col(f.name).cast(f.dataType) for f in CANDLE.fields if f.name != "symbol"])
 
 
-def to_legacy_layout(spark: SparkSession, written: str, column: str, target: str) -> int:
-    """Gives the files of a dataset partitioned by ``column`` the per-entity
-    names: ``<target>/<E>/<E>_1m.parquet`` (``<E>-<n>_1m.parquet`` for further
-    files of an entity). Renames only; returns the number of files."""
+def to_legacy_layout(spark: SparkSession, written: str | DataFrame, column: str, target: str) -> int:
+    """Puts a dataset into the per-entity names: ``<target>/<E>/<E>_1m.parquet``
+    (``<E>-<n>_1m.parquet`` for further files of an entity), ``<E>`` being ``column``
+    as a partition folder spells it; returns the number of files.
+
+    ``written`` is a dataset partitioned by ``column``, whose files are renamed, or the
+    rows themselves. Under a local or mounted ``target`` the tasks write rows into the
+    files straight away; elsewhere they take a partitioned write and its renames."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
-    root = path(written)
-    fs = root.getFileSystem(conf)
+    fs = path(target).getFileSystem(conf)
+    if isinstance(written, DataFrame):
+        if fs.getScheme() == "file":
+            return _write_entities(written, column, path(target).toUri().getPath())
+        rows, written = written, f"{target.rstrip('/')}-written"
+        rows.hint("rebalance", column).write.mode("overwrite").partitionBy(column).parquet(written)
+
     def entity_files(folder: str) -> int:
         entity = folder.rsplit("/", 1)[1].split("=", 1)[1]
         fs.mkdirs(path(f"{target}/{entity}"))
@@ -86,6 +98,86 @@ def to_legacy_layout(spark: SparkSession, written: str, column: str, target: str
         return sum(pool.map(entity_files, folders))
 
 
+#: Rows of one file of an entity, of one writing task, and of one row group.
+FILE_ROWS, TASK_ROWS, GROUP_ROWS = 4_000_000, 1_000_000, 250_000
+#: What a partitioned write calls the folder of null and the empty text.
+NO_ENTITY = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _write_entities(rows: DataFrame, column: str, folder: str) -> int:
+    """Every entity's rows in one task and one file; one of more than ``FILE_ROWS`` is
+    dealt over several. A task has its entities one after the other and holds a row
+    group at most. Files get their name when they are whole, so a task may run twice."""
+    spark = rows.sparkSession
+    own = F.col(f"`{column}`").cast("string")
+    rows = rows.withColumn(column, F.when(own != "", own).otherwise(F.lit(NO_ENTITY)))
+    large = F.col("n") > FILE_ROWS
+    found = rows.groupBy(F.col(f"`{column}`").alias("_own")).agg(F.count("*").alias("n")).agg(
+        F.sum("n").alias("n"), F.collect_list(F.when(large, F.struct("_own", F.ceil(F.col("n") / FILE_ROWS))))).first()
+    piece: Column = F.lit(0)
+    if found[1]:
+        deal = F.broadcast(spark.createDataFrame([tuple(x) for x in found[1]], "_own string, _pieces bigint"))
+        rows = rows.join(deal, F.col(f"`{column}`") == F.col("_own"), "left").drop("_own")
+        hashed = F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns if c != "_pieces"])
+        piece = F.coalesce(F.pmod(hashed, F.col("_pieces")), F.lit(0)).cast("int")
+    tasks = max(shuffle_width(spark), math.ceil((found["n"] or 0) / TASK_ROWS))
+    dealt = rows.withColumn("_piece", piece).drop("_pieces").repartition(tasks, f"`{column}`", "_piece")
+    files = dealt.sortWithinPartitions(f"`{column}`", "_piece").mapInArrow(_writer(column, folder, GROUP_ROWS), "files bigint")
+    return files.agg(F.sum("files")).first()[0] or 0
+
+
+def _writer(column: str, folder: str, group_rows: int):
+    """Task that writes rows sorted by entity and piece. It is sent whole: workers need
+    not have this package."""
+    def write(batches: Iterator) -> Iterator:
+        import os
+        import re
+        import uuid
+
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+
+        attempt = uuid.uuid4().hex
+        now, out, held, files = None, None, [], 0
+
+        def flush() -> None:
+            table = pa.Table.from_batches(held)
+            out.write_table(table, row_group_size=max(1, table.num_rows))
+            held.clear()
+
+        def close() -> None:
+            if out is not None:
+                if held:
+                    flush()
+                out.close()
+                entity, n = now
+                os.replace(f"{folder}/{entity}/.{attempt}", f"{folder}/{entity}/{entity}{f'-{n}' if n else ''}_1m.parquet")
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names, pieces = batch.column(column), batch.column("_piece")
+            rest = batch.select([c for c in batch.schema.names if c not in (column, "_piece")])
+            other = pc.or_(pc.not_equal(names[1:], names[:-1]), pc.not_equal(pieces[1:], pieces[:-1]))
+            starts = [0, *(i + 1 for i in pc.indices_nonzero(other).to_pylist()), batch.num_rows]
+            for a, b in zip(starts, starts[1:]):
+                # A partitioned write spells these characters so.
+                entity = re.sub(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", names[a].as_py())
+                if now != (entity, pieces[a].as_py()):
+                    close()
+                    now, files = (entity, pieces[a].as_py()), files + 1
+                    os.makedirs(f"{folder}/{entity}", exist_ok=True)
+                    out = pq.ParquetWriter(f"{folder}/{entity}/.{attempt}", rest.schema, compression="snappy", store_schema=False)
+                held.append(rest.slice(a, b - a))
+                if sum(x.num_rows for x in held) >= group_rows:
+                    flush()
+        close()
+        yield pa.RecordBatch.from_pydict({"files": pa.array([files], pa.int64())})
+
+    return write
+
+
 def migrate(spark: SparkSession, root: str, kind: str, store_path: str,
             store_schema: T.StructType, keys: list[str], sort_cols: list[str]) -> list[str]:
     """Upsert legacy files into the partitioned store as run 0. Stored files

@@ -73,3 +73,52 @@ def test_folders_are_filled_at_the_same_time(spark, tmp_path, monkeypatch):
     assert L.to_legacy_layout(spark, str(tmp_path / "w"), "sym", str(tmp_path / "stocks")) == written and used[0] > 1
     got = read_legacy(spark, str(tmp_path), "stocks").select("symbol", "ts").collect()
     assert sorted(map(tuple, got)) == sorted(rows)
+
+
+def test_tasks_write_the_entity_files(spark, tmp_path, monkeypatch):
+    """Rows go straight into the layout, without a rename by the driver: an entity has one
+    file, a large one several, in the folders that a partitioned write would name."""
+    from barsmith.sources import legacy as L
+    monkeypatch.setattr(L, "FILE_ROWS", 100)
+    monkeypatch.setattr(L, "GROUP_ROWS", 7)
+    names = ["big", "M&M", "a b", "a-1", "", None, "é", *(f"x{chr(c)}y" for c in range(1, 128) if chr(c) not in "\n\r")]
+    rows = [(n, i, n or "") for n in names for i in range(500 if n == "big" else 3)]
+    df = spark.createDataFrame(rows, "sym string, ts long, datetime string").repartition(5)
+    df.write.partitionBy("sym").parquet(str(tmp_path / "w"))
+    monkeypatch.setattr(L, "ThreadPoolExecutor", None)
+    n = L.to_legacy_layout(spark, df, "sym", f"file:{tmp_path}/stocks")
+    files = sorted(p for p in (tmp_path / "stocks").rglob("*") if p.is_file())
+    folders = {p.name.split("=", 1)[1] for p in (tmp_path / "w").glob("sym=*")}
+    assert n == len(files) and {p.parent.name for p in files} == folders
+    assert {p.name for p in files if p.parent.name == "big"} == {"big_1m.parquet", *(f"big-{i}_1m.parquet" for i in range(1, 5))}
+    assert {p.name for p in files if p.parent.name != "big"} == {f"{f}_1m.parquet" for f in folders - {"big"}}
+    assert len(pd.read_parquet(tmp_path / "stocks" / L.NO_ENTITY / f"{L.NO_ENTITY}_1m.parquet")) == 6
+    got = read_legacy(spark, str(tmp_path), "stocks").select("ts", "datetime").collect()
+    assert sorted(map(tuple, got)) == sorted((ts, d) for _, ts, d in rows if d)  # Spark passes over names with "_" in front
+    got = read_legacy(spark, str(tmp_path), "stocks").where("symbol in ('big', 'M&M')").select("symbol", "ts").collect()
+    assert sorted(map(tuple, got)) == sorted((s, ts) for s, ts, _ in rows if s in ("big", "M&M"))
+
+
+def test_rows_of_another_file_system_take_the_partitioned_write(spark, tmp_path):
+    from barsmith.sources import legacy as L
+    rows = [(f"S{i % 9}", i) for i in range(90)]
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.layout.link./in", f"file://{tmp_path}")
+    df = spark.createDataFrame(rows, "sym string, ts long")
+    assert L.to_legacy_layout(spark, df, "sym", "viewfs://layout/in/stocks") == 9
+    got = read_legacy(spark, str(tmp_path), "stocks").select("symbol", "ts").collect()
+    assert sorted(map(tuple, got)) == sorted(rows)
+
+
+def test_the_layout_query_renames_nothing(spark, tmp_path, monkeypatch):
+    """One file an entity, whatever size of partitions the session asks for."""
+    import datetime as dt
+
+    from barsmith.plans.queries import QUERIES
+    from barsmith.sources import legacy as L
+    rows = [(i % 7, dt.datetime(1995, 1, 1) + dt.timedelta(i), float(i), i / 2) for i in range(700)]
+    spark.createDataFrame(rows, "l_suppkey long, l_shipdate timestamp, l_extendedprice double, l_quantity double") \
+        .repartition(6).write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(L, "ThreadPoolExecutor", None)
+    found = QUERIES["legacy_layout_scan"](spark, str(tmp_path))
+    assert len(found.inputFiles()) == 7
+    assert sorted((r.symbol, r.close) for r in found.collect()) == sorted((f"S{k}", p) for k, _, p, _ in rows)
