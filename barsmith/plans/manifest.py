@@ -15,6 +15,8 @@ no join, no shuffle, no driver loop over entities.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from barsmith import functions as X
@@ -102,7 +104,8 @@ TREE_DAYS = 366
 
 
 def split_tree(failed: DataFrame, keep: list[str], leaf_days: int = 1,
-               option_text: bool = False, max_days: int = TREE_DAYS, nested: bool = False) -> DataFrame:
+               option_text: bool = False, max_days: int = TREE_DAYS, nested: bool = False,
+               asked: Callable[[Column], list[Column]] | None = None, usual: int | None = None) -> DataFrame:
     """The whole tree below requests that ask for a shorter range, down to
     leaves of at most ``leaf_days``, for the next run: ``leaf`` numbers them from
     left to right, and ``request_seq`` puts the leaves of all windows in one order
@@ -110,8 +113,33 @@ def split_tree(failed: DataFrame, keep: list[str], leaf_days: int = 1,
     ``nested`` gives a row per request with its ``leaves`` (without texts), so that
     what is asked of one tree needs no grouping of its leaves.
 
-    A tree depends on the number of days alone, so the trees of all lengths up to
-    ``max_days`` (a row each, a bounded broadcast) are built once and looked up."""
+    ``asked`` gives such a row with the (named) columns it makes of ``leaves``, whose
+    ``request_seq`` is then that inside the window (``window_seq`` comes on top). Most
+    requests are whole windows: of ``usual`` days, they are answered once for each first
+    day (a bounded broadcast: no more rows than days in the calendar), the others each."""
+    days = F.datediff("to_date", "from_date")
+    if asked is not None:
+        within = lambda df, own: _trees(df.withColumn("window_idx", F.lit(0)), own, leaf_days, max_days)
+        whole, other = failed.where(days == F.lit(usual)), failed.where(~days.eqNullSafe(F.lit(usual)))
+        day = F.unix_date("from_date").alias("_day")
+        once = within(whole.select("from_date", "to_date", day).distinct(), ["_day"]).select("_day", *asked(F.col("leaves")))
+        found = whole.select(*keep, "window_idx", day).join(F.broadcast(once), "_day").drop("_day")
+        each = within(other.withColumn("_window", F.col("window_idx")), [*keep, "_window"])
+        return found.unionByName(each.select(*keep, F.col("_window").alias("window_idx"), *asked(F.col("leaves"))))
+    leaves = _trees(failed, keep, leaf_days, max_days)
+    if nested:
+        return leaves
+    out = leaves.select(*keep, "window_idx", F.inline("leaves"))
+    text = X.option_window_text if option_text else X.candle_window_text
+    f_txt, t_txt = text("from_date", "to_date")
+    return out.select(*keep, "window_idx", "leaf", "from_date", "to_date", f_txt.alias("from_text"),
+                      t_txt.alias("to_text"), "request_seq")
+
+
+def _trees(failed: DataFrame, keep: list[str], leaf_days: int, max_days: int) -> DataFrame:
+    """Requests with their ``leaves``. A tree depends on the number of days alone, so
+    the trees of all lengths up to ``max_days`` (a row each, a bounded broadcast) are
+    built once and looked up."""
     day = F.lit("2000-01-01").cast("date")
     since = lambda d: F.datediff(d, day)
     trees = failed.sparkSession.range(2, max_days + 1).select(
@@ -122,18 +150,16 @@ def split_tree(failed: DataFrame, keep: list[str], leaf_days: int = 1,
     long = F.raise_error(F.lit(f"a range of more than {max_days} days cannot be halved to its end"))
     found = failed.where(days > 1).withColumn("_n", days).join(F.broadcast(trees), "_n", "left") \
         .select(*keep, "window_idx", F.col("from_date").alias("_f"), F.coalesce("_tree", long).alias("_tree"))
-    leaves = found.select(*keep, "window_idx", F.transform("_tree", lambda r, i: F.struct(
+    return found.select(*keep, "window_idx", F.transform("_tree", lambda r, i: F.struct(
         (i + 1).alias("leaf"), F.date_add("_f", r["a"]).alias("from_date"), F.date_add("_f", r["b"]).alias("to_date"),
         leaf_seq(F.date_add("_f", r["a"])).alias("request_seq"))).alias("leaves"))
-    if nested:
-        return leaves
-    out = leaves.select(*keep, "window_idx", F.inline("leaves"))
-    text = X.option_window_text if option_text else X.candle_window_text
-    f_txt, t_txt = text("from_date", "to_date")
-    return out.select(*keep, "window_idx", "leaf", "from_date", "to_date", f_txt.alias("from_text"),
-                      t_txt.alias("to_text"), "request_seq")
+
+
+def window_seq() -> Column:
+    """Where the places of a window's split pieces begin."""
+    return F.col("window_idx").cast("bigint") * 100000
 
 
 def leaf_seq(from_date: str | Column = "from_date") -> Column:
     """Place of a split piece: by window, then by its first day."""
-    return F.col("window_idx").cast("bigint") * 100000 + F.unix_date(from_date) % 100000
+    return window_seq() + F.unix_date(from_date) % 100000

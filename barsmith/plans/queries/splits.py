@@ -42,15 +42,17 @@ def split_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     30-day window down to a week or less: its leaves (first day and length) from
     left to right, as a recursion visits them, and their places in the order."""
     spans = _customer_spans(spark, sf_dir)
-    trees = [M.split_tree(M.window_rows(spans, "s", "e", days, ["o_custkey"]), ["o_custkey"], leaf, nested=True)
-             .withColumn("max_days", F.lit(days)) for days, leaf in ((90, 1), (30, 7))]
-    # A window is one row with its whole tree: nothing has to meet by key again.
     text = lambda x: F.concat_ws("/", x["from_date"].cast("string"),
                                  F.datediff(x["to_date"], x["from_date"]).cast("string"))
+    # A window is one row with its whole tree: nothing has to meet by key again.
+    asked = lambda x: [F.size(x).cast("bigint").alias("n_leaves"),
+                       F.array_join(F.transform(x, text), " ").alias("leaves"),
+                       F.array_min(x["request_seq"]).alias("first"), F.array_max(x["request_seq"]).alias("last")]
+    trees = [M.split_tree(M.window_rows(spans, "s", "e", days, ["o_custkey"]), ["o_custkey"], leaf, nested=True,
+                          asked=asked, usual=days).withColumn("max_days", F.lit(days)) for days, leaf in ((90, 1), (30, 7))]
     return trees[0].unionByName(trees[1]).select(
-        "o_custkey", "max_days", "window_idx", F.size("leaves").cast("bigint").alias("n_leaves"),
-        F.array_join(F.transform("leaves", text), " ").alias("leaves"),
-        F.array_min("leaves.request_seq").alias("first_seq"), F.array_max("leaves.request_seq").alias("last_seq"))
+        "o_custkey", "max_days", "window_idx", "n_leaves", "leaves",
+        (M.window_seq() + F.col("first")).alias("first_seq"), (M.window_seq() + F.col("last")).alias("last_seq"))
 
 
 def _answers(manifest: DataFrame, events: DataFrame, change: Column, path: str) -> None:

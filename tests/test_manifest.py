@@ -95,12 +95,55 @@ def test_the_tree_query_sends_no_leaves(spark):
     assert all(r.last_seq - r.first_seq == r.n_leaves - 1 for r in rows)
 
 
+def test_whole_windows_are_asked_once_a_first_day(spark):
+    """What is asked of the trees equals what each tree gives, and the whole windows that
+    begin on one day share one answer."""
+    from pyspark.sql import functions as F
+    day, ran = dt.date(2024, 1, 1), spark.sparkContext.accumulator(0)
+    spans = [(k, i, day + dt.timedelta(i % 2), day + dt.timedelta(i % 2 + n)) for k in ("a", "b", None) for i, n in enumerate([30] * 8 + [31, 29, 2, 1, 0])]
+    df = spark.createDataFrame([*spans, spans[0], ("c", 3, None, day), ("c", 4, day, None)], "k string, window_idx int, from_date date, to_date date")
+    count = F.udf(lambda n: ran.add(1) or n, "int")
+    lists = lambda x: [F.size(x).alias("n"), F.array_min(x["request_seq"]).alias("first"),
+                       F.array_join(F.transform(x, lambda r: r["to_date"].cast("string")), " ").alias("ends")]
+    want = M.split_tree(df, ["k"], 7, nested=True).select("k", "window_idx", *lists(F.col("leaves")))
+    counted = lambda x: [count(lists(x)[0]).alias("n"), *lists(x)[1:]]
+    got = M.split_tree(df, ["k"], 7, asked=counted, usual=30).withColumn("first", M.window_seq() + F.col("first")).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, map(tuple, want.collect()))) and len(got) == 8 * 3 + 1 + 3 * 3
+    assert ran.value == 2 + 3 * 3
+
+
+def test_the_tree_query_on_rows_of_its_own(spark, tmp_path):
+    from barsmith.plans.queries import QUERIES
+    ends = [(1, 0), (1, 200), (2, 0), (2, 200), (None, 5), (None, 95), (3, 7), (3, 8), (4, 9), (4, None), (5, 1), (5, 92)]
+    rows = [(k, n if n is None else dt.datetime(1999, 12, 20) + dt.timedelta(n, 3600)) for k, n in ends]
+    spark.createDataFrame(rows, "o_custkey long, o_orderdate timestamp").write.parquet(str(tmp_path / "orders.parquet"))
+    want = []
+    for k, a, b in ((1, 0, 200), (2, 0, 200), (None, 5, 95), (3, 7, 8), (5, 1, 92)):
+        for size, leaf in ((90, 1), (30, 7)):
+            for i, s in enumerate(range(a, b, size), 1):
+                f, t = (dt.date(1999, 12, 20) + dt.timedelta(n) for n in (s, min(s + size, b)))
+                if (t - f).days > 1:
+                    pieces = recursion(f, t, leaf)
+                    seq = [i * 100000 + (x - dt.date(1970, 1, 1)).days for x, _ in pieces]
+                    want.append((k, size, i, len(pieces), " ".join(f"{x}/{(y - x).days}" for x, y in pieces), min(seq), max(seq)))
+    found = QUERIES["split_tree"](spark, str(tmp_path))
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
+    assert "(_day#" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_split_tree_refuses_what_it_cannot_finish(spark):
     df = spark.createDataFrame([(1, dt.date(2020, 1, 1), dt.date(2024, 1, 1))], "window_idx int, from_date date, to_date date")
     with pytest.raises(Exception, match="cannot be halved"):
         M.split_tree(df, []).collect()
 
 
+def test_asked_trees_refuse_what_they_cannot_finish(spark):
+    df = spark.createDataFrame([(1, dt.date(2020, 1, 1), dt.date(2024, 1, 1))], "window_idx int, from_date date, to_date date")
+    for usual in (30, 1461):
+        with pytest.raises(Exception, match="cannot be halved"):
+            M.split_tree(df, [], asked=lambda x: [x], usual=usual).collect()
+
+
 def test_gap_ranges(spark):
     days = [("A", d) for d in (2, 3, 4, 9, 11, 12, 13, 14, 15, 16)] + [("B", 5)]
     df = spark.createDataFrame([(e, dt.date(2024, 1, d), dt.date(2024, 1, d + 1)) for e, d in days],
